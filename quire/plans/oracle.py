@@ -143,8 +143,31 @@ SELECT m.record_reference, m.isbn13, m.title,
 FROM merged m LEFT JOIN final_notice f ON m.record_reference = f.record_reference"""
 
 
+Q_ONIX_SCAN = f"""
+SELECT 'REF' || {_s('p_partkey')} AS record_reference, '03' AS notification_type,
+       {isbn('978', 'p_partkey')} AS isbn13, upper(substr(p_type, 1, 2)) AS product_form,
+       '00' AS product_composition, CAST(nullif(p_partkey % 3, 0) AS BIGINT) AS edition_number,
+       CAST(nullif(p_size * 10, 0) AS BIGINT) AS page_count, CAST(p_size * 7 AS DOUBLE) AS height_mm,
+       CAST(CAST(p_retailprice AS DECIMAL(9,2)) AS DOUBLE) AS weight_gr,
+       concat_ws(' ', p_name, {_s('p_partkey')}) AS title, p_type AS subtitle,
+       p_name || ' & ' || p_brand AS long_description, p_brand AS publisher_name, '04' AS publishing_status,
+       strftime(make_date(2024, CAST(p_partkey % 12 + 1 AS INTEGER), CAST(p_partkey % 28 + 1 AS INTEGER)), {D})
+         AS publication_date,
+       '21' AS availability_code, CAST(0 AS BIGINT) AS n_contributors, p_type AS first_subject,
+       true AS first_subject_main,
+       CAST(CAST(nullif(p_retailprice, 0) AS DECIMAL(12,2)) AS DOUBLE) AS price_amount, 'GBP' AS currency_code
+FROM part WHERE p_size <> 1"""
+
+Q_ONIX_CORRUPT = f"""
+SELECT 'REF' || {_s('p_partkey')} AS record_reference,
+       CASE WHEN p_partkey % 17 = 0 THEN 'malformed' ELSE 'ok' END AS status
+FROM part"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "onix_scan_project": Q_ONIX_SCAN,
+        "onix_corrupt_split": Q_ONIX_CORRUPT,
         "book_upsert": Q_BOOK_UPSERT,
         "needs_embedding": Q_NEEDS_EMBEDDING,
         "soft_delete_reactivate": Q_SOFT_DELETE,

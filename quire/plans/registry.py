@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import books, oracle
+from quire.plans import books, feeds, oracle, oracle_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +18,23 @@ def queries() -> dict[str, Query]:
         "book_upsert": books.q_book_upsert,
         "needs_embedding": books.q_needs_embedding,
         "soft_delete_reactivate": books.q_soft_delete,
+        "feed_manifest": feeds.q_feed_manifest,
+        "done_gate": feeds.q_done_gate,
+        "framed_csv_inventory": feeds.q_framed_csv_inventory,
+        "framed_csv_summary": feeds.q_framed_csv_summary,
+        "unframed_csv_avail": feeds.q_unframed_csv_avail,
+        "onix_parse_scalars": feeds.q_onix_parse_scalars,
+        "isbn_filter": feeds.q_isbn_filter,
+        "feed_dates": feeds.q_feed_dates,
+        "promotions_upsert": feeds.q_promotions_upsert,
+        "mark_and_sweep": feeds.q_mark_and_sweep,
+        "firm_sale_upsert": feeds.q_firm_sale_upsert,
+        "isbn_slips": feeds.q_isbn_slips,
+        "restrictions_upsert": feeds.q_restrictions_upsert,
+        "regions_upsert": feeds.q_regions_upsert,
+        "book_id_backfill": feeds.q_book_id_backfill,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracles()
+    return {**oracle.oracles(), **oracle_feeds.oracles()}

@@ -41,7 +41,7 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
     """
     sep = f"</{tag}>"
     raw = (
-        spark.read.option("lineSep", sep).text(paths)
+        spark.read.option("lineSep", sep).option("recursiveFileLookup", "true").text(paths)
         .select(
             F.col("value"),
             F.col("_metadata.file_path").alias("source_file"),

@@ -71,24 +71,22 @@ def write_framed_text(lines: DataFrame, path: str, n_files: int, head: list[str]
                       tail: list[str] | None = None, file_col: str = "file_no",
                       seq_col: str = "seq", line_col: str = "line") -> None:
     """Write ``lines`` (``file_no``, ``seq``, ``line``) as ``n_files`` text files,
-    each framed by ``head`` and ``tail`` lines, lines in ``seq`` order.
+    each framed by ``head`` and ``tail`` lines, body lines in ``seq`` order
+    (``seq`` may be any orderable column, e.g. a struct).
 
     One folder per file (``file_no=<k>``) holding a single part file.
     """
     spark = lines.sparkSession
-    frames = []
+    seq_type = lines.schema[seq_col].dataType
     files = spark.range(n_files).select(F.col("id").cast("int").alias(file_col))
-    for i, h in enumerate(head or []):
-        frames.append(files.select(file_col, F.lit(-len(head) + i).cast("long").alias(seq_col),
-                                   F.lit(h).alias(line_col)))
-    big = (1 << 62)
-    for i, t in enumerate(tail or []):
-        frames.append(files.select(file_col, F.lit(big + i).cast("long").alias(seq_col),
-                                   F.lit(t).alias(line_col)))
-    body = lines.select(F.col(file_col).cast("int"), F.col(seq_col).cast("long"), line_col)
-    for f in frames:
-        body = body.unionByName(f)
-    (body.repartition(n_files, file_col).sortWithinPartitions(file_col, seq_col)
+    body = lines.select(F.col(file_col).cast("int").alias(file_col), F.lit(1).alias("__sec"),
+                        F.lit(0).alias("__hpos"), F.col(seq_col), F.col(line_col))
+    for sec, frame in ((0, head or []), (2, tail or [])):
+        for i, text in enumerate(frame):
+            body = body.unionByName(files.select(file_col, F.lit(sec).alias("__sec"), F.lit(i).alias("__hpos"),
+                                                 F.lit(None).cast(seq_type).alias(seq_col),
+                                                 F.lit(text).alias(line_col)))
+    (body.repartition(n_files, file_col).sortWithinPartitions(file_col, "__sec", "__hpos", seq_col)
      .select(file_col, line_col)
      .write.mode("overwrite").partitionBy(file_col).text(path))
 
