@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import books, feeds, oracle, oracle_feeds
+from quire.plans import bookkeeping as bk
+from quire.plans import books, feeds, oracle, oracle_bookkeeping, oracle_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +34,27 @@ def queries() -> dict[str, Query]:
         "restrictions_upsert": feeds.q_restrictions_upsert,
         "regions_upsert": feeds.q_regions_upsert,
         "book_id_backfill": feeds.q_book_id_backfill,
+        "unclaimed_files": bk.q_unclaimed_files,
+        "ledger_claim": bk.q_ledger_claim,
+        "unprocessed_files": bk.q_unprocessed_files,
+        "trigger_guard": bk.q_trigger_guard,
+        "job_progress": bk.q_job_progress,
+        "job_detail": bk.q_job_detail,
+        "job_page": bk.q_job_page,
+        "latest_full_file": bk.q_latest_full_file,
+        "resume_plan": bk.q_resume_plan,
+        "retention_plan": bk.q_retention_plan,
+        "ledger_transitions": bk.q_ledger_transitions,
+        "excerpt_upsert": bk.q_excerpt_upsert,
+        "excerpt_counts": bk.q_excerpt_counts,
+        "excerpt_watermark": bk.q_excerpt_watermark,
+        "authors_lookup_text": bk.q_authors_lookup_text,
+        "cover_candidates": bk.q_cover_candidates,
+        "cover_outcome_counts": bk.q_cover_outcome_counts,
+        "keys_and_urls": bk.q_keys_and_urls,
+        "cover_archive_index": bk.q_cover_archive_index,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.oracles(), **oracle_feeds.oracles()}
+    return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles()}

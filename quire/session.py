@@ -99,3 +99,15 @@ def local_path(path: str) -> str:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def arrow_fs(path: str):
+    """``(pyarrow filesystem, inner path)`` for a Spark/Hadoop path (``file:/x``,
+    ``file:///x``, ``hdfs://…``, ``s3://…``, or a bare local path)."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    elif "://" not in path:
+        path = "file://" + path
+    return pafs.FileSystem.from_uri(path)
