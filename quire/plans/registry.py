@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.plans import bookkeeping as bk
-from quire.plans import books, feeds, oracle, oracle_bookkeeping, oracle_feeds
+from quire.plans import books, catalog, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,8 +53,23 @@ def queries() -> dict[str, Query]:
         "cover_outcome_counts": bk.q_cover_outcome_counts,
         "keys_and_urls": bk.q_keys_and_urls,
         "cover_archive_index": bk.q_cover_archive_index,
+        "onix_measure_pivot": catalog.q_onix_measure_pivot,
+        "child_replace": catalog.q_child_replace,
+        "genres_upsert": catalog.q_genres_upsert,
+        "book_genres_replace": catalog.q_book_genres_replace,
+        "embedding_text": catalog.q_embedding_text,
+        "backfill_text": catalog.q_backfill_text,
+        "embed_writeback": catalog.q_embed_writeback,
+        "stock_gated_merge": catalog.q_stock_gated_merge,
+        "stock_gated_merge_group": catalog.q_stock_gated_merge_group,
+        "quarantine": catalog.q_quarantine,
+        "cosine_topk": catalog.q_cosine_topk,
+        "fts_rank": catalog.q_fts_rank,
+        "trigram_title": catalog.q_trigram_title,
+        "key_lookups": catalog.q_key_lookups,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles()}
+    return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles(),
+            **oracle_catalog.oracles()}
