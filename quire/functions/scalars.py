@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 ISBN13_PATTERN = "^(978|979)[0-9]{10}$"
 INT_PREFIX = r"^\s*([+-]?[0-9]+)"
 FLOAT_PREFIX = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)"
-# Whitespace as JavaScript's String.prototype.trim understands it.
-_WS = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+# White space as JavaScript's String.prototype.trim understands it.
+_WS_CHARS = ("\t\n\u000b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+             "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff")
 
 
 def col(c) -> Column:
@@ -22,8 +23,9 @@ def col(c) -> Column:
 
 
 def trim_ws(c) -> Column:
-    """Trim all leading/trailing white space (Spark ``trim`` strips only ' ')."""
-    return F.regexp_replace(col(c), f"^{_WS}+|{_WS}+$", "")
+    """Trim all leading/trailing white space (Spark ``trim`` strips only ' ');
+    a character-set ``btrim``, no regular expression."""
+    return F.btrim(col(c), F.lit(_WS_CHARS))
 
 
 def blank_to_null(c) -> Column:

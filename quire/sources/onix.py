@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
+from quire.session import BROADCAST_ROW_LIMIT
 
 
 class CorruptOnixError(ValueError):
@@ -50,23 +51,31 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
                      ).alias("arrival"),
         )
     )
-    frag = F.regexp_extract("value", rf"(?s)(<{tag}[\s>].*)$", 1)
+    # cut from the product's open tag: find its position, then take the rest
+    # (no capture of the whole record by the regex engine)
+    start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>/]"))
+    frag = F.when(start > 0, F.substr(F.col("value"), start)).otherwise(F.lit(""))
     staged = raw.select("source_file", "arrival", frag.alias("fragment"),
                         F.col("value").contains(f"</{end_tag}>").alias("is_tail"))
 
-    # A file is whole only if some record holds the closing root tag; the
-    # per-file result is one row per file, so AQE broadcasts it.
+    products = staged.where(F.col("fragment") != "")
+    # A file is whole only if some record holds the closing root tag. The
+    # per-file table has one row per input file; the file listing (driver
+    # metadata, no data read) bounds it, so it is broadcast and the fragments
+    # never shuffle.
     if check_tail:
         files = staged.groupBy("source_file").agg(F.bool_or("is_tail").alias("complete"))
-
-    products = staged.where(F.col("fragment") != "")
+        if len(raw.inputFiles()) <= BROADCAST_ROW_LIMIT:
+            files = F.broadcast(files)
+        products = products.join(files, "source_file")
+    else:
+        products = products.withColumn("complete", F.lit(True))
     parsed = products.select(
-        "source_file", "arrival", "fragment",
+        "source_file", "arrival", "fragment", "complete",
         F.from_xml(F.concat("fragment", F.lit(sep)), schemas.ONIX_PRODUCT,
                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
                     "ignoreNamespace": "true"}).alias("product"),
     )
-    parsed = parsed.join(files, "source_file") if check_tail else parsed.withColumn("complete", F.lit(True))
 
     bad_fragment = F.col(f"product.{schemas.CORRUPT}").isNotNull() | F.col("product").isNull()
     records = (parsed.where(~bad_fragment & F.col("complete"))
