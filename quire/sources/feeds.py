@@ -63,13 +63,15 @@ def match_feed(manifest: DataFrame, rules: DataFrame | None = None, feed: str |
     return manifest.join(F.broadcast(r), F.expr("filename rlike pattern")).drop("pattern")
 
 
-def done_gate(manifest: DataFrame, only_needing: bool = False) -> DataFrame:
+def done_gate(manifest: DataFrame, only_needing: bool = False, listing: DataFrame | None = None) -> DataFrame:
     """O-05: keep a file only when ``<path>.DONE`` is also listed.
 
-    With ``only_needing`` (manifest tagged by ``match_feed``) the gate applies to
-    feeds that need it and lets others through.
+    ``listing``: the full directory listing the sentinels are looked up in
+    (default: ``manifest`` itself). With ``only_needing`` (manifest tagged by
+    ``match_feed``) the gate applies to feeds that need it and lets others through.
     """
-    done = manifest.select(F.col("path").alias("__done")).where(F.col("__done").endswith(".DONE"))
+    src_list = listing if listing is not None else manifest
+    done = src_list.select(F.col("path").alias("__done")).where(F.col("__done").endswith(".DONE"))
     gated = manifest.join(done, F.concat(F.col("path"), F.lit(".DONE")) == F.col("__done"), "left_semi")
     if not only_needing:
         return gated
