@@ -293,3 +293,13 @@ def lookup_ids(rows: DataFrame, books: DataFrame, on: str = "record_reference",
                book_id: str = "id") -> DataFrame:
     """O-45: attach the book id by natural key (inner equi-join)."""
     return rows.join(books.select(on, F.col(book_id).alias("book_id")), on)
+
+
+def arrival_ordinal(df: DataFrame, order: str, name: str | None = None) -> DataFrame:
+    """Replace the orderable ``order`` column (e.g. a file-order struct) by a long
+    that increases in that order: a distributed range sort, then
+    ``monotonically_increasing_id`` (partition index, then row) on the sorted
+    partitions. No single-partition window."""
+    name = name or order
+    return (df.orderBy(order).withColumn("__ord", F.monotonically_increasing_id())
+            .drop(order).withColumnRenamed("__ord", name))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.plans import bookkeeping as bk
-from quire.plans import books, catalog, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_feeds
+from quire.plans import books, catalog, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_feeds, oracle_streams, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,9 +67,13 @@ def queries() -> dict[str, Query]:
         "fts_rank": catalog.q_fts_rank,
         "trigram_title": catalog.q_trigram_title,
         "key_lookups": catalog.q_key_lookups,
+        "onix_ingest": streams.q_onix_ingest,
+        "stream_onix_merge": streams.q_stream_onix_merge,
+        "stream_stock_merge": streams.q_stream_stock_merge,
+        "bootstrap_status": streams.q_bootstrap_status,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles(),
-            **oracle_catalog.oracles()}
+            **oracle_catalog.oracles(), **oracle_streams.oracles()}

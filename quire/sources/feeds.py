@@ -86,20 +86,29 @@ def split_oversize(manifest: DataFrame, limit: int = MAX_COVER_ZIP_BYTES) -> tup
 
 def scan_lines(spark: SparkSession, paths) -> DataFrame:
     """Non-empty text lines with file-order ``arrival`` (mtime, file, block, pos)."""
-    return (
-        spark.read.option("recursiveFileLookup", "true").text(paths)
-        .select(
-            F.col("value").alias("line"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_modification_time").alias("file_mtime"),
-            F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
-                     F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("pos")).alias("arrival"),
-        )
-        .where(F.trim(F.col("line")) != "")
-    )
+    return text_lines(spark.read.option("recursiveFileLookup", "true").text(paths))
+
+
+def text_lines(text: DataFrame) -> DataFrame:
+    """``scan_lines`` on an existing batch text scan."""
+    return lines_with_arrival(raw_lines(text))
+
+
+def raw_lines(text: DataFrame) -> DataFrame:
+    """Non-empty lines of a text scan (batch or stream) with file metadata columns."""
+    return (text.select(F.col("value").alias("line"),
+                        F.col("_metadata.file_path").alias("source_file"),
+                        F.col("_metadata.file_name").alias("file_name"),
+                        F.col("_metadata.file_modification_time").alias("file_mtime"),
+                        F.col("_metadata.file_block_start").alias("file_block"))
+            .where(F.trim(F.col("line")) != ""))
+
+
+def lines_with_arrival(lines: DataFrame) -> DataFrame:
+    """File order of each line (batch only; a stream adds it per micro-batch)."""
+    return lines.withColumn("arrival", F.struct(
+        F.col("file_mtime").alias("mtime"), F.col("source_file").alias("file"),
+        F.col("file_block").alias("block"), F.monotonically_increasing_id().alias("pos"))).drop("file_block")
 
 
 _CSV_OPTS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
@@ -127,7 +136,11 @@ def scan_positional(spark: SparkSession, paths, columns: Sequence[str]) -> DataF
     Output: the named columns, ``is_trailer``, ``trailer_count``, ``parse_error``,
     ``source_file``, ``file_name``, ``file_mtime``, ``arrival``.
     """
-    lines = scan_lines(spark, paths)
+    return positional(scan_lines(spark, paths), columns)
+
+
+def positional(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``scan_positional`` on lines from ``scan_lines``/``text_lines``."""
     cells = _cells(F.col("line"), max(len(columns), 2))
     is_t, t_count = _trailer(F.col("__cells"))
     return (lines.withColumn("__cells", cells)

@@ -24,6 +24,34 @@ def _arrival(mtime, path, block, seq):
     return F.struct(mtime.alias("mtime"), path.alias("file"), block.alias("block"), seq.alias("pos"))
 
 
+def file_columns(df: DataFrame) -> DataFrame:
+    """A text scan (batch or stream) with its file metadata as plain columns."""
+    return df.select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_mtime"),
+        F.col("_metadata.file_block_start").alias("file_block"),
+    )
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """File order of each record: (mtime, file, split start, position in split).
+    Batch-only (a stream gets it inside ``foreachBatch``)."""
+    return df.withColumn("arrival", _arrival(F.col("file_mtime"), F.col("source_file"), F.col("file_block"),
+                                             F.monotonically_increasing_id()))
+
+
+def onix_records(df: DataFrame, tag: str = "Product") -> DataFrame:
+    """Raw ``</Product>``-separated records of a batch text scan with their
+    file-order ``arrival``."""
+    return with_arrival(file_columns(df)).select("value", "source_file", "arrival")
+
+
+def read_onix_text(spark: SparkSession, paths, tag: str = "Product") -> DataFrame:
+    return spark.read.option("lineSep", f"</{tag}>").option("recursiveFileLookup", "true").text(paths)
+
+
 def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "Product",
               end_tag: str = "ONIXMessage", check_tail: bool = True) -> tuple[DataFrame, DataFrame]:
     """Scan ONIX files into raw product structs.
@@ -40,17 +68,22 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
     file ends in the closing root tag. It costs a second (pruned, aggregated)
     pass over the text; turn it off for files already known to be whole.
     """
+    text = read_onix_text(spark, paths, tag)
+    n_files = len(text.inputFiles())
+    records, corrupt = parse_onix(onix_records(text, tag), tag, end_tag, check_tail, n_files)
+    if fail_fast:
+        bad = corrupt.limit(1).collect()
+        if bad:
+            raise CorruptOnixError(f"malformed ONIX in {bad[0]['source_file']}: {bad[0]['reason']}")
+    return records, corrupt
+
+
+def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage", check_tail: bool = True,
+               n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fragments -> product structs (see ``scan_onix``); ``raw`` from ``onix_records``.
+
+    ``n_files`` bounds the per-file completeness table (broadcast when small)."""
     sep = f"</{tag}>"
-    raw = (
-        spark.read.option("lineSep", sep).option("recursiveFileLookup", "true").text(paths)
-        .select(
-            F.col("value"),
-            F.col("_metadata.file_path").alias("source_file"),
-            _arrival(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"),
-                     F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-                     ).alias("arrival"),
-        )
-    )
     # cut from the product's open tag: find its position, then take the rest
     # (no capture of the whole record by the regex engine)
     start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>/]"))
@@ -65,7 +98,7 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
     # never shuffle.
     if check_tail:
         files = staged.groupBy("source_file").agg(F.bool_or("is_tail").alias("complete"))
-        if len(raw.inputFiles()) <= BROADCAST_ROW_LIMIT:
+        if n_files is not None and n_files <= BROADCAST_ROW_LIMIT:
             files = F.broadcast(files)
         products = products.join(files, "source_file")
     else:
@@ -84,8 +117,4 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
         "source_file", "arrival", "fragment",
         F.when(bad_fragment, F.lit("malformed")).otherwise(F.lit("file_truncated")).alias("reason"),
     )
-    if fail_fast:
-        bad = corrupt.limit(1).collect()
-        if bad:
-            raise CorruptOnixError(f"malformed ONIX in {bad[0]['source_file']}: {bad[0]['reason']}")
     return records, corrupt
