@@ -190,8 +190,13 @@ def gated_merge(current: DataFrame, incoming: DataFrame, key: str = "isbn13",
     """
     always, gated = list(always), list(gated)
     fields = always + [c for c in gated if c not in always]
-    cur = current.select(key, ts, *fields, F.lit(-1).cast("long").alias(arrival))
-    inc = incoming.select(key, ts, *fields, F.col(arrival).cast("long").alias(arrival))
+    extra = [c for c in current.columns if c not in fields and c not in (key, ts)]
+    # columns only the current table has (created_at, book_id, ...) ride along
+    # in one struct, so the big current table is read once and never re-joined
+    x = F.struct(*[F.col(c) for c in extra]) if extra else F.lit(None)
+    cur = current.select(key, ts, *fields, F.lit(-1).cast("long").alias(arrival), x.alias("__x"))
+    inc = incoming.select(key, ts, *fields, F.col(arrival).cast("long").alias(arrival),
+                          F.lit(None).cast(cur.schema["__x"].dataType).alias("__x"))
     rows = cur.withColumn("__cur", F.lit(True)).unionByName(inc.withColumn("__cur", F.lit(False)))
     rows = rows.withColumn("__b", F.floor(F.col(arrival) / F.lit(bucket_width)))
 
@@ -219,20 +224,15 @@ def gated_merge(current: DataFrame, incoming: DataFrame, key: str = "isbn13",
         price_order = F.struct(F.col(ts), F.col(arrival))
 
     qty_order = F.when(F.col("__pass"), F.col(arrival)) if gate == "row" else F.struct(F.col(ts), F.col(arrival))
-    out = rows.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in always]), qty_order).alias("__a"),
-        F.max_by(F.struct(*[F.col(c) for c in gated]), F.when(price_ok, price_order)).alias("__g"),
-        F.max(ts).alias(ts),
-        F.bool_or("__cur").alias("__had"),
-        F.bool_or(~F.col("__cur")).alias("__touched"),
-    )
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in always]), qty_order).alias("__a"),
+            F.max_by(F.struct(*[F.col(c) for c in gated]), F.when(price_ok, price_order)).alias("__g"),
+            F.max(ts).alias(ts)]
+    if extra:
+        aggs.append(F.max_by("__x", F.when(F.col("__cur"), F.lit(1))).alias("__x"))
+    out = rows.groupBy(key).agg(*aggs)
     sel = [key, *[F.col(f"__a.{c}").alias(c) for c in always],
            *[F.col(f"__g.{c}").alias(c) for c in gated if c not in always], ts]
-    out = out.select(*sel, "__had", "__touched")
-    extra = [c for c in current.columns if c not in out.columns]
-    if extra:
-        out = out.join(current.select(key, *extra), key, "left")
-    return out.drop("__had", "__touched")
+    return out.select(*sel, *[F.col(f"__x.{c}").alias(c) for c in extra])
 
 
 def replace_children(child: DataFrame, touched: DataFrame, new: DataFrame, key) -> DataFrame:
