@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.plans import bookkeeping as bk
-from quire.plans import books, catalog, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_feeds, oracle_streams, streams
+from quire.plans import (books, catalog, derived_q, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_derived,
+                         oracle_feeds, oracle_streams, streams)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,9 +72,13 @@ def queries() -> dict[str, Query]:
         "stream_onix_merge": streams.q_stream_onix_merge,
         "stream_stock_merge": streams.q_stream_stock_merge,
         "bootstrap_status": streams.q_bootstrap_status,
+        "region_sellability": derived_q.q_region_sellability,
+        "redirect_resolution": derived_q.q_redirect_resolution,
+        "stock_zero_fill": derived_q.q_stock_zero_fill,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles(),
-            **oracle_catalog.oracles(), **oracle_streams.oracles()}
+            **oracle_catalog.oracles(), **oracle_streams.oracles(),
+            **oracle_derived.oracles()}
