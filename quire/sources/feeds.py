@@ -114,10 +114,16 @@ def lines_with_arrival(lines: DataFrame) -> DataFrame:
 _CSV_OPTS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
 
 
-def _cells(line: Column, n: int) -> Column:
-    ddl = ", ".join(f"c{i} STRING" for i in range(n))
-    s = F.from_csv(line, ddl, _CSV_OPTS)
-    return F.array(*[s[f"c{i}"] for i in range(n)])
+def _with_cells(df: DataFrame, line: str, n: int, out: str = "__cells") -> DataFrame:
+    """Parse ``line`` once per row and expose the cells as an array column ``out``.
+
+    The parser runs inside a generator (``inline`` of a one-element array), a
+    plan node the optimizer does not merge into later projections; otherwise it
+    inlines the parser into every cell access and parses each line once per cell."""
+    ddl = ", ".join(f"__c{i} STRING" for i in range(n))
+    parsed = df.select("*", F.inline(F.array(F.from_csv(F.col(line), ddl, _CSV_OPTS))))
+    cells = [f"__c{i}" for i in range(n)]
+    return parsed.withColumn(out, F.array(*[F.col(c) for c in cells])).drop(*cells)
 
 
 def _parse_error(line: Column) -> Column:
@@ -141,9 +147,8 @@ def scan_positional(spark: SparkSession, paths, columns: Sequence[str]) -> DataF
 
 def positional(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``scan_positional`` on lines from ``scan_lines``/``text_lines``."""
-    cells = _cells(F.col("line"), max(len(columns), 2))
     is_t, t_count = _trailer(F.col("__cells"))
-    return (lines.withColumn("__cells", cells)
+    return (_with_cells(lines, "line", max(len(columns), 2))
             .select(*[F.coalesce(F.col("__cells")[i], F.lit("")).alias(c) for i, c in enumerate(columns)],
                     is_t.alias("is_trailer"), t_count.alias("trailer_count"),
                     _parse_error(F.col("line")).alias("parse_error"),
@@ -166,15 +171,14 @@ def scan_framed(spark: SparkSession, paths, aliases: Mapping[str, Sequence[str]]
     after = head.join(first, "source_file").where(F.col("__o") > F.col("__o1"))
     second = after.groupBy("source_file").agg(F.min_by("line", "__o").alias("__header"),
                                               F.min("__o").alias("__o2"))
-    header = _cells(F.col("__header"), max_cols)
     idx = {}
     for out, names in aliases.items():
         pos = [F.nullif(F.array_position(F.col("__hdr"), n), F.lit(0)) for n in names]
         idx[out] = F.coalesce(*pos) if len(pos) > 1 else pos[0]
-    files = (second.withColumn("__hdr", header)
+    files = (_with_cells(second, "__header", max_cols, "__hdr")
              .select("source_file", "__o2", *[v.alias(f"__i_{k}") for k, v in idx.items()]))
     body = lines.join(files, "source_file").where(F.col("__o") > F.col("__o2"))
-    body = body.withColumn("__cells", _cells(F.col("line"), max_cols))
+    body = _with_cells(body, "line", max_cols)
     is_t, t_count = _trailer(F.col("__cells"))
     vals = [F.when(F.col(f"__i_{k}").isNotNull(),
                    F.coalesce(F.element_at(F.col("__cells"), F.col(f"__i_{k}").cast("int")), F.lit("")))

@@ -103,12 +103,13 @@ def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage
         products = products.join(files, "source_file")
     else:
         products = products.withColumn("complete", F.lit(True))
-    parsed = products.select(
-        "source_file", "arrival", "fragment", "complete",
-        F.from_xml(F.concat("fragment", F.lit(sep)), schemas.ONIX_PRODUCT,
-                   {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
-                    "ignoreNamespace": "true"}).alias("product"),
-    )
+    # the parser runs inside a generator so that it is evaluated once per
+    # fragment: a plain projection would be inlined into every field access
+    xml = F.from_xml(F.concat("fragment", F.lit(sep)), schemas.ONIX_PRODUCT,
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
+                      "ignoreNamespace": "true"})
+    parsed = products.select("source_file", "arrival", "fragment", "complete",
+                             F.inline(F.array(F.struct(xml.alias("product")))))
 
     bad_fragment = F.col(f"product.{schemas.CORRUPT}").isNotNull() | F.col("product").isNull()
     records = (parsed.where(~bad_fragment & F.col("complete"))
