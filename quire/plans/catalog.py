@@ -255,12 +255,10 @@ def q_fts_rank(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(" "), F.col("source")).alias("title"),
         F.col("lang").alias("subtitle"), F.col("text").alias("long_description"))
-    vec = search.text_vector(docs, "doc_id", {"title": "A", "subtitle": "B", "long_description": "C"})
-    index = search.inverted_index(vec, "doc_id")
     from quire.functions.text import tokens
     q = load(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
                                             F.explode(tokens("text")).alias("lexeme")).distinct()
-    top = search.text_search(index, q, "doc_id", k=10)
+    top = search.search_documents(docs, "doc_id", {"title": "A", "subtitle": "B", "long_description": "C"}, q, k=10)
     return top.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
 
 
