@@ -278,3 +278,25 @@ def q_key_lookups(spark: SparkSession, sf: str) -> DataFrame:
     keys = li.where(F.col("l_returnflag") == "R").select(isbn_of("978", "l_partkey").alias("isbn13"))
     out = search.lookup(books, keys, "isbn13", publisher_name=["Brand#1", "Brand#12", "Brand#23"])
     return out.select("record_reference", "isbn13", "title", "publisher_name")
+
+
+def q_vector_codec(spark: SparkSession, sf: str) -> DataFrame:
+    """O-85: vectors written as ``[a,b,…]`` text and read back unchanged."""
+    from quire.functions.scalars import format_vector, parse_vector
+    e = load(spark, sf, "embeddings")
+    txt = e.select("vec_id", "embedding", format_vector("embedding").alias("txt"))
+    back = txt.select("vec_id", parse_vector("txt").alias("v"), "embedding", "txt")
+    return back.select("vec_id", F.size("v").cast("long").alias("n_dims"),
+                       (F.col("v") == F.col("embedding")).alias("roundtrip_ok"),
+                       F.col("txt").startswith("[").alias("bracketed"))
+
+
+def q_text_vector_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """O-93: weighted text vector of every document (lexeme, weight, positions)."""
+    docs = load(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(" "), F.col("source")).alias("title"),
+        F.col("lang").alias("subtitle"), F.col("text").alias("long_description"))
+    vec = search.text_vector(docs, "doc_id", {"title": "A", "subtitle": "B", "long_description": "C"})
+    return vec.groupBy("doc_id").agg(F.count("*").alias("n_entries"),
+                                     F.sum(F.size("positions")).cast("long").alias("n_positions"),
+                                     F.max(F.array_max("positions")).cast("long").alias("last_position"))

@@ -226,8 +226,38 @@ WHERE p_brand IN ('Brand#1', 'Brand#12', 'Brand#23')
   AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')"""
 
 
+Q_VECTOR_CODEC = """
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_dims, true AS roundtrip_ok, true AS bracketed FROM embeddings"""
+
+Q_TEXT_VECTOR = f"""
+WITH dt AS (
+  SELECT doc_id, 'A' AS w, unnest(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'))
+         AS lex, 0 AS part FROM documents
+  UNION ALL SELECT doc_id, 'B', unnest(regexp_extract_all(lower(lang), '[a-z0-9]+')), 1 FROM documents
+  UNION ALL SELECT doc_id, 'C', unnest(regexp_extract_all(lower(text), '[a-z0-9]+')), 2 FROM documents),
+total AS (
+  SELECT doc_id,
+         len(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'))
+         + len(regexp_extract_all(lower(lang), '[a-z0-9]+'))
+         + len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words,
+         list_reverse(list_concat(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'),
+                                  regexp_extract_all(lower(lang), '[a-z0-9]+'),
+                                  regexp_extract_all(lower(text), '[a-z0-9]+'))) AS rev
+  FROM documents),
+last AS (
+  SELECT doc_id, n_words - coalesce(list_position(list_transform(rev, lambda x: list_contains({_STOP}, x)), false), 0) + 1
+         AS last_position
+  FROM total)
+SELECT d.doc_id, count(DISTINCT (lex, w)) AS n_entries, count(*) AS n_positions,
+       CAST(any_value(l.last_position) AS BIGINT) AS last_position
+FROM dt d JOIN last l ON d.doc_id = l.doc_id
+WHERE NOT list_contains({_STOP}, lex) GROUP BY d.doc_id"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "vector_codec": Q_VECTOR_CODEC,
+        "text_vector_stats": Q_TEXT_VECTOR,
         "onix_measure_pivot": Q_MEASURES,
         "child_replace": Q_CHILD_REPLACE,
         "genres_upsert": Q_GENRES,

@@ -68,6 +68,8 @@ def queries() -> dict[str, Query]:
         "fts_rank": catalog.q_fts_rank,
         "trigram_title": catalog.q_trigram_title,
         "key_lookups": catalog.q_key_lookups,
+        "vector_codec": catalog.q_vector_codec,
+        "text_vector_stats": catalog.q_text_vector_stats,
         "onix_ingest": streams.q_onix_ingest,
         "stream_onix_merge": streams.q_stream_onix_merge,
         "stream_stock_merge": streams.q_stream_stock_merge,
