@@ -8,13 +8,16 @@ dies mid-write leaves the pointer where it was.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import hadoop_fs
 
 
-def _read_pointer(spark: SparkSession, root: str) -> int | None:
+def _read_pointer(spark: SparkSession, root: str) -> tuple[int, str | None, int] | None:
+    """``(version, bucket column or None, buckets)`` of the table at ``root``."""
     fs, p = hadoop_fs(spark, f"{root}/_CURRENT")
     if not fs.exists(p):
         return None
@@ -22,16 +25,19 @@ def _read_pointer(spark: SparkSession, root: str) -> int | None:
     try:
         reader = spark.sparkContext._jvm.java.io.BufferedReader(
             spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
+        parts = reader.readLine().strip().split("\t")
     finally:
         stream.close()
+    if len(parts) == 3 and parts[1]:
+        return int(parts[0]), parts[1], int(parts[2])
+    return int(parts[0]), None, 0
 
 
-def _write_pointer(spark: SparkSession, root: str, version: int) -> None:
+def _write_pointer(spark: SparkSession, root: str, version: int, key: str | None, buckets: int) -> None:
     fs, p = hadoop_fs(spark, f"{root}/_CURRENT.tmp")
     out = fs.create(p, True)
     try:
-        out.write(bytearray(f"{version}\n", "utf-8"))
+        out.write(bytearray(f"{version}\t{key or ''}\t{buckets}\n", "utf-8"))
     finally:
         out.close()
     _, final = hadoop_fs(spark, f"{root}/_CURRENT")
@@ -40,30 +46,51 @@ def _write_pointer(spark: SparkSession, root: str, version: int) -> None:
     fs.rename(p, final)
 
 
+def _table_name(root: str, version: int) -> str:
+    return f"quire_{zlib.crc32(root.encode()):08x}_v{version}"
+
+
 def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    v = _read_pointer(spark, root)
-    if v is None:
+    """Current snapshot of the table at ``root`` (None when there is none yet).
+
+    A bucketed snapshot is read through the catalog so Spark knows its hash
+    partitioning (joins and aggregates on the key do not shuffle it); a new
+    session registers it again from the pointer's bucket spec."""
+    ptr = _read_pointer(spark, root)
+    if ptr is None:
         return None
+    v, key, buckets = ptr
+    path = f"{root}/v={v}"
+    if key:
+        name = _table_name(root, v)
+        if not spark.catalog.tableExists(name):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({key}) "
+                      f"SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return spark.table(name)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(f"{root}/v={v}")
+    return r.parquet(path)
 
 
 def write_table(df: DataFrame, root: str, bucket_col: str | None = None, buckets: int = 0) -> int:
     """Write ``df`` as the next snapshot version and swap the pointer.
 
-    ``bucket_col``/``buckets``: hash-partition on the merge key before writing so
-    files of one key range stay together and later merges read fewer files.
-    """
+    With ``bucket_col``/``buckets`` the snapshot is a bucketed table on the
+    merge key: the next merge joins it without shuffling it (only the run's
+    incoming rows are hashed into the same buckets)."""
     spark = df.sparkSession
     cur = _read_pointer(spark, root)
-    nxt = 0 if cur is None else cur + 1
-    out = df
+    nxt = 0 if cur is None else cur[0] + 1
+    path = f"{root}/v={nxt}"
     if bucket_col and buckets:
-        out = out.repartition(buckets, bucket_col).sortWithinPartitions(bucket_col)
-    out.write.mode("overwrite").parquet(f"{root}/v={nxt}")
-    _write_pointer(spark, root, nxt)
+        name = _table_name(root, nxt)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (df.write.bucketBy(buckets, bucket_col).sortBy(bucket_col).option("path", path)
+         .mode("overwrite").saveAsTable(name))
+    else:
+        df.write.mode("overwrite").parquet(path)
+    _write_pointer(spark, root, nxt, bucket_col if buckets else None, buckets)
     return nxt
 
 
