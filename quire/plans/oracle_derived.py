@@ -27,7 +27,7 @@ FROM p LEFT JOIN l ON p.isbn13 = l.isbn13"""
 Q_REDIRECTS = f"""
 WITH RECURSIVE s AS (
   SELECT {isbn('978', 'p_partkey')} AS old_isbn13, {isbn('978', 'p_partkey + 7')} AS new_isbn13
-  FROM part WHERE p_size % 3 = 0),
+  FROM part WHERE p_size >= 30),
 walk(old_isbn13, cur, hops) AS (
   SELECT old_isbn13, new_isbn13, 1 FROM s
   UNION ALL
@@ -43,7 +43,7 @@ WITH cur AS (
          CAST(c_nationkey AS DECIMAL(5,2)) AS disc
   FROM customer WHERE c_acctbal > 0),
 f AS (SELECT DISTINCT {isbn('979', 'user_id')} AS isbn13 FROM events
-      WHERE event_id % 4 = 0 AND event_type NOT IN ('error', 'view'))
+      WHERE event_type = 'purchase')
 SELECT c.isbn13,
        CASE WHEN f.isbn13 IS NULL THEN 0 ELSE c.qty END AS stock_qty,
        CASE WHEN f.isbn13 IS NULL THEN 'avail13_full' ELSE 'inventory' END AS source,
