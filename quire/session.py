@@ -13,8 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a "small" side is not broadcast but shuffled instead.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Rows above which a "small" side is not broadcast but shuffled instead
+# (the broadcast sides are narrow: keys, terms, per-file flags).
+BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
