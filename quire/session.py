@@ -112,3 +112,15 @@ def arrow_fs(path: str):
     elif "://" not in path:
         path = "file://" + path
     return pafs.FileSystem.from_uri(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small-but-CPU-heavy input over all task slots.
+
+    Only when the scan yields fewer partitions than the cluster's default
+    parallelism (a few large row groups); a big input already has more
+    partitions and is returned unchanged, without a shuffle."""
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() < sc.defaultParallelism:
+        return df.repartition(sc.defaultParallelism)
+    return df
