@@ -102,6 +102,35 @@ def hashing_provider(dim: int) -> Callable[[list[str]], list[list[float] | None]
     return embed
 
 
+class RetryingProvider:
+    """O-91 call discipline around a batch model call, run inside each task:
+    up to ``tries`` attempts, back-off 1-2-4-8 s (or the server's hint plus
+    2 s when the error carries ``retry_after``), a pause between batches.
+    ``sleep`` is injectable so tests do not wait."""
+
+    def __init__(self, call: Callable[[list[str]], list], tries: int = 5, backoff: Sequence[float] = (1, 2, 4, 8),
+                 pause: float = 0.0, sleep: Callable[[float], None] | None = None):
+        import time
+        self.call, self.tries, self.backoff, self.pause = call, tries, tuple(backoff), pause
+        self.sleep = sleep or time.sleep
+        self._calls = 0
+
+    def __call__(self, texts: list[str]) -> list:
+        if self._calls and self.pause:
+            self.sleep(self.pause)
+        self._calls += 1
+        for attempt in range(self.tries):
+            try:
+                return self.call(texts)
+            except Exception as e:  # noqa: BLE001 - any transport/model error is retried
+                if attempt == self.tries - 1:
+                    return [None] * len(texts)      # give up: the batch's books stay unembedded
+                hint = getattr(e, "retry_after", None)
+                wait = hint + 2 if hint is not None else self.backoff[min(attempt, len(self.backoff) - 1)]
+                self.sleep(wait)
+        return [None] * len(texts)
+
+
 def embed(texts: DataFrame, provider: Callable[[list[str]], list], dim: int, batch: int = 100,
           key: str = "record_reference", text: str = "text") -> DataFrame:
     """O-91: ``key, embedding`` by calling ``provider`` on batches of ``batch`` texts.

@@ -362,6 +362,8 @@ def q_keys_and_urls(spark: SparkSession, sf: str) -> DataFrame:
         sc.feed_week(F.concat(F.lit("X_wk"), (F.col("page_id") % 53).cast("string"), F.lit("_Delta.zip"))).alias("week"),
         sc.public_url("https://cdn.example/", sc.cover_key(isbn)).alias("public_url"),
         sc.remote_cover_path(isbn).alias("remote_path"),
+        sc.image_ext(F.when(F.col("url").contains(".html"), F.lit("image/png"))
+                     .when(F.col("url").contains("#"), F.lit("image/jpeg"))).alias("image_ext"),
     )
 
 

@@ -150,7 +150,7 @@ def q_embed_writeback(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("array<float>").alias("embedding"))
     todo = emb.needs_embedding(books, books.select("record_reference"))
     texts = emb.embedding_text(todo, con)
-    vecs = emb.embed(texts, emb.hashing_provider(64), dim=64, batch=100)
+    vecs = emb.embed(texts, emb.RetryingProvider(emb.hashing_provider(64)), dim=64, batch=100)
     out = emb.write_vectors(books, vecs, 64, AS_OF)
     return out.select("record_reference", F.size("embedding").cast("long").alias("n_dims"),
                       ts_str("embedded_at").alias("embedded_at"))

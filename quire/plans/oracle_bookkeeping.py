@@ -271,7 +271,8 @@ SELECT page_id,
                       '[^a-z0-9_-]', '', 'g') || '_' || {_s('page_id')} || ext AS safe_name,
        {_s('page_id % 53')} AS week,
        'https://cdn.example/covers/' || isbn13 || '.jpg' AS public_url,
-       '/Books/Full/' || substr(isbn13, 1, 8) || '/' || isbn13 || '.jpg' AS remote_path
+       '/Books/Full/' || substr(isbn13, 1, 8) || '/' || isbn13 || '.jpg' AS remote_path,
+       CASE WHEN contains(url, '.html') THEN 'png' ELSE 'jpg' END AS image_ext
 FROM q4"""
 
 Q_ARCHIVE_INDEX = f"""

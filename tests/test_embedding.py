@@ -60,3 +60,26 @@ def test_embed_and_write_back(spark):
     out = {r.record_reference: r for r in emb.write_vectors(books, vec, 8, "2024-06-01").collect()}
     assert len(out["a"].embedding) == 8 and out["a"].embedded_at is not None
     assert out["b"].embedding is None and out["b"].embedded_at is None  # empty text fails, left as is
+
+
+def test_retrying_provider_backoff_and_hint():
+    waits, calls = [], {"n": 0}
+
+    class Busy(Exception):
+        def __init__(self, retry_after=None):
+            self.retry_after = retry_after
+
+    def flaky(texts):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise Busy()
+        if calls["n"] == 2:
+            raise Busy(retry_after=10)
+        return [[1.0] for _ in texts]
+
+    p = emb.RetryingProvider(flaky, sleep=waits.append, pause=0.5)
+    assert p(["a", "b"]) == [[1.0], [1.0]] and waits == [1, 12]
+    p(["c"])
+    assert waits[-1] == 0.5                       # pause before the next batch
+    dead = emb.RetryingProvider(lambda t: (_ for _ in ()).throw(Busy()), sleep=waits.append)
+    assert dead(["x"]) == [None]                  # five failures: batch left unembedded

@@ -175,3 +175,13 @@ def test_split_invariance(spark, write_text):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(base) == 300
+
+
+def test_prefixed_namespace(spark, write_text):
+    body = ('<p:Product xmlns:p="http://ns.editeur.org/onix/3.0/reference"><p:RecordReference>NS1</p:RecordReference>'
+            "<p:NotificationType>03</p:NotificationType><p:DescriptiveDetail><p:TitleDetail><p:TitleElement>"
+            "<p:TitleText>Namespaced</p:TitleText></p:TitleElement></p:TitleDetail></p:DescriptiveDetail></p:Product>\n")
+    path = write_text("ns.xml", '<?xml version="1.0"?>\n<p:ONIXMessage xmlns:p="x">\n' + body + "</p:ONIXMessage>\n")
+    records, corrupt = scan_onix(spark, path, tag="p:Product", end_tag="p:ONIXMessage")
+    rows = project_products(records).collect()
+    assert [(r.record_reference, r.title) for r in rows] == [("NS1", "Namespaced")] and corrupt.count() == 0
