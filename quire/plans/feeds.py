@@ -80,10 +80,7 @@ def manifest_from_orders(orders: DataFrame) -> DataFrame:
 def q_feed_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Q03 (O-04, O-38): files tagged with their feed; oversize cover zips flagged."""
     m = src.match_feed(manifest_from_orders(load(spark, sf, "orders")))
-    ok, big = src.split_oversize(m.where(F.col("feed") == "covers_update"))
-    flagged = ok.withColumn("oversize", F.lit(False)).unionByName(big.withColumn("oversize", F.lit(True)))
-    rest = m.where(F.col("feed") != "covers_update").withColumn("oversize", F.lit(False))
-    return rest.unionByName(flagged).select("path", "feed", "needs_done", "oversize")
+    return m.select("path", "feed", "needs_done", src.oversize().alias("oversize"))
 
 
 def q_done_gate(spark: SparkSession, sf: str) -> DataFrame:

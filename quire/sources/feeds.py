@@ -84,6 +84,12 @@ def split_oversize(manifest: DataFrame, limit: int = MAX_COVER_ZIP_BYTES) -> tup
     return manifest.where(~big), manifest.where(big)
 
 
+def oversize(limit: int = MAX_COVER_ZIP_BYTES, feed: str = "covers_update") -> Column:
+    """O-38 as a flag column (one pass over a tagged manifest): a file of
+    ``feed`` larger than ``limit`` is recorded as failed, not read."""
+    return F.coalesce((F.col("feed") == feed) & (F.col("size") > F.lit(limit)), F.lit(False))
+
+
 def scan_lines(spark: SparkSession, paths) -> DataFrame:
     """Non-empty text lines with file-order ``arrival`` (mtime, file, block, pos)."""
     return text_lines(spark.read.option("recursiveFileLookup", "true").text(paths))
