@@ -367,7 +367,9 @@ def q_keys_and_urls(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _write_cover_zips(spark: SparkSession, part: DataFrame, n_files: int = 4) -> str:
+def _write_cover_zips(spark: SparkSession, part: DataFrame, per_archive: int = 20_000) -> str:
+    """Cover archives of at most ``per_archive`` images each (one group per archive)."""
+    n_files = max(4, -(-part.count() // per_archive))
     path = stage_path(spark, "covers")
     fs, root = arrow_fs(path)
     fs.create_dir(root, recursive=True)

@@ -23,9 +23,10 @@ from quire.sources.onix import file_columns, parse_onix, scan_onix, with_arrival
 from quire.sources.store import read_table, write_table
 
 
-def _applied(spark: SparkSession, store: str, job: str) -> set[int]:
+def _applied(spark: SparkSession, store: str, job: str, batch_id: int) -> bool:
+    """O-78: was this batch id already applied? (a filtered lookup, nothing collected)"""
     t = read_table(spark, f"{store}/_batches_{job}")
-    return set() if t is None else {r.batch_id for r in t.select("batch_id").collect()}
+    return t is not None and t.where(F.col("batch_id") == batch_id).limit(1).count() > 0
 
 
 def _record_batch(spark: SparkSession, store: str, job: str, batch_id: int) -> None:
@@ -45,7 +46,7 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        if batch_id in _applied(s, store, "onix"):
+        if _applied(s, store, "onix", batch_id):
             return
         records, _ = parse_onix(with_arrival(batch).select("value", "source_file", "arrival"),
                                 n_files=max_files_per_trigger)
@@ -71,7 +72,7 @@ def stream_stock(spark: SparkSession, path: str, store: str, checkpoint: str,
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        if batch_id in _applied(s, store, "stock"):
+        if _applied(s, store, "stock", batch_id):
             return
         stamp = ts(F.col("file_name")) if ts is not None else None
         positional = src.positional(src.lines_with_arrival(batch), fm.AVAIL_COLUMNS)
