@@ -276,7 +276,9 @@ SELECT page_id,
 FROM q4"""
 
 Q_ARCHIVE_INDEX = f"""
-SELECT {isbn('978', 'p_partkey')} AS isbn13, 'BookImages_wk' || {_s('p_partkey % 4 + 1')} || '.zip' AS archive,
+SELECT {isbn('978', 'p_partkey')} AS isbn13,
+       'BookImages_wk' || {_s('p_partkey % (SELECT greatest(4, CAST(ceil(count(*) / 20000) AS BIGINT)) FROM part) + 1')}
+         || '.zip' AS archive,
        CAST(p_size AS BIGINT) AS size
 FROM part"""
 
