@@ -9,11 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.plans import bookkeeping as bk
 from quire.plans import (books, catalog, derived_q, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_derived,
                          oracle_feeds, oracle_streams, streams)
+from quire.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _pinned(q: Query) -> Query:
+    """Run ``q`` with the session settings every query relies on (UTC clock)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return q(spark, sf_dir)
+    run.__doc__, run.__name__ = q.__doc__, getattr(q, "__name__", "query")
+    return run
+
+
 def queries() -> dict[str, Query]:
+    return {name: _pinned(q) for name, q in _queries().items()}
+
+
+def _queries() -> dict[str, Query]:
     return {
         "onix_scan_project": books.q_onix_scan_project,
         "onix_corrupt_split": books.q_onix_corrupt_split,

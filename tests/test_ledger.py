@@ -65,3 +65,15 @@ def test_resume_and_retention(spark):
     plan = ledger.resume_plan(ch).first()
     assert (plan.requeued, plan.resent, plan.already_completed) == (2, 1, 1)
     assert [r.chunk_index for r in ledger.retention_plan(ch, AS_OF).collect()] == [1]
+
+
+def test_republished_fixed_name_file_is_picked_up_again(spark):
+    """Default ledger key (feed, path, mtime, size): a completed fixed-name file
+    published again with a new time is offered again; path-only keeps it blocked."""
+    old = AS_OF - dt.timedelta(days=7)
+    lg = spark.createDataFrame([("promotions", "/p/GARDPROM13.CSV", "GARDPROM13.CSV", old, 10, None, "completed",
+                                 1, 1, 1, None, old, old)], LEDGER)
+    man = spark.createDataFrame([("promotions", "/p/GARDPROM13.CSV", "GARDPROM13.CSV", AS_OF, 12)],
+                                "feed string, path string, filename string, modified_at timestamp, size long")
+    assert ledger.unclaimed(man, lg, AS_OF).count() == 1
+    assert ledger.unclaimed(man, lg, AS_OF, path_only=True).count() == 0
