@@ -91,7 +91,8 @@ def project_products(records: DataFrame, product: str = "product") -> DataFrame:
         _t(dd["ProductForm"]).alias("product_form"),
         _t(dd["ProductComposition"]).alias("product_composition"),
         leading_int(dd["EditionNumber"]).alias("edition_number"),
-        F.nullif(page, F.lit(0.0)).try_cast("int").alias("page_count"),
+        # a fractional page count is not an integer: null, not truncated
+        F.when((page != 0) & (page == F.floor(page)), page.try_cast("int")).alias("page_count"),
         _decimal(measure("01"), 7, 2).alias("height_mm"),
         _decimal(measure("02"), 7, 2).alias("width_mm"),
         _decimal(measure("03"), 7, 2).alias("thickness_mm"),
