@@ -121,3 +121,15 @@ def onix_ingest(spark: SparkSession, sf: str, n_files: int = 4) -> DataFrame:
     books = adapters.books_from_part(part)
     merged = merge.apply_notices(books, products, AS_OF)
     return book_rows(merged).drop("removed_at")
+
+
+def q_onix_scan_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """O-02 / O-24 / O-26 for ONIX: per-file parsed, kept, corrupt and title-less
+    counts (summed over the run's files)."""
+    from quire.operators.products import onix_summary
+    part = load(spark, sf, "part")
+    path = write_onix(spark, part, "onix-summary", broken_every=17)
+    records, corrupt = scan_onix(spark, path)
+    s = onix_summary(records, project_products(records), corrupt)
+    return s.agg(F.count("*").alias("files"), F.sum("parsed").alias("parsed"), F.sum("kept").alias("kept"),
+                 F.sum("corrupt").alias("corrupt"), F.sum("dropped_no_title").alias("dropped_no_title"))

@@ -164,8 +164,18 @@ SELECT 'REF' || {_s('p_partkey')} AS record_reference,
 FROM part"""
 
 
+Q_ONIX_SUMMARY = """
+SELECT CAST(4 AS BIGINT) AS files,
+       CAST(count(*) FILTER (WHERE p_partkey % 17 <> 0) AS BIGINT) AS parsed,
+       CAST(count(*) FILTER (WHERE p_partkey % 17 <> 0 AND p_size <> 1) AS BIGINT) AS kept,
+       CAST(count(*) FILTER (WHERE p_partkey % 17 = 0) AS BIGINT) AS corrupt,
+       CAST(count(*) FILTER (WHERE p_partkey % 17 <> 0 AND p_size = 1) AS BIGINT) AS dropped_no_title
+FROM part"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "onix_scan_summary": Q_ONIX_SUMMARY,
         "onix_scan_project": Q_ONIX_SCAN,
         "onix_corrupt_split": Q_ONIX_CORRUPT,
         "book_upsert": Q_BOOK_UPSERT,

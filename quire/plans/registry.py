@@ -31,6 +31,7 @@ def _queries() -> dict[str, Query]:
     return {
         "onix_scan_project": books.q_onix_scan_project,
         "onix_corrupt_split": books.q_onix_corrupt_split,
+        "onix_scan_summary": books.q_onix_scan_summary,
         "book_upsert": books.q_book_upsert,
         "needs_embedding": books.q_needs_embedding,
         "soft_delete_reactivate": books.q_soft_delete,
