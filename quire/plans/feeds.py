@@ -15,7 +15,7 @@ from quire.operators import merge
 from quire.plans.common import as_of, date_str, days_before, isbn_of, load, ts_str
 from quire.session import stage_path
 from quire.sources import feeds as src
-from quire.sources.store import rename_single_parts, write_framed_text
+from quire.sources.store import rename_single_parts, write_framed_text, write_ordered_text
 
 
 def _q(c) -> F.Column:
@@ -46,6 +46,14 @@ def write_named(spark: SparkSession, lines: DataFrame, name: str, files: dict[in
     return path
 
 
+def write_feed(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """One logical feed file ``name`` (``seq``, ``line``), written in parallel as
+    ordered parts under ``<stage>/<name>/``; the readers scan the folder."""
+    path = f"{stage_path(spark, name.lower().replace('.', '-'))}/{name}"
+    write_ordered_text(lines, path)
+    return path
+
+
 # --- Q03 / Q04: manifest, feed rules, DONE gate ------------------------------------------
 
 def _feed_filename(o: DataFrame) -> F.Column:
@@ -249,8 +257,8 @@ def _promotion_rows(spark: SparkSession, orders: DataFrame) -> DataFrame:
                 c("o_totalprice").cast("string"), (c("o_orderkey") % 50).cast("string"),
                 F.when(c("o_orderstatus") == "F", F.lit("F")).otherwise(F.lit("R")),
                 F.date_format("o_orderdate", "dd/MM/yy"))
-    lines = orders.select(F.lit(0).alias("file_no"), c("o_orderkey").alias("seq"), line.alias("line"))
-    path = write_named(spark, lines, "promotions", {0: "GARDPROM13.CSV"})
+    lines = orders.select(c("o_orderkey").alias("seq"), line.alias("line"))
+    path = write_feed(spark, lines, "GARDPROM13.CSV")
     raw = src.scan_positional(spark, path, fm.PROMOTION_COLUMNS)
     return fm.accepted(fm.map_promotions(raw, file_key=F.lit("GARDPROM13.CSV"), ts=as_of()))
 
@@ -285,9 +293,9 @@ def q_firm_sale_upsert(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     code = F.when(c("l_linestatus") == "O", F.lit("")).otherwise(F.concat(c("l_returnflag"), c("l_linestatus")))
     from quire.plans.adapters import LINE_ORDER
-    lines = li.select(F.lit(0).alias("file_no"), F.struct(*[c(x) for x in LINE_ORDER]).alias("seq"),
+    lines = li.select(F.struct(*[c(x) for x in LINE_ORDER]).alias("seq"),
                       _csv(isbn_of("978", "l_partkey"), code).alias("line"))
-    path = write_named(spark, lines, "firmsale", {0: "FIRMSALE13.CSV"})
+    path = write_feed(spark, lines, "FIRMSALE13.CSV")
     raw = src.scan_positional(spark, path, fm.FIRM_SALE_COLUMNS)
     inc = fm.accepted(fm.map_firm_sale(raw, file_key=F.lit("FIRMSALE13.CSV"), ts=as_of()))
     part = load(spark, sf, "part")
@@ -307,9 +315,8 @@ def q_isbn_slips(spark: SparkSession, sf: str) -> DataFrame:
     s = load(spark, sf, "supplier")
     c = F.col
     new = F.when(c("s_acctbal") < 0, F.lit("0001")).otherwise(isbn_of("979", c("s_suppkey") * 7 + c("s_nationkey")))
-    lines = s.select(F.lit(0).alias("file_no"), c("s_suppkey").alias("seq"),
-                     _csv(_q(isbn_of("978", "s_suppkey")), _q(new)).alias("line"))
-    path = write_named(spark, lines, "slips", {0: "ISBNSL13.CSV"})
+    lines = s.select(c("s_suppkey").alias("seq"), _csv(_q(isbn_of("978", "s_suppkey")), _q(new)).alias("line"))
+    path = write_feed(spark, lines, "ISBNSL13.CSV")
     raw = src.scan_positional(spark, path, fm.ISBN_SLIP_COLUMNS)
     inc = fm.accepted(fm.map_isbn_slips(raw, file_key=F.lit("ISBNSL13.CSV"), ts=as_of()))
     part = load(spark, sf, "part")
@@ -330,9 +337,8 @@ def q_restrictions_upsert(spark: SparkSession, sf: str) -> DataFrame:
         n.select("n_nationkey", "n_name"), c("c_nationkey") == c("n_nationkey"))
     flag = F.when(c("o_orderstatus") == "F", F.lit("Y")).when(c("o_orderstatus") == "O", F.lit("N")).otherwise(F.lit("X"))
     region = F.when(c("o_orderpriority") == "5-LOW", F.lit(" ")).otherwise(c("n_name"))
-    lines = j.select(F.lit(0).alias("file_no"), c("o_orderkey").alias("seq"),
-                     _csv(isbn_of("978", "o_custkey"), flag, region).alias("line"))
-    path = write_named(spark, lines, "restrict", {0: "RESTRICT.CSV"})
+    lines = j.select(c("o_orderkey").alias("seq"), _csv(isbn_of("978", "o_custkey"), flag, region).alias("line"))
+    path = write_feed(spark, lines, "RESTRICT.CSV")
     raw = src.scan_positional(spark, path, fm.RESTRICTION_COLUMNS)
     inc = fm.accepted(fm.map_restrictions(raw, file_key=F.lit("RESTRICT.CSV"), ts=as_of()))
     cur = cu.join(n, cu.c_nationkey == n.n_nationkey).select(
@@ -349,10 +355,10 @@ def q_regions_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Q16b (O-37, O-70): region names, both fields required."""
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
     c = F.col
-    lines = n.select(F.lit(0).alias("file_no"), c("n_nationkey").cast("long").alias("seq"),
+    lines = n.select(c("n_nationkey").cast("long").alias("seq"),
                      _csv(F.concat(F.lit("R"), c("n_regionkey").cast("string")),
                           F.when(c("n_nationkey") % 5 == 4, F.lit("")).otherwise(c("n_name"))).alias("line"))
-    path = write_named(spark, lines, "regions", {0: "REGIONS.CSV"})
+    path = write_feed(spark, lines, "REGIONS.CSV")
     raw = src.scan_positional(spark, path, fm.REGION_COLUMNS)
     inc = fm.accepted(fm.map_regions(raw, ts=as_of()))
     cur = r.select(F.concat(F.lit("R"), c("r_regionkey").cast("string")).alias("code"), c("r_name").alias("name"),

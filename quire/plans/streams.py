@@ -10,7 +10,7 @@ from quire.plans import adapters
 from quire.plans.books import book_rows
 from quire.plans.catalog import stock_current, stock_view
 from quire.plans.common import AS_OF, isbn_of, load
-from quire.plans.feeds import _csv, write_named
+from quire.plans.feeds import _csv, write_feed, write_named
 from quire.session import hadoop_fs, stage_path
 from quire.sources.store import read_table, rename_single_parts, write_framed_text, write_table
 from quire.streaming import jobs
@@ -90,8 +90,8 @@ def q_bootstrap_status(spark: SparkSession, sf: str) -> DataFrame:
     write_table(adapters.books_from_part(part), f"{store}/books")
     onix = stage_path(spark, "boot-onix")
     write_framed_text(adapters.product_fragments(part), onix, 4, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
-    regions = nation.select(F.lit(0).alias("file_no"), F.col("n_nationkey").cast("long").alias("seq"),
+    regions = nation.select(F.col("n_nationkey").cast("long").alias("seq"),
                             _csv(F.concat(F.lit("R"), F.col("n_regionkey").cast("string")), F.col("n_name")).alias("line"))
-    reg_path = write_named(spark, regions, "boot-regions", {0: "REGIONS.CSV"})
+    reg_path = write_feed(spark, regions, "REGIONS.CSV")
     feeds = {"regions": reg_path, "firm_sale": f"{store}/missing/FIRMSALE13.CSV"}
     return jobs.bootstrap(spark, onix, feeds, store, AS_OF).select("feed", "status", "rows")
