@@ -61,8 +61,14 @@ def q_needs_embedding(spark: SparkSession, sf: str) -> DataFrame:
     return needs_embedding(merged, touched).select("record_reference", "title")
 
 
+def onix_file_count(part: DataFrame, per_file: int = 50_000) -> int:
+    """Feed files for a run: at least 4, at most ``per_file`` products each."""
+    return max(4, -(-part.count() // per_file))
+
+
 def write_onix(spark: SparkSession, part: DataFrame, name: str, broken_every: int | None = None,
-               n_files: int = 4) -> str:
+               n_files: int | None = None) -> str:
+    n_files = n_files or onix_file_count(part)
     path = stage_path(spark, name)
     frags = adapters.product_fragments(part, broken_every=broken_every, n_files=n_files)
     write_framed_text(frags, path, n_files, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
@@ -112,7 +118,7 @@ def q_onix_corrupt_split(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(bad)
 
 
-def onix_ingest(spark: SparkSession, sf: str, n_files: int = 4) -> DataFrame:
+def onix_ingest(spark: SparkSession, sf: str, n_files: int | None = None) -> DataFrame:
     """End-to-end ONIX run: write feed files, scan, type, merge into the catalogue."""
     part = load(spark, sf, "part")
     path = write_onix(spark, part, "onix-ingest", n_files=n_files)

@@ -165,7 +165,7 @@ FROM part"""
 
 
 Q_ONIX_SUMMARY = """
-SELECT CAST(4 AS BIGINT) AS files,
+SELECT CAST(greatest(4, ceil(count(*) / 50000)) AS BIGINT) AS files,
        CAST(count(*) FILTER (WHERE p_partkey % 17 <> 0) AS BIGINT) AS parsed,
        CAST(count(*) FILTER (WHERE p_partkey % 17 <> 0 AND p_size <> 1) AS BIGINT) AS kept,
        CAST(count(*) FILTER (WHERE p_partkey % 17 = 0) AS BIGINT) AS corrupt,
