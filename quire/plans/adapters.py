@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.plans.common import as_of, days_before, el, el_raw, isbn_of, ref_of, xml_escape
+from quire.plans.common import days_before, el, el_raw, isbn_of, ref_of, xml_escape
 from quire.schemas import BOOK_FIELDS
 
 BOOK_EXTRA = {

@@ -12,7 +12,7 @@ from quire.operators import merge, quality, search
 from quire.operators.products import project_products
 from quire.plans import adapters
 from quire.plans.bookkeeping import contributors
-from quire.plans.common import AS_OF, as_of, days_before, el, el_raw, isbn_of, load, ref_of, ts_str, xml_escape
+from quire.plans.common import AS_OF, days_before, el, el_raw, isbn_of, load, ref_of, ts_str, xml_escape
 from quire.session import stage_path
 from quire.sources.onix import scan_onix
 from quire.sources.store import write_framed_text

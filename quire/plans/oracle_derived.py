@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.plans.oracle import _s, isbn, ts
+from quire.plans.oracle import isbn, ts
 
 Q_SELLABLE = f"""
 WITH r AS (
