@@ -117,11 +117,18 @@ def _inventory_cells(e: DataFrame):
             F.upper(F.substring("event_type", 1, 3)), rep_date]
 
 
+def inventory_files_per_layout(events: DataFrame, per_file: int = 50_000) -> int:
+    return max(2, -(-events.count() // (2 * per_file)))
+
+
 def _write_inventory(spark: SparkSession, events: DataFrame) -> tuple[str, str]:
-    e = events.withColumn("file_no", F.pmod(F.col("event_id"), F.lit(4)).cast("int"))
+    """Framed inventory files: ``n`` per header layout, events spread by id; the
+    second generic file's trailer is off by one (a mismatch to report)."""
+    n = inventory_files_per_layout(events)
+    e = events.withColumn("file_no", F.pmod(F.col("event_id"), F.lit(2 * n)).cast("int"))
     cells = _inventory_cells(e)
-    bespoke = e.where(F.col("file_no") < 2).select("file_no", F.col("event_id").alias("seq"), _csv(*cells).alias("line"))
-    generic = e.where(F.col("file_no") >= 2).select((F.col("file_no") - 2).alias("file_no"),
+    bespoke = e.where(F.col("file_no") < n).select("file_no", F.col("event_id").alias("seq"), _csv(*cells).alias("line"))
+    generic = e.where(F.col("file_no") >= n).select((F.col("file_no") - n).alias("file_no"),
                                                     F.col("event_id").alias("seq"),
                                                     _csv(F.lit("X"), *cells).alias("line"))
     paths = []
@@ -134,7 +141,7 @@ def _write_inventory(spark: SparkSession, events: DataFrame) -> tuple[str, str]:
                                          (F.col("count") + F.when(F.col("file_no") == 1, F.lit(bump))
                                           .otherwise(F.lit(0))).cast("string")).alias("line"))
         path = stage_path(spark, name)
-        write_framed_text(lines.unionByName(trailer), path, 2, ["HEADER,START", header])
+        write_framed_text(lines.unionByName(trailer), path, n, ["HEADER,START", header])
         paths.append(path)
     return paths[0], paths[1]
 
@@ -167,6 +174,11 @@ def q_framed_csv_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- Q06: hourly stock files ------------------------------------------------------------------
 
+def avail_file_count(events: DataFrame, per_file: int = 50_000) -> int:
+    """Hourly stock files for a run: at least 4, at most ``per_file`` rows each."""
+    return max(4, -(-events.count() // per_file))
+
+
 def q_unframed_csv_avail(spark: SparkSession, sf: str) -> DataFrame:
     """Q06 (O-07, O-31, O-32): ``AV_*.000`` full + ``.001…`` deltas, marker line, qty-only rows."""
     e = load(spark, sf, "events")
@@ -174,10 +186,11 @@ def q_unframed_csv_avail(spark: SparkSession, sf: str) -> DataFrame:
     isbn = F.when(c("event_type") == "error", F.concat(F.lit("SKU"), c("event_id").cast("string"))) \
         .otherwise(isbn_of("979", "user_id"))
     qty = F.when(c("event_type") == "view", F.lit("")).otherwise(F.get_json_object("props", "$.k"))
-    lines = e.select(F.pmod(c("event_id"), F.lit(4)).cast("int").alias("file_no"), c("event_id").alias("seq"),
+    nf = avail_file_count(e)
+    lines = e.select(F.pmod(c("event_id"), F.lit(nf)).cast("int").alias("file_no"), c("event_id").alias("seq"),
                      _csv(isbn, qty).alias("line"))
-    names = {k: f"AV_20240101.00{k}" for k in range(4)}
-    heads = {k: ["START,20240101 06:00" if k == 0 else f"UPDATE,20240101 0{6 + k}:00"] for k in range(4)}
+    names = {k: f"AV_20240101.{k:03d}" for k in range(nf)}
+    heads = {k: ["START,20240101 06:00" if k == 0 else f"UPDATE,20240101 {k:03d}"] for k in range(nf)}
     path = write_named(spark, lines, "avail", names, heads)
     raw = src.scan_positional(spark, path, fm.AVAIL_COLUMNS)
     rows = fm.accepted(fm.map_avail(raw, ts=as_of()))

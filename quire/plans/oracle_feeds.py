@@ -51,23 +51,26 @@ SELECT {isbn('979', 'user_id')} AS isbn13,
        'inventory' AS source
 FROM events WHERE event_type <> 'error'"""
 
-Q_FRAMED_SUMMARY = """
+NL = "(SELECT greatest(2, CAST(ceil(count(*) / 100000) AS BIGINT)) FROM events)"
+
+Q_FRAMED_SUMMARY = f"""
 WITH per AS (
-  SELECT event_id % 4 AS f, count(*) AS n,
+  SELECT event_id % (2 * {NL}) AS f, count(*) AS n,
          count(*) FILTER (WHERE event_type <> 'error') AS acc,
          count(*) FILTER (WHERE event_type = 'error' AND event_id % 7 <> 0) AS sk,
          count(*) FILTER (WHERE event_type = 'error' AND event_id % 7 = 0) AS pe
   FROM events GROUP BY 1)
-SELECT CASE WHEN f < 2 THEN 'bespoke' ELSE 'generic' END AS layout, count(*) AS files,
+SELECT CASE WHEN f < {NL} THEN 'bespoke' ELSE 'generic' END AS layout, count(*) AS files,
        CAST(sum(acc) AS BIGINT) AS total_rows, CAST(sum(sk) AS BIGINT) AS skipped_rows,
        CAST(sum(pe) AS BIGINT) AS parse_error_rows,
-       CAST(sum(n + CASE WHEN f = 3 THEN 1 ELSE 0 END) AS BIGINT) AS trailer_total,
-       count(*) FILTER (WHERE f = 3) AS mismatched_files
+       CAST(sum(n + CASE WHEN f = {NL} + 1 THEN 1 ELSE 0 END) AS BIGINT) AS trailer_total,
+       count(*) FILTER (WHERE f = {NL} + 1) AS mismatched_files
 FROM per GROUP BY 1"""
 
 Q_UNFRAMED_AVAIL = f"""
 SELECT {isbn('979', 'user_id')} AS isbn13, CAST(json_extract_string(props, '$.k') AS BIGINT) AS stock_qty,
-       CASE WHEN event_id % 4 = 0 THEN 'avail13_full' ELSE 'avail13_delta' END AS source
+       CASE WHEN event_id % (SELECT greatest(4, CAST(ceil(count(*) / 50000) AS BIGINT)) FROM events) = 0
+            THEN 'avail13_full' ELSE 'avail13_delta' END AS source
 FROM events WHERE event_type NOT IN ('error', 'view')"""
 
 Q_PARSE_SCALARS = """

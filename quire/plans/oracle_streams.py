@@ -42,14 +42,16 @@ WITH cur AS (
   FROM customer WHERE c_acctbal > 0),
 inc AS (
   SELECT {isbn('979', 'user_id')} AS isbn13, event_id,
-         CAST(floor(event_id * 4 / (SELECT count(*) FROM events)) AS INTEGER) AS k,
+         CAST(floor(event_id * (SELECT greatest(4, CAST(ceil(count(*) / 50000) AS BIGINT)) FROM events)
+                    / (SELECT count(*) FROM events)) AS INTEGER) AS k,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS qty
   FROM events WHERE event_type NOT IN ('error', 'view')),
 last AS (SELECT isbn13, arg_max({{'q': qty, 'k': k}}, event_id) AS x, max(k) AS mk FROM inc GROUP BY isbn13)
 SELECT coalesce(c.isbn13, l.isbn13) AS isbn13,
        CASE WHEN l.isbn13 IS NOT NULL THEN l.x.q ELSE c.qty END AS stock_qty,
        CASE WHEN l.isbn13 IS NULL THEN c.source WHEN l.x.k = 0 THEN 'avail13_full' ELSE 'avail13_delta' END AS source,
-       CASE WHEN l.isbn13 IS NOT NULL THEN 'AV_20240101.00' || {_s('l.x.k')} ELSE c.fkey END AS source_file_key,
+       CASE WHEN l.isbn13 IS NOT NULL THEN 'AV_20240101.' || lpad({_s('l.x.k')}, 3, '0') ELSE c.fkey END
+         AS source_file_key,
        CAST(c.rrp AS DOUBLE) AS rrp_gbp, CAST(c.disc AS DOUBLE) AS discount_percent, c.rcode AS report_code,
        CAST(NULL AS VARCHAR) AS report_date,
        {ts("CASE WHEN l.isbn13 IS NOT NULL THEN TIMESTAMP '2024-02-01 06:00:00' + to_hours(CAST(l.mk AS BIGINT)) ELSE c.ts END")}

@@ -10,7 +10,7 @@ from quire.plans import adapters
 from quire.plans.books import book_rows
 from quire.plans.catalog import stock_current, stock_view
 from quire.plans.common import AS_OF, isbn_of, load
-from quire.plans.feeds import _csv, write_feed, write_named
+from quire.plans.feeds import _csv, avail_file_count, write_feed, write_named
 from quire.session import hadoop_fs, stage_path
 from quire.sources.store import read_table, rename_single_parts, write_framed_text, write_table
 from quire.streaming import jobs
@@ -46,12 +46,12 @@ def q_stream_onix_merge(spark: SparkSession, sf: str) -> DataFrame:
     return book_rows(read_table(spark, f"{store}/books")).drop("removed_at")
 
 
-def avail_lines(events: DataFrame, n: int) -> DataFrame:
+def avail_lines(events: DataFrame, n: int, nf: int) -> DataFrame:
     c = F.col
     isbn = F.when(c("event_type") == "error", F.concat(F.lit("SKU"), c("event_id").cast("string"))) \
         .otherwise(isbn_of("979", "user_id"))
     qty = F.when(c("event_type") == "view", F.lit("")).otherwise(F.get_json_object("props", "$.k"))
-    return events.select(F.floor(c("event_id") * 4 / F.lit(n)).cast("int").alias("k"), c("event_id").alias("seq"),
+    return events.select(F.floor(c("event_id") * nf / F.lit(n)).cast("int").alias("k"), c("event_id").alias("seq"),
                          _csv(isbn, qty).alias("line"))
 
 
@@ -61,11 +61,12 @@ def q_stream_stock_merge(spark: SparkSession, sf: str) -> DataFrame:
     store = stage_path(spark, "store-stock")
     write_table(stock_current(load(spark, sf, "customer")), f"{store}/stock", bucket_col="isbn13", buckets=8)
     n = ev.count()
-    lines = avail_lines(ev, n)
+    nf = avail_file_count(ev)
+    lines = avail_lines(ev, n, nf)
     files = []
-    for k in range(4):  # one write per hour file, in hour order (file times increase)
+    for k in range(nf):  # one write per hour file, in hour order (file times increase)
         part = lines.where(F.col("k") == k).select(F.lit(0).alias("file_no"), "seq", "line")
-        name = f"AV_20240101.00{k}"
+        name = f"AV_20240101.{k:03d}"
         head = {0: ["START,20240101" if k == 0 else "UPDATE,20240101"]}
         path = write_named(spark, part, f"avail-{k}", {0: name}, head)
         files.append(f"{path}/{name}")
