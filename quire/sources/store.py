@@ -73,23 +73,29 @@ def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
     return r.parquet(path)
 
 
-def write_table(df: DataFrame, root: str, bucket_col: str | None = None, buckets: int = 0) -> int:
+def write_table(df: DataFrame, root: str, bucket_col: str | None = None, buckets: int = 0,
+                bloom: tuple[str, ...] = ()) -> int:
     """Write ``df`` as the next snapshot version and swap the pointer.
 
     With ``bucket_col``/``buckets`` the snapshot is a bucketed table on the
     merge key: the next merge joins it without shuffling it (only the run's
-    incoming rows are hashed into the same buckets)."""
+    incoming rows are hashed into the same buckets). ``bloom`` columns get
+    Parquet bloom filters, so key lookups (O-97) skip row groups."""
     spark = df.sparkSession
     cur = _read_pointer(spark, root)
     nxt = 0 if cur is None else cur[0] + 1
     path = f"{root}/v={nxt}"
+    w = df.write
+    for c in bloom:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if bucket_col and buckets:
         name = _table_name(root, nxt)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (df.write.bucketBy(buckets, bucket_col).sortBy(bucket_col).option("path", path)
+        (w.bucketBy(buckets, bucket_col).sortBy(bucket_col).option("path", path)
          .mode("overwrite").saveAsTable(name))
     else:
-        df.write.mode("overwrite").parquet(path)
+        w.mode("overwrite").parquet(path)
     _write_pointer(spark, root, nxt, bucket_col if buckets else None, buckets)
     return nxt
 

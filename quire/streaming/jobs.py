@@ -53,7 +53,7 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
         products = project_products(records)
         books = read_table(s, f"{store}/books")
         merged = merge.apply_notices(books, products, as_of)
-        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8)
+        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8, bloom=("isbn13",))
         _record_batch(s, store, "onix", batch_id)
 
     w = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -99,7 +99,7 @@ def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], stor
         if books is None:
             raise ValueError(f"no books table under {store}; seed it first")
         merged = merge.apply_notices(books, project_products(records), as_of)
-        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8)
+        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8, bloom=("isbn13",))
         status.append(("books", "completed", read_table(spark, f"{store}/books").count(), None))
     except Exception as e:  # noqa: BLE001 - reported per feed
         status.append(("books", "failed", 0, str(e)[:500]))
