@@ -64,7 +64,8 @@ def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
     if key:
         name = _table_name(root, v)
         if not spark.catalog.tableExists(name):
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({key}) "
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({key}) "
                       f"SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
         return spark.table(name)
     r = spark.read
