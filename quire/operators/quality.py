@@ -56,3 +56,15 @@ def book_rules(raw_page: str | None = "page_raw", raw_date: str | None = "date_r
     if holder:
         rules.append(("isbn_taken", c(holder).isNotNull() & (c(holder) != c("record_reference"))))
     return rules
+
+
+def enum_rule(column: str, allowed) -> tuple[str, Column]:
+    """A status outside its enumeration (the catalogue's enum types) is rejected."""
+    return (f"bad_{column}", F.col(column).isNotNull() & ~F.col(column).isin(*allowed))
+
+
+def ledger_rules(kind: str) -> list[tuple[str, Column]]:
+    """Allowed statuses of job, chunk and file-ledger rows."""
+    from quire.schemas import CHUNK_STATUSES, FETCH_STATUSES, JOB_STATUSES
+    allowed = {"job": JOB_STATUSES, "chunk": CHUNK_STATUSES, "fetch": FETCH_STATUSES}[kind]
+    return [enum_rule("status", allowed)]

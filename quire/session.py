@@ -6,7 +6,6 @@ operators stay pure ``DataFrame -> DataFrame`` functions.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,14 +93,6 @@ def hadoop_fs(spark: SparkSession, path: str):
     return fs, jpath
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
 def arrow_fs(path: str):
     """``(pyarrow filesystem, inner path)`` for a Spark/Hadoop path (``file:/x``,
     ``file:///x``, ``hdfs://…``, ``s3://…``, or a bare local path)."""

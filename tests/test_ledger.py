@@ -77,3 +77,11 @@ def test_republished_fixed_name_file_is_picked_up_again(spark):
                                 "feed string, path string, filename string, modified_at timestamp, size long")
     assert ledger.unclaimed(man, lg, AS_OF).count() == 1
     assert ledger.unclaimed(man, lg, AS_OF, path_only=True).count() == 0
+
+
+def test_status_enum_rule(spark):
+    from quire.operators import quality
+    rows = spark.createDataFrame([(1, "completed"), (2, "done"), (3, None)], "id long, status string")
+    good, bad = quality.quarantine(rows, quality.ledger_rules("job"))
+    assert sorted(r.id for r in good.collect()) == [1, 3]
+    assert [(r.id, r.reasons) for r in bad.collect()] == [(2, ["bad_status"])]
