@@ -65,6 +65,7 @@ def enum_rule(column: str, allowed) -> tuple[str, Column]:
 
 def ledger_rules(kind: str) -> list[tuple[str, Column]]:
     """Allowed statuses of job, chunk and file-ledger rows."""
-    from quire.schemas import CHUNK_STATUSES, FETCH_STATUSES, JOB_STATUSES
+    from quire.schemas import CHUNK_STATUSES, FEED_NAMES, FETCH_STATUSES, JOB_STATUSES
     allowed = {"job": JOB_STATUSES, "chunk": CHUNK_STATUSES, "fetch": FETCH_STATUSES}[kind]
-    return [enum_rule("status", allowed)]
+    rules = [enum_rule("status", allowed)]
+    return rules + [enum_rule("feed", FEED_NAMES)] if kind == "fetch" else rules

@@ -101,10 +101,12 @@ BOOK_LENGTHS = {
     "returns_code": 10,
 }
 
-# Allowed values of the status enums.
-JOB_STATUSES = ("pending", "processing", "completed", "failed", "cancelled")
+# Allowed values of the enumerations.
+JOB_STATUSES = ("pending", "processing", "enqueued", "completed", "failed")
 CHUNK_STATUSES = ("pending", "processing", "completed", "failed")
 FETCH_STATUSES = ("downloading", "processing", "completed", "failed")
+FEED_NAMES = ("inventory", "biblio_delta", "biblio_full", "avail13", "promotions", "firm_sale", "isbn_slips",
+              "market_restrictions", "regions", "covers_full", "covers_update", "covers_instock")
 
 EXCERPT_FEED = T.StructType([
     T.StructField("response_header", T.MapType(S, S)),
