@@ -163,6 +163,11 @@ def positional(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def scan_framed(spark: SparkSession, paths, aliases: Mapping[str, Sequence[str]],
                 max_cols: int = 32) -> DataFrame:
+    """Framed feed files at ``paths`` (see ``framed``)."""
+    return framed(scan_lines(spark, paths), aliases, max_cols)
+
+
+def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]], max_cols: int = 32) -> DataFrame:
     """O-06 / O-27: framed feed — first line dropped whatever it says, the next
     line names the columns, ``TRAILER,n`` rows carry the row count.
 
@@ -171,7 +176,7 @@ def scan_framed(spark: SparkSession, paths, aliases: Mapping[str, Sequence[str]]
     of each file are found by a per-file ``min`` over the file's first split,
     and the per-file result (one row per file) is joined back.
     """
-    lines = scan_lines(spark, paths).withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
+    lines = lines_in.withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
     head = lines.where(F.col("arrival.block") == 0)
     first = head.groupBy("source_file").agg(F.min("__o").alias("__o1"))
     after = head.join(first, "source_file").where(F.col("__o") > F.col("__o1"))

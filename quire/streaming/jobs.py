@@ -63,25 +63,28 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
 
 def stream_stock(spark: SparkSession, path: str, store: str, checkpoint: str,
                  ts: Callable[[Column], Column] | None = None, max_files_per_trigger: int = 1,
-                 available_now: bool = True) -> StreamingQuery:
-    """O-99 / O-100: hourly stock files (``AV_*.nnn``) merged into ``<store>/stock``
-    under the freshness gate, oldest file first. ``ts`` maps the file name to the
-    rows' time (default: the file's modification time)."""
+                 available_now: bool = True, feed: str = "avail13") -> StreamingQuery:
+    """O-99 / O-100: stock files merged into ``<store>/stock`` under the
+    freshness gate, oldest file first — hourly files (``feed="avail13"``) or
+    daily framed inventory files (``feed="inventory"``). ``ts`` maps the file
+    name to the rows' time (default: the file's modification time)."""
+    spec = fm.FEEDS[feed]
     text = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
     lines = src.raw_lines(text)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        if _applied(s, store, "stock", batch_id):
+        if _applied(s, store, f"stock_{feed}", batch_id):
             return
         stamp = ts(F.col("file_name")) if ts is not None else None
-        positional = src.positional(src.lines_with_arrival(batch), fm.AVAIL_COLUMNS)
-        rows = fm.accepted(fm.map_avail(positional, file_key=F.col("file_name"), ts=stamp))
+        ordered = src.lines_with_arrival(batch)
+        raw = src.framed(ordered, spec.aliases) if spec.framed else src.positional(ordered, spec.columns)
+        rows = fm.accepted(spec.mapper(raw, file_key=F.col("file_name"), ts=stamp))
         rows = merge.arrival_ordinal(rows, "arrival")
         current = read_table(s, f"{store}/stock")
         out = merge.gated_merge(current, rows)
-        write_table(out, f"{store}/stock", bucket_col="isbn13", buckets=8)
-        _record_batch(s, store, "stock", batch_id)
+        write_table(out, f"{store}/stock", bucket_col="isbn13", buckets=8, bloom=("isbn13",))
+        _record_batch(s, store, f"stock_{feed}", batch_id)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")

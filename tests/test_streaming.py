@@ -46,3 +46,27 @@ def test_onix_stream_incremental(spark, tmp_path, write_text):
     assert got["A"].is_removed and got["A"].removed_at == dt.datetime(2024, 6, 2)
     assert got["B"].updated_at == dt.datetime(2024, 6, 1)      # f1 not applied again
     assert sorted(r.batch_id for r in read_table(spark, f"{store}/_batches_onix").collect()) == [0, 1]
+
+
+def test_stock_stream_inventory_then_hourly(spark, tmp_path):
+    import os
+    import time
+    store, inbox = str(tmp_path / "store"), tmp_path / "inv"
+    inbox.mkdir()
+    cur = spark.createDataFrame([("9781234567890", 1, "inventory", "old", 5.0, 1.0, "OLD", None, dt.datetime(2024, 1, 1))],
+                                "isbn13 string, stock_qty int, source string, source_file_key string, rrp_gbp double, "
+                                "discount_percent double, report_code string, report_date date, "
+                                "stock_updated_at timestamp")
+    write_table(cur, f"{store}/stock", bucket_col="isbn13", buckets=4)
+    (inbox / "IV01022024.TXT").write_text("HEADER,START\nISBN13,RRP_GBP,DISCOUNT,STOCK,REP_CODE,REP_DATE\n"
+                                          "9781234567890,12.50,30,7,NYP,02/01/2024\nTRAILER,1\n")
+    stamp = lambda name: F.lit("2024-01-02 00:00:00").cast("timestamp")
+    jobs.stream_stock(spark, str(inbox), store, str(tmp_path / "c1"), ts=stamp, feed="inventory").awaitTermination()
+    hourly = tmp_path / "av"
+    hourly.mkdir()
+    (hourly / "AV_20240103.001").write_text("UPDATE,20240103\n9781234567890,3\n")
+    later = lambda name: F.lit("2024-01-03 00:00:00").cast("timestamp")
+    jobs.stream_stock(spark, str(hourly), store, str(tmp_path / "c2"), ts=later).awaitTermination()
+    r = read_table(spark, f"{store}/stock").first()
+    assert (r.stock_qty, r.source, float(r.rrp_gbp), r.report_code) == (3, "avail13_delta", 12.5, "NYP")
+    assert r.stock_updated_at == dt.datetime(2024, 1, 3)
