@@ -59,8 +59,15 @@ SELECT coalesce(c.isbn13, l.isbn13) AS isbn13,
 FROM cur c FULL OUTER JOIN last l ON c.isbn13 = l.isbn13"""
 
 
+Q_BOOTSTRAP = """
+SELECT 'books' AS feed, 'completed' AS status, count(*) AS rows FROM part
+UNION ALL SELECT 'regions', 'completed', count(DISTINCT n_regionkey) FROM nation
+UNION ALL SELECT 'firm_sale', 'failed', CAST(0 AS BIGINT)"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "bootstrap_status": Q_BOOTSTRAP,
         "onix_ingest": Q_ONIX_INGEST,
         "stream_onix_merge": Q_ONIX_INGEST,
         "stream_stock_merge": Q_STREAM_STOCK,

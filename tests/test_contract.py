@@ -12,7 +12,4 @@ def test_entry_smoke(spark):
 def test_registry_and_oracles():
     q, o = E.queries(), E.oracle_sql()
     assert len(q) >= 50
-    missing = set(q) - set(o)
-    # only the streaming jobs and bootstrap run without a SQL oracle
-    assert missing <= {"stream_onix_merge", "stream_stock_merge", "bootstrap_status"}, missing
-    assert set(o) <= set(q)
+    assert set(q) == set(o)
