@@ -49,8 +49,6 @@ def test_onix_stream_incremental(spark, tmp_path, write_text):
 
 
 def test_stock_stream_inventory_then_hourly(spark, tmp_path):
-    import os
-    import time
     store, inbox = str(tmp_path / "store"), tmp_path / "inv"
     inbox.mkdir()
     cur = spark.createDataFrame([("9781234567890", 1, "inventory", "old", 5.0, 1.0, "OLD", None, dt.datetime(2024, 1, 1))],
