@@ -402,3 +402,14 @@ def q_cover_archive_index(spark: SparkSession, sf: str) -> DataFrame:
     ok, _ = src.split_oversize(manifest)
     idx = enrich.index_archives(ok)
     return idx.select("isbn13", F.regexp_extract("archive", "([^/]*)$", 1).alias("archive"), "size")
+
+
+def q_replay_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """O-78: chunk batches of a run minus those the ledger already applied
+    (a retried chunk is not counted twice)."""
+    li, o = load(spark, sf, "lineitem"), load(spark, sf, "orders")
+    batches = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("batch_id")).distinct()
+    applied = (li.join(o.where(F.col("o_orderstatus") == "F").select("o_orderkey"),
+                       F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+               .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("batch_id")))
+    return ledger.not_yet_applied(batches, applied)

@@ -283,8 +283,14 @@ SELECT {isbn('978', 'p_partkey')} AS isbn13,
 FROM part"""
 
 
+Q_REPLAY_GUARD = """
+SELECT DISTINCT l_orderkey * 10 + l_linenumber AS batch_id FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "replay_guard": Q_REPLAY_GUARD,
         "unclaimed_files": Q_UNCLAIMED,
         "ledger_claim": Q_CLAIM,
         "unprocessed_files": Q_UNPROCESSED,

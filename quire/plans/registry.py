@@ -61,6 +61,7 @@ def _queries() -> dict[str, Query]:
         "resume_plan": bk.q_resume_plan,
         "retention_plan": bk.q_retention_plan,
         "ledger_transitions": bk.q_ledger_transitions,
+        "replay_guard": bk.q_replay_guard,
         "excerpt_upsert": bk.q_excerpt_upsert,
         "excerpt_counts": bk.q_excerpt_counts,
         "excerpt_watermark": bk.q_excerpt_watermark,
