@@ -413,3 +413,9 @@ def q_replay_guard(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
                .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("batch_id")))
     return ledger.not_yet_applied(batches, applied)
+
+
+def q_resume_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """O-76: chunk rows after a resume — resendable chunks back to pending."""
+    out = ledger.resume_chunks(chunk_table(load(spark, sf, "lineitem")))
+    return out.select("job_id", "chunk_index", "status", "error_message")

@@ -288,8 +288,16 @@ SELECT DISTINCT l_orderkey * 10 + l_linenumber AS batch_id FROM lineitem
 WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 
 
+Q_RESUME_CHUNKS = f"""
+SELECT job_id, chunk_index,
+       CASE WHEN status <> 'completed' AND data_key IS NOT NULL THEN 'pending' ELSE status END AS status,
+       CASE WHEN status <> 'completed' AND data_key IS NOT NULL THEN NULL ELSE 'err' END AS error_message
+FROM ({CHUNK_TABLE})"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "resume_chunks": Q_RESUME_CHUNKS,
         "replay_guard": Q_REPLAY_GUARD,
         "unclaimed_files": Q_UNCLAIMED,
         "ledger_claim": Q_CLAIM,

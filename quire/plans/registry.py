@@ -59,6 +59,7 @@ def _queries() -> dict[str, Query]:
         "job_page": bk.q_job_page,
         "latest_full_file": bk.q_latest_full_file,
         "resume_plan": bk.q_resume_plan,
+        "resume_chunks": bk.q_resume_chunks,
         "retention_plan": bk.q_retention_plan,
         "ledger_transitions": bk.q_ledger_transitions,
         "replay_guard": bk.q_replay_guard,
