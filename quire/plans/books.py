@@ -139,3 +139,12 @@ def q_onix_scan_summary(spark: SparkSession, sf: str) -> DataFrame:
     s = onix_summary(records, project_products(records), corrupt)
     return s.agg(F.count("*").alias("files"), F.sum("parsed").alias("parsed"), F.sum("kept").alias("kept"),
                  F.sum("corrupt").alias("corrupt"), F.sum("dropped_no_title").alias("dropped_no_title"))
+
+
+def q_book_id_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """O-45: book ids of the references touched by a run (inner join on the key)."""
+    part, li = load(spark, sf, "part"), load(spark, sf, "lineitem")
+    books = adapters.books_from_part(part).withColumn("id", F.regexp_extract("record_reference", "([0-9]+)$", 1)
+                                                      .cast("long") * 10)
+    touched = adapters.notices_from_lineitem(li, part).select("record_reference").distinct()
+    return merge.lookup_ids(touched, books)

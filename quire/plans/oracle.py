@@ -173,8 +173,14 @@ SELECT CAST(greatest(4, ceil(count(*) / 50000)) AS BIGINT) AS files,
 FROM part"""
 
 
+Q_BOOK_ID_LOOKUP = """
+SELECT DISTINCT 'REF' || CAST(l_partkey AS VARCHAR) AS record_reference, l_partkey * 10 AS book_id
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 5"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "book_id_lookup": Q_BOOK_ID_LOOKUP,
         "onix_scan_summary": Q_ONIX_SUMMARY,
         "onix_scan_project": Q_ONIX_SCAN,
         "onix_corrupt_split": Q_ONIX_CORRUPT,

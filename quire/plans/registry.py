@@ -33,6 +33,7 @@ def _queries() -> dict[str, Query]:
         "onix_corrupt_split": books.q_onix_corrupt_split,
         "onix_scan_summary": books.q_onix_scan_summary,
         "book_upsert": books.q_book_upsert,
+        "book_id_lookup": books.q_book_id_lookup,
         "needs_embedding": books.q_needs_embedding,
         "soft_delete_reactivate": books.q_soft_delete,
         "feed_manifest": feeds.q_feed_manifest,
