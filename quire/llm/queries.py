@@ -7,19 +7,107 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.chat import canonical_turns, format_turns, formatted_digests
 from quire.llm.common import documents
+from quire.llm.language_id import language_id
+from quire.llm.mil_quality import quality_scores
+from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
+from quire.llm.url_rules import url_verdicts
+from quire.plans.common import load
+
+# The rules of the URL query (host, path, verdict).
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations (turns as rows), and one that comes as prompt and response."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).selectExpr("cast(-1 as bigint) as conv_id", f"'{said}' as prompt", f"'{said}' as response")
+    turns = canonical_turns(load(spark, sf_dir, "conversations")).unionByName(canonical_turns(extra))
+    return formatted_digests(format_turns(turns))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(rule_host, rule_path, verdict)")
+    return url_verdicts(load(spark, sf_dir, "pages"), rules)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), n_shards=8)
 
 
+def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
+URL_SQL = """
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE
+    WHEN starts_with(path, '/en/') AND (host = 'www.example.com' OR ends_with(host, '.www.example.com')) THEN 'www.example.com/en/'
+    WHEN starts_with(path, '/en/') AND (host = 'example.com' OR ends_with(host, '.example.com')) THEN 'example.com/en/'
+    WHEN starts_with(path, '/es/') AND (host = 'net' OR ends_with(host, '.net')) THEN 'net/es/'
+    WHEN starts_with(path, '/fr/') AND (host = 'net' OR ends_with(host, '.net')) THEN 'net/fr/'
+    WHEN starts_with(path, '/') AND (host = 'com' OR ends_with(host, '.com')) THEN 'com/'
+  END AS rule
+  FROM u
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+# Turn texts as they are; only the formatted length depends on the template:
+# 32 characters of marks a turn, and a backslash for every control string inside a role or text.
+CHAT_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), s AS (
+  SELECT *, length(role) + length(text) + 32
+    + len(regexp_extract_all(role || chr(0) || text,
+      '<\\*(\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)|\[\\*(INST\]|/INST\])')) AS shown
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(shown)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_language_id": op3_language_id,
+        "op4_chat_format": op4_chat_format,
+        "op5_quality_rules": op5_quality_rules,
+        "op8_url_rules": op8_url_rules,
         "op9_sharding": op9_sharding,
+        "op10_mil_quality": op10_mil_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_format": CHAT_SQL, "op8_url_rules": URL_SQL}
