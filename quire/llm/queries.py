@@ -5,17 +5,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.bpe import bpe_round_trip
 from quire.llm.chat import canonical_turns, format_turns, formatted_digests
 from quire.llm.common import documents
+from quire.llm.jaccard_join import jaccard_groups
 from quire.llm.language_id import language_id
 from quire.llm.mil_quality import quality_scores
 from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
+from quire.llm.syncmers import fingerprints
 from quire.llm.url_rules import url_verdicts
 from quire.plans.common import load
 
+TOKENIZER = "byte_bpe_50k.json"
+
 # The rules of the URL query (host, path, verdict).
 URL_RULES = (
     ("com", "/", "allow"),
@@ -26,6 +32,10 @@ URL_RULES = (
 )
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
@@ -42,6 +52,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(documents(spark, sf_dir))
+
+
+def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(rule_host, rule_path, verdict)")
     return url_verdicts(load(spark, sf_dir, "pages"), rules)
@@ -100,9 +118,12 @@ FROM s GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe": op2_bpe,
         "op3_language_id": op3_language_id,
         "op4_chat_format": op4_chat_format,
         "op5_quality_rules": op5_quality_rules,
+        "op6_jaccard_join": op6_jaccard_join,
+        "op7_syncmers": op7_syncmers,
         "op8_url_rules": op8_url_rules,
         "op9_sharding": op9_sharding,
         "op10_mil_quality": op10_mil_quality,
