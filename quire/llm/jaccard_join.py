@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from quire.llm.common import mix, staged, text_slices, word_hashes
 from quire.llm.components import components
 
-SHINGLE = 3
-NUM, DEN = 9, 10            # similarity of a link: at least NUM / DEN
 COUNT_CHUNK = 1 << 22       # elements counted together when looking for frequent ones
 HOT_LOCAL, HOT_MIN = 3, 8   # counts that make an element frequent in a chunk, and over all
 HOT_MAX = 1 << 19           # frequent elements that the order knows (the order only affects speed)
@@ -36,36 +35,47 @@ LIGHT_MOST = 64             # largest boundary considered
 LIST_COST = 3.0             # cost of scanning one inverted list, in enumerated signatures
 BUCKETS = 1 << 20           # bound of the (broadcast) table of id hashes that preselects texts to verify
 
-_C = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(SHINGLE + 1)]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def overlap_needed(n, m):
-    """The least overlap of linked sets of n and m elements."""
-    return -(-NUM * (n + m) // (NUM + DEN))
+class Rule(NamedTuple):
+    """What links two documents: a Jaccard similarity of at least num / den of
+    their sets of distinct shingles of ``words`` words."""
 
+    words: int = 5
+    num: int = 4
+    den: int = 5
 
-def prefix_length(n: int) -> int:
-    """So many first elements of a set meet the first elements of every linked set."""
-    return n - -(-NUM * n // DEN) + 1
+    def overlap(self, n: int, m: int) -> int:
+        """The least overlap of linked sets of n and m elements."""
+        return -(-self.num * (n + m) // (self.num + self.den))
 
+    def partner(self, n: int) -> int:
+        """The least size of a set that can link with one of n elements."""
+        return -(-self.num * n // self.den)
 
-def shingle_set(words: np.ndarray) -> np.ndarray:
+    def prefix(self, n: int) -> int:
+        """So many first elements of a set meet the first elements of every linked set."""
+        return n - self.partner(n) + 1
+
+
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct shingles (64-bit hashes) of a text's word hashes; a text of
     fewer words has its whole sequence as its only one, one without words none."""
     n = len(words)
     if n == 0:
         return np.zeros(0, np.uint64)
-    k = min(n, SHINGLE)
+    k = min(n, size)
     g = np.zeros(n - k + 1, dtype=np.uint64)
     for j in range(k):
-        g += words[j:n - k + 1 + j] * _C[j]
+        g = g * _BASE + words[j:n - k + 1 + j]
     return np.unique(mix(g + np.uint64(k)))
 
 
-def _sets(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[np.ndarray]]]:
-    for i, _, buf, offsets in text_slices(batch, column):
+def _sets(batch: pa.RecordBatch, rule: Rule) -> Iterator[tuple[int, list[np.ndarray]]]:
+    for i, _, buf, offsets in text_slices(batch):
         words, bounds = word_hashes(buf, offsets, lower=True)
-        yield i, [shingle_set(words[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        yield i, [shingle_set(words[a:b], rule.words) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def _set_key(s: np.ndarray) -> tuple[int, int]:
@@ -74,7 +84,7 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).view(np.int64)), int(two.sum(dtype=np.uint64).view(np.int64))
 
 
-def frequent_elements(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_elements(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Elements that many sets hold and about how many, sorted by element.
 
     At most HOT_MAX of them reach the driver. A missing or inexact count cannot
@@ -90,7 +100,7 @@ def frequent_elements(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(u[often].view(np.int64)), pa.array(c[often].astype(np.int64))], ["x", "n"])
 
         for batch in batches:
-            for _, sets in _sets(batch):
+            for _, sets in _sets(batch, rule):
                 for s in sets:
                     key = _set_key(s)
                     if key in seen or not len(s):
@@ -111,24 +121,22 @@ def frequent_elements(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return x[order], n[order]
 
 
-def light_overlaps(boundary: int) -> dict[int, list[int]]:
+def light_overlaps(boundary: int, rule: Rule) -> dict[int, list[int]]:
     """For each light size, the sizes of the subsets that it enumerates."""
     out = {}
     for n in range(1, boundary + 1):
-        out[n] = sorted({overlap_needed(n, m) for m in range(1, boundary + 1)
-                         if overlap_needed(n, m) <= min(n, m)})
+        out[n] = sorted({rule.overlap(n, m) for m in range(1, boundary + 1) if rule.overlap(n, m) <= min(n, m)})
     return out
 
 
-def choose_boundary(sizes: dict[int, int]) -> int:
+def choose_boundary(sizes: dict[int, int], rule: Rule) -> int:
     """The light-heavy boundary of least cost: signatures that light sets
     enumerate, and inverted lists that heavy sets (and light ones just below) scan."""
     best, at = float("inf"), 0
     for boundary in range(0, LIGHT_MOST + 1):
-        plan = light_overlaps(boundary)
-        edge = -(-NUM * (boundary + 1) // DEN)
+        plan, edge = light_overlaps(boundary, rule), rule.partner(boundary + 1)
         cost = sum(c * sum(comb(n, t) for t in plan[n]) for n, c in sizes.items() if 0 < n <= boundary)
-        cost += sum(c * LIST_COST * prefix_length(n) for n, c in sizes.items() if n >= max(1, edge))
+        cost += sum(c * LIST_COST * rule.prefix(n) for n, c in sizes.items() if n >= max(1, edge))
         if cost < best:
             best, at = cost, boundary
     return at
@@ -148,18 +156,18 @@ def _subset_signatures(s: np.ndarray, t: int) -> np.ndarray:
     return mix(left + np.uint64(t) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _signed(texts: DataFrame, kind: str, frequent, boundary: int) -> DataFrame:
+def _signed(texts: DataFrame, kind: str, frequent, boundary: int, rule: Rule) -> DataFrame:
     """(id, n, k1, k2, first, subsets) of every text: size and key of its set, its
     first elements in the global order if a heavy set may need them, and its
     subset signatures if it is light."""
     spark = texts.sparkSession
     hot = spark.sparkContext.broadcast(frequent)    # at most HOT_MAX elements
-    plan, edge = light_overlaps(boundary), -(-NUM * (boundary + 1) // DEN)
+    plan, edge = light_overlaps(boundary, rule), rule.partner(boundary + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, count = hot.value
         for batch in batches:
-            for i, sets in _sets(batch):
+            for i, sets in _sets(batch, rule):
                 keys = [_set_key(s) for s in sets]
                 first, subsets = [], []
                 for s in sets:
@@ -169,7 +177,7 @@ def _signed(texts: DataFrame, kind: str, frequent, boundary: int) -> DataFrame:
                     if n < max(1, edge):
                         first.append(np.zeros(0, np.int64))
                         continue
-                    take = prefix_length(n)
+                    take = rule.prefix(n)
                     if len(x):
                         at = np.searchsorted(x, s)
                         at[at == len(x)] = 0
@@ -185,18 +193,15 @@ def _signed(texts: DataFrame, kind: str, frequent, boundary: int) -> DataFrame:
     return texts.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, first array<long>, subsets array<long>")
 
 
-def _may_link(n: Column, m: Column) -> Column:
-    return F.least(n, m) * DEN >= F.greatest(n, m) * NUM
-
-
-def _near_enough(n: Column, i: Column, m: Column, j: Column) -> Column:
-    """Sets of n and m elements whose first common element stands at i and j can
-    still overlap enough (subset signatures have no place: -1)."""
+def _can_link(rule: Rule, n: Column, i: Column, m: Column, j: Column) -> Column:
+    """Sets of n and m elements are near enough in size, and with their first common
+    element at i and j can still overlap enough (subset signatures have no place: -1)."""
     most = F.lit(1) + F.least(n - i - 1, m - j - 1)
-    return (i < 0) | (most * (NUM + DEN) >= (n + m) * NUM)
+    sizes = F.least(n, m) * rule.den >= F.greatest(n, m) * rule.num
+    return sizes & ((i < 0) | (most * (rule.num + rule.den) >= (n + m) * rule.num))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are linked."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS))
@@ -205,7 +210,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, sets in _sets(batch):
+            for i, sets in _sets(batch, rule):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "s"])
 
@@ -217,7 +222,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 o = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(o * DEN >= (len(x) + len(y) - o) * NUM)
+                ok.append(o * rule.den >= (len(x) + len(y) - o) * rule.num)
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     left = sets.select(F.col("id").alias("a"), F.col("s").alias("x"))
@@ -226,21 +231,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
         compare, f"a {kind}, b {kind}").distinct(), "jaccard-links")
 
 
-def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, n_shingles (size of its set) and
     component_id (the least id reachable by links, itself included).
 
     Words are runs other than space and 0x09-0x0D, A-Z in lower case. Two
-    documents link if their sets' Jaccard similarity is NUM / DEN or more. Null
+    documents link as ``rule`` says (by default five words, 0.8 or more). Null
     texts and texts without words have empty sets and link with nothing.
     Ids are meant to be unique: of rows with the same id and different texts, those
     that stand for their texts count as one document. A row with a null id makes no
     links and has the component of its equal texts, if any, else null."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    frequent = frequent_elements(texts)
-    boundary = choose_boundary(_small_sizes(texts))
-    signed = staged(_signed(texts, kind, frequent, boundary), "jaccard-signed")
+    frequent = frequent_elements(texts, rule)
+    boundary = choose_boundary(_small_sizes(texts, rule), rule)
+    signed = staged(_signed(texts, kind, frequent, boundary, rule), "jaccard-signed")
 
     classes = staged(signed.filter("n > 0 and id is not null").groupBy("k1", "k2", "n").agg(
         F.min("id").alias("rep"), F.first("first").alias("first"), F.first("subsets").alias("subsets")), "jaccard-classes")
@@ -251,12 +256,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.count(F.lit(1)).alias("size"), F.min("rep").alias("leader")).filter("size > 1").drop("size"), "jaccard-heads")
     lists = staged(entries.join(heads, "sig").select("sig", "rep", "n", "pos", "leader"), "jaccard-lists")
 
-    fits = lambda n, i, m, j: _may_link(n, m) & _near_enough(n, i, m, j)
     leaders = lists.filter("rep = leader").select("sig", F.col("n").alias("m"), F.col("pos").alias("j"))
     led = lists.filter("rep <> leader").join(leaders, "sig").filter(
-        fits(F.col("n"), F.col("pos"), F.col("m"), F.col("j"))).select(
+        _can_link(rule, F.col("n"), F.col("pos"), F.col("m"), F.col("j"))).select(
         F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-    links = _verified(staged(led, "jaccard-led"), texts, kind)
+    links = _verified(staged(led, "jaccard-led"), texts, kind, rule)
 
     # Whatever is one component already needs no more comparing.
     joined = components(links)
@@ -265,16 +269,16 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
         "lo <> hi").select("sig")
     # Sizes of linked sets differ by little: lists are cut by size steps, and a member meets its own step and the next.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM))).cast("int")
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(rule.den / rule.num))).cast("int")
     open_lists = staged(member.join(mixed, "sig", "left_semi").withColumn("step", step), "jaccard-open")
     x = open_lists.withColumn("at", F.explode(F.array(F.col("step"), F.col("step") + 1))).alias("x")
     y = open_lists.withColumn("at", F.col("step")).alias("y")
     same = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.at") == F.col("y.at"))
     once = (F.col("x.step") < F.col("y.step")) | (F.col("x.rep") < F.col("y.rep"))
-    across = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & fits(
-        F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(
+    across = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & _can_link(
+        rule, F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = _verified(staged(across, "jaccard-across"), texts, kind)
+    more = _verified(staged(across, "jaccard-across"), texts, kind, rule)
 
     final = components(links.union(more))
     named = staged(classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("id"), "left").select(
@@ -284,12 +288,33 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
 
 
-def _small_sizes(texts: DataFrame) -> dict[int, int]:
-    """How many texts have each small set size (at most LIGHT_MOST + 1 numbers).
+def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group left: the one with the least id.
+
+    Of rows with the same id one stays. Rows with a null id, and documents
+    without words, all stay."""
+    groups = staged(jaccard_groups(docs, rule, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col("component_id").alias("component")).filter("id is not null"), "jaccard-groups")
+    drop = groups.filter("id <> component").select("id").distinct()
+    often = groups.groupBy("id").count().filter("count > 1").select("id")
+    touched = staged(drop.withColumn("drop", F.lit(True)).union(often.withColumn("drop", F.lit(False))).groupBy("id").agg(
+        F.max("drop").alias("drop")), "jaccard-touched").select(F.col("id").alias("__id"), F.col("drop").alias("__drop"))
+    # A (broadcast) table of at most BUCKETS id hashes lets most rows pass without a shuffle.
+    hashes = F.broadcast(touched.select(F.pmod(F.xxhash64("__id"), F.lit(BUCKETS)).alias("__bucket")).distinct())
+    at = F.pmod(F.xxhash64(F.col(id_col)), F.lit(BUCKETS)) == F.col("__bucket")
+    passed = docs.join(hashes, at, "left_anti")
+    looked = docs.join(hashes, at, "left_semi").join(touched, F.col(id_col) == F.col("__id"), "left")
+    rest = looked.filter("__drop is null").drop("__id", "__drop")
+    once = looked.filter("not __drop").drop("__id", "__drop").dropDuplicates([id_col])
+    return passed.unionByName(rest).unionByName(once)
+
+
+def _small_sizes(texts: DataFrame, rule: Rule) -> dict[int, int]:
+    """How many texts have each small set size (a bounded list of numbers).
 
-    Counted as words less two, which is a set's size unless shingles repeat."""
+    Counted as shingles, which is a set's size unless they repeat."""
     words = F.size(F.split(F.trim(F.translate(F.col("text"), "\t\n\x0b\x0c\r", "     ")), " +"))
-    size = F.greatest(F.lit(1), words - (SHINGLE - 1)).alias("n")
+    size = F.greatest(F.lit(1), words - (rule.words - 1)).alias("n")
     small = texts.filter(F.octet_length("text").between(1, LIGHT_MOST * 64)).select(size).filter(
-        F.col("n") <= LIGHT_MOST * 10 // 9 + 1)
+        F.col("n") <= LIGHT_MOST * rule.den // rule.num + 1)
     return {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}

@@ -114,11 +114,12 @@ class Automata:
         np.add.at(out, owner, ended.T)
         return out
 
-    def rates(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Normalised phrases (bits a character) of each text in each language, and whether it has letters."""
+    def rates(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Normalised phrases (bits a character) of each text in each language,
+        whether it has letters, and how many symbols were parsed."""
         symbols, bounds, letters = self.slice_symbols(buf, offsets)
-        n = np.maximum(np.diff(bounds), 1)
-        return self.phrases(symbols, bounds) * self.bits[None, :] / n[:, None], letters > 0
+        n = np.diff(bounds)
+        return self.phrases(symbols, bounds) * self.bits[None, :] / np.maximum(n, 1)[:, None], letters > 0, n
 
 
 def _suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
@@ -178,21 +179,24 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return tuple((lang, "\n".join(dict.fromkeys(texts))[:SAMPLE_CHARS]) for lang, texts in sorted(out.items()))
 
 
-def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of every row, lang_pred, score and bits.
+def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list[str], text_col: str = "text",
+            prefix: str = "") -> DataFrame:
+    """``columns`` of every row, lang_pred, score, bits and n_symbols (their names after ``prefix``).
 
     lang_pred: the language with the fewest normalised phrases (``und`` for a
     null text, one without a letter, or if there is no sample); ties go to the
     first name. score: how much worse the second language is, second / (first +
-    second), 0 for ``und``. bits: the winner's bits a character (null for ``und``)."""
+    second), 0 for ``und``. bits: the winner's bits a character (null for ``und``).
+    n_symbols: characters that were parsed (a run of non-letters is one)."""
     names = [f"c{k}" for k in range(len(columns))]
+    text = names[columns.index(text_col)] if text_col in columns else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = automata(samples)
         labels = np.array([*model.names, UNDETERMINED], dtype=object)
         for batch in batches:
-            for i, j, buf, offsets in text_slices(batch, "__text", max_bytes=1 << 22):
-                rate, lettered = model.rates(buf, offsets)
+            for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 22):
+                rate, lettered, n = model.rates(buf, offsets)
                 if not model.names:
                     lettered[:] = False
                     rate = np.ones((len(lettered), 1))
@@ -201,13 +205,15 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
                 share = two[:, 1] / np.maximum(two.sum(axis=1), 1e-12) if two.shape[1] == 2 else np.ones(len(rate))
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(k).slice(i, j - i) for k in range(len(names))), pa.array(labels[best], pa.string()),
-                    pa.array(np.where(lettered, share, 0.0)), pa.array(two[:, 0], mask=~lettered)],
-                    [*names, "lang_pred", "score", "bits"])
+                    pa.array(np.where(lettered, share, 0.0)), pa.array(two[:, 0], mask=~lettered), pa.array(n)],
+                    [*names, "lang_pred", "score", "bits", "n_symbols"])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
-    out = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)), F.col(f"`{text_col}`").alias("__text")).mapInArrow(
-        run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "lang_pred string, score double, bits double"]))
-    return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), "lang_pred", "score", "bits")
+    sent = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
+    out = docs.select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
+        run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "lang_pred string, score double, bits double, n_symbols long"]))
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)),
+                      *(F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "bits", "n_symbols")))
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

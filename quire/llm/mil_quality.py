@@ -151,22 +151,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(bags, np.array([float(r["y"]) for r in sample]))
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of every row and ``score`` (0 to 1, higher: label 1 likelier). Null texts score as empty ones."""
+def score(docs: DataFrame, model: dict[str, np.ndarray], columns: list[str], text_col: str = "text",
+          name: str = "score") -> DataFrame:
+    """``columns`` of every row and ``name``, its score (0 to 1, higher: label 1 likelier). Null texts score as empty ones."""
     names = [f"c{k}" for k in range(len(columns))]
+    text = names[columns.index(text_col)] if text_col in columns else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in text_slices(batch, "__text"):
+            for i, j, buf, offsets in text_slices(batch, text):
                 x, bounds = passages(buf, offsets)
                 made = forward(model, x, bounds)["score"].astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(i, j - i) for k in range(len(names))), pa.array(made)], [*names, "score"])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
-    out = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)), F.col(f"`{text_col}`").alias("__text")).mapInArrow(
+    sent = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
+    out = docs.select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
         run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "score double"]))
-    return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), "score")
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), F.col("score").alias(name))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,13 +7,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.llm.bpe import bpe_round_trip
 from quire.llm.chat import canonical_turns, format_turns, formatted_digests
 from quire.llm.common import documents
-from quire.llm.jaccard_join import jaccard_groups
+from quire.llm.jaccard_join import Rule, jaccard_groups
 from quire.llm.language_id import language_id
 from quire.llm.mil_quality import quality_scores
+from quire.llm.packing import pack_documents
 from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
 from quire.llm.syncmers import fingerprints
@@ -32,6 +34,12 @@ URL_RULES = (
 )
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -53,7 +61,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(documents(spark, sf_dir))
+    return jaccard_groups(documents(spark, sf_dir), Rule(words=3, num=9, den=10))
 
 
 def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +126,7 @@ FROM s GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op2_bpe": op2_bpe,
         "op3_language_id": op3_language_id,
         "op4_chat_format": op4_chat_format,

@@ -6,29 +6,31 @@ from pyspark.sql import types as T
 
 from quire.llm import jaccard_join
 from quire.llm.components import components
-from quire.llm.jaccard_join import choose_boundary, jaccard_groups, light_overlaps, overlap_needed
+from quire.llm.jaccard_join import Rule, choose_boundary, jaccard_groups, light_overlaps
+
+THREE = Rule(3, 9, 10)
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("n", T.StringType()), T.StructField("sig", T.StringType())])
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def run(spark, rows):
+def run(spark, rows, rule=THREE):
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
-    out = jaccard_groups(df)
+    out = jaccard_groups(df, rule)
     assert out.columns == ["doc_id", "n_shingles", "component_id"]
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()}
 
 
-def shingles(text):
+def shingles(text, size):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
     if not w:
         return frozenset()
-    return frozenset(tuple(w[i:i + 3]) for i in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)])
+    return frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)])
 
 
-def brute(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def brute(rows, rule=THREE):
+    sets = {i: shingles(t, rule.words) for i, t in rows}
     up = {i: i for i in sets}
 
     def find(i):
@@ -39,7 +41,7 @@ def brute(rows):
     for k, i in enumerate(ids):
         for j in ids[:k]:
             a, b = sets[i], sets[j]
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and rule.den * len(a & b) >= rule.num * len(a | b):
                 x, y = find(i), find(j)
                 up[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -63,12 +65,12 @@ def corpus(seed, n=220):
     return rows
 
 
-@pytest.mark.parametrize("seed,boundary", [(1, None), (2, 12), (3, 24)])
-def test_same_groups_as_brute_force(spark, monkeypatch, seed, boundary):
+@pytest.mark.parametrize("seed,boundary,rule", [(1, None, THREE), (2, 12, THREE), (3, 24, THREE), (4, 6, Rule())])
+def test_same_groups_as_brute_force(spark, monkeypatch, seed, boundary, rule):
     if boundary is not None:     # both sides of the boundary, and pairs across it
-        monkeypatch.setattr(jaccard_join, "choose_boundary", lambda sizes: boundary)
+        monkeypatch.setattr(jaccard_join, "choose_boundary", lambda sizes, rule: boundary)
     rows = corpus(seed)
-    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, rule) == brute(rows, rule)
 
 
 def test_edge_cases(spark):
@@ -77,15 +79,15 @@ def test_edge_cases(spark):
     assert run(spark, rows) == brute(rows)
     assert run(spark, []) == {}
     df = spark.createDataFrame([(None, "p q r", "", ""), (5, "p q r", "", ""), (5, "p q r", "", "")], SCHEMA)
-    got = jaccard_groups(df).collect()
+    got = jaccard_groups(df, THREE).collect()
     assert len(got) == 3 and {r["component_id"] for r in got} == {5}
 
 
 def test_overlaps_and_boundary():
-    assert overlap_needed(10, 10) == 10 and overlap_needed(19, 19) == 18
-    assert light_overlaps(12)[10] == [9, 10]
-    assert choose_boundary({5: 100}) >= 5
-    assert choose_boundary({500: 100}) < 500
+    assert THREE.overlap(10, 10) == 10 and THREE.overlap(19, 19) == 18
+    assert light_overlaps(12, THREE)[10] == [9, 10]
+    assert choose_boundary({5: 100}, THREE) >= 5
+    assert choose_boundary({500: 100}, THREE) < 500
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
