@@ -24,34 +24,40 @@ def sellable(restrictions: DataFrame, pairs: DataFrame, key: str = "isbn13", reg
     return j.select(*pairs.columns, ok.alias("sellable"))
 
 
-def resolve_redirects(slips: DataFrame, old: str = "old_isbn13", new: str = "new_isbn13",
-                      max_hops: int = 32, checkpoint_every: int = 8) -> DataFrame:
+def resolve_redirects(slips: DataFrame, old: str = "old_isbn13", new: str = "new_isbn13") -> DataFrame:
     """X-02: follow ISBN redirects old -> new to the last ISBN of each chain.
 
-    One hop per round (an equi-join with the redirect table) until no chain
-    advances; the lineage is cut with a reliable checkpoint every few rounds.
-    A chain that returns to its start, or is still moving after ``max_hops``,
-    is flagged ``cycle``. Returns ``old, final, hops, cycle``."""
-    edges = slips.select(F.col(old).alias("__from"), F.col(new).alias("__to")).dropDuplicates(["__from"])
-    state = edges.select(F.col("__from").alias(old), F.col("__to").alias("final"), F.lit(1).alias("hops"),
-                         F.lit(False).alias("cycle"), F.lit(True).alias("__moving"))
-    for i in range(max_hops - 1):
-        step = state.join(edges, state["final"] == edges["__from"], "left")
-        can = F.col("__moving") & F.col("__to").isNotNull() & ~F.col("cycle")
-        back = can & (F.col("__to") == F.col(old))
-        state = step.select(
-            old,
-            F.when(can & ~back, F.col("__to")).otherwise(F.col("final")).alias("final"),
-            F.when(can & ~back, F.col("hops") + 1).otherwise(F.col("hops")).alias("hops"),
-            (F.col("cycle") | back).alias("cycle"),
-            (can & ~back).alias("__moving"))
-        if (i + 1) % checkpoint_every == 0:
-            state = cut_lineage(state)
-        if state.where("__moving").limit(1).count() == 0:
+    Pointer doubling: every round joins the table of still moving pointers with
+    itself, so a chain of n links ends after log2(n) rounds, whatever n is. A
+    round in which no pointer reaches an end leaves only pointers that run in or
+    into a cycle: those are flagged ``cycle`` and have no final ISBN and no
+    hops (null). Each round's pointers are checkpointed. An ISBN with several
+    redirects follows the least. Returns ``old, final, hops, cycle``."""
+    links = slips.where(F.col(old).isNotNull() & F.col(new).isNotNull()).groupBy(F.col(old).alias("__from")).agg(
+        F.min(new).alias("__to"))
+    ends = links.select(F.col("__to").alias("__end")).join(links, F.col("__end") == F.col("__from"), "left_anti").distinct()
+    done = links.join(ends, F.col("__to") == F.col("__end"), "left_semi").select(
+        "__from", "__to", F.lit(1).cast("long").alias("__hops"))
+    moving = links.join(ends, F.col("__to") == F.col("__end"), "left_anti").select(
+        "__from", "__to", F.lit(1).cast("long").alias("__hops"))
+    done, moving = cut_lineage(done), cut_lineage(moving)
+    finished = done                       # pointers that stand at an end
+    while moving.limit(1).count():
+        nxt = finished.select(F.col("__from").alias("__at"), F.col("__to").alias("__next"), F.col("__hops").alias("__more"),
+                              F.lit(True).alias("__ends")).unionByName(
+            moving.select(F.col("__from").alias("__at"), F.col("__to").alias("__next"), F.col("__hops").alias("__more"),
+                          F.lit(False).alias("__ends")))
+        step = cut_lineage(moving.join(nxt, F.col("__to") == F.col("__at")).select(
+            "__from", F.col("__next").alias("__to"), (F.col("__hops") + F.col("__more")).alias("__hops"), "__ends"))
+        arrived = step.where("__ends").drop("__ends")
+        moving = step.where("not __ends").drop("__ends")
+        if not arrived.limit(1).count():
             break
-    else:
-        state = state.withColumn("cycle", F.col("cycle") | F.col("__moving"))
-    return state.drop("__moving")
+        finished = finished.unionByName(arrived)
+    return finished.select(F.col("__from").alias(old), F.col("__to").alias("final"), F.col("__hops").alias("hops"),
+                           F.lit(False).alias("cycle")).unionByName(
+        moving.select(F.col("__from").alias(old), F.lit(None).cast(slips.schema[new].dataType).alias("final"),
+                      F.lit(None).cast("long").alias("hops"), F.lit(True).alias("cycle")))
 
 
 def zero_fill(stock: DataFrame, full_snapshot: DataFrame, ts: Column, key: str = "isbn13",

@@ -41,7 +41,7 @@ def excerpt_rows(feed: DataFrame, as_of) -> DataFrame:
         F.coalesce(F.col("available"), F.lit(True)))
     return feed.select(
         "isbn13", "title", "url", available.alias("available"),
-        F.try_to_timestamp(F.col("updated_at"), F.lit("yyyy-MM-dd'T'HH:mm:ssX")).alias("jb_updated_at"),
+        F.trim("updated_at").try_cast("timestamp").alias("jb_updated_at"),   # any ISO form
         _ts(as_of).alias("fetched_at"),
         F.struct(F.col("file_mtime"), F.col("source_file"), F.col("pos")).alias("arrival"))
 

@@ -364,7 +364,13 @@ def arrival_ordinal(df: DataFrame, order: str, name: str | None = None) -> DataF
     """Replace the orderable ``order`` column (e.g. a file-order struct) by a long
     that increases in that order: a distributed range sort, then
     ``monotonically_increasing_id`` (partition index, then row) on the sorted
-    partitions. No single-partition window."""
+    partitions. No single-partition window.
+
+    The numbered rows are checkpointed (shared folder): the bounds of a range sort
+    are sampled, so numbering the rows anew for each use of the frame would give
+    one row different numbers."""
+    from quire.session import cut_lineage
+
     name = name or order
-    return (df.orderBy(order).withColumn("__ord", F.monotonically_increasing_id())
-            .drop(order).withColumnRenamed("__ord", name))
+    return cut_lineage(df.orderBy(order).withColumn("__ord", F.monotonically_increasing_id())
+                       .drop(order).withColumnRenamed("__ord", name))

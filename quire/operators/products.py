@@ -28,11 +28,6 @@ def _last_where(arr: Column, pred, field: str) -> Column:
     return F.try_element_at(F.filter(arr, pred), F.lit(-1))[field]
 
 
-def _strip_markup(c: Column) -> Column:
-    """Inner markup of ``<Text>`` (XHTML) comes back as text; keep the words only."""
-    return F.regexp_replace(c, "<[^>]*>", "")
-
-
 def _decimal(c: Column, p: int, s: int) -> Column:
     return c.try_cast(f"decimal({p},{s})")
 
@@ -63,7 +58,7 @@ def project_products(records: DataFrame, product: str = "product") -> DataFrame:
 
     def text(code: str) -> Column:
         t = _last_where(texts, lambda x: _t(x["TextType"]) == code, "Text")
-        return blank_to_null(_t(_strip_markup(t)))
+        return blank_to_null(_t(t))   # markup was taken out by the scan
 
     extent = _last_where(dd["Extent"], lambda x: _t(x["ExtentType"]) == "00", "ExtentValue")
     pub_date = _last_where(pd_["PublishingDate"], lambda x: _t(x["PublishingDateRole"]) == "01", "Date")

@@ -12,6 +12,7 @@ from quire.operators import merge, quality, search
 from quire.operators.products import project_products
 from quire.plans import adapters
 from quire.plans.bookkeeping import contributors
+from quire.plans.books import onix_file_count
 from quire.plans.common import AS_OF, days_before, el, el_raw, isbn_of, load, ref_of, ts_str, xml_escape
 from quire.session import stage_path
 from quire.sources.onix import scan_onix
@@ -52,7 +53,8 @@ def measure_fragments(part: DataFrame, n_files: int = 4) -> DataFrame:
 def _measure_products(spark: SparkSession, sf: str) -> DataFrame:
     part = load(spark, sf, "part")
     path = stage_path(spark, "onix-measures")
-    write_framed_text(measure_fragments(part), path, 4, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
+    n_files = onix_file_count(part)
+    write_framed_text(measure_fragments(part, n_files), path, n_files, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
     records, _ = scan_onix(spark, path)
     return project_products(records)
 

@@ -87,7 +87,7 @@ def manifest_from_orders(orders: DataFrame) -> DataFrame:
 
 def q_feed_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Q03 (O-04, O-38): files tagged with their feed; oversize cover zips flagged."""
-    m = src.match_feed(manifest_from_orders(load(spark, sf, "orders")))
+    m = src.match_feed(manifest_from_orders(load(spark, sf, "orders")), src.feed_rules(spark, "Wholesale"))
     return m.select("path", "feed", "needs_done", src.oversize().alias("oversize"))
 
 

@@ -6,6 +6,9 @@ from __future__ import annotations
 from quire.functions.text import STOP_WORDS
 from quire.plans.oracle import AS_OF, _s, days_before, isbn, ts
 
+# Letters and digits of any script, as a regular expression of the SQL engine.
+_TOKEN = r"[\p{L}\p{N}]+"
+
 
 def slug(x: str) -> str:
     return (f"substr(regexp_replace(regexp_replace(lower({x}), '\\s+', '_', 'g'), '[^a-z0-9_-]', '', 'g'), 1, 200)")
@@ -189,12 +192,12 @@ _STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) +
 
 Q_FTS = f"""
 WITH dt AS (
-  SELECT doc_id, 10 AS w, unnest(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+')) AS lex
+  SELECT doc_id, 10 AS w, unnest(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '{_TOKEN}')) AS lex
   FROM documents
-  UNION ALL SELECT doc_id, 4, unnest(regexp_extract_all(lower(lang), '[a-z0-9]+')) FROM documents
-  UNION ALL SELECT doc_id, 2, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) FROM documents),
+  UNION ALL SELECT doc_id, 4, unnest(regexp_extract_all(lower(lang), '{_TOKEN}')) FROM documents
+  UNION ALL SELECT doc_id, 2, unnest(regexp_extract_all(lower(text), '{_TOKEN}')) FROM documents),
 idx AS (SELECT doc_id, lex, w, count(*) AS tf FROM dt WHERE NOT list_contains({_STOP}, lex) GROUP BY ALL),
-q0 AS (SELECT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS lex FROM benchmark),
+q0 AS (SELECT item_id AS query_id, unnest(regexp_extract_all(lower(text), '{_TOKEN}')) AS lex FROM benchmark),
 q AS (SELECT DISTINCT query_id, lex FROM q0 WHERE NOT list_contains({_STOP}, lex)),
 s AS (SELECT query_id, doc_id, sum(tf * w) / 10.0 AS score FROM idx JOIN q USING (lex) GROUP BY ALL)
 SELECT query_id, doc_id, rank, round(score, 4) AS score FROM (
@@ -203,7 +206,7 @@ WHERE rank <= 10"""
 
 
 def _tri(x: str) -> str:
-    return (f"list_distinct(flatten(list_transform(regexp_extract_all(lower({x}), '[a-z0-9]+'), "
+    return (f"list_distinct(flatten(list_transform(regexp_extract_all(lower({x}), '{_TOKEN}'), "
             f"lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))")
 
 
@@ -231,18 +234,18 @@ SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_dims, true AS roundtrip_ok, t
 
 Q_TEXT_VECTOR = f"""
 WITH dt AS (
-  SELECT doc_id, 'A' AS w, unnest(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'))
+  SELECT doc_id, 'A' AS w, unnest(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '{_TOKEN}'))
          AS lex, 0 AS part FROM documents
-  UNION ALL SELECT doc_id, 'B', unnest(regexp_extract_all(lower(lang), '[a-z0-9]+')), 1 FROM documents
-  UNION ALL SELECT doc_id, 'C', unnest(regexp_extract_all(lower(text), '[a-z0-9]+')), 2 FROM documents),
+  UNION ALL SELECT doc_id, 'B', unnest(regexp_extract_all(lower(lang), '{_TOKEN}')), 1 FROM documents
+  UNION ALL SELECT doc_id, 'C', unnest(regexp_extract_all(lower(text), '{_TOKEN}')), 2 FROM documents),
 total AS (
   SELECT doc_id,
-         len(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'))
-         + len(regexp_extract_all(lower(lang), '[a-z0-9]+'))
-         + len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words,
-         list_reverse(list_concat(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '[a-z0-9]+'),
-                                  regexp_extract_all(lower(lang), '[a-z0-9]+'),
-                                  regexp_extract_all(lower(text), '[a-z0-9]+'))) AS rev
+         len(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '{_TOKEN}'))
+         + len(regexp_extract_all(lower(lang), '{_TOKEN}'))
+         + len(regexp_extract_all(lower(text), '{_TOKEN}')) AS n_words,
+         list_reverse(list_concat(regexp_extract_all(lower('doc ' || {_s('doc_id')} || ' ' || source), '{_TOKEN}'),
+                                  regexp_extract_all(lower(lang), '{_TOKEN}'),
+                                  regexp_extract_all(lower(text), '{_TOKEN}'))) AS rev
   FROM documents),
 last AS (
   SELECT doc_id, n_words - coalesce(list_position(list_transform(rev, lambda x: list_contains({_STOP}, x)), false), 0) + 1

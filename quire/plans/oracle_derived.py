@@ -25,15 +25,19 @@ SELECT p.isbn13, p.region_code,
 FROM p LEFT JOIN l ON p.isbn13 = l.isbn13"""
 
 Q_REDIRECTS = f"""
-WITH RECURSIVE s AS (
-  SELECT {isbn('978', 'p_partkey')} AS old_isbn13, {isbn('978', 'p_partkey + 7')} AS new_isbn13
-  FROM part WHERE p_size >= 30),
-walk(old_isbn13, cur, hops) AS (
-  SELECT old_isbn13, new_isbn13, 1 FROM s
+WITH RECURSIVE k AS (
+  SELECT p_partkey AS a, CASE WHEN p_partkey % 700 // 7 < 99 THEN p_partkey + 7
+                              WHEN p_partkey // 700 % 10 = 0 THEN p_partkey - 693 END AS b
+  FROM part),
+s AS (SELECT a, b FROM k WHERE b > 0),
+walk(start, cur, hops) AS (
+  SELECT a, b, 1 FROM s
   UNION ALL
-  SELECT w.old_isbn13, s.new_isbn13, w.hops + 1 FROM walk w JOIN s ON s.old_isbn13 = w.cur WHERE w.hops < 32)
-SELECT old_isbn13, arg_max(cur, hops) AS final, CAST(max(hops) AS BIGINT) AS hops, false AS cycle
-FROM walk GROUP BY old_isbn13"""
+  SELECT w.start, s.b, w.hops + 1 FROM walk w JOIN s ON s.a = w.cur WHERE w.cur <> w.start),
+r AS (SELECT start, bool_or(cur = start) AS cycle, arg_max(cur, hops) AS final, max(hops) AS hops FROM walk GROUP BY start)
+SELECT {isbn('978', 'start')} AS old_isbn13, CASE WHEN NOT cycle THEN {isbn('978', 'final')} END AS final,
+       CASE WHEN NOT cycle THEN CAST(hops AS BIGINT) END AS hops, cycle
+FROM r"""
 
 Q_ZERO_FILL = f"""
 WITH cur AS (

@@ -23,8 +23,8 @@ m AS (
          CAST(trunc(o_totalprice * 100000) AS BIGINT) AS size,
          CASE WHEN regexp_full_match(fn, '(?i)IV[0-9]{{8}}\\.TXT') THEN 'inventory'
               WHEN regexp_full_match(fn, '(?i)AV_[0-9]{{8}}\\.[0-9]{{3}}') THEN 'avail13'
-              WHEN regexp_full_match(fn, '(?i)[A-Za-z]*ONIX3_wk([0-9]+)_Delta\\.zip') THEN 'biblio_delta'
-              WHEN regexp_full_match(fn, '(?i)[A-Za-z]*ONIX3_wk([0-9]+)_Full\\.zip') THEN 'biblio_full'
+              WHEN regexp_full_match(fn, '(?i)WholesaleONIX3_wk([0-9]+)_Delta\\.zip') THEN 'biblio_delta'
+              WHEN regexp_full_match(fn, '(?i)WholesaleONIX3_wk([0-9]+)_Full\\.zip') THEN 'biblio_full'
               WHEN regexp_full_match(fn, '(?i)BookImages_wk[0-9]+\\.zip') THEN 'covers_update'
               WHEN upper(fn) = 'GARDPROM13.CSV' THEN 'promotions'
               WHEN upper(fn) = 'FIRMSALE13.CSV' THEN 'firm_sale'

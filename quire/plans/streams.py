@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.plans import adapters
-from quire.plans.books import book_rows
+from quire.plans.books import book_rows, onix_file_count
 from quire.plans.catalog import stock_current, stock_view
 from quire.plans.common import AS_OF, isbn_of, load
 from quire.plans.feeds import _csv, avail_file_count, write_feed, write_named
@@ -37,8 +37,9 @@ def q_stream_onix_merge(spark: SparkSession, sf: str) -> DataFrame:
     store = stage_path(spark, "store-onix")
     write_table(adapters.books_from_part(part), f"{store}/books", bucket_col="record_reference", buckets=8)
     staged = stage_path(spark, "onix-stream-files")
-    write_framed_text(adapters.product_fragments(part), staged, 4, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
-    files = rename_single_parts(spark, staged, {str(k): f"onix-{k}.xml" for k in range(4)})
+    n_files = onix_file_count(part)
+    write_framed_text(adapters.product_fragments(part, n_files=n_files), staged, n_files, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
+    files = rename_single_parts(spark, staged, {str(k): f"onix-{k}.xml" for k in range(n_files)})
     watched = stage_path(spark, "onix-in")
     _move_into(spark, files, watched)
     q = jobs.stream_onix(spark, watched, store, stage_path(spark, "ckpt-onix"), AS_OF)
@@ -90,7 +91,8 @@ def q_bootstrap_status(spark: SparkSession, sf: str) -> DataFrame:
     store = stage_path(spark, "store-boot")
     write_table(adapters.books_from_part(part), f"{store}/books")
     onix = stage_path(spark, "boot-onix")
-    write_framed_text(adapters.product_fragments(part), onix, 4, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
+    n_files = onix_file_count(part)
+    write_framed_text(adapters.product_fragments(part, n_files=n_files), onix, n_files, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
     regions = nation.select(F.col("n_nationkey").cast("long").alias("seq"),
                             _csv(F.concat(F.lit("R"), F.col("n_regionkey").cast("string")), F.col("n_name")).alias("line"))
     reg_path = write_feed(spark, regions, "REGIONS.CSV")

@@ -47,8 +47,9 @@ def configure(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator of the cluster (HDFS, S3, ...);
-    only when it is unset (local tests) a private folder is made.
+    On a cluster this is set by the operator of the cluster (HDFS, S3, ...). Only
+    a local session without one gets a private folder; on a cluster a folder of
+    the driver's machine would be wrong, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             base = current
         else:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="quire-ckpt-")
             sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():

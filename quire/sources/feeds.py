@@ -2,26 +2,30 @@
 
 Delimited feeds are read as text lines (splittable, one record per line) and
 each line is split with ``from_csv``: a short row fills missing cells with
-``''``, extra cells are ignored, quotes embedded in a field come through as
-text, and a line with an unclosed quote is counted as a parse error instead of
-failing the file.
+``''``, extra cells are ignored, quotes inside a field come through as text,
+doubled quotes in a quoted field stand for one, and a line with a quoted field
+that is not closed is counted as a parse error instead of failing the file.
+A quoted line break is not supported: its lines are such parse errors.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.session import cut_lineage
+
 # File naming rules of the wholesaler feeds (case-insensitive).
-# The weekly ONIX zips carry a vendor prefix; any alphabetic prefix is accepted.
+# {prefix}: the vendor's name that the weekly ONIX zips begin with.
 FEED_RULES = [
     # feed, filename pattern, needs a .DONE sibling
     ("inventory", r"^IV[0-9]{8}\.TXT$", True),
     ("avail13", r"^AV_[0-9]{8}\.[0-9]{3}$", False),
-    ("biblio_delta", r"^[A-Za-z]*ONIX3_wk([0-9]+)_Delta\.zip$", False),
-    ("biblio_full", r"^[A-Za-z]*ONIX3_wk([0-9]+)_Full\.zip$", False),
+    ("biblio_delta", r"^{prefix}ONIX3_wk([0-9]+)_Delta\.zip$", False),
+    ("biblio_full", r"^{prefix}ONIX3_wk([0-9]+)_Full\.zip$", False),
     ("covers_update", r"^BookImages_wk[0-9]+\.zip$", False),
     ("promotions", r"^GARDPROM13\.CSV$", False),
     ("firm_sale", r"^FIRMSALE13\.CSV$", False),
@@ -46,18 +50,20 @@ def list_files(spark: SparkSession, paths, suffix: str | None = None) -> DataFra
     return df
 
 
-def feed_rules(spark: SparkSession, rules=FEED_RULES) -> DataFrame:
-    return spark.createDataFrame([(f, "(?i)" + p, d) for f, p, d in rules],
+def feed_rules(spark: SparkSession, onix_prefix: str, rules=FEED_RULES) -> DataFrame:
+    """The rule table; ``onix_prefix`` is the vendor's prefix of the weekly ONIX zips."""
+    named = [(f, "(?i)" + p.replace("{prefix}", re.escape(onix_prefix)), d) for f, p, d in rules]
+    return spark.createDataFrame(named,
                                  "feed string, pattern string, needs_done boolean")
 
 
-def match_feed(manifest: DataFrame, rules: DataFrame | None = None, feed: str | None = None) -> DataFrame:
+def match_feed(manifest: DataFrame, rules: DataFrame, feed: str | None = None) -> DataFrame:
     """O-04: tag each file with the feed whose filename rule it matches.
 
     The rule table is a fixed handful of rows, so it is broadcast and the
     manifest never shuffles (a broadcast nested-loop join on ``rlike``).
     """
-    r = rules if rules is not None else feed_rules(manifest.sparkSession)
+    r = rules
     if feed:
         r = r.where(F.col("feed") == feed)
     return manifest.join(F.broadcast(r), F.expr("filename rlike pattern")).drop("pattern")
@@ -117,7 +123,11 @@ def lines_with_arrival(lines: DataFrame) -> DataFrame:
         F.col("file_block").alias("block"), F.monotonically_increasing_id().alias("pos"))).drop("file_block")
 
 
-_CSV_OPTS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+_CSV_OPTS = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "escape": '"'}
+
+# A line of closed fields: quoted ones (a doubled quote stands for one), or plain ones, which may hold quotes.
+_FIELD = r'(?:\s*+"(?:[^"]|"")*+"[^,]*+|(?!\s*+")[^,]*+)'
+_CLOSED = rf"(?s)^{_FIELD}(?:,{_FIELD})*+$"
 
 
 def _with_cells(df: DataFrame, line: str, n: int, out: str = "__cells") -> DataFrame:
@@ -133,8 +143,8 @@ def _with_cells(df: DataFrame, line: str, n: int, out: str = "__cells") -> DataF
 
 
 def _parse_error(line: Column) -> Column:
-    """An unclosed quote (odd number of ``"``) makes the row unparseable."""
-    return (F.size(F.split(line, '"')) - 1) % 2 == 1
+    """A field that opens with a quote and never closes it makes the row unparseable."""
+    return F.contains(line, F.lit('"')) & ~line.rlike(_CLOSED)
 
 
 def _trailer(cells: Column) -> tuple[Column, Column]:
@@ -161,20 +171,20 @@ def positional(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
                     "source_file", "file_name", "file_mtime", "arrival"))
 
 
-def scan_framed(spark: SparkSession, paths, aliases: Mapping[str, Sequence[str]],
-                max_cols: int = 32) -> DataFrame:
+def scan_framed(spark: SparkSession, paths, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     """Framed feed files at ``paths`` (see ``framed``)."""
-    return framed(scan_lines(spark, paths), aliases, max_cols)
+    return framed(scan_lines(spark, paths), aliases)
 
 
-def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]], max_cols: int = 32) -> DataFrame:
+def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     """O-06 / O-27: framed feed — first line dropped whatever it says, the next
     line names the columns, ``TRAILER,n`` rows carry the row count.
 
     ``aliases``: output column -> header names to try in order (first present
     wins). Header names are resolved per file inside Spark: the two first lines
     of each file are found by a per-file ``min`` over the file's first split,
-    and the per-file result (one row per file) is joined back.
+    and the per-file result (one row per file) is joined back. Lines are split
+    into as many cells as the widest header has (one number, found first).
     """
     lines = lines_in.withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
     head = lines.where(F.col("arrival.block") == 0)
@@ -182,14 +192,16 @@ def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]], max_cols:
     after = head.join(first, "source_file").where(F.col("__o") > F.col("__o1"))
     second = after.groupBy("source_file").agg(F.min_by("line", "__o").alias("__header"),
                                               F.min("__o").alias("__o2"))
+    second = cut_lineage(second)     # one row per file, read for the width and for the join
+    width = max(2, second.agg(F.max(F.size(F.split("__header", ",")))).first()[0] or 0)
     idx = {}
     for out, names in aliases.items():
         pos = [F.nullif(F.array_position(F.col("__hdr"), n), F.lit(0)) for n in names]
         idx[out] = F.coalesce(*pos) if len(pos) > 1 else pos[0]
-    files = (_with_cells(second, "__header", max_cols, "__hdr")
+    files = (_with_cells(second, "__header", width, "__hdr")
              .select("source_file", "__o2", *[v.alias(f"__i_{k}") for k, v in idx.items()]))
     body = lines.join(files, "source_file").where(F.col("__o") > F.col("__o2"))
-    body = _with_cells(body, "line", max_cols)
+    body = _with_cells(body, "line", width)
     is_t, t_count = _trailer(F.col("__cells"))
     vals = [F.when(F.col(f"__i_{k}").isNotNull(),
                    F.coalesce(F.element_at(F.col("__cells"), F.col(f"__i_{k}").cast("int")), F.lit("")))

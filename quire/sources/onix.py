@@ -9,13 +9,31 @@ schema. (``format("xml")`` would read a single file in one task.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.session import BROADCAST_ROW_LIMIT
 
 
+# XHTML elements inside texts that separate words.
+_BLOCKS = "p|br|div|li|ul|ol|dl|dt|dd|h[1-6]|hr|table|tr|td|th|blockquote|pre"
+# Tags of XHTML: lower-case names without a prefix (ONIX names begin with a capital).
+_BLOCK_TAG = rf"</?(?:{_BLOCKS})(?:\s[^<>]*)?/?>"
+_INLINE_TAG = r"</?[a-z][a-z0-9]*(?:\s[^<>]*)?/?>"
+# Not inside a CDATA section: its end does not come before the next section's start.
+_OUTSIDE = r"(?!(?:(?!<!\[CDATA\[)[\s\S])*?\]\]>)"
+
+
+def plain_text_markup(fragment: Column) -> Column:
+    """A product's source without XHTML tags: block tags become spaces, inline
+    tags nothing. Entities are not decoded yet, so an escaped ``<`` is no tag, and
+    CDATA sections keep what they hold."""
+    def without(outside: str) -> Column:
+        return F.regexp_replace(F.regexp_replace(fragment, _BLOCK_TAG + outside, " "), _INLINE_TAG + outside, "")
+    return F.when(F.contains(fragment, F.lit("<![CDATA[")), without(_OUTSIDE)).otherwise(without(""))
+
+
 class CorruptOnixError(ValueError):
     """Raised by ``scan_onix(fail_fast=True)`` when any fragment or file is broken."""
 
@@ -62,7 +80,8 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
       (struct mtime, file, block, pos: file order, comparable across files),
       ``source_file``;
     * ``corrupt``: ``source_file``, ``arrival``, ``fragment`` (raw text),
-      ``reason`` — broken fragments and files cut short (no closing root tag).
+      ``reason`` — broken fragments, files cut short (no closing root tag), and
+      products under another name-space prefix than ``tag`` (read those with it).
 
     ``check_tail`` makes a file all-or-nothing: its records count only when the
     file ends in the closing root tag. It costs a second (pruned, aggregated)
@@ -89,9 +108,13 @@ def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage
     start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>/]"))
     frag = F.when(start > 0, F.substr(F.col("value"), start)).otherwise(F.lit(""))
     staged = raw.select("source_file", "arrival", frag.alias("fragment"),
-                        F.col("value").contains(f"</{end_tag}>").alias("is_tail"))
+                        F.col("value").contains(f"</{end_tag}>").alias("is_tail"),
+                        F.regexp_like("value", F.lit(rf"<(?!{tag}[\s>/])([A-Za-z_][\w.-]*:)?{tag.split(':')[-1]}[\s>/]")).alias("other"))
 
-    products = staged.where(F.col("fragment") != "")
+    # Products under another prefix than ``tag`` has would be passed over: they are reported.
+    foreign = staged.where(F.col("other") & (F.col("fragment") == "")).select(
+        "source_file", "arrival", F.lit(None).cast("string").alias("fragment"), F.lit("other_prefix").alias("reason"))
+    products = staged.where(F.col("fragment") != "").drop("other")
     # A file is whole only if some record holds the closing root tag. The
     # per-file table has one row per input file; the file listing (driver
     # metadata, no data read) bounds it, so it is broadcast and the fragments
@@ -105,7 +128,7 @@ def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage
         products = products.withColumn("complete", F.lit(True))
     # the parser runs inside a generator so that it is evaluated once per
     # fragment: a plain projection would be inlined into every field access
-    xml = F.from_xml(F.concat("fragment", F.lit(sep)), schemas.ONIX_PRODUCT,
+    xml = F.from_xml(F.concat(plain_text_markup(F.col("fragment")), F.lit(sep)), schemas.ONIX_PRODUCT,
                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
                       "ignoreNamespace": "true"})
     parsed = products.select("source_file", "arrival", "fragment", "complete",
@@ -117,5 +140,5 @@ def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage
     corrupt = parsed.where(bad_fragment | ~F.col("complete")).select(
         "source_file", "arrival", "fragment",
         F.when(bad_fragment, F.lit("malformed")).otherwise(F.lit("file_truncated")).alias("reason"),
-    )
+    ).unionByName(foreign)
     return records, corrupt

@@ -1,14 +1,15 @@
 """Sinks (O-11): snapshot tables and framed text files.
 
 Parquet tables cannot be MERGEd in place, so a table is a folder of snapshot
-versions ``v=<n>`` plus a one-line ``_CURRENT`` pointer written last: a reader
-sees either the old or the new version, never half a merge, and a job that
-dies mid-write leaves the pointer where it was.
+versions ``v=<n>``, each published by a pointer file of its own that is renamed
+into place last. Readers take the newest published version: they see either the
+old or the new one, never half a merge, and a job that dies at any step leaves
+the last version readable. ``vacuum`` drops old versions.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,38 +17,77 @@ from pyspark.sql import functions as F
 from quire.session import hadoop_fs
 
 
-def _read_pointer(spark: SparkSession, root: str) -> tuple[int, str | None, int] | None:
-    """``(version, bucket column or None, buckets)`` of the table at ``root``."""
-    fs, p = hadoop_fs(spark, f"{root}/_CURRENT")
+_POINTER = "_CURRENT-"
+
+
+def _pointers(spark: SparkSession, root: str) -> dict[int, object]:
+    """Published versions and their pointer files (a name only exists once it is whole)."""
+    fs, p = hadoop_fs(spark, root)
     if not fs.exists(p):
+        return {}
+    names = ((st.getPath(), st.getPath().getName()) for st in fs.listStatus(p))
+    return {int(n[len(_POINTER):]): path for path, n in names if n.startswith(_POINTER) and n[len(_POINTER):].isdigit()}
+
+
+def _read_pointer(spark: SparkSession, root: str) -> tuple[int, str | None, int] | None:
+    """``(version, bucket column or None, buckets)`` of the newest published version."""
+    found = _pointers(spark, root)
+    if not found:
         return None
-    stream = fs.open(p)
+    version = max(found)
+    fs, _ = hadoop_fs(spark, root)
+    stream = fs.open(found[version])
     try:
         reader = spark.sparkContext._jvm.java.io.BufferedReader(
             spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        parts = reader.readLine().strip().split("\t")
+        key, buckets = reader.readLine().rstrip("\n").split("\t")
     finally:
         stream.close()
-    if len(parts) == 3 and parts[1]:
-        return int(parts[0]), parts[1], int(parts[2])
-    return int(parts[0]), None, 0
+    return version, key or None, int(buckets)
 
 
 def _write_pointer(spark: SparkSession, root: str, version: int, key: str | None, buckets: int) -> None:
-    fs, p = hadoop_fs(spark, f"{root}/_CURRENT.tmp")
-    out = fs.create(p, True)
+    """Publish ``version``: a pointer file of its own, written aside and renamed
+    into place. Nothing is deleted, so a reader finds a whole version at any time."""
+    fs, aside = hadoop_fs(spark, f"{root}/_{version}.tmp")
+    out = fs.create(aside, True)
     try:
-        out.write(bytearray(f"{version}\t{key or ''}\t{buckets}\n", "utf-8"))
+        out.write(bytearray(f"{key or ''}\t{buckets}\n", "utf-8"))
     finally:
         out.close()
-    _, final = hadoop_fs(spark, f"{root}/_CURRENT")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(p, final)
+    _, final = hadoop_fs(spark, f"{root}/{_POINTER}{version:010d}")
+    if not fs.rename(aside, final):
+        raise RuntimeError(f"version {version} of {root} was published by another writer")
 
 
 def _table_name(root: str, version: int) -> str:
-    return f"quire_{zlib.crc32(root.encode()):08x}_v{version}"
+    return f"quire_{hashlib.md5(root.encode()).hexdigest()}_v{version}"
+
+
+def bucket_count(spark: SparkSession, root: str, least: int = 8, bucket_bytes: int = 256 << 20) -> int:
+    """Buckets for the next version: powers of two that follow the stored size."""
+    ptr = _read_pointer(spark, root)
+    n = least
+    if ptr is not None:
+        fs, p = hadoop_fs(spark, f"{root}/v={ptr[0]}")
+        size = fs.getContentSummary(p).getLength()
+        n = max(n, ptr[2])
+        while n * bucket_bytes < size:
+            n *= 2
+    return n
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Drop all but the ``keep`` newest versions; returns the versions dropped.
+    Call it when no reader is left on them."""
+    found = _pointers(spark, root)
+    old = sorted(found)[:-keep] if keep else sorted(found)
+    for v in old:
+        fs, path = hadoop_fs(spark, f"{root}/v={v}")
+        fs.delete(found[v], False)
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(root, v)}")
+        fs.delete(path, True)
+    return old
 
 
 def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -74,9 +114,17 @@ def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
     return r.parquet(path)
 
 
+def _writer(df: DataFrame, bloom: tuple[str, ...]):
+    w = df.write
+    for c in bloom:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    return w
+
+
 def write_table(df: DataFrame, root: str, bucket_col: str | None = None, buckets: int = 0,
                 bloom: tuple[str, ...] = ()) -> int:
-    """Write ``df`` as the next snapshot version and swap the pointer.
+    """Write ``df`` as the next snapshot version and publish it.
 
     With ``bucket_col``/``buckets`` the snapshot is a bucketed table on the
     merge key: the next merge joins it without shuffling it (only the run's
@@ -86,17 +134,14 @@ def write_table(df: DataFrame, root: str, bucket_col: str | None = None, buckets
     cur = _read_pointer(spark, root)
     nxt = 0 if cur is None else cur[0] + 1
     path = f"{root}/v={nxt}"
-    w = df.write
-    for c in bloom:
-        if c in df.columns:
-            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if bucket_col and buckets:
         name = _table_name(root, nxt)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        w = _writer(df.repartition(buckets, bucket_col), bloom)      # one file a bucket
         (w.bucketBy(buckets, bucket_col).sortBy(bucket_col).option("path", path)
          .mode("overwrite").saveAsTable(name))
     else:
-        w.mode("overwrite").parquet(path)
+        _writer(df, bloom).mode("overwrite").parquet(path)
     _write_pointer(spark, root, nxt, bucket_col if buckets else None, buckets)
     return nxt
 

@@ -2,9 +2,9 @@
 
 Each new file is picked up once by the file source (its checkpoint records
 what was read); ``foreachBatch`` runs the same batch operators and writes the
-next snapshot of each table (pointer swap, so a batch is all or nothing). A
-replayed batch id is skipped (O-78), and the merges are idempotent, so a job
-that dies between the snapshot and the batch ledger repeats safely.
+next snapshot of each table it feeds. A replayed batch id is skipped (O-78), and
+the merges are idempotent, so a job that dies between two tables, or before the
+batch ledger, repeats safely.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.operators import feeds as fm
-from quire.operators import merge
+from quire.operators import merge, quality
 from quire.operators.products import project_products
+from quire.schemas import BOOK_FIELDS
+from quire.session import cut_lineage
 from quire.sources import feeds as src
 from quire.sources.onix import file_columns, parse_onix, scan_onix, with_arrival
-from quire.sources.store import read_table, write_table
+from quire.sources.store import bucket_count, read_table, write_table
 
 
 def _applied(spark: SparkSession, store: str, job: str, batch_id: int) -> bool:
@@ -36,10 +38,81 @@ def _record_batch(spark: SparkSession, store: str, job: str, batch_id: int) -> N
     write_table(new if prev is None else prev.unionByName(new), f"{store}/_batches_{job}")
 
 
+CHILDREN = {"contributors": "book_contributors", "subjects": "book_subjects", "prices": "book_prices"}
+
+# Columns of a book that no product carries.
+_BOOK_STATE = {"embedded_at": "timestamp", "embedding": "array<float>", "cover_url": "string",
+               "cover_fetched_at": "timestamp", "cover_checked_at": "timestamp", "is_removed": "boolean",
+               "removed_at": "timestamp", "created_at": "timestamp", "updated_at": "timestamp"}
+
+
+def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    """The table at ``root``, or an empty one with the columns of ``like``."""
+    found = read_table(spark, root)
+    return like.limit(0) if found is None else found
+
+
+def _publish(df: DataFrame, root: str, key: str, bloom: tuple[str, ...] = ()) -> None:
+    write_table(df, root, bucket_col=key, buckets=bucket_count(df.sparkSession, root), bloom=bloom)
+
+
+def _keep_run(df: DataFrame, root: str, run: str) -> None:
+    """Rows of one run in a folder of its own: a repeated run replaces its rows."""
+    df.write.mode("overwrite").parquet(f"{root}/run={run}")
+
+
+def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame, store: str, as_of, run: str) -> None:
+    """One run of ONIX records into every table they feed (O-62 ... O-69, O-74).
+
+    Good products are merged into ``books``; the last notice of each book
+    replaces its rows in ``book_contributors``, ``book_subjects``, ``book_prices``
+    and ``book_genres``; new genres are added. Broken fragments and files and
+    rejected products go to ``rejects`` with their reasons, counts per file to
+    ``summaries`` (each a folder per run). Tables that are missing are started.
+    Delete notices are not held to the catalogue's constraints."""
+    products = cut_lineage(project_products(records))      # parsed once, read by every step below
+    state = {c: F.lit(None).cast(t).alias(c) for c, t in _BOOK_STATE.items()}
+    books = _stored(spark, f"{store}/books", products.select(*BOOK_FIELDS, *state.values()))
+
+    is_delete = F.col("notification_type") == "05"
+    news = products.where(~is_delete)
+    held = news.where(F.col("isbn13").isNotNull())
+    held = held.join(quality.isbn_holders(held, books), "isbn13", "left").select(*products.columns, "__holder")
+    plain = news.where(F.col("isbn13").isNull()).withColumn("__holder", F.lit(None).cast("string"))
+    good, bad = quality.quarantine(held.unionByName(plain), quality.book_rules(raw_page=None, raw_date=None))
+    good = cut_lineage(good.drop("__holder"))
+    notices = good.unionByName(products.where(is_delete))
+
+    rejects = bad.select("source_file", "record_reference", F.array_join("reasons", ",").alias("reason"),
+                         F.lit(None).cast("string").alias("fragment")).unionByName(
+        corrupt.select("source_file", F.lit(None).cast("string").alias("record_reference"), "reason", "fragment"))
+    _keep_run(rejects, f"{store}/rejects", run)
+    rejects = spark.read.parquet(f"{store}/rejects/run={run}")
+    counts = notices.select("source_file", F.lit("accepted").alias("kind")).unionByName(rejects.select(
+        "source_file", F.when(F.col("fragment").isNull() & F.col("record_reference").isNotNull(),
+                              F.lit("rejected")).otherwise(F.lit("corrupt")).alias("kind")))
+    _keep_run(counts.groupBy("source_file").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in (
+        "accepted", "rejected", "corrupt"))), f"{store}/summaries", run)
+
+    last = cut_lineage(merge.last_wins(good.select("record_reference", "arrival", *CHILDREN), "record_reference", "arrival"))
+    touched = last.select("record_reference")
+    for field, table in CHILDREN.items():
+        rows = last.select("record_reference", F.posexplode(field).alias("pos", "x")).select("record_reference", "pos", "x.*")
+        current = _stored(spark, f"{store}/{table}", rows)
+        _publish(merge.replace_children(current, touched, rows, "record_reference"), f"{store}/{table}", "record_reference")
+    subjects = last.select("record_reference", "arrival", F.posexplode("subjects").alias("pos", "x")).select(
+        "record_reference", F.struct("arrival", "pos").alias("pos"), "x.*")
+    genres, pairs = merge.derive_genres(subjects)
+    _publish(merge.insert_absent(_stored(spark, f"{store}/genres", genres), genres, "slug"), f"{store}/genres", "slug")
+    _publish(merge.replace_children(_stored(spark, f"{store}/book_genres", pairs), touched, pairs, "record_reference"),
+             f"{store}/book_genres", "record_reference")
+    _publish(merge.apply_notices(books, notices, as_of), f"{store}/books", "record_reference", bloom=("isbn13",))
+
+
 def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_of,
                 max_files_per_trigger: int = 1, available_now: bool = True) -> StreamingQuery:
-    """O-98: every new ONIX file under ``path`` is parsed and merged into
-    ``<store>/books`` (upserts, removals) in file order."""
+    """O-98: every new ONIX file under ``path`` is parsed and ingested (see
+    ``ingest_products``) in file order; the store may be empty at first."""
     text = (spark.readStream.option("lineSep", "</Product>").option("maxFilesPerTrigger", max_files_per_trigger)
             .text(path))
     raw = file_columns(text)
@@ -48,12 +121,9 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
         s = batch.sparkSession
         if _applied(s, store, "onix", batch_id):
             return
-        records, _ = parse_onix(with_arrival(batch).select("value", "source_file", "arrival"),
-                                n_files=max_files_per_trigger)
-        products = project_products(records)
-        books = read_table(s, f"{store}/books")
-        merged = merge.apply_notices(books, products, as_of)
-        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8, bloom=("isbn13",))
+        records, corrupt = parse_onix(with_arrival(batch).select("value", "source_file", "arrival"),
+                                      n_files=max_files_per_trigger)
+        ingest_products(s, records, corrupt, store, as_of, f"onix-{batch_id}")
         _record_batch(s, store, "onix", batch_id)
 
     w = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -79,11 +149,11 @@ def stream_stock(spark: SparkSession, path: str, store: str, checkpoint: str,
         stamp = ts(F.col("file_name")) if ts is not None else None
         ordered = src.lines_with_arrival(batch)
         raw = src.framed(ordered, spec.aliases) if spec.framed else src.positional(ordered, spec.columns)
-        rows = fm.accepted(spec.mapper(raw, file_key=F.col("file_name"), ts=stamp))
-        rows = merge.arrival_ordinal(rows, "arrival")
-        current = read_table(s, f"{store}/stock")
-        out = merge.gated_merge(current, rows)
-        write_table(out, f"{store}/stock", bucket_col="isbn13", buckets=8, bloom=("isbn13",))
+        mapped = cut_lineage(spec.mapper(raw, file_key=F.col("file_name"), ts=stamp))
+        rows = merge.arrival_ordinal(fm.accepted(mapped), "arrival")
+        _keep_run(fm.scan_summary(mapped), f"{store}/feed_summaries", f"{feed}-{batch_id}")
+        current = _stored(s, f"{store}/stock", rows.drop("arrival"))
+        _publish(merge.gated_merge(current, rows), f"{store}/stock", "isbn13", bloom=("isbn13",))
         _record_batch(s, store, f"stock_{feed}", batch_id)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -91,36 +161,35 @@ def stream_stock(spark: SparkSession, path: str, store: str, checkpoint: str,
     return w.start()
 
 
-def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], store: str, as_of,
-              cutoff=None) -> DataFrame:
-    """O-104: load books first, then every ISBN-keyed feed on its own; one
-    failing feed does not stop the rest. Returns ``feed, status, rows, error``."""
+def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], store: str, as_of) -> DataFrame:
+    """O-104: books and their children first, then every ISBN-keyed feed on its
+    own; one failing feed does not stop the rest. Full-replace feeds are marked
+    and swept with the same ``as_of``: what the file holds stays, the rest goes.
+    A file's trailer mismatches and refused rows are kept in ``feed_summaries``.
+    Returns ``feed, status, rows, error``."""
+    ts = F.lit(as_of).cast("timestamp") if not isinstance(as_of, Column) else as_of
     status = []
     try:
-        records, _ = scan_onix(spark, onix_paths)
-        books = read_table(spark, f"{store}/books")
-        if books is None:
-            raise ValueError(f"no books table under {store}; seed it first")
-        merged = merge.apply_notices(books, project_products(records), as_of)
-        write_table(merged, f"{store}/books", bucket_col="record_reference", buckets=8, bloom=("isbn13",))
+        records, corrupt = scan_onix(spark, onix_paths)
+        ingest_products(spark, records, corrupt, store, as_of, "bootstrap")
         status.append(("books", "completed", read_table(spark, f"{store}/books").count(), None))
     except Exception as e:  # noqa: BLE001 - reported per feed
         status.append(("books", "failed", 0, str(e)[:500]))
     for name, paths in feeds.items():
         spec = fm.FEEDS[name]
         try:
-            rows = fm.accepted(fm.scan_feed(spark, spec, paths))
-            root = f"{store}/{spec.table}"
-            cur = read_table(spark, root)
-            if cur is None:
-                cur = rows.drop("arrival").limit(0)
+            mapped = cut_lineage(fm.scan_feed(spark, spec, paths))
+            _keep_run(fm.scan_summary(mapped), f"{store}/feed_summaries", f"bootstrap-{name}")
+            rows, root = fm.accepted(mapped), f"{store}/{spec.table}"
+            cur = _stored(spark, root, rows.drop("arrival"))
             if spec.merge == "gated":
                 out = merge.gated_merge(cur, merge.arrival_ordinal(rows, "arrival"))
             else:
+                rows = rows.withColumn("synced_at", ts)
                 out = merge.upsert(cur, rows, list(spec.keys), order="arrival").drop("arrival")
                 if spec.merge == "replace":
-                    out = merge.sweep(out, "synced_at", cutoff if cutoff is not None else as_of)
-            write_table(out, root, bucket_col=spec.keys[0], buckets=8)
+                    out = merge.sweep(out, "synced_at", ts)
+            _publish(out, root, spec.keys[0])
             status.append((name, "completed", read_table(spark, root).count(), None))
         except Exception as e:  # noqa: BLE001 - reported per feed
             status.append((name, "failed", 0, str(e)[:500]))

@@ -84,9 +84,9 @@ def test_manifest_rules_and_done_gate(spark):
     m = spark.createDataFrame([("/x/IV03152024.TXT",), ("/x/IV03152024.TXT.DONE",), ("/x/IV03162024.TXT",),
                                ("/x/gardprom13.csv",), ("/x/notes.txt",)], "path string")
     m = m.withColumn("filename", F.regexp_extract("path", "([^/]*)$", 1)).withColumn("size", F.lit(1))
-    tagged = {r.filename: r.feed for r in src.match_feed(m).collect()}
+    tagged = {r.filename: r.feed for r in src.match_feed(m, src.feed_rules(spark, "")).collect()}
     assert tagged == {"IV03152024.TXT": "inventory", "IV03162024.TXT": "inventory", "gardprom13.csv": "promotions"}
-    gated = [r.path for r in src.done_gate(src.match_feed(m), only_needing=True, listing=m).collect()]
+    gated = [r.path for r in src.done_gate(src.match_feed(m, src.feed_rules(spark, "")), only_needing=True, listing=m).collect()]
     assert sorted(gated) == ["/x/IV03152024.TXT", "/x/gardprom13.csv"]
 
 
