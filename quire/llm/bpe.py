@@ -21,9 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_CHUNKS = 400_000   # chunks remembered per Python worker, in each of two generations
+CACHE_CHUNKS = 500_000   # chunks remembered per Python worker, in each of two generations
 MERGE_BYTES = 1 << 20    # bytes of new words merged side by side
 
+_MARKS = frozenset(".,;:!?")
+
 # A space that follows other white space: chunks may then not begin at every space.
 _SPACES = re.compile(r"\s ")
 
@@ -71,8 +73,8 @@ class Codec:
         self.new: dict[str | bytes, bytes] = {}
         self.old: dict[str | bytes, bytes] = {}
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
@@ -111,13 +113,25 @@ class Codec:
         done.append((sym, word))
         sym, word = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
         order = np.argsort(word, kind="stable")
-        sym = sym[order].astype(self.dtype)
-        return np.split(sym, np.cumsum(np.bincount(word, minlength=len(words)))[:-1])
+        raw = sym[order].astype(self.dtype).tobytes()
+        ends = (np.cumsum(np.bincount(word, minlength=len(words))) * self.width).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _cut(self, chunk: str | bytes) -> tuple[str, ...] | list[str]:
+        """The pre-tokeniser's words of a chunk."""
+        if isinstance(chunk, str):
+            # Most chunks are letters after the space, or letters and one mark: no search needed.
+            if chunk.isalpha():
+                return (" " + chunk,)
+            if chunk[:-1].isalpha() and chunk[-1] in _MARKS:
+                return (" " + chunk[:-1], chunk[-1])
+            return self.words.findall(" " + chunk)
+        return self.words.findall(chunk.decode("utf-8", "surrogatepass"))
 
     def _learn(self, chunks: list[str | bytes]) -> None:
         """Encode chunks that are not remembered."""
-        cut = [self.words.findall(" " + c if isinstance(c, str) else c.decode("utf-8", "surrogatepass")) for c in chunks]
-        distinct = list(dict.fromkeys(w for ws in cut for w in ws))
+        cut = [self._cut(c) for c in chunks]
+        distinct = list({w for ws in cut for w in ws})
         ids: dict[str, bytes] = {}
         i = 0
         while i < len(distinct):
@@ -127,10 +141,9 @@ class Codec:
                 part.append(raw)
                 size += len(raw)
                 j += 1
-            ids.update(zip(distinct[i:j], (a.tobytes() for a in self.merge(part))))
+            ids.update(zip(distinct[i:j], self.merge(part)))
             i = j
-        for c, ws in zip(chunks, cut):
-            self.new[c] = b"".join(map(ids.__getitem__, ws))
+        self.new.update((c, ids[ws[0]] if len(ws) == 1 else b"".join(map(ids.__getitem__, ws))) for c, ws in zip(chunks, cut))
 
     def _chunks(self, text: str) -> list[str | bytes]:
         if _SPACES.search(text):
@@ -162,10 +175,9 @@ class Codec:
         if len(self.new) > CACHE_CHUNKS:
             self.old, self.new = self.new, {}
         missing = wanted.difference(self.new)
-        again = missing.intersection(self.old)
-        for c in again:
-            self.new[c] = self.old[c]
-        missing -= again
+        again = {c: self.old[c] for c in missing if c in self.old}
+        self.new.update(again)
+        missing.difference_update(again)
         if missing:
             self._learn(list(missing))
         if packed:
@@ -191,7 +203,7 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def text_groups(texts: list, max_chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def text_groups(texts: list, max_chars: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts (null: empty) in groups of about ``max_chars``: (first index, texts)."""
     i = 0
     while i < len(texts):
