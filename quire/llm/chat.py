@@ -138,8 +138,11 @@ def mixed_turns(records: DataFrame, column: str, layouts=LAYOUTS) -> DataFrame:
     no JSON object, keep one turn-less row: conv_id null, layout null."""
     v = F.try_parse_json(F.col(column))
     keys = lambda c: F.coalesce(F.map_keys(c.try_cast("map<string,variant>")), F.array().cast("array<string>"))
-    inner = [F.transform(keys(F.try_variant_get(v, f"$.{f}[0]", "variant")),
-                         lambda k, f=f: F.concat(F.lit(f"{f}[]."), k)) for f in _LISTS]
+
+    def element_paths(field: str) -> Column:
+        return F.transform(keys(F.try_variant_get(v, f"$.{field}[0]", "variant")), lambda k: F.concat(F.lit(f"{field}[]."), k))
+
+    inner = [element_paths(f) for f in _LISTS]
     known = F.array(*(F.lit(p) for p in sorted(VOCABULARY)))
     paths = F.array_sort(F.array_intersect(F.concat(keys(v), *inner), known))
     rows = records.select(v.alias("v"), F.sha2(F.array_join(paths, "\n"), 256).alias("print"))

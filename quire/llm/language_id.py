@@ -58,15 +58,17 @@ class Automata:
         for _, text in samples:
             symbols = self.symbols(text)
             table = _suffix_automaton(symbols, self.width)
-            root = table[0].copy()
-            restart = np.where(root >= 0, root, 0).astype(np.int64)
-            full = np.where(table >= 0, table, restart[None, :]).astype(np.int64)
-            full = ((full + at) * self.width).astype(np.uint32)
-            full[table < 0] |= _FLAG
-            # A first character that the sample never holds ends a phrase as well; it stays at the root.
+            # One more state, behind a character that the sample never holds: such a
+            # character is a phrase of its own, wherever it stands.
+            dead = len(table)
+            begin = np.where(table[0] >= 0, table[0], dead).astype(np.int64)     # where a new phrase stands
+            full = np.where(table >= 0, table, begin[None, :]).astype(np.int64)
+            full = ((np.vstack([full, begin]) + at) * self.width).astype(np.uint32)
+            full[1:dead][table[1:] < 0] |= _FLAG
+            full[dead] |= _FLAG
             tables.append(full)
             starts.append(at * self.width)
-            at += len(table)
+            at += dead + 1
             self.bits.append(np.log2(max(len(symbols), 2)))
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.uint32)
         self.starts = np.array(starts, dtype=np.uint32)
