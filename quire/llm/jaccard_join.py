@@ -29,10 +29,11 @@ from quire.llm.common import mix, staged, text_slices, word_hashes
 from quire.llm.components import components
 
 COUNT_CHUNK = 1 << 22       # elements counted together when looking for frequent ones
-HOT_LOCAL, HOT_MIN = 3, 8   # counts that make an element frequent in a chunk, and over all
+HOT_LOCAL, HOT_MIN = 2, 8   # counts that make an element frequent in a chunk, and over all
 HOT_MAX = 1 << 19           # frequent elements that the order knows (the order only affects speed)
 LIGHT_MOST = 64             # largest boundary considered
 LIST_COST = 3.0             # cost of scanning one inverted list, in enumerated signatures
+CELLS = 64                  # cells of a set's histogram, which bounds overlaps from above
 BUCKETS = 1 << 20           # bound of the (broadcast) table of id hashes that preselects texts to verify
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -84,6 +85,24 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).view(np.int64)), int(two.sum(dtype=np.uint64).view(np.int64))
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many elements fall into each of CELLS cells (16 bits each); empty if a
+    count does not fit, which bounds nothing."""
+    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CELLS)
+    return count.astype("<u2").tobytes() if len(s) and count.max() < 1 << 16 else b""
+
+
+def most_overlap(x: list[bytes], y: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of pairs of sets: in each cell no more elements
+    can agree than the smaller count. ``sizes``: what bounds pairs without histograms."""
+    out = sizes.copy()
+    both = np.array([bool(a) and bool(b) for a, b in zip(x, y)], dtype=bool)
+    if both.any():
+        one, two = (np.frombuffer(b"".join(v[k] for k in np.flatnonzero(both)), "<u2").reshape(-1, CELLS) for v in (x, y))
+        out[both] = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def frequent_elements(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Elements that many sets hold and about how many, sorted by element.
 
@@ -157,9 +176,9 @@ def _subset_signatures(s: np.ndarray, t: int) -> np.ndarray:
 
 
 def _signed(texts: DataFrame, kind: str, frequent, boundary: int, rule: Rule) -> DataFrame:
-    """(id, n, k1, k2, first, subsets) of every text: size and key of its set, its
-    first elements in the global order if a heavy set may need them, and its
-    subset signatures if it is light."""
+    """(id, n, k1, k2, cells, first, subsets) of every text: size, key and histogram
+    of its set, its first elements in the global order if a heavy set may need
+    them, and its subset signatures if it is light."""
     spark = texts.sparkSession
     hot = spark.sparkContext.broadcast(frequent)    # at most HOT_MAX elements
     plan, edge = light_overlaps(boundary, rule), rule.partner(boundary + 1)
@@ -187,10 +206,10 @@ def _signed(texts: DataFrame, kind: str, frequent, boundary: int, rule: Rule) ->
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
-                    pa.array(first, pa.list_(pa.int64())), pa.array(subsets, pa.list_(pa.int64()))],
-                    ["id", "n", "k1", "k2", "first", "subsets"])
+                    pa.array([histogram(s) for s in sets], pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(subsets, pa.list_(pa.int64()))],
+                    ["id", "n", "k1", "k2", "cells", "first", "subsets"])
 
-    return texts.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, first array<long>, subsets array<long>")
+    return texts.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, cells binary, first array<long>, subsets array<long>")
 
 
 def _can_link(rule: Rule, n: Column, i: Column, m: Column, j: Column) -> Column:
@@ -201,12 +220,25 @@ def _can_link(rule: Rule, n: Column, i: Column, m: Column, j: Column) -> Column:
     return sizes & ((i < 0) | (most * (rule.num + rule.den) >= (n + m) * rule.num))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose whole sets are linked."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose whole sets are linked. Pairs that sizes and histograms
+    rule out go first; only texts of the rest are read again."""
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            most = most_overlap(batch.column(4).to_pylist(), batch.column(5).to_pylist(), np.minimum(n, m))
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(
+                pa.array(most * (rule.num + rule.den) >= (n + m) * rule.num))
+
+    left = classes.select(F.col("rep").alias("a"), F.col("n"), F.col("cells").alias("x"))
+    right = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("cells").alias("y"))
+    near = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(
+        bound, f"a {kind}, b {kind}").distinct(), "jaccard-near")
+
+    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS))
-    # At most BUCKETS hashes are broadcast; they keep most other texts from being shuffled.
-    near = texts.join(F.broadcast(ids.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
+    # At most BUCKETS hashes are broadcast; they keep most other texts from being read.
+    some = texts.join(F.broadcast(ids.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,8 +246,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "s"])
 
-    sets = staged(near.join(ids, "id", "left_semi").mapInArrow(to_sets, f"id {kind}, s binary"), "jaccard-sets")
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -225,9 +255,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> Data
                 ok.append(o * rule.den >= (len(x) + len(y) - o) * rule.num)
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    sets = some.mapInArrow(to_sets, f"id {kind}, s binary")
     left = sets.select(F.col("id").alias("a"), F.col("s").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    return staged(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
+    return staged(near.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
         compare, f"a {kind}, b {kind}").distinct(), "jaccard-links")
 
 
@@ -248,7 +279,7 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     signed = staged(_signed(texts, kind, frequent, boundary, rule), "jaccard-signed")
 
     classes = staged(signed.filter("n > 0 and id is not null").groupBy("k1", "k2", "n").agg(
-        F.min("id").alias("rep"), F.first("first").alias("first"), F.first("subsets").alias("subsets")), "jaccard-classes")
+        F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("cells", "first", "subsets"))), "jaccard-classes")
     # An entry is a place in an inverted list; subset signatures have no position (-1).
     entries = classes.select("rep", "n", F.posexplode("first").alias("pos", "sig")).union(
         classes.select("rep", "n", F.lit(-1).alias("pos"), F.explode("subsets").alias("sig")))
@@ -260,7 +291,7 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     led = lists.filter("rep <> leader").join(leaders, "sig").filter(
         _can_link(rule, F.col("n"), F.col("pos"), F.col("m"), F.col("j"))).select(
         F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-    links = _verified(staged(led, "jaccard-led"), texts, kind, rule)
+    links = _verified(led, classes, texts, kind, rule)
 
     # Whatever is one component already needs no more comparing.
     joined = components(links)
@@ -278,7 +309,7 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     across = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & _can_link(
         rule, F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = _verified(staged(across, "jaccard-across"), texts, kind, rule)
+    more = _verified(across, classes, texts, kind, rule)
 
     final = components(links.union(more))
     named = staged(classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("id"), "left").select(
