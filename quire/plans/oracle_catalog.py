@@ -125,7 +125,7 @@ WITH cur AS (
          CAST(c_nationkey AS INTEGER) AS qty, 'inventory' AS source, 'old' AS fkey,
          CAST(c_acctbal AS DECIMAL(10,2)) AS rrp, CAST(c_nationkey AS DECIMAL(5,2)) AS disc, 'OLD' AS rcode,
          CAST(NULL AS DATE) AS rdate, CAST(-1 AS BIGINT) AS arrival
-  FROM customer WHERE c_acctbal > 0),
+  FROM customer),
 inc AS (
   SELECT {isbn('979', 'user_id')} AS isbn13, ts - to_hours(CAST((event_id * 7919) % 72 AS BIGINT)) AS ts,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS qty,
@@ -180,7 +180,7 @@ SELECT record_reference, isbn13, CASE WHEN reasons = '' THEN 'good' ELSE 'reject
 
 Q_COSINE = """
 WITH q AS (SELECT vec_id AS query_id, embedding AS qv FROM embeddings
-           WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)),
+           WHERE vec_id % 50 = 0),
 s AS (SELECT q.query_id, e.vec_id,
              list_cosine_similarity(CAST(q.qv AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS score
       FROM q CROSS JOIN embeddings e)
@@ -211,15 +211,16 @@ def _tri(x: str) -> str:
 
 
 Q_TRIGRAM = f"""
-WITH t AS (SELECT DISTINCT p_name FROM part),
-q AS (SELECT DISTINCT replace(p_name, 'e', 'a') AS query FROM part),
-tg AS (SELECT p_name, {_tri('p_name')} AS g FROM t),
+WITH p AS (SELECT p_partkey, concat_ws(' ', p_name, p_brand, {_s('p_partkey')}) AS title FROM part),
+t AS (SELECT DISTINCT title FROM p),
+q AS (SELECT DISTINCT replace(title, 'e', 'a') AS query FROM p WHERE p_partkey % 50 = 0),
+tg AS (SELECT title, {_tri('title')} AS g FROM t),
 qg AS (SELECT query, {_tri('query')} AS g FROM q),
-te AS (SELECT p_name, unnest(g) AS tri, len(g) AS nr FROM tg),
+te AS (SELECT title, unnest(g) AS tri, len(g) AS nr FROM tg),
 qe AS (SELECT query, unnest(g) AS tri, len(g) AS nq FROM qg),
-s AS (SELECT query, p_name, count(*) AS sh, any_value(nq) AS nq, any_value(nr) AS nr
-      FROM te JOIN qe USING (tri) GROUP BY query, p_name)
-SELECT query, p_name, round(sh / (nq + nr - sh), 4) AS similarity FROM s WHERE sh / (nq + nr - sh) >= 0.3"""
+s AS (SELECT query, title, count(*) AS sh, any_value(nq) AS nq, any_value(nr) AS nr
+      FROM te JOIN qe USING (tri) GROUP BY query, title)
+SELECT query, title, round(sh / (nq + nr - sh), 4) AS similarity FROM s WHERE sh / (nq + nr - sh) >= 0.6"""
 
 Q_LOOKUPS = f"""
 SELECT 'REF' || {_s('p_partkey')} AS record_reference, {isbn('978', 'p_partkey')} AS isbn13,

@@ -45,7 +45,7 @@ WITH cur AS (
          TIMESTAMP '2024-01-10 00:00:00' + to_hours(CAST(c_custkey % 48 AS BIGINT)) AS ts,
          CAST(c_nationkey AS BIGINT) AS qty, CAST(c_acctbal AS DECIMAL(10,2)) AS rrp,
          CAST(c_nationkey AS DECIMAL(5,2)) AS disc
-  FROM customer WHERE c_acctbal > 0),
+  FROM customer),
 f AS (SELECT DISTINCT {isbn('979', 'user_id')} AS isbn13 FROM events
       WHERE event_type = 'purchase')
 SELECT c.isbn13,

@@ -39,7 +39,7 @@ WITH cur AS (
          TIMESTAMP '2024-01-10 00:00:00' + to_hours(CAST(c_custkey % 48 AS BIGINT)) AS ts,
          CAST(c_nationkey AS BIGINT) AS qty, 'inventory' AS source, 'old' AS fkey,
          CAST(c_acctbal AS DECIMAL(10,2)) AS rrp, CAST(c_nationkey AS DECIMAL(5,2)) AS disc, 'OLD' AS rcode
-  FROM customer WHERE c_acctbal > 0),
+  FROM customer),
 inc AS (
   SELECT {isbn('979', 'user_id')} AS isbn13, event_id,
          CAST(floor(event_id * (SELECT greatest(4, CAST(ceil(count(*) / 50000) AS BIGINT)) FROM events)
