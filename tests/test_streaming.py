@@ -68,3 +68,58 @@ def test_stock_stream_inventory_then_hourly(spark, tmp_path):
     r = read_table(spark, f"{store}/stock").first()
     assert (r.stock_qty, r.source, float(r.rrp_gbp), r.report_code) == (3, "avail13_delta", 12.5, "NYP")
     assert r.stock_updated_at == dt.datetime(2024, 1, 3)
+
+
+def rich(ref, isbn, subjects=(), prices=(), people=()):
+    inner = "".join(f"<Contributor><ContributorRole>A01</ContributorRole><PersonName>{p}</PersonName></Contributor>" for p in people)
+    inner += "".join(f"<Subject><SubjectSchemeIdentifier>93</SubjectSchemeIdentifier><SubjectCode>{c}</SubjectCode>"
+                     f"<SubjectHeadingText>{h}</SubjectHeadingText></Subject>" for c, h in subjects)
+    costs = "".join(f"<Price><PriceAmount>{a}</PriceAmount><Tax><TaxRateCode>S</TaxRateCode><TaxRatePercent>{t}</TaxRatePercent></Tax>"
+                    f"<CurrencyCode>GBP</CurrencyCode></Price>" for a, t in prices)
+    return product(ref, f"Title {ref}", "03", isbn).replace("</DescriptiveDetail>", inner + "</DescriptiveDetail>").replace(
+        "</Product>", f"<ProductSupply><SupplyDetail>{costs}</SupplyDetail></ProductSupply></Product>")
+
+
+def test_ingest_from_an_empty_store_with_children_and_rejects(spark, tmp_path):
+    store, inbox = str(tmp_path / "store"), tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "f1.xml").write_text(HEAD + rich("A", "9780000000001", [("F1", "Tides"), ("F2", "Maps")], [("5.00", "20"), ("4.00", "0")], ["Ann"])
+                                  + rich("B", "9780000000002", [("F1", "Tides")], [], ["Bo", "Cy"])
+                                  + rich("C", "9780000000001") + rich("x" * 101, "9780000000003") + TAIL)
+    jobs.stream_onix(spark, str(inbox), store, str(tmp_path / "ck"), "2024-06-01").awaitTermination()
+    (inbox / "f2.xml").write_text(HEAD + rich("A", "9780000000001", [("F3", "Sails")], [("6.00", "5")]))      # cut short
+    jobs.stream_onix(spark, str(inbox), store, str(tmp_path / "ck"), "2024-06-02").awaitTermination()
+
+    def table(name):
+        return read_table(spark, f"{store}/{name}").collect()
+    assert {r.record_reference for r in table("books")} == {"A", "B"}
+    assert sorted((r.record_reference, float(r.price_amount), float(r.tax_rate_percent)) for r in table("book_prices")) == [
+        ("A", 4.0, 0.0), ("A", 5.0, 20.0)]
+    assert sorted((r.record_reference, r.person_name) for r in table("book_contributors")) == [("A", "Ann"), ("B", "Bo"), ("B", "Cy")]
+    assert sorted(r.slug for r in table("genres")) == ["maps", "tides"]
+    assert sorted((r.record_reference, r.slug) for r in table("book_genres")) == [("A", "maps"), ("A", "tides"), ("B", "tides")]
+    rejects = spark.read.parquet(f"{store}/rejects").collect()
+    assert sorted((r.record_reference or "-", r.reason) for r in rejects) == [
+        ("-", "file_truncated"), ("C", "isbn_taken"), ("x" * 101, "too_long_record_reference")]
+    counts = {r.source_file.rsplit("/", 1)[1]: (r.accepted, r.rejected, r.corrupt) for r in spark.read.parquet(f"{store}/summaries").collect()}
+    assert counts == {"f1.xml": (2, 2, 0), "f2.xml": (0, 0, 1)}
+
+
+def test_bootstrap_keeps_what_full_replace_files_hold(spark, tmp_path, write_text):
+    store = str(tmp_path / "store")
+    onix = write_text("boot/a.xml", HEAD + product("A", "One", isbn="9780000000001") + TAIL)
+    feeds = {
+        "inventory": write_text("b1/IV01022024.TXT", "HEADER\nISBN13,RRP_GBP,DISCOUNT,STOCK,REP_CODE,REP_DATE\n9780000000001,5.00,1,3,NYP,01/02/2024\nTRAILER,1\n"),
+        "promotions": write_text("b2/GARDPROM13.CSV", "9780000000001,T,A,1.00,2,F,01/02/25\n"),
+        "firm_sale": write_text("b3/FIRMSALE13.CSV", "9780000000001,X\n9780000000002,\n"),
+        "isbn_slips": write_text("b4/ISBNSL13.CSV", "9780000000001,9790000000001\n"),
+        "market_restrictions": write_text("b5/RESTRICT.CSV", "9780000000001,Y,GB\n9780000000001,N,US\n"),
+        "regions": write_text("b6/REGIONS.CSV", "GB,Britain\n"), "avail13": f"{store}/no/AV_20240101.000"}
+    for as_of in ("2031-01-01", "2031-01-02"):       # later than any file
+        status = {r.feed: (r.status, r.rows) for r in jobs.bootstrap(spark, onix, feeds, store, as_of).collect()}
+        assert status == {"books": ("completed", 1), "inventory": ("completed", 1), "promotions": ("completed", 1),
+                          "firm_sale": ("completed", 2), "isbn_slips": ("completed", 1), "market_restrictions": ("completed", 2),
+                          "regions": ("completed", 1), "avail13": ("failed", 0)}
+    write_text("b3/FIRMSALE13.CSV", "9780000000002,\n")
+    jobs.bootstrap(spark, onix, {"firm_sale": feeds["firm_sale"]}, store, "2031-01-03")
+    assert [r.isbn13 for r in read_table(spark, f"{store}/firm_sale").collect()] == ["9780000000002"]
