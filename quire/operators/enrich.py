@@ -71,6 +71,16 @@ def watermark(table: DataFrame, ts: str, as_of, lookback_days: int = WATERMARK_L
                       F.col("__m").isNull().alias("full_load"))
 
 
+def merge_excerpt_delta(current: DataFrame, feed: DataFrame, books: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+    """O-102: a delta run. Feed rows updated since the watermark (the latest
+    ``fetched_at``, at most 14 days back) are merged; rows without a time count as
+    new. An empty table takes the whole feed. Returns what ``merge_excerpts`` does."""
+    since = watermark(current, "fetched_at", as_of).select("since")      # one row
+    at = F.trim("updated_at").try_cast("timestamp")
+    fresh = feed.join(F.broadcast(since), F.col("since").isNull() | at.isNull() | (at >= F.col("since"))).drop("since")
+    return merge_excerpts(current, fresh, books, as_of)
+
+
 # --- covers -----------------------------------------------------------------------------
 
 def wholesaler_candidates(books: DataFrame, as_of, retry_days: int = COVER_RETRY_DAYS) -> DataFrame:
