@@ -99,6 +99,13 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1
         i = j
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold about 8 MB, so that a task's
+    memory on both sides of the pipe does not follow the length of the texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: later steps
     neither recompute it nor depend on the executors that made it."""
@@ -112,5 +119,13 @@ def id_remainder(c: Column, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def about(rows: DataFrame, id_col: str, most: int, times: float = 1.0) -> DataFrame:
+    """Rows whose ids have the smallest hashes, so many that about ``most * times``
+    remain (all, if there are no more). Only a count reaches the driver."""
+    n = rows.count()
+    part = min(1.0, most * times / max(n, 1))
+    return rows.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 31)) < F.lit(int(part * (1 << 31))))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")

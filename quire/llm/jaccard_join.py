@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix, staged, text_slices, word_hashes
+from quire.llm.common import mix, small_batches, staged, text_slices, word_hashes
 from quire.llm.components import components
 
 COUNT_CHUNK = 1 << 22       # elements counted together when looking for frequent ones
@@ -109,14 +109,17 @@ def frequent_elements(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndar
     At most HOT_MAX of them reach the driver. A missing or inexact count cannot
     change the join's result, only the length of the lists that it scans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held = np.empty(COUNT_CHUNK, np.uint64)      # filled, sorted in place, and filled again
         seen: set[tuple[int, int]] = set()
         size = 0
 
         def counted() -> pa.RecordBatch:
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            often = c >= HOT_LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(u[often].view(np.int64)), pa.array(c[often].astype(np.int64))], ["x", "n"])
+            part = held[:size]
+            part.sort()
+            heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            often = np.diff(np.append(heads, size))
+            heads, often = heads[often >= HOT_LOCAL], often[often >= HOT_LOCAL]
+            return pa.RecordBatch.from_arrays([pa.array(part[heads].view(np.int64)), pa.array(often.astype(np.int64))], ["x", "n"])
 
         for batch in batches:
             for _, sets in _sets(batch, rule):
@@ -125,16 +128,27 @@ def frequent_elements(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndar
                     if key in seen or not len(s):
                         continue
                     seen.add(key)
-                    held.append(s)
-                    size += len(s)
-                if size >= COUNT_CHUNK:
-                    yield counted()
-                    held, seen, size = [], set(), 0
-        if held:
+                    while len(s):
+                        if size == COUNT_CHUNK:
+                            yield counted()
+                            seen, size = set(), 0
+                        part = s[:COUNT_CHUNK - size]
+                        held[size:size + len(part)] = part
+                        size, s = size + len(part), s[len(part):]
+        if size:
             yield counted()
 
-    found = texts.select("text").mapInArrow(run, "x long, n long").groupBy("x").agg(F.sum("n").alias("n")).filter(
-        F.col("n") >= HOT_MIN).orderBy(F.desc("n"), "x").limit(HOT_MAX).toArrow()
+    counts = staged(texts.select("text").mapInArrow(run, "x long, n long").groupBy("x").agg(F.sum("n").alias("n")).filter(
+        F.col("n") >= HOT_MIN), "jaccard-frequent")
+    # The least power of two so that no more than HOT_MAX elements are as frequent (at most 64 rows decide).
+    steps = counts.groupBy(F.floor(F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()
+    least, total = 1 << 62, 0
+    for r in steps:
+        total += r["count"]
+        if total > HOT_MAX:
+            break
+        least = 1 << r["step"]
+    found = counts.filter(F.col("n") >= least).toArrow()
     x, n = found["x"].to_numpy().view(np.uint64), found["n"].to_numpy()
     order = np.argsort(x)
     return x[order], n[order]
@@ -249,8 +263,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, kind: str,
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 o = len(x) + len(y) - len(np.union1d(x, y))
                 ok.append(o * rule.den >= (len(x) + len(y) - o) * rule.num)
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -272,7 +286,7 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     Ids are meant to be unique: of rows with the same id and different texts, those
     that stand for their texts count as one document. A row with a null id makes no
     links and has the component of its equal texts, if any, else null."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     frequent = frequent_elements(texts, rule)
     boundary = choose_boundary(_small_sizes(texts, rule), rule)

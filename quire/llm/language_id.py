@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import id_remainder, text_slices
+from quire.llm.common import id_remainder, small_batches, text_slices
 
 SAMPLE_DOCS = 64        # labelled texts per language (smallest hashed ids) ...
 SAMPLE_CHARS = 16_384   # ... and how many of their characters the automaton holds
@@ -173,6 +173,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.substring(
         F.col(text_col), 1, PER_DOC).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (id_remainder(F.col("id"), holdout[0]) != holdout[1]))
+    # A few times as many rows as are needed, by hash; so the ranking below sees no more.
+    share = F.lit(0)
+    for r in known.groupBy("lang").count().collect():      # one row per language
+        part = min(1.0, 4 * SAMPLE_DOCS / r["count"])
+        share = F.when(F.col("lang") == r["lang"], F.lit(int(part * (1 << 31)))).otherwise(share)
+    known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text"))
     rows = known.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).collect()
     out: dict[str, list[str]] = {}
@@ -197,7 +203,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
         model = automata(samples)
         labels = np.array([*model.names, UNDETERMINED], dtype=object)
         for batch in batches:
-            for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 22):
+            for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 21):
                 rate, lettered, n = model.rates(buf, offsets)
                 if not model.names:
                     lettered[:] = False
@@ -212,7 +218,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
     sent = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
-    out = docs.select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
+    out = small_batches(docs).select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
         run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "lang_pred string, score double, bits double, n_symbols long"]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)),
                       *(F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "bits", "n_symbols")))

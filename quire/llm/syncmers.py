@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix
+from quire.llm.common import mix, small_batches
 
 K, S = 12, 5          # k-mers and their inner s-mers, in code points
 ANCHORS = 128         # anchors of a fingerprint: those with the smallest hashes
@@ -135,7 +135,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with equal ids follow each other by text; null ids come first. A single
     document follows itself. An empty table gives an empty result."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = tasks * RANGES
