@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import id_remainder, text_slices, word_hashes
+from quire.llm.common import about, id_remainder, small_batches, text_slices, word_hashes
 
 PASSAGE = 512               # bytes of a passage; the last one of a text may be shorter
-MAX_TRAIN = 3_000           # labelled rows used for training (smallest hashed ids) ...
+MAX_TRAIN = 3_000           # about so many labelled rows are used for training (smallest hashed ids) ...
 MAX_TRAIN_BYTES = 1 << 16   # ... among texts up to this size
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY = 24, 12, 12, 32, 0.01, 1e-4
 
@@ -131,15 +131,16 @@ def train(bags: list[np.ndarray], y: np.ndarray, seed: int = 0) -> dict[str, np.
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", holdout: tuple[int, int] = (3, 1)) -> dict[str, np.ndarray]:
-    """Learn from at most MAX_TRAIN labelled rows whose crc32(id) mod ``holdout[0]``
+    """Learn from about MAX_TRAIN labelled rows whose crc32(id) mod ``holdout[0]``
     is not ``holdout[1]``. Without a label the model says 0.5 of everything."""
     # Only the labels' own column and the texts are read; rows with conflicting labels count with the smallest.
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.min(label_col).alias("y")).filter(id_remainder(F.col("id"), holdout[0]) != holdout[1])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.octet_length("text") <= MAX_TRAIN_BYTES)
-    chosen = texts.select("id").join(known, "id").orderBy(F.xxhash64("id"), "id").limit(MAX_TRAIN)
-    sample = texts.join(F.broadcast(chosen), "id").orderBy("id", "text").limit(MAX_TRAIN).select("text", "y").collect()
+    chosen = about(known.join(texts.select("id"), "id", "left_semi"), "id", MAX_TRAIN)    # broadcast: about MAX_TRAIN ids
+    found = texts.join(F.broadcast(chosen), "id").select("id", "text", "y").limit(2 * MAX_TRAIN).collect()
+    sample = sorted(found, key=lambda r: (str(r["id"]), r["text"], r["y"]))
     bags = []
     for r in sample:
         raw = np.frombuffer(r["text"].encode(), np.uint8)
@@ -159,7 +160,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], columns: list[str], tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in text_slices(batch, text):
+            for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 19):
                 x, bounds = passages(buf, offsets)
                 made = forward(model, x, bounds)["score"].astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
@@ -167,7 +168,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], columns: list[str], tex
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
     sent = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
-    out = docs.select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
+    out = small_batches(docs).select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
         run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "score double"]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), F.col("score").alias(name))
 
