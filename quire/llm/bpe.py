@@ -21,10 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_CHUNKS = 500_000   # chunks remembered per Python worker, in each of two generations
-MERGE_BYTES = 1 << 20    # bytes of new words merged side by side
+from quire.llm.common import small_batches
 
-_MARKS = frozenset(".,;:!?")
+CACHE_CHUNKS = 200_000   # chunks remembered per Python worker, in each of two generations
+MERGE_WORDS = 100_000    # new words merged side by side
+
+_MARKS = ".,;:!?"
 
 # A space that follows other white space: chunks may then not begin at every space.
 _SPACES = re.compile(r"\s ")
@@ -59,34 +61,48 @@ class Codec:
         for c, b in letters.items():
             self.byte_id[b] = vocab[c]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        left = np.array([vocab[a] for a, _ in pairs], dtype=np.int64)
-        right = np.array([vocab[b] for _, b in pairs], dtype=np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
-        key = (left << 32) | right
+        # Symbols, and keys of pairs of them, in the least width that holds them.
+        self.wide, self.shift = (np.uint32, 16) if len(self.bytes_of) <= 1 << 16 else (np.uint64, 32)
+        left = np.array([vocab[a] for a, _ in pairs], dtype=self.wide)
+        right = np.array([vocab[b] for _, b in pairs], dtype=self.wide)
+        made = np.array([vocab[a + b] for a, b in pairs], dtype=self.wide)
+        key = (left << self.wide(self.shift)) | right
         order = np.argsort(key, kind="stable")
-        self.keys, self.rank, self.made = key[order], order.astype(np.int64), made[order]
+        self.keys, self.rank, self.made = key[order], order.astype(np.int32), made[order]
+        self.byte_id = self.byte_id.astype(self.wide)
         # Fixed value: the pre-tokeniser's pattern.
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        self.marks = dict(zip(_MARKS, self.merge(list(_MARKS))))
         # Chunk -> packed ids, in two generations. A str stands for itself after a space,
         # bytes for a chunk without one before it.
         self.new: dict[str | bytes, bytes] = {}
         self.old: dict[str | bytes, bytes] = {}
 
-    def merge(self, words: list[bytes]) -> list[bytes]:
-        """The packed ids of each word."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words)), sizes)
+    def merge(self, words: list[str]) -> list[bytes]:
+        """The packed ids of each word (none is empty)."""
+        raw = np.frombuffer("\0".join(words).encode("utf-8", "surrogatepass"), np.uint8)
+        gap = raw == 0
+        if np.count_nonzero(gap) == len(words) - 1:
+            word = np.cumsum(gap, dtype=np.int32)[~gap]
+            sym = self.byte_id[raw[~gap]]
+        else:                                        # a word holds the separator itself
+            each = [w.encode("utf-8", "surrogatepass") for w in words]
+            word = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, each), np.int64, len(each)))
+            sym = self.byte_id[np.frombuffer(b"".join(each), np.uint8)]
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        none = np.int64(len(self.keys))
-        while len(sym) > 1:
-            key = (sym[:-1] << 32) | sym[1:]
-            at = np.searchsorted(self.keys, key)
-            at[at == none] = 0
-            rank = np.where((self.keys[at] == key) & (word[1:] == word[:-1]), self.rank[at], none)
+        none = np.int32(len(self.keys))
+        # pair[i]: the rank of the symbols i and i + 1 of one word, or none; at[i]: where its key stands.
+        pair, at = np.full(len(sym), none), np.zeros(len(sym), np.int32)
+        touched = np.arange(len(sym) - 1)
+        while True:
+            touched = touched[word[touched] == word[touched + 1]]
+            key = (sym[touched] << self.wide(self.shift)) | sym[touched + 1]
+            found = np.searchsorted(self.keys, key)
+            found[found == none] = 0
+            at[touched], pair[touched] = found, np.where(self.keys[found] == key, self.rank[found], none)
             heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            best = np.minimum.reduceat(np.append(rank, none), heads)   # the entry at a word's end is never a pair
+            best = np.minimum.reduceat(pair, heads)
             live = best < none
             if not live.any():
                 break
@@ -94,11 +110,8 @@ class Codec:
             if not live.all():                       # words without a pair are finished
                 keep = np.repeat(live, count)
                 done.append((sym[~keep], word[~keep]))
-                pair = np.append(rank, none)[keep]
-                at, sym, word = np.append(at, 0)[keep], sym[keep], word[keep]
+                sym, word, pair, at = sym[keep], word[keep], pair[keep], at[keep]
                 best, count = best[live], count[live]
-            else:
-                pair, at = np.append(rank, none), np.append(at, 0)
             hit = pair == np.repeat(best, count)
             # Equal neighbours (aaa) make overlapping hits: from the left, every second one of a run counts.
             if np.any(hit[1:] & hit[:-1]):
@@ -109,7 +122,12 @@ class Codec:
             sym[where] = self.made[at[where]]
             rest = np.ones(len(sym), dtype=bool)
             rest[where + 1] = False
-            sym, word = sym[rest], word[rest]
+            sym, word, pair, at = sym[rest], word[rest], pair[rest], at[rest]
+            # Only pairs with a new symbol need a search in the next round.
+            new = where - np.arange(len(where))
+            pair[new] = none
+            pair[new[new > 0] - 1] = none
+            touched = np.concatenate([new[new + 1 < len(sym)], new[new > 0] - 1])
         done.append((sym, word))
         sym, word = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
         order = np.argsort(word, kind="stable")
@@ -117,33 +135,27 @@ class Codec:
         ends = (np.cumsum(np.bincount(word, minlength=len(words))) * self.width).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _cut(self, chunk: str | bytes) -> tuple[str, ...] | list[str]:
-        """The pre-tokeniser's words of a chunk."""
-        if isinstance(chunk, str):
-            # Most chunks are letters after the space, or letters and one mark: no search needed.
-            if chunk.isalpha():
-                return (" " + chunk,)
-            if chunk[:-1].isalpha() and chunk[-1] in _MARKS:
-                return (" " + chunk[:-1], chunk[-1])
-            return self.words.findall(" " + chunk)
-        return self.words.findall(chunk.decode("utf-8", "surrogatepass"))
-
     def _learn(self, chunks: list[str | bytes]) -> None:
         """Encode chunks that are not remembered."""
-        cut = [self._cut(c) for c in chunks]
-        distinct = list({w for ws in cut for w in ws})
-        ids: dict[str, bytes] = {}
-        i = 0
-        while i < len(distinct):
-            j, size, part = i, 0, []
-            while j < len(distinct) and (j == i or size < MERGE_BYTES):
-                raw = distinct[j].encode("utf-8", "surrogatepass")
-                part.append(raw)
-                size += len(raw)
-                j += 1
-            ids.update(zip(distinct[i:j], self.merge(part)))
-            i = j
-        self.new.update((c, ids[ws[0]] if len(ws) == 1 else b"".join(map(ids.__getitem__, ws))) for c, ws in zip(chunks, cut))
+        # Most chunks are letters after the space, or letters and one mark: they are cut without a search.
+        spaced = [c for c in chunks if isinstance(c, str)]
+        plain = [c for c in spaced if c.isalpha()]
+        marked = [c for c in spaced if c[:-1].isalpha() and c[-1] in _MARKS]
+        simple = set(plain).union(marked)
+        other = [c for c in chunks if c not in simple]
+        cut = [self.words.findall(" " + c if isinstance(c, str) else c.decode("utf-8", "surrogatepass")) for c in other]
+        # The few words that come twice are encoded twice.
+        words = [" " + c for c in plain] + [" " + c[:-1] for c in marked] + [w for ws in cut for w in ws]
+        ids: list[bytes] = []
+        for i in range(0, len(words), MERGE_WORDS):
+            ids += self.merge(words[i:i + MERGE_WORDS])
+        self.new.update(zip(plain, ids))
+        at = len(plain)
+        self.new.update((c, w + self.marks[c[-1]]) for c, w in zip(marked, ids[at:at + len(marked)]))
+        at += len(marked)
+        for c, ws in zip(other, cut):
+            self.new[c] = b"".join(ids[at:at + len(ws)])
+            at += len(ws)
 
     def _chunks(self, text: str) -> list[str | bytes]:
         if _SPACES.search(text):
@@ -203,7 +215,7 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def text_groups(texts: list, max_chars: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
+def text_groups(texts: list, max_chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts (null: empty) in groups of about ``max_chars``: (first index, texts)."""
     i = 0
     while i < len(texts):
@@ -241,7 +253,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                     [batch.column(0).slice(i, len(texts)), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
                      pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
@@ -257,7 +269,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(texts)), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
@@ -271,5 +283,5 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_c
             texts = [None if ids is None else c.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
-    return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(
+    return small_batches(encoded).select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(
         run, f"id {kind}, text string").withColumnRenamed("id", id_col)

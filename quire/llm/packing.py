@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import codec, text_groups
-from quire.llm.common import mix, staged
+from quire.llm.common import mix, small_batches, staged
 
 WINDOW = 2048
 END_ID = 1                   # closes every document
 K1, B = 1.2, 0.75            # the usual BM25 parameters
 QUERY_TERMS = 24             # terms of a seed's query: those with the largest weights in it
 NEIGHBOURS = 64              # neighbours taken from the index at a time
-SHARD_TOKENS = 1 << 22       # tokens indexed together
+SHARD_TOKENS = 1 << 21       # tokens indexed together
 
 
 def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID) -> DataFrame:
@@ -39,7 +39,7 @@ def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID)
         size = max(len(c.bytes_of), end_id + 1)
         end = np.array([end_id], c.dtype).tobytes()
         hashes = [(mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(k)) >> np.uint64(33)).astype(np.int64) for k in (3, 7)]
-        df, doc = np.zeros(size, np.int64), 0
+        df, doc, here = np.zeros(size, np.int64), 0, np.zeros(size, bool)
         names = ["id", "ids", "n", "near1", "near2", "df"]
         id_type = None
         for batch in batches:
@@ -49,7 +49,9 @@ def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID)
                 near: tuple[list[int], list[int]] = ([], [])
                 for raw in packed:
                     ids = np.frombuffer(raw, c.dtype)
-                    distinct = np.unique(ids)
+                    here[ids] = True
+                    distinct = np.flatnonzero(here)
+                    here[distinct] = False
                     df[distinct] += 1
                     doc += 1
                     for h, out in zip(hashes, near):
@@ -77,8 +79,12 @@ class Shard:
         self.used = np.zeros(len(docs), bool)
         tails = [d[1][d[2]:] for d in docs]
         owner = np.repeat(np.arange(len(docs), dtype=np.int64), self.left)
-        key, tf = np.unique((owner << 32) | np.concatenate(tails).astype(np.int64), return_counts=True)
-        self.item, self.term = key >> 32, key & 0xFFFFFFFF
+        wide, shift = (np.uint32, 16) if max(len(docs), len(idf)) <= 1 << 16 else (np.uint64, 32)    # the least width that holds both
+        key = (owner.astype(wide) << wide(shift)) | np.concatenate(tails).astype(wide)
+        key.sort()
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        tf, key = np.diff(np.append(heads, len(key))), key[heads]
+        self.item, self.term = (key >> wide(shift)).astype(np.int64), (key & wide((1 << shift) - 1)).astype(np.int64)
         length = self.left[self.item] / mean
         self.weight = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
         self.row = np.searchsorted(self.item, np.arange(len(docs) + 1))
@@ -143,7 +149,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, id_col
     Every id of every document lies in exactly one piece; only the last sequence
     of a task is shorter than the window. Null texts are empty: the end id alone.
     Repeated rows are packed each. An empty table has no pieces."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     made = staged(tokenised(texts, tokenizer, kind, end_id), "pack-tokens")
     rows = made.filter("ids is not null")
@@ -159,8 +165,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, id_col
     mean = tokens / max(n_docs, 1)
     sent = docs.sparkSession.sparkContext.broadcast(idf)   # one number per vocabulary entry
     tasks = max(1, -(-tokens // SHARD_TOKENS))
-    dealt = rows.select("id", "ids", "near1", "near2").repartitionByRange(
-        tasks, "near1", "near2", "id", "ids").sortWithinPartitions("near1", "near2", "id", "ids") if tokens else rows
+    rows = rows.select("id", "ids", "near1", "near2", F.xxhash64("ids").alias("tie"))
+    dealt = rows.repartitionByRange(
+        tasks, "near1", "near2", "id", "tie").sortWithinPartitions("near1", "near2", "id", "tie") if tokens else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = codec(tokenizer).dtype
