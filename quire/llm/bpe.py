@@ -198,6 +198,11 @@ class Codec:
         get = self.new.__getitem__
         return [b"".join(map(get, parts)) for parts in plan]
 
+    def forget(self) -> None:
+        """Drop the memory of chunks; called when a task ends, so that a worker's
+        memory is free for what it runs next."""
+        self.new, self.old = {}, {}
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_packed([text])[0], self.dtype)
 
@@ -252,6 +257,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(texts)), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
                      pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        c.forget()
 
     return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
@@ -268,6 +274,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
                 ids = [np.frombuffer(raw, c.dtype).astype(np.int32) for raw in c.encode_packed(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(texts)), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
+        c.forget()
 
     return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)

@@ -60,6 +60,7 @@ def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID)
                     batch.column(0).slice(i, len(part)), pa.array(packed, pa.binary()),
                     pa.array([len(r) // c.width for r in packed], pa.int64()), pa.array(near[0], pa.int64()),
                     pa.array(near[1], pa.int64()), pa.nulls(len(part), pa.list_(pa.int64()))], names)
+        c.forget()
         if doc:
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(1, id_type), pa.nulls(1, pa.binary()), *(pa.nulls(1, pa.int64()) for _ in range(3)),
