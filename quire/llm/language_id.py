@@ -26,53 +26,82 @@ SAMPLE_DOCS = 64        # labelled texts per language (smallest hashed ids) ...
 SAMPLE_CHARS = 16_384   # ... and how many of their characters the automaton holds
 PER_DOC = 1_024         # at most so many characters of one sample text
 BLOCK = 1_024           # texts are parsed in blocks of so many characters, each from its start
-ALPHABET = 62           # most letters told apart; rarer ones are one class that no sample holds
+TABLE_LETTERS = 64      # a language of more symbols than these is a sorted list of transitions, not a table
 UNDETERMINED = "und"
 
 _FLAG = np.uint32(1 << 31)
 
 
+@lru_cache(maxsize=1)
+def _cased() -> list[tuple[int, str]]:
+    """Code points with another lower-case letter, and that letter."""
+    return [(p, low) for p in range(0x110000) if (low := chr(p).lower()) != chr(p) and len(low) == 1]
+
+
 class Automata:
-    """Transition tables of all languages over one shared alphabet.
+    """Suffix automata of all languages over one set of symbols.
 
-    Class 0 is any run of non-letters, class 1 any letter outside the alphabet.
-    An entry is the next state (times the alphabet's size); its high bit says
-    that a phrase ended and the character began the next one."""
+    Symbol 0 is any run of non-letters, symbol 1 any letter that no sample
+    holds; every other letter, in lower case, is a symbol of its own. A language
+    of few letters is a table whose rows are its states and whose columns are
+    its own letters and one for all others; one of many letters (zh, ja, ko) is
+    a sorted list of its transitions. An entry is the next state (in a table,
+    where its row begins); its high bit says that a phrase ended and the
+    character began the next one."""
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
-        counts: dict[str, int] = {}
-        for _, text in samples:
-            for c in text.lower():
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]
+        self.fold = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint32, 0x110000)
+        lower = dict(_cased())
+        letters = sorted({lower.get(ord(c), c) for _, text in samples for c in set(text) if c.isalpha()})
         self.width = len(letters) + 2
-        self.fold = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
         for k, c in enumerate(letters):
             self.fold[ord(c)] = k + 2
-            if len(c.upper()) == 1:
-                self.fold[ord(c.upper())] = k + 2
+        for p, c in lower.items():
+            if self.fold[p]:
+                self.fold[p] = self.fold[ord(c)]
         self.names = [name for name, _ in samples]
-        tables, starts, at = [], [], 0
-        self.bits = []
+        tables, columns, at = [], [], 0
+        self.lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []    # keys, next states, where a phrase begins
+        starts, deads, kinds, sizes = [], [], [], []
         for _, text in samples:
             symbols = self.symbols(text)
-            table = _suffix_automaton(symbols, self.width)
+            own, narrow = np.unique(symbols, return_inverse=True)
             # One more state, behind a character that the sample never holds: such a
             # character is a phrase of its own, wherever it stands.
-            dead = len(table)
-            begin = np.where(table[0] >= 0, table[0], dead).astype(np.int64)     # where a new phrase stands
-            full = np.where(table >= 0, table, begin[None, :]).astype(np.int64)
-            full = ((np.vstack([full, begin]) + at) * self.width).astype(np.uint32)
-            full[1:dead][table[1:] < 0] |= _FLAG
-            full[dead] |= _FLAG
-            tables.append(full)
-            starts.append(at * self.width)
-            at += dead + 1
-            self.bits.append(np.log2(max(len(symbols), 2)))
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.uint32)
-        self.starts = np.array(starts, dtype=np.uint32)
-        self.bits = np.array(self.bits)
+            if dense := len(own) <= TABLE_LETTERS:
+                width = len(own) + 1
+                table = _table(_suffix_automaton(narrow), width)
+                dead = len(table)
+                begin = np.where(table[0] >= 0, table[0], dead)     # where a new phrase stands
+                full = np.vstack([np.where(table >= 0, table, begin[None, :]), begin]).astype(np.uint32)
+                full *= np.uint32(width)
+                full += np.uint32(at)
+                full[1:dead][table[1:] < 0] |= _FLAG
+                full[dead] |= _FLAG
+                tables.append(full.ravel())
+                column = np.full(self.width, len(own), dtype=np.uint32)
+                column[own] = np.arange(len(own))
+                columns.append(column)
+                starts.append(at)
+                deads.append(at + dead * width)
+                at += (dead + 1) * width
+            else:
+                nxt = _suffix_automaton(symbols)
+                dead = len(nxt)
+                moves = sorted((s * self.width + c, t) for s, row in enumerate(nxt) for c, t in row.items())
+                begin = np.full(self.width, dead, dtype=np.uint32)
+                begin[list(nxt[0])] = list(nxt[0].values())
+                self.lists.append((np.array([k for k, _ in moves], np.int64), np.array([t for _, t in moves], np.uint32), begin))
+                starts.append(0)
+                deads.append(dead)
+            kinds.append(not dense)
+            sizes.append(len(symbols))
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.uint32)
+        self.columns = np.array(columns, dtype=np.uint32).reshape(len(columns), self.width)
+        self.order = np.argsort(kinds, kind="stable").astype(np.int64)      # tables come first
+        self.starts = np.array(starts, dtype=np.uint32)[self.order]
+        self.deads = np.array(deads, dtype=np.uint32)[self.order]
+        self.bits = np.array([np.log2(max(n, 2)) for n in sizes])
 
     def symbols(self, text: str) -> np.ndarray:
         s = self.fold[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
@@ -94,8 +123,24 @@ class Automata:
         np.cumsum(s != 0, out=letters[1:])
         return s[keep], kept[bounds], letters[bounds[1:]] - letters[bounds[:-1]]
 
-    def phrases(self, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Phrases that each text needs in each language: (texts, languages)."""
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Entries of ``state`` (languages in ``order``, blocks) at the blocks' symbols ``c``."""
+        n = len(self.columns)
+        if not self.lists:
+            return self.table[state + self.columns[:, c]]
+        out = np.empty_like(state)
+        if n:
+            out[:n] = self.table[state[:n] + self.columns[:, c]]
+        for j, (keys, nxt, begin) in enumerate(self.lists, n):
+            key = state[j].astype(np.int64) * self.width + c
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            out[j] = np.where(keys[at] == key, nxt[at], begin[c] | np.where(state[j] != 0, _FLAG, np.uint32(0)))
+        return out
+
+    def phrases(self, symbols: np.ndarray, bounds: np.ndarray, mixed: bool = False) -> np.ndarray:
+        """Phrases that each text needs in each language: (texts, languages).
+
+        With ``mixed`` a last column: the phrases it needs if each may be of any language."""
         sizes, langs = np.diff(bounds), len(self.names)
         per = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(sizes)), per)
@@ -105,27 +150,40 @@ class Automata:
         order = np.argsort(-length, kind="stable")
         begin, length, owner = begin[order], length[order], owner[order]
         state = np.repeat(self.starts[:, None], len(owner), axis=1)
-        ended = np.ones((langs, len(owner)), dtype=np.uint32)     # the phrase that is open at a block's end
+        both = state.copy()
+        ended = np.ones((langs + mixed, len(owner)), dtype=np.uint32)     # the phrase that is open at a block's end
         alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")   # blocks longer than t
-        for t in range(int(length[0]) if len(length) else 0):
+        for t in range(int(length[0]) if len(length) and langs else 0):
             k = alive[t]
-            v = self.table[state[:, :k] + symbols[begin[:k] + t]]
-            ended[:, :k] += v >> np.uint32(31)
+            c = symbols[begin[:k] + t]
+            v = self.step(state[:, :k], c)
+            ended[:langs, :k] += v >> np.uint32(31)
             state[:, :k] = v & ~_FLAG
-        out = np.zeros((len(sizes), langs))
-        np.add.at(out, owner, ended.T)
+            if mixed:
+                # A language whose match has ended waits in its dead state until all have.
+                v = self.step(both[:, :k], c)
+                over = v >= _FLAG
+                last = over.all(axis=0)
+                ended[langs, :k] += last
+                both[:, :k] = np.where(over & ~last, self.deads[:, None], v & ~_FLAG)
+        out = np.zeros((len(sizes), langs + mixed))
+        np.add.at(out, owner, ended[np.concatenate([np.argsort(self.order), np.arange(langs, langs + mixed)])].T)
         return out
 
-    def rates(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rates(self, buf: np.ndarray, offsets: np.ndarray, mixed: bool = False
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Normalised phrases (bits a character) of each text in each language,
-        whether it has letters, and how many symbols were parsed."""
+        whether it has letters, how many symbols were parsed, and (``mixed``; else
+        0) its phrases if each may be of any language."""
         symbols, bounds, letters = self.slice_symbols(buf, offsets)
-        n = np.diff(bounds)
-        return self.phrases(symbols, bounds) * self.bits[None, :] / np.maximum(n, 1)[:, None], letters > 0, n
+        n, langs = np.diff(bounds), len(self.names)
+        count = self.phrases(symbols, bounds, mixed)
+        return (count[:, :langs] * self.bits[None, :] / np.maximum(n, 1)[:, None], letters > 0, n,
+                count[:, langs] if mixed else np.zeros(len(n)))
 
 
-def _suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Transition table (states, width) of the suffix automaton; -1 where there is none."""
+def _suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton."""
     nxt: list[dict[int, int]] = [{}]
     link, size, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -151,6 +209,11 @@ def _suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
+    return nxt
+
+
+def _table(nxt: list[dict[int, int]], width: int) -> np.ndarray:
+    """Transition table (states, width); -1 where there is none."""
     table = np.full((len(nxt), width), -1, dtype=np.int32)
     for s, row in enumerate(nxt):
         for c, t in row.items():
@@ -164,15 +227,13 @@ def automata(samples: tuple[tuple[str, str], ...]) -> Automata:
     return Automata(samples)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          holdout: tuple[int, int] = (4, 2)) -> tuple[tuple[str, str], ...]:
-    """Sample text of every language, from labelled rows outside the holdout.
-
-    The bounds are SAMPLE_DOCS texts a language, PER_DOC characters a text (from
-    its start) and SAMPLE_CHARS characters a language."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, holdout: tuple[int, int], held: bool) -> dict[str, list[str]]:
+    """The first PER_DOC characters of at most SAMPLE_DOCS labelled texts a language
+    (smallest hashed ids), of the holdout or outside it."""
+    inside = id_remainder(F.col("id"), holdout[0]) == holdout[1]
     known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.substring(
         F.col(text_col), 1, PER_DOC).alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (id_remainder(F.col("id"), holdout[0]) != holdout[1]))
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (inside if held else ~inside))
     # A few times as many rows as are needed, by hash; so the ranking below sees no more.
     share = F.lit(0)
     for r in known.groupBy("lang").count().collect():      # one row per language
@@ -184,18 +245,30 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
         out.setdefault(r["lang"], []).append(r["text"])
+    return out
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          holdout: tuple[int, int] = (4, 2)) -> tuple[tuple[str, str], ...]:
+    """Sample text of every language, from labelled rows outside the holdout.
+
+    The bounds are SAMPLE_DOCS texts a language, PER_DOC characters a text (from
+    its start) and SAMPLE_CHARS characters a language."""
+    out = _labelled(docs, id_col, text_col, lang_col, holdout, held=False)
     return tuple((lang, "\n".join(dict.fromkeys(texts))[:SAMPLE_CHARS]) for lang, texts in sorted(out.items()))
 
 
 def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list[str], text_col: str = "text",
-            prefix: str = "") -> DataFrame:
+            prefix: str = "", mixed: bool = False) -> DataFrame:
     """``columns`` of every row, lang_pred, score, bits and n_symbols (their names after ``prefix``).
 
     lang_pred: the language with the fewest normalised phrases (``und`` for a
     null text, one without a letter, or if there is no sample); ties go to the
     first name. score: how much worse the second language is, second / (first +
     second), 0 for ``und``. bits: the winner's bits a character (null for ``und``).
-    n_symbols: characters that were parsed (a run of non-letters is one)."""
+    n_symbols: characters that were parsed (a run of non-letters is one). phrases:
+    (``mixed`` only) how many the text takes if each may be of any language."""
+    more = ["lang_pred", "score", "bits", "n_symbols", *(["phrases"] if mixed else [])]
     names = [f"c{k}" for k in range(len(columns))]
     text = names[columns.index(text_col)] if text_col in columns else "__text"
 
@@ -204,7 +277,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
         labels = np.array([*model.names, UNDETERMINED], dtype=object)
         for batch in batches:
             for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 21):
-                rate, lettered, n = model.rates(buf, offsets)
+                rate, lettered, n, both = model.rates(buf, offsets, mixed)
                 if not model.names:
                     lettered[:] = False
                     rate = np.ones((len(lettered), 1))
@@ -213,15 +286,16 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
                 share = two[:, 1] / np.maximum(two.sum(axis=1), 1e-12) if two.shape[1] == 2 else np.ones(len(rate))
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(k).slice(i, j - i) for k in range(len(names))), pa.array(labels[best], pa.string()),
-                    pa.array(np.where(lettered, share, 0.0)), pa.array(two[:, 0], mask=~lettered), pa.array(n)],
-                    [*names, "lang_pred", "score", "bits", "n_symbols"])
+                    pa.array(np.where(lettered, share, 0.0)), pa.array(two[:, 0], mask=~lettered), pa.array(n),
+                    *([pa.array(both)] if mixed else [])], [*names, *more])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
     sent = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
     out = small_batches(docs).select(*sent, *([] if text in names else [F.col(f"`{text_col}`").alias(text)])).mapInArrow(
-        run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "lang_pred string, score double, bits double, n_symbols long"]))
+        run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds)), "lang_pred string, score double, bits double, n_symbols long",
+                         *(["phrases double"] if mixed else [])]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)),
-                      *(F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "bits", "n_symbols")))
+                      *(F.col(c).alias(prefix + c) for c in more))
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

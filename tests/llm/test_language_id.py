@@ -83,3 +83,45 @@ def test_edge_cases(spark):
     assert got[None][0]["lang_pred"] == "en" and got[None][0]["held_out"] is False and len(got[5]) == 3
     assert run(spark.createDataFrame([], SCHEMA)).count() == 0
     assert [r["lang_pred"] for r in run(spark.createDataFrame([(1, "no label", None, "")], SCHEMA)).collect()] == ["und"]
+
+
+def test_large_alphabets_are_told_apart(spark):
+    rng = random.Random(4)
+    words = dict(WORDS)
+    for name, first in (("zh", 0x4E00), ("ja", 0x6000), ("ko", 0xAC00)):      # 400 letters each, words of the same lengths
+        words[name] = ["".join(chr(first + rng.randrange(400)) for _ in range(2 + k % 3)) for k in range(300)]
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang, "x")
+            for i in range(600) for lang in [sorted(words)[i % len(words)]]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert all(len(set(text)) > L.TABLE_LETTERS for name, text in learn(df) if name in ("zh", "ja", "ko"))
+    held = [r for r in run(df).collect() if r["held_out"]]
+    assert len(held) > 60 and all(r["lang_pred"] == rows[r["doc_id"]][2] for r in held)
+
+
+def test_tables_and_lists_give_the_same_phrases(monkeypatch):
+    rng = random.Random(5)
+    samples = tuple((lang, prose(rng, lang, 200)) for lang in sorted(WORDS))
+    texts = [prose(rng, lang, n) for lang in WORDS for n in (1, 9, 300)] + ["жжж ça ÜBER", ""]
+    found = []
+    for most in (64, 17, 0):        # all tables, some, none
+        monkeypatch.setattr(L, "TABLE_LETTERS", most)
+        model = Automata(samples)
+        parsed = [model.symbols(t) for t in texts]
+        found.append((len(model.lists), model.phrases(np.concatenate(parsed), np.cumsum([0, *map(len, parsed)]), mixed=True).tolist()))
+    assert [n for n, _ in found][::2] == [0, 3] and 0 < found[1][0] < 3
+    assert found[0][1] == found[1][1] == found[2][1]
+
+
+def test_mixed_phrases_are_those_of_all_samples_together():
+    rng = random.Random(6)
+    samples = tuple((lang, prose(rng, lang, 80)) for lang in sorted(WORDS))
+    model = Automata(samples)
+
+    def show(text):
+        return "".join(chr(65 + s) for s in model.symbols(text).tolist())
+    together = "\0".join(show(sample) for _, sample in samples)
+    texts = [prose(rng, "en", 20) + " " + prose(rng, "fr", 20), prose(rng, "de", 30), "xyz zyx жж", "a"]
+    parsed = [model.symbols(t) for t in texts]
+    got = model.phrases(np.concatenate(parsed), np.cumsum([0, *map(len, parsed)]), mixed=True)
+    assert got[:, -1].tolist() == [phrases_by_search(together, show(t)) for t in texts]
+    assert (got[:, -1] <= got[:, :-1].min(axis=1)).all() and got[0, -1] < got[0, :-1].min()
