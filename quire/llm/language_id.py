@@ -27,6 +27,7 @@ SAMPLE_CHARS = 16_384   # ... and how many of their characters the automaton hol
 PER_DOC = 1_024         # at most so many characters of one sample text
 BLOCK = 1_024           # texts are parsed in blocks of so many characters, each from its start
 TABLE_LETTERS = 64      # a language of more symbols than these is a sorted list of transitions, not a table
+BESIDES = 32            # phrases that any text may have above its rate: a token or an address of some 40 symbols
 UNDETERMINED = "und"
 
 _FLAG = np.uint32(1 << 31)
@@ -258,6 +259,50 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return tuple((lang, "\n".join(dict.fromkeys(texts))[:SAMPLE_CHARS]) for lang, texts in sorted(out.items()))
 
 
+def limits(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang", holdout: tuple[int, int] = (4, 2)) -> tuple[dict[str, float], float]:
+    """``strange`` of at most SAMPLE_DOCS labelled texts a language from the holdout."""
+    return strange(samples, _labelled(docs, id_col, text_col, lang_col, holdout, held=True))
+
+
+def strange(samples: tuple[tuple[str, str], ...], held: dict[str, list[str]]) -> tuple[dict[str, float], float]:
+    """(phrases a symbol by language, phrases besides): a text with more ``phrases``
+    than ``n_symbols`` times its language's rate and those besides is in none of them.
+
+    The rate lies midway between texts that change language with every word, and
+    the same with their letters in random order; the language it is mixed with is
+    the one that gives the highest. Besides come the most phrases that any passage
+    of a labelled text (of 1, 2, 4 ... symbols) has above its language's rate: an
+    address or a token in it is no other language. They are BESIDES at least, for
+    labelled texts may hold none. Languages without held-out texts have no rate."""
+    model, rng = automata(samples), np.random.default_rng(0)
+    langs = [name for name in model.names if held.get(name)]
+
+    def count(parsed: list[np.ndarray]) -> np.ndarray:
+        bounds = np.cumsum([0, *map(len, parsed)])
+        return model.phrases(np.concatenate(parsed), bounds, mixed=True)[:, -1]
+
+    rates: dict[str, float] = {}
+    for k, name in enumerate(langs):
+        pairs: dict[str, list[np.ndarray]] = {}
+        for i, text in enumerate(held[name]):
+            other = langs[(k + 1 + i % max(len(langs) - 1, 1)) % len(langs)]
+            words, more = text.split(), held[other][i % len(held[other])].split()
+            both = [w for pair in zip(words, more) for w in pair] if other != name else words
+            pairs.setdefault(other, []).append(model.symbols(" ".join(both)))
+        for parsed in pairs.values():
+            n = np.array([len(p) for p in parsed])
+            own, shuffled = count(parsed), count([rng.permutation(p) for p in parsed])
+            rates[name] = max(rates.get(name, 0.0), float(np.median((own + shuffled) / 2 / n)))
+    besides = float(BESIDES)
+    for name in langs:
+        parsed = [s for text in held[name] if len(s := model.symbols(text))]
+        cuts = [p[at:at + (1 << e)] for p in parsed for e in range(len(p).bit_length() + 1)
+                for at in range(0, max(len(p) - (1 << e) // 2, 1), max((1 << e) // 2, 1))]
+        besides = max([besides, *(count(cuts) - rates[name] * np.array([len(c) for c in cuts]))])
+    return rates, float(besides)
+
+
 def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list[str], text_col: str = "text",
             prefix: str = "", mixed: bool = False) -> DataFrame:
     """``columns`` of every row, lang_pred, score, bits and n_symbols (their names after ``prefix``).
