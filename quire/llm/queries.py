@@ -15,6 +15,7 @@ from quire.llm.common import documents
 from quire.llm.jaccard_join import Rule, jaccard_groups
 from quire.llm.language_id import language_id
 from quire.llm.mil_quality import quality_scores
+from quire.llm.minhash import near_duplicates
 from quire.llm.packing import pack_documents
 from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
@@ -81,6 +82,10 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 URL_SQL = """
 WITH u AS (
   SELECT page_id,
@@ -124,6 +129,32 @@ FROM s GROUP BY conv_id
 """
 
 
+# All pairs with a common shingle, their overlaps counted, and the links followed.
+MINHASH_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS g
+  FROM w WHERE len(words) > 0
+), e AS MATERIALIZED (
+  SELECT doc_id, unnest(g) AS x, len(g) AS n FROM s
+), l AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS id, doc_id AS reached FROM w
+  UNION
+  SELECT r.id, l.v FROM r JOIN l ON l.u = r.reached
+), c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id)
+SELECT w.doc_id, coalesce(len(s.g), 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w JOIN c ON c.id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -136,8 +167,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_sharding": op9_sharding,
         "op10_mil_quality": op10_mil_quality,
+        "op13_minhash": op13_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": CHAT_SQL, "op8_url_rules": URL_SQL}
+    return {"op4_chat_format": CHAT_SQL, "op8_url_rules": URL_SQL, "op13_minhash": MINHASH_SQL}
