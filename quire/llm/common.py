@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import stage_path
+from quire.session import hadoop_fs, shared_dir, stage_path
 
 # A word is a run of bytes other than space and 0x09-0x0D.
 _SPACE = np.zeros(256, dtype=bool)
@@ -114,6 +114,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove the folders of a staged frame that nothing reads any more. Only folders
+    below the shared folder's stages are touched."""
+    stages = shared_dir(df.sparkSession) + "/stage/"
+    inner = stages.split("://")[-1].split("file:")[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if inner in folder:
+            fs, path = hadoop_fs(df.sparkSession, folder)
+            fs.delete(path, True)
+
+
 def id_remainder(c: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
     return F.crc32(c.cast("string").cast("binary")) % F.lit(modulus)

@@ -16,6 +16,7 @@ from quire.llm.jaccard_join import Rule, jaccard_groups
 from quire.llm.language_id import language_id
 from quire.llm.mil_quality import quality_scores
 from quire.llm.minhash import near_duplicates
+from quire.llm.ns_kmeans import cluster
 from quire.llm.packing import pack_documents
 from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
@@ -82,6 +83,10 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op12_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(load(spark, sf_dir, "embeddings")).drop("scanned")
+
+
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -129,6 +134,43 @@ FROM s GROUP BY conv_id
 """
 
 
+# The five rounds written out, every vector against every centroid.
+KMEANS_HEAD = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS j, x AS c
+  FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM kept ORDER BY h, x LIMIT 40)
+)"""
+
+# Distances of all pairs; of the nearest, the smaller number.
+KMEANS_ASSIGN = """, a{t} AS MATERIALIZED (
+  SELECT row_id, any_value(vec_id) AS vec_id, any_value(x) AS x, min({{'d': d, 'j': j}}) AS best
+  FROM (SELECT k.row_id, k.vec_id, k.x, c{t}.j, list_sum(list_transform(list_zip(k.x, c{t}.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM (SELECT *, row_number() OVER () AS row_id FROM kept) k CROSS JOIN c{t})
+  GROUP BY row_id
+)"""
+
+KMEANS_MOVE = """, s{u} AS (
+  SELECT j, pos, sum(v)::HUGEINT AS s, count(*) AS n
+  FROM (SELECT best.j AS j, unnest(x) AS v, unnest(range(64)) AS pos FROM a{t}) GROUP BY j, pos
+), m{u} AS (
+  SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS c FROM s{u} GROUP BY j
+), c{u} AS MATERIALIZED (
+  SELECT c{t}.j, coalesce(m{u}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{u} ON m{u}.j = c{t}.j
+)"""
+
+KMEANS_TAIL = """
+SELECT vec_id, best.j AS cluster, CAST(best.d AS BIGINT) AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.j) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c5.c, ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c5.j = a5.best.j"""
+
+KMEANS_SQL = KMEANS_HEAD + "".join(
+    KMEANS_ASSIGN.format(t=t) + (KMEANS_MOVE.format(t=t, u=t + 1) if t < 5 else "") for t in range(6)) + KMEANS_TAIL
+
 # All pairs with a common shingle, their overlaps counted, and the links followed.
 MINHASH_SQL = r"""
 WITH RECURSIVE w AS MATERIALIZED (
@@ -167,9 +209,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_sharding": op9_sharding,
         "op10_mil_quality": op10_mil_quality,
+        "op12_ns_kmeans": op12_ns_kmeans,
         "op13_minhash": op13_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": CHAT_SQL, "op8_url_rules": URL_SQL, "op13_minhash": MINHASH_SQL}
+    return {"op4_chat_format": CHAT_SQL, "op8_url_rules": URL_SQL, "op12_ns_kmeans": KMEANS_SQL, "op13_minhash": MINHASH_SQL}
