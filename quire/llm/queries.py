@@ -22,6 +22,7 @@ from quire.llm.quality_rules import quality_rules
 from quire.llm.sharding import shard_documents
 from quire.llm.syncmers import fingerprints
 from quire.llm.url_rules import url_verdicts
+from quire.llm.whitening import whiten
 from quire.plans.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -83,6 +84,10 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(load(spark, sf_dir, "embeddings"))
+
+
 def op12_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(load(spark, sf_dir, "embeddings")).drop("scanned")
 
@@ -209,6 +214,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_sharding": op9_sharding,
         "op10_mil_quality": op10_mil_quality,
+        "op11_whitening": op11_whitening,
         "op12_ns_kmeans": op12_ns_kmeans,
         "op13_minhash": op13_minhash,
     }
