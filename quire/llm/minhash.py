@@ -11,8 +11,10 @@ A band holds both ends of ROWS permutations. Documents that agree on a band are
 candidates: each band's members meet one leader first, and another one in every
 band, so that the members of a large group hang together after a number of
 comparisons in proportion to its size. Only members that are still in different
-components are then compared with each other. Every candidate is confirmed on the
-whole sets; a bucket has no cap.
+components are then compared with each other: in small buckets as rows, in large ones
+block by block inside a task, where bit planes of the sets bound each overlap
+from above, and only pairs that can reach the similarity become rows. Every candidate is
+confirmed on the whole sets; a bucket has no cap.
 
 Two sets at exactly 0.8 share no band with a probability of (1 - 0.8**6)**64 = 3e-9 when
 they are large, and of 2e-7 for four of five shingles; nearer sets far more rarely.
@@ -33,6 +35,10 @@ from quire.llm.jaccard_join import Rule, _set_key, _sets, _verified, histogram
 
 BANDS = 64
 ROWS = 3           # permutations in a band, so 2 * ROWS slots
+SMALL = 16         # members of a bucket whose pairs are formed as rows
+BLOCK = 512        # members (on average) of a block of a larger bucket
+CELLS = 1024       # cells of a set's bit planes
+LEVELS = 3         # plane t tells which cells hold more than t elements
 SIMILAR = Rule(words=4, num=4, den=5)
 
 
@@ -76,9 +82,23 @@ def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
+def bit_planes(s: np.ndarray) -> bytes:
+    """LEVELS planes of CELLS bits of a set, and the number of elements beyond them."""
+    count = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=CELLS)
+    planes = np.packbits(count[None] > np.arange(LEVELS)[:, None], axis=1)
+    return planes.tobytes() + np.maximum(count - LEVELS, 0).sum(keepdims=True).astype("<i8").tobytes()
+
+
+def overlap_bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of one set with many, from their planes (words): in each
+    cell no more elements can agree than the smaller count."""
+    return np.bitwise_count(y[:, :-1] & x[:-1]).sum(axis=1, dtype=np.int64) + np.minimum(
+        y[:, -1].view(np.int64), np.int64(x[-1]))
+
+
 def signed(texts: DataFrame, kind: str, rule: Rule, bands: int, rows: int) -> DataFrame:
-    """(id, n, k1, k2, cells, bands) of every text (id, text): size, key and histogram
-    of its shingle set, and the keys of its signature's bands."""
+    """(id, n, k1, k2, cells, planes, bands) of every text (id, text): size, key, histogram
+    and bit planes of its shingle set, and the keys of its signature's bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, sets in _sets(batch, rule):
@@ -89,11 +109,11 @@ def signed(texts: DataFrame, kind: str, rule: Rule, bands: int, rows: int) -> Da
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
-                    pa.array([histogram(s) for s in sets], pa.binary()),
+                    pa.array([histogram(s) for s in sets], pa.binary()), pa.array([bit_planes(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(held, pa.int64()))],
-                    ["id", "n", "k1", "k2", "cells", "bands"])
+                    ["id", "n", "k1", "k2", "cells", "planes", "bands"])
 
-    return texts.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, cells binary, bands array<long>")
+    return texts.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, cells binary, planes binary, bands array<long>")
 
 
 def _led(lists: DataFrame) -> DataFrame:
@@ -101,7 +121,37 @@ def _led(lists: DataFrame) -> DataFrame:
     return lists.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def _across(lists: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
+def _members(column: pa.ListScalar) -> tuple[np.ndarray, ...]:
+    """Of a block: ids, set sizes, components, and planes as words."""
+    v = column.values
+    rep, n, component = (v.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "component"))
+    return rep, n, component, np.frombuffer(b"".join(v.field("planes").to_pylist()), np.uint64).reshape(len(n), -1)
+
+
+def _block_pairs(blocks: DataFrame, kind: str, rule: Rule) -> DataFrame:
+    """(a, b): of rows (main, x, y), the pairs of a member of block x and one of block y that
+    belong to different components and can be near enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                main = batch.column(0)[r].as_py()
+                rep, n, component, planes = _members(batch.column(1)[r])
+                reps, m, components_, others = _members(batch.column(2)[r])
+                a, b = [], []
+                for k in range(len(rep)):
+                    fit = np.flatnonzero((components_ != component[k]) & ((components_ == main) | (reps > rep[k])) & (
+                        np.minimum(m, n[k]) * rule.den >= np.maximum(m, n[k]) * rule.num))
+                    most = overlap_bounds(planes[k], others[fit])
+                    fit = fit[most * (rule.num + rule.den) >= (m[fit] + n[k]) * rule.num]
+                    a += [rep[k]] * len(fit)
+                    b.append(reps[fit])
+                one = batch.schema.field("x").type.value_type.field("rep").type
+                yield pa.RecordBatch.from_arrays([pa.array(a, one), pa.array(np.concatenate(b) if b else [], one)], ["a", "b"])
+
+    return blocks.select("main", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _across(lists: DataFrame, joined: DataFrame, classes: DataFrame, kind: str, rule: Rule) -> DataFrame:
     """(a, b): pairs of a bucket whose members belong to different components.
 
     The bucket's largest component needs no comparing within; every other member
@@ -109,16 +159,25 @@ def _across(lists: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
     member = staged(lists.join(joined, F.col("rep") == F.col("id"), "left").select(
         "sig", "rep", "n", F.coalesce("component", "rep").alias("component")), "minhash-members")
     sizes = member.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("size"))
-    mixed = sizes.groupBy("sig").agg(F.max_by("component", "size").alias("main"), F.count(F.lit(1)).alias("parts")).filter(
-        "parts > 1").drop("parts")
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(rule.den / rule.num))).cast("int")
-    held = staged(member.join(mixed, "sig").withColumn("step", step), "minhash-open")
-    x = held.filter("component <> main").withColumn("at", F.explode(F.array(*(F.col("step") + k for k in (-1, 0, 1))))).alias("x")
-    y = held.withColumn("at", F.col("step")).alias("y")
+    mixed = sizes.groupBy("sig").agg(F.max_by("component", "size").alias("main"), F.count(F.lit(1)).alias("parts"),
+                                     F.sum("size").alias("size"), F.max("size").alias("most")).filter("parts > 1").drop("parts")
+    held = staged(member.join(mixed, "sig"), "minhash-open")
+
+    small = held.filter(F.col("size") <= SMALL)
+    x, y = small.filter("component <> main").alias("x"), small.alias("y")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
     near = F.least("x.n", "y.n") * rule.den >= F.greatest("x.n", "y.n") * rule.num
-    return x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.at") == F.col("y.at")) & once & near & (
-        F.col("x.component") != F.col("y.component"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    few = x.join(y, (F.col("x.sig") == F.col("y.sig")) & once & near & (F.col("x.component") != F.col("y.component"))).select(
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+
+    large = staged(held.filter(F.col("size") > SMALL).join(classes.select("rep", "planes"), "rep").select(
+        "sig", "main", "component", F.ceil(F.col("size") / BLOCK).alias("blocks"),
+        F.ceil((F.col("size") - F.col("most")) / BLOCK).alias("strays"), F.xxhash64("rep").alias("h"),
+        F.struct("rep", "n", "component", "planes").alias("v")), "minhash-large")
+    ys = large.groupBy("sig", F.pmod("h", "blocks").alias("at")).agg(F.collect_list("v").alias("y"))
+    xs = large.filter("component <> main").groupBy("sig", "main", "blocks", F.pmod("h", "strays").alias("part")).agg(
+        F.collect_list("v").alias("x")).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return few.union(_block_pairs(xs.join(ys, ["sig", "at"]), kind, rule)).distinct()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = SIMILAR, id_col: str = "doc_id", text_col: str = "text",
@@ -137,14 +196,14 @@ def near_duplicates(docs: DataFrame, rule: Rule = SIMILAR, id_col: str = "doc_id
     kind = texts.schema["id"].dataType.simpleString()
     every = staged(signed(texts, kind, rule, bands, rows), "minhash-signed")
     classes = staged(every.filter("n > 0 and id is not null").groupBy("k1", "k2", "n").agg(
-        F.min("id").alias("rep"), F.first("cells").alias("cells"), F.first("bands").alias("bands")), "minhash-classes")
+        F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("cells", "planes", "bands"))), "minhash-classes")
 
     entries = classes.select("rep", "n", F.explode("bands").alias("sig"))
     # Another leader in each bucket: large groups hang together through many of their members.
     heads = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min_by("rep", F.xxhash64("sig", "rep")).alias("leader"))
     lists = staged(entries.join(heads.filter("size > 1").drop("size"), "sig"), "minhash-lists")
     links = _verified(_led(lists), classes, texts, kind, rule)
-    more = _verified(_across(lists, components(links), rule), classes, texts, kind, rule)
+    more = _verified(_across(lists, components(links), classes, kind, rule), classes, texts, kind, rule)
 
     named = staged(classes.select("k1", "k2", "n", "rep").join(components(links.union(more)), F.col("rep") == F.col("id"), "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component")), "minhash-named")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from quire.llm import minhash
 from quire.llm.jaccard_join import Rule
-from quire.llm.minhash import band_keys, estimate, min_max, near_duplicates
+from quire.llm.minhash import band_keys, bit_planes, estimate, min_max, near_duplicates, overlap_bounds
 from llm.test_jaccard_join import brute, corpus
 
 SCHEMA = T.StructType([T.StructField(c, t) for c, t in (
@@ -27,8 +27,11 @@ def test_same_groups_as_brute_force(spark, seed, rule):
     assert run(spark, rows, rule) == brute(rows, rule)
 
 
-def test_large_group_of_unlike_copies(spark):
+@pytest.mark.parametrize("small,block", [(16, 40), (1 << 20, 1)])
+def test_large_group_of_unlike_copies(spark, monkeypatch, small, block):
     """Copies of one text with other words changed: some link, some only through others."""
+    monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(60)]
     rows = [(0, " ".join(base))]
@@ -52,6 +55,17 @@ def test_edge_cases(spark):
     assert got == [("5", False), ("5", True), ("5", True), ("None", True)]
 
 
+def test_planes_bound_overlaps_from_above():
+    rng = np.random.default_rng(6)
+    for size in (1, 50, 4000, 40_000):
+        x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        y = np.unique(np.concatenate([x[: size * 3 // 4], rng.integers(0, 1 << 63, size // 4, dtype=np.uint64)]))
+        a, b = (np.frombuffer(bit_planes(v), np.uint64) for v in (x, y))
+        bound = int(overlap_bounds(a, b[None])[0])
+        assert len(np.intersect1d(x, y)) <= bound <= min(len(x), len(y))
+        assert size > 50 or bound <= len(np.intersect1d(x, y)) + 2
+
+
 def test_both_ends_are_unbiased_and_vary_less():
     rng = np.random.default_rng(3)
     both, least = [], []
