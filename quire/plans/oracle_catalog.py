@@ -220,7 +220,7 @@ te AS (SELECT title, unnest(g) AS tri, len(g) AS nr FROM tg),
 qe AS (SELECT query, unnest(g) AS tri, len(g) AS nq FROM qg),
 s AS (SELECT query, title, count(*) AS sh, any_value(nq) AS nq, any_value(nr) AS nr
       FROM te JOIN qe USING (tri) GROUP BY query, title)
-SELECT query, title, round(sh / (nq + nr - sh), 4) AS similarity FROM s WHERE sh / (nq + nr - sh) >= 0.6"""
+SELECT query, title, round(sh / (nq + nr - sh), 4) AS similarity FROM s WHERE sh / (nq + nr - sh) >= 0.3"""
 
 Q_LOOKUPS = f"""
 SELECT 'REF' || {_s('p_partkey')} AS record_reference, {isbn('978', 'p_partkey')} AS isbn13,

@@ -9,11 +9,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows above which a "small" side is not broadcast but shuffled instead
-# (the broadcast sides are narrow: keys, terms, per-file flags).
+# Measured size above which a "small" side is not broadcast but shuffled instead, and
+# the rows that are looked at to find that out.
+BROADCAST_BYTES = 64 << 20
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
@@ -78,15 +80,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven below ``max_rows``.
+def _bytes_of(name: str, kind: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+        return F.coalesce(F.size(c), F.lit(0)) * 8 + 32
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.octet_length(F.to_json(F.struct(c))) * 2 + 32
+    return F.lit(16)
 
-    The count runs on the (small) side only; beyond the bound the frame is
+
+def measured_bytes(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> int | None:
+    """About how many bytes the rows of ``df`` take in memory; None beyond ``max_rows``."""
+    width = sum((_bytes_of(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
+    r = df.limit(max_rows + 1).select(width.cast("long").alias("w")).agg(F.count("w").alias("n"), F.sum("w").alias("b")).first()
+    return None if r["n"] > max_rows else int(r["b"] or 0)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its measured size is at most ``max_bytes``.
+
+    The measuring runs on the (small) side only; beyond the bound the frame is
     returned as is and the planner shuffles (AQE may still pick a broadcast
-    at run time from real sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    at run time from real sizes)."""
+    size = measured_bytes(df, max_rows)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def hadoop_fs(spark: SparkSession, path: str):
