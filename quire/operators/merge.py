@@ -167,9 +167,9 @@ def apply_notices(books: DataFrame, products: DataFrame, as_of, order: str = "ar
     """Merge one run of ONIX notices (O-62 … O-65) in one pass.
 
     Upserts replace a book's fields (last notice per reference wins); delete
-    notices (``05``) remove the book holding their ISBN, or their reference
-    when they carry no ISBN; whichever notice of a book comes last decides its
-    state. Unmatched deletes insert nothing.
+    notices (``05``) remove the book holding their ISBN at their place in the run, or
+    their reference when they carry no ISBN; whichever notice of a book comes last
+    decides its state. Unmatched deletes insert nothing.
 
     Plan: the notices are read once and reduced by one aggregate keyed by
     (kind, key) — map-side combined, so a hot key is cheap; delete-by-ISBN keys
@@ -198,9 +198,12 @@ def apply_notices(books: DataFrame, products: DataFrame, as_of, order: str = "ar
     refs = agg.where(F.col("__kind") == "r").select(F.col("__k").alias(fallback), "__p", "__up", "__dl")
     isbn_dels = bounded_broadcast(agg.where(F.col("__kind") == "i").select(F.col("__k").alias(primary),
                                                                            F.col("__dl").alias("__dli")))
-    holders = (books.select(fallback, primary)
-               .unionByName(refs.where(F.col("__p").isNotNull()).select(fallback, F.col(f"__p.{primary}").alias(primary))))
-    via_isbn = holders.join(isbn_dels, primary).groupBy(fallback).agg(F.max("__dli").alias("__dli"))
+    # A delete counts only after the book's last upsert (which undoes earlier ones), so a book is
+    # found by the ISBN that it holds from then on: that of its last upsert in the run, else the stored one.
+    moved = refs.where(F.col("__p").isNotNull())
+    stored = books.select(fallback, primary).join(isbn_dels, primary).select(fallback, "__dli").join(moved, fallback, "left_anti")
+    held = moved.select(fallback, F.col(f"__p.{primary}").alias(primary)).join(isbn_dels, primary).select(fallback, "__dli")
+    via_isbn = stored.unionByName(held).groupBy(fallback).agg(F.max("__dli").alias("__dli"))
     inc = refs.join(via_isbn, fallback, "full")
     dl = F.greatest(F.col("n.__dl"), F.col("n.__dli"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.scalars import valid_isbn13
 from quire.schemas import BOOK_LENGTHS
+from quire.session import bounded_broadcast
 
 
 def quarantine(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
@@ -27,12 +28,15 @@ def quarantine(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[Da
 
 def isbn_holders(rows: DataFrame, books: DataFrame, order: str = "arrival",
                  key: str = "record_reference", isbn: str = "isbn13") -> DataFrame:
-    """The reference allowed to hold each ISBN: the catalogue's current holder,
-    else the first row of the batch carrying it (second unique key)."""
-    first = (rows.where(F.col(isbn).isNotNull()).groupBy(isbn)
-             .agg(F.min_by(key, order).alias("__first")))
-    cur = books.where(F.col(isbn).isNotNull()).select(isbn, F.col(key).alias("__cur"))
-    return first.join(cur, isbn, "full").select(isbn, F.coalesce("__cur", "__first").alias("__holder"))
+    """Of each ISBN of a run the reference allowed to hold it: the catalogue's current
+    holder, else the first row of the run carrying it (second unique key).
+
+    Only the run's ISBNs are looked up, so the catalogue is read in two columns and
+    reduced to them before anything of it is shuffled. A bad value that many rows share
+    is one row here; their join with it is split by AQE's skew rule, or broadcast."""
+    first = rows.where(F.col(isbn).isNotNull()).groupBy(isbn).agg(F.min_by(key, order).alias("__first"))
+    cur = books.select(isbn, F.col(key).alias("__cur")).join(bounded_broadcast(first.select(isbn)), isbn, "left_semi")
+    return first.join(cur, isbn, "left").select(isbn, F.coalesce("__cur", "__first").alias("__holder"))
 
 
 def book_rules(raw_page: str | None = "page_raw", raw_date: str | None = "date_raw",

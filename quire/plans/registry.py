@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.plans import bookkeeping as bk
-from quire.plans import (books, catalog, derived_q, feeds, oracle, oracle_bookkeeping, oracle_catalog, oracle_derived,
-                         oracle_feeds, oracle_streams, streams)
+from quire.plans import (books, catalog, derived_q, feeds, ingest, oracle, oracle_bookkeeping, oracle_catalog, oracle_derived,
+                         oracle_feeds, oracle_ingest, oracle_streams, streams)
 from quire.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,8 @@ def _queries() -> dict[str, Query]:
         "stream_onix_merge": streams.q_stream_onix_merge,
         "stream_stock_merge": streams.q_stream_stock_merge,
         "bootstrap_status": streams.q_bootstrap_status,
+        "ingest_tables": ingest.q_ingest_tables,
+        "isbn_moves": ingest.q_isbn_moves,
         "region_sellability": derived_q.q_region_sellability,
         "redirect_resolution": derived_q.q_redirect_resolution,
         "stock_zero_fill": derived_q.q_stock_zero_fill,
@@ -101,4 +103,4 @@ def _queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {**oracle.oracles(), **oracle_feeds.oracles(), **oracle_bookkeeping.oracles(),
             **oracle_catalog.oracles(), **oracle_streams.oracles(),
-            **oracle_derived.oracles()}
+            **oracle_derived.oracles(), **oracle_ingest.oracles()}

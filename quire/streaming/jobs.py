@@ -65,8 +65,8 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
     """One run of ONIX records into every table they feed (O-62 ... O-69, O-74).
 
     Good products are merged into ``books``; the last notice of each book
-    replaces its rows in ``book_contributors``, ``book_subjects``, ``book_prices``
-    and ``book_genres``; new genres are added. Broken fragments and files and
+    replaces its rows in ``book_contributors``, ``book_subjects`` and ``book_prices``, and
+    in ``book_genres`` if it has scheme-93 subjects; new genres are added. Broken fragments and files and
     rejected products go to ``rejects`` with their reasons, counts per file to
     ``summaries`` (each a folder per run). Tables that are missing are started.
     Delete notices are not held to the catalogue's constraints."""
@@ -104,15 +104,17 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
         "record_reference", F.struct("arrival", "pos").alias("pos"), "x.*")
     genres, pairs = merge.derive_genres(subjects)
     _publish(merge.insert_absent(_stored(spark, f"{store}/genres", genres), genres, "slug"), f"{store}/genres", "slug")
-    _publish(merge.replace_children(_stored(spark, f"{store}/book_genres", pairs), touched, pairs, "record_reference"),
-             f"{store}/book_genres", "record_reference")
+    # Only books with usable subjects in this run; others keep their genres.
+    _publish(merge.replace_children(_stored(spark, f"{store}/book_genres", pairs), pairs.select("record_reference").distinct(),
+                                    pairs, "record_reference"), f"{store}/book_genres", "record_reference")
     _publish(merge.apply_notices(books, notices, as_of), f"{store}/books", "record_reference", bloom=("isbn13",))
 
 
 def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_of,
                 max_files_per_trigger: int = 1, available_now: bool = True) -> StreamingQuery:
     """O-98: every new ONIX file under ``path`` is parsed and ingested (see
-    ``ingest_products``) in file order; the store may be empty at first."""
+    ``ingest_products``) in file order; the store may be empty at first. ``as_of``: the
+    run clock, or a function called once per batch (for a stream that keeps running)."""
     text = (spark.readStream.option("lineSep", "</Product>").option("maxFilesPerTrigger", max_files_per_trigger)
             .text(path))
     raw = file_columns(text)
@@ -123,7 +125,7 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
             return
         records, corrupt = parse_onix(with_arrival(batch).select("value", "source_file", "arrival"),
                                       n_files=max_files_per_trigger)
-        ingest_products(s, records, corrupt, store, as_of, f"onix-{batch_id}")
+        ingest_products(s, records, corrupt, store, as_of() if callable(as_of) else as_of, f"onix-{batch_id}")
         _record_batch(s, store, "onix", batch_id)
 
     w = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -163,3 +163,32 @@ def test_sweep_and_link_ids(spark):
     touched = spark.createDataFrame([("1",), ("3",)], "isbn13 string")
     out = dict(map(tuple, merge.link_ids(rows, books, touched=touched).collect()))
     assert out == {"1": 10, "2": None, "3": 9}
+
+
+def test_deletes_follow_an_isbn_as_a_row_by_row_fold(spark):
+    """ISBNs that move between books before and after a delete, against a fold of the notices."""
+    from quire.schemas import BOOK_FIELDS
+    rng = random.Random(9)
+    types = ", ".join(f"{c} string" for c in BOOK_FIELDS)
+    state = "embedded_at timestamp, is_removed boolean, removed_at timestamp, created_at timestamp, updated_at timestamp"
+    for _ in range(3):
+        stored = {f"b{k}": f"i{k}" for k in range(6)}
+        run = []
+        for at in range(60):
+            ref, gone = f"b{rng.randrange(9)}", rng.random() < 0.4
+            run.append((at, ref, "05" if gone else "03", rng.choice([None, *(f"i{k}" for k in range(8))])))
+        held, removed = dict(stored), {r: False for r in stored}
+        for at, ref, kind, isbn in run:
+            if kind != "05":
+                held[ref], removed[ref] = isbn, False
+            elif isbn is None:
+                removed.update({ref: True} if ref in held else {})
+            else:
+                removed.update({r: True for r, i in held.items() if i == isbn})
+        row = lambda ref, isbn: tuple(ref if c == "record_reference" else isbn if c == "isbn13" else "t" for c in BOOK_FIELDS)
+        books = spark.createDataFrame([(*row(r, i), None, False, None, T0, T0) for r, i in stored.items()], f"{types}, {state}")
+        notices = spark.createDataFrame(
+            [(*(kind if c == "notification_type" else v for c, v in zip(BOOK_FIELDS, row(ref, isbn))), at) for at, ref, kind, isbn in run],
+            f"{types}, arrival long")
+        got = {r.record_reference: (r.isbn13, r.is_removed) for r in merge.apply_notices(books, notices, T0).collect()}
+        assert got == {r: (held[r], removed[r]) for r in held}

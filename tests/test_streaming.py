@@ -123,3 +123,17 @@ def test_bootstrap_keeps_what_full_replace_files_hold(spark, tmp_path, write_tex
     write_text("b3/FIRMSALE13.CSV", "9780000000002,\n")
     jobs.bootstrap(spark, onix, {"firm_sale": feeds["firm_sale"]}, store, "2031-01-03")
     assert [r.isbn13 for r in read_table(spark, f"{store}/firm_sale").collect()] == ["9780000000002"]
+
+
+def test_genres_stay_without_subjects_and_each_batch_has_its_time(spark, tmp_path):
+    store, inbox = str(tmp_path / "store"), tmp_path / "in"
+    inbox.mkdir()
+    times = iter(["2024-06-01", "2024-06-02", "2024-06-03"])
+    (inbox / "f1.xml").write_text(HEAD + rich("A", "9780000000001", [("F1", "Tides")]) + rich("B", "9780000000002", [("F2", "Maps")]) + TAIL)
+    jobs.stream_onix(spark, str(inbox), store, str(tmp_path / "ck"), lambda: next(times)).awaitTermination()
+    (inbox / "f2.xml").write_text(HEAD + rich("A", "9780000000001") + TAIL)
+    jobs.stream_onix(spark, str(inbox), store, str(tmp_path / "ck"), lambda: next(times)).awaitTermination()
+    pairs = read_table(spark, f"{store}/book_genres").collect()
+    assert sorted((r.record_reference, r.slug) for r in pairs) == [("A", "tides"), ("B", "maps")]
+    books = {r.record_reference: r.updated_at for r in read_table(spark, f"{store}/books").collect()}
+    assert books == {"A": dt.datetime(2024, 6, 2), "B": dt.datetime(2024, 6, 1)}
