@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import small_batches
+from quire.llm.common import small_batches, tidy
 
 CACHE_CHUNKS = 200_000   # chunks remembered per Python worker, in each of two generations
 MERGE_WORDS = 100_000    # new words merged side by side
@@ -242,6 +242,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     their ids. Repeated rows are encoded each."""
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         shown = [str(i) for i in range(len(c.bytes_of))]
@@ -267,6 +268,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     """``id_col`` and ids (array of int) of every whole text; a null text has none."""
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         for batch in batches:
@@ -284,6 +286,7 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_c
     """``id_col`` and text of every row of ids; null ids give a null text."""
     kind = encoded.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         for batch in batches:

@@ -3,7 +3,10 @@ folder, slices of Arrow text columns, and vectorised word hashes."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +33,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+HASH_BYTES = 1 << 20       # bytes hashed together (a longer word on its own)
 _POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64, for i < n."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 18)
-        inverse = pow(_BASE, -1, 1 << 64)
-        out = []
-        for b in (_BASE, inverse):
-            p = np.full(size, b, dtype=np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p))
+def _powers(n: int) -> list[np.ndarray]:
+    """BASE**i and its inverse modulo 2**64, for i < n; kept up to HASH_BYTES."""
+    if _POWERS and n <= HASH_BYTES:
+        return _POWERS
+    out = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(max(n, HASH_BYTES), b, dtype=np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    if n <= HASH_BYTES:
         _POWERS[:] = out
-    return _POWERS[0], _POWERS[1]
+    return out
 
 
 def word_hashes(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -69,11 +73,19 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     ends_mask[offsets[1:]] = True     # nor does a word run on into the next text
     ends = np.flatnonzero(ends_mask)
     ends = ends[np.searchsorted(ends, starts, side="right")] if len(starts) else starts
-    up, down = _powers(n)
-    total = np.empty(n + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum(_BYTE[_LOWER[buf] if lower else buf] * up[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):      # in stretches, so that memory does not follow the length of a text
+        a = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, a + HASH_BYTES, side="right")))
+        part = buf[a:ends[j - 1]]
+        up, down = _powers(len(part))
+        total = np.empty(len(part) + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum(_BYTE[_LOWER[part] if lower else part] * up[:len(part)], out=total[1:])
+        hashes[i:j] = mix((total[ends[i:j] - a] - total[starts[i:j] - a]) * down[starts[i:j] - a])
+        i = j
+    return hashes, np.searchsorted(starts, offsets)
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 20
@@ -99,6 +111,35 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1
         i = j
 
 
+def give_back() -> None:
+    """Return free memory to the system. A reused worker otherwise holds what its largest
+    task needed, and the stages of a pipeline add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A ``mapInArrow`` function that gives its memory back when its task ends."""
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
+def fresh_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, in a session whose Arrow batches hold about 8 MB, so that a task's
     memory on both sides of the pipe does not follow the length of the texts."""

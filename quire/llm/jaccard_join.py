@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix, small_batches, staged, text_slices, word_hashes
+from quire.llm.common import mix, small_batches, staged, text_slices, tidy, word_hashes
 from quire.llm.components import components
 
 COUNT_CHUNK = 1 << 22       # elements counted together when looking for frequent ones
@@ -108,6 +108,7 @@ def frequent_elements(texts: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndar
 
     At most HOT_MAX of them reach the driver. A missing or inexact count cannot
     change the join's result, only the length of the lists that it scans."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(COUNT_CHUNK, np.uint64)      # filled, sorted in place, and filled again
         seen: set[tuple[int, int]] = set()
@@ -189,14 +190,13 @@ def _subset_signatures(s: np.ndarray, t: int) -> np.ndarray:
     return mix(left + np.uint64(t) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _signed(texts: DataFrame, kind: str, frequent, boundary: int, rule: Rule) -> DataFrame:
-    """(id, n, k1, k2, cells, first, subsets) of every text: size, key and histogram
+def _signed(texts: DataFrame, kind: str, hot, boundary: int, rule: Rule) -> DataFrame:
+    """``hot``: the broadcast frequent elements. (id, n, k1, k2, cells, first, subsets) of every text: size, key and histogram
     of its set, its first elements in the global order if a heavy set may need
     them, and its subset signatures if it is light."""
-    spark = texts.sparkSession
-    hot = spark.sparkContext.broadcast(frequent)    # at most HOT_MAX elements
     plan, edge = light_overlaps(boundary, rule), rule.partner(boundary + 1)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, count = hot.value
         for batch in batches:
@@ -237,6 +237,7 @@ def _can_link(rule: Rule, n: Column, i: Column, m: Column, j: Column) -> Column:
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, kind: str, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are linked. Pairs that sizes and histograms
     rule out go first; only texts of the rest are read again."""
+    @tidy
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(k).to_numpy() for k in (2, 3))
@@ -254,12 +255,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, kind: str,
     # At most BUCKETS hashes are broadcast; they keep most other texts from being read.
     some = texts.join(F.broadcast(ids.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
 
+    @tidy
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, sets in _sets(batch, rule):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "s"])
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -286,11 +289,18 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     Ids are meant to be unique: of rows with the same id and different texts, those
     that stand for their texts count as one document. A row with a null id makes no
     links and has the component of its equal texts, if any, else null."""
+    return _grouped(docs, rule, id_col, text_col).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, k1, k2, component) of every row: its id, the size and key of its set, its component."""
     texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    frequent = frequent_elements(texts, rule)
+    hot = docs.sparkSession.sparkContext.broadcast(frequent_elements(texts, rule))     # at most HOT_MAX elements
     boundary = choose_boundary(_small_sizes(texts, rule), rule)
-    signed = staged(_signed(texts, kind, frequent, boundary, rule), "jaccard-signed")
+    signed = staged(_signed(texts, kind, hot, boundary, rule), "jaccard-signed")
+    hot.destroy()
 
     classes = staged(signed.filter("n > 0 and id is not null").groupBy("k1", "k2", "n").agg(
         F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("cells", "first", "subsets"))), "jaccard-classes")
@@ -329,29 +339,48 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     named = staged(classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("id"), "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component")), "jaccard-named")
     return signed.select("id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
+        "id", "n", "k1", "k2", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group left: the one with the least id.
 
-    Of rows with the same id one stays. Rows with a null id, and documents
-    without words, all stay."""
-    groups = staged(jaccard_groups(docs, rule, id_col, text_col).select(
-        F.col(id_col).alias("id"), F.col("component_id").alias("component")).filter("id is not null"), "jaccard-groups")
-    drop = groups.filter("id <> component").select("id").distinct()
-    often = groups.groupBy("id").count().filter("count > 1").select("id")
-    touched = staged(drop.withColumn("drop", F.lit(True)).union(often.withColumn("drop", F.lit(False))).groupBy("id").agg(
-        F.max("drop").alias("drop")), "jaccard-touched").select(F.col("id").alias("__id"), F.col("drop").alias("__drop"))
+    A row is judged by its own text: of rows with the same id and the same shingle
+    set one stays, if that set's group has this id as its least; rows with the id and other
+    texts are judged by theirs. Rows with a null id all stay. Documents without words
+    stay, once per id. Columns may have any names."""
+    groups = staged(_grouped(docs, rule, id_col, text_col).filter("id is not null"), "jaccard-groups")
+    often = groups.groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("often"))
+    drop = groups.filter("id <> component").select("id", F.lit(False).alias("often"))
+    touched = staged(often.union(drop).groupBy("id").agg(F.max("often").alias("often")), "jaccard-touched")
     # A (broadcast) table of at most BUCKETS id hashes lets most rows pass without a shuffle.
-    hashes = F.broadcast(touched.select(F.pmod(F.xxhash64("__id"), F.lit(BUCKETS)).alias("__bucket")).distinct())
-    at = F.pmod(F.xxhash64(F.col(id_col)), F.lit(BUCKETS)) == F.col("__bucket")
-    passed = docs.join(hashes, at, "left_anti")
-    looked = docs.join(hashes, at, "left_semi").join(touched, F.col(id_col) == F.col("__id"), "left")
-    rest = looked.filter("__drop is null").drop("__id", "__drop")
-    once = looked.filter("not __drop").drop("__id", "__drop").dropDuplicates([id_col])
-    return passed.unionByName(rest).unionByName(once)
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS))
+    hashes = F.broadcast(touched.select(bucket.alias("bucket")).distinct())
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").alias("id"))
+    passed = rows.join(hashes, bucket == F.col("bucket"), "left_anti").select("row.*")
+    looked = rows.join(hashes, bucket == F.col("bucket"), "left_semi").join(touched, "id", "left")
+    rest = looked.filter("often is null").select("row.*")
+    return passed.unionByName(rest).unionByName(_one_of_each(looked.filter("often"), groups, docs, rule, text_col))
+
+
+def _one_of_each(repeated: DataFrame, groups: DataFrame, docs: DataFrame, rule: Rule, text_col: str) -> DataFrame:
+    """Of rows (id, row) whose ids come several times: one of each id and set that stays."""
+    kind = repeated.schema["id"].dataType.simpleString()
+    sent = repeated.select("id", F.col(f"row.`{text_col}`").alias("text"), "row")
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, sets in _sets(batch, rule):
+                keys = [_set_key(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
+                    batch.column(2).slice(i, len(sets))], ["id", "n", "k1", "k2", "row"])
+
+    keyed = sent.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, row {sent.schema['row'].dataType.simpleString()}")
+    stay = groups.filter("id = component").select("id", "n", "k1", "k2").distinct()
+    return keyed.dropDuplicates(["id", "n", "k1", "k2"]).join(stay, ["id", "n", "k1", "k2"], "left_semi").select("row.*")
 
 
 def _small_sizes(texts: DataFrame, rule: Rule) -> dict[int, int]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import id_remainder, small_batches, text_slices
+from quire.llm.common import id_remainder, small_batches, text_slices, tidy
 
 SAMPLE_DOCS = 64        # labelled texts per language (smallest hashed ids) ...
 SAMPLE_CHARS = 16_384   # ... and how many of their characters the automaton holds
@@ -317,6 +317,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
     names = [f"c{k}" for k in range(len(columns))]
     text = names[columns.index(text_col)] if text_col in columns else "__text"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = automata(samples)
         labels = np.array([*model.names, UNDETERMINED], dtype=object)

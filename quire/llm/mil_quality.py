@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import about, id_remainder, small_batches, text_slices, word_hashes
+from quire.llm.common import about, id_remainder, small_batches, text_slices, tidy, word_hashes
 
 PASSAGE = 512               # bytes of a passage; the last one of a text may be shorter
 MAX_TRAIN = 3_000           # about so many labelled rows are used for training (smallest hashed ids) ...
@@ -139,7 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.octet_length("text") <= MAX_TRAIN_BYTES)
     chosen = about(known.join(texts.select("id"), "id", "left_semi"), "id", MAX_TRAIN)    # broadcast: about MAX_TRAIN ids
-    found = texts.join(F.broadcast(chosen), "id").select("id", "text", "y").limit(2 * MAX_TRAIN).collect()
+    found = texts.join(F.broadcast(chosen), "id").select("id", "text", "y").orderBy(
+        F.xxhash64("id"), F.xxhash64("text"), "y").limit(2 * MAX_TRAIN).collect()     # the bound also holds for repeated ids
     sample = sorted(found, key=lambda r: (str(r["id"]), r["text"], r["y"]))
     bags = []
     for r in sample:
@@ -158,6 +159,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], columns: list[str], tex
     names = [f"c{k}" for k in range(len(columns))]
     text = names[columns.index(text_col)] if text_col in columns else "__text"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, offsets in text_slices(batch, text, max_bytes=1 << 19):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import codec, text_groups
-from quire.llm.common import mix, small_batches, staged
+from quire.llm.common import mix, small_batches, staged, tidy
 
 WINDOW = 2048
 END_ID = 1                   # closes every document
@@ -34,6 +34,7 @@ def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID)
     """(id, ids, n, near1, near2, df) of every row of ``texts`` (id, text): packed ids
     with the end id, their number and two min-hashes; and one row per task (ids
     null) with the document frequencies of all token ids in df."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         size = max(len(c.bytes_of), end_id + 1)
@@ -170,6 +171,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, id_col
     dealt = rows.repartitionByRange(
         tasks, "near1", "near2", "id", "tie").sortWithinPartitions("near1", "near2", "id", "tie") if tokens else rows
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = codec(tokenizer).dtype
         sequence = TaskContext.get().partitionId() << 32
