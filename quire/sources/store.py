@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import hadoop_fs
@@ -90,12 +92,112 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     return old
 
 
+# --- tables in hash buckets, of which a run rewrites only those that it touches ----------------
+
+BUCKET_ROWS = 200_000            # rows a bucket when a table is started
+BUCKET_BYTES = 256 << 20         # mean size of a bucket beyond which a table gets twice as many
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def layout(spark: SparkSession, root: str) -> int | None:
+    """How many buckets the table at ``root`` has (folders ``of=<n>/bucket=<k>``)."""
+    fs, p = hadoop_fs(spark, root)
+    if not fs.exists(p):
+        return None
+    names = (st.getPath().getName() for st in fs.listStatus(p))
+    return max((int(n[3:]) for n in names if n.startswith("of=")), default=None)
+
+
+def touched_buckets(keys: DataFrame, key: str, buckets: int) -> list[int]:
+    """The buckets of the given keys (at most ``buckets`` numbers)."""
+    return sorted(r[0] for r in keys.select(bucket_of(key, buckets).alias("b")).distinct().collect())
+
+
+def read_buckets(spark: SparkSession, root: str, only: Iterable[int] | None = None) -> DataFrame | None:
+    """The table in buckets at ``root``, or its buckets ``only``: a partition filter, so that
+    no file of another bucket is opened. None when there is no such table."""
+    n = layout(spark, root)
+    if n is None:
+        return None
+    fs, p = hadoop_fs(spark, f"{root}/of={n}")
+    if not any(st.isDirectory() for st in fs.listStatus(p)):
+        return None
+    df = spark.read.option("basePath", f"{root}/of={n}").parquet(f"{root}/of={n}")
+    if only is not None:
+        df = df.where(F.col("bucket").isin(*only))
+    return df.drop("bucket")
+
+
+def replace_buckets(df: DataFrame, root: str, key: str, only: Iterable[int], buckets: int, bloom: tuple[str, ...] = ()) -> None:
+    """Write ``df`` as the whole contents of the buckets ``only``; all others stay as they are.
+
+    A dynamic partition overwrite: new files are written aside and take the old
+    ones' place when the job commits, so ``df`` may be made from the same table.
+    A bucket that has no rows any more is removed."""
+    spark, only, path = df.sparkSession, list(only), f"{root}/of={buckets}"
+    if not only:
+        return
+    fs, p = hadoop_fs(spark, path)
+    fs.mkdirs(p)
+
+    def names(b: int) -> set[str]:
+        folder = hadoop_fs(spark, f"{path}/bucket={b}")[1]
+        return {st.getPath().getName() for st in fs.listStatus(folder)} if fs.exists(folder) else set()
+    before = {b: names(b) for b in only}
+    placed = df.withColumn("bucket", bucket_of(key, buckets)).hint("rebalance", "bucket").sortWithinPartitions("bucket", key)
+    (_writer(placed, bloom).option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path))
+    for b, old in before.items():
+        if old & names(b):          # nothing was written there (file names are never used twice)
+            fs.delete(hadoop_fs(spark, f"{path}/bucket={b}")[1], True)
+
+
+def rebucket(spark: SparkSession, root: str, key: str, buckets: int, bloom: tuple[str, ...] = ()) -> None:
+    """Give the table ``buckets`` buckets: written aside, renamed into place, then the old ones go."""
+    old = layout(spark, root)
+    aside = f"{root}/_next"
+    fs, p = hadoop_fs(spark, aside)
+    fs.delete(p, True)
+    replace_buckets(read_buckets(spark, root), aside, key, range(buckets), buckets, bloom)
+    fs.rename(hadoop_fs(spark, f"{aside}/of={buckets}")[1], hadoop_fs(spark, f"{root}/of={buckets}")[1])
+    fs.delete(hadoop_fs(spark, f"{root}/of={old}")[1], True)
+    fs.delete(p, True)
+
+
+def open_buckets(spark: SparkSession, root: str, key: str, like: DataFrame, bloom: tuple[str, ...] = ()) -> int:
+    """The bucket count of the table at ``root``. A snapshot written by ``write_table`` is
+    moved into buckets first, a table that has outgrown its buckets gets more, a missing one is
+    planned for the rows of ``like``."""
+    n = layout(spark, root)
+    if n is None:
+        snapshot = read_table(spark, root)
+        rows, n = (like if snapshot is None else snapshot).count(), 8
+        while n * BUCKET_ROWS < rows:
+            n *= 2
+        if snapshot is not None:
+            replace_buckets(snapshot, root, key, range(n), n, bloom)
+            vacuum(spark, root, keep=0)
+        return n
+    fs, p = hadoop_fs(spark, f"{root}/of={n}")
+    size, more = fs.getContentSummary(p).getLength(), n
+    while size > more * BUCKET_BYTES:
+        more *= 2
+    if more > n:
+        rebucket(spark, root, key, more, bloom)
+    return more
+
+
 def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """Current snapshot of the table at ``root`` (None when there is none yet).
+    """The table in buckets or the current snapshot at ``root`` (None when there is none yet).
 
     A bucketed snapshot is read through the catalog so Spark knows its hash
     partitioning (joins and aggregates on the key do not shuffle it); a new
     session registers it again from the pointer's bucket spec."""
+    held = read_buckets(spark, root)
+    if held is not None:
+        return held
     ptr = _read_pointer(spark, root)
     if ptr is None:
         return None

@@ -1,8 +1,8 @@
 """Incremental jobs on Structured Streaming (O-98 … O-104).
 
 Each new file is picked up once by the file source (its checkpoint records
-what was read); ``foreachBatch`` runs the same batch operators and writes the
-next snapshot of each table it feeds. A replayed batch id is skipped (O-78), and
+what was read); ``foreachBatch`` runs the same batch operators and rewrites the
+hash buckets that the file touches of each table it feeds. A replayed batch id is skipped (O-78), and
 the merges are idempotent, so a job that dies between two tables, or before the
 batch ledger, repeats safely.
 """
@@ -19,23 +19,27 @@ from quire.operators import feeds as fm
 from quire.operators import merge, quality
 from quire.operators.products import project_products
 from quire.schemas import BOOK_FIELDS
-from quire.session import cut_lineage
+from quire.session import bounded_broadcast, cut_lineage, hadoop_fs
 from quire.sources import feeds as src
+from quire.sources import store as tables
 from quire.sources.onix import file_columns, parse_onix, scan_onix, with_arrival
-from quire.sources.store import bucket_count, read_table, write_table
+from quire.sources.store import read_table
 
 
 def _applied(spark: SparkSession, store: str, job: str, batch_id: int) -> bool:
     """O-78: was this batch id already applied? (a filtered lookup, nothing collected)"""
-    t = read_table(spark, f"{store}/_batches_{job}")
-    return t is not None and t.where(F.col("batch_id") == batch_id).limit(1).count() > 0
+    fs, path = hadoop_fs(spark, f"{store}/_batches_{job}")
+    return fs.exists(path) and read_batches(spark, store, job).where(F.col("batch_id") == batch_id).limit(1).count() > 0
+
+
+def read_batches(spark: SparkSession, store: str, job: str) -> DataFrame:
+    """The batch ids that a job has applied."""
+    return spark.read.schema("batch_id long").parquet(f"{store}/_batches_{job}")
 
 
 def _record_batch(spark: SparkSession, store: str, job: str, batch_id: int) -> None:
-    """Append the batch id to the job's (small) batch ledger."""
-    prev = read_table(spark, f"{store}/_batches_{job}")
-    new = spark.createDataFrame([(batch_id,)], "batch_id long")
-    write_table(new if prev is None else prev.unionByName(new), f"{store}/_batches_{job}")
+    """Append the batch id to the job's batch ledger."""
+    spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id").write.mode("append").parquet(f"{store}/_batches_{job}")
 
 
 CHILDREN = {"contributors": "book_contributors", "subjects": "book_subjects", "prices": "book_prices"}
@@ -52,8 +56,21 @@ def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     return like.limit(0) if found is None else found
 
 
-def _publish(df: DataFrame, root: str, key: str, bloom: tuple[str, ...] = ()) -> None:
-    write_table(df, root, bucket_col=key, buckets=bucket_count(df.sparkSession, root), bloom=bloom)
+def _update(spark: SparkSession, root: str, key: str, touched: DataFrame | None, like: DataFrame,
+            merged: Callable[[DataFrame], DataFrame], bloom: tuple[str, ...] = ()) -> None:
+    """Merge a run into the table at ``root``: only the buckets of the ``touched`` keys are
+    read and written (all of them for None)."""
+    n = tables.open_buckets(spark, root, key, like, bloom)
+    only = list(range(n)) if touched is None else tables.touched_buckets(touched, key, n)
+    if only:
+        held = tables.read_buckets(spark, root, only)
+        current = like.limit(0) if held is None else held
+        tables.replace_buckets(merged(current), root, key, only, n, bloom)
+
+
+def _count(spark: SparkSession, root: str) -> int:
+    found = read_table(spark, root)
+    return 0 if found is None else found.count()
 
 
 def _keep_run(df: DataFrame, root: str, run: str) -> None:
@@ -98,16 +115,21 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
     touched = last.select("record_reference")
     for field, table in CHILDREN.items():
         rows = last.select("record_reference", F.posexplode(field).alias("pos", "x")).select("record_reference", "pos", "x.*")
-        current = _stored(spark, f"{store}/{table}", rows)
-        _publish(merge.replace_children(current, touched, rows, "record_reference"), f"{store}/{table}", "record_reference")
+        _update(spark, f"{store}/{table}", "record_reference", touched, rows,
+                lambda current, rows=rows: merge.replace_children(current, touched, rows, "record_reference"))
     subjects = last.select("record_reference", "arrival", F.posexplode("subjects").alias("pos", "x")).select(
         "record_reference", F.struct("arrival", "pos").alias("pos"), "x.*")
     genres, pairs = merge.derive_genres(subjects)
-    _publish(merge.insert_absent(_stored(spark, f"{store}/genres", genres), genres, "slug"), f"{store}/genres", "slug")
+    _update(spark, f"{store}/genres", "slug", genres, genres, lambda current: merge.insert_absent(current, genres, "slug"))
     # Only books with usable subjects in this run; others keep their genres.
-    _publish(merge.replace_children(_stored(spark, f"{store}/book_genres", pairs), pairs.select("record_reference").distinct(),
-                                    pairs, "record_reference"), f"{store}/book_genres", "record_reference")
-    _publish(merge.apply_notices(books, notices, as_of), f"{store}/books", "record_reference", bloom=("isbn13",))
+    named = pairs.select("record_reference").distinct()
+    _update(spark, f"{store}/book_genres", "record_reference", named, pairs,
+            lambda current: merge.replace_children(current, named, pairs, "record_reference"))
+    # Books that the run names, or whose ISBN a delete names: two columns of the others are looked through.
+    gone = bounded_broadcast(notices.where(is_delete & F.col("isbn13").isNotNull()).select("isbn13").distinct())
+    found = books.join(gone, "isbn13", "left_semi").select("record_reference")
+    _update(spark, f"{store}/books", "record_reference", notices.select("record_reference").unionByName(found), books,
+            lambda current: merge.apply_notices(current, notices, as_of), bloom=("isbn13",))
 
 
 def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_of,
@@ -154,8 +176,8 @@ def stream_stock(spark: SparkSession, path: str, store: str, checkpoint: str,
         mapped = cut_lineage(spec.mapper(raw, file_key=F.col("file_name"), ts=stamp))
         rows = merge.arrival_ordinal(fm.accepted(mapped), "arrival")
         _keep_run(fm.scan_summary(mapped), f"{store}/feed_summaries", f"{feed}-{batch_id}")
-        current = _stored(s, f"{store}/stock", rows.drop("arrival"))
-        _publish(merge.gated_merge(current, rows), f"{store}/stock", "isbn13", bloom=("isbn13",))
+        _update(s, f"{store}/stock", "isbn13", rows, rows.drop("arrival"),
+                lambda current: merge.gated_merge(current, rows), bloom=("isbn13",))
         _record_batch(s, store, f"stock_{feed}", batch_id)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -174,7 +196,7 @@ def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], stor
     try:
         records, corrupt = scan_onix(spark, onix_paths)
         ingest_products(spark, records, corrupt, store, as_of, "bootstrap")
-        status.append(("books", "completed", read_table(spark, f"{store}/books").count(), None))
+        status.append(("books", "completed", _count(spark, f"{store}/books"), None))
     except Exception as e:  # noqa: BLE001 - reported per feed
         status.append(("books", "failed", 0, str(e)[:500]))
     for name, paths in feeds.items():
@@ -183,16 +205,18 @@ def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], stor
             mapped = cut_lineage(fm.scan_feed(spark, spec, paths))
             _keep_run(fm.scan_summary(mapped), f"{store}/feed_summaries", f"bootstrap-{name}")
             rows, root = fm.accepted(mapped), f"{store}/{spec.table}"
-            cur = _stored(spark, root, rows.drop("arrival"))
             if spec.merge == "gated":
-                out = merge.gated_merge(cur, merge.arrival_ordinal(rows, "arrival"))
+                rows = merge.arrival_ordinal(rows, "arrival")
+                _update(spark, root, spec.keys[0], rows, rows.drop("arrival"), lambda cur, rows=rows: merge.gated_merge(cur, rows))
             else:
                 rows = rows.withColumn("synced_at", ts)
-                out = merge.upsert(cur, rows, list(spec.keys), order="arrival").drop("arrival")
-                if spec.merge == "replace":
-                    out = merge.sweep(out, "synced_at", ts)
-            _publish(out, root, spec.keys[0])
-            status.append((name, "completed", read_table(spark, root).count(), None))
+
+                def merged(cur: DataFrame, rows=rows, spec=spec) -> DataFrame:
+                    out = merge.upsert(cur, rows, list(spec.keys), order="arrival").drop("arrival")
+                    return merge.sweep(out, "synced_at", ts) if spec.merge == "replace" else out
+                # A full replace sweeps every bucket; other feeds touch their own.
+                _update(spark, root, spec.keys[0], None if spec.merge == "replace" else rows, rows.drop("arrival"), merged)
+            status.append((name, "completed", _count(spark, root), None))
         except Exception as e:  # noqa: BLE001 - reported per feed
             status.append((name, "failed", 0, str(e)[:500]))
     return spark.createDataFrame(status, "feed string, status string, rows long, error string")

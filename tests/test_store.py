@@ -81,3 +81,46 @@ def test_stock_numbers_do_not_depend_on_the_run(spark):
     for _ in range(2):
         out = gated_merge(rows.drop("arrival").limit(0), arrival_ordinal(rows.repartition(13), "arrival"))
         assert {r.isbn13: r.stock_qty for r in out.collect()} == want
+
+
+def test_a_delta_reads_and_writes_only_its_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quire.operators import merge
+    from quire.sources import store
+    from quire.streaming.jobs import _update
+    root = str(tmp_path / "t")
+    rows = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"))
+    store.replace_buckets(rows, root, "k", range(256), 256)
+    files = lambda: {f"{p.parent.name}/{p.name}": p.parent.name for p in (tmp_path / "t" / "of=256").rglob("*.parquet")}
+    before = files()
+    delta = spark.range(40).select(F.concat(F.lit("k"), "id").alias("k"), (-F.col("id")).alias("v"))
+    only = store.touched_buckets(delta, "k", 256)
+    held = store.read_buckets(spark, root, only)
+    assert 0 < len(only) <= 40 and len(held.inputFiles()) == 256
+    scan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in scan or "PartitionFilters: [bucket" in scan
+    assert {f"bucket={b}" for b in only} == {f.split("/")[-2] for f in held.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+
+    _update(spark, root, "k", delta, rows, lambda cur: merge.upsert(cur, delta, "k"))
+    after = files()
+    assert {after[f] for f in set(after) - set(before)} == {f"bucket={b}" for b in only}
+    assert {before[f] for f in set(before) - set(after)} == {f"bucket={b}" for b in only}
+    got = {r.k: r.v for r in store.read_table(spark, root).collect()}
+    assert len(got) == 5000 and all(got[f"k{i}"] == (-i if i < 40 else i) for i in range(5000))
+
+    _update(spark, root, "k", delta, rows, lambda cur: cur.join(delta.select("k"), "k", "left_anti"))     # buckets may be left empty
+    assert store.read_table(spark, root).count() == 4960
+    store.rebucket(spark, root, "k", 512)
+    assert store.layout(spark, root) == 512 and store.read_table(spark, root).count() == 4960
+    _update(spark, root, "k", None, rows, lambda cur: cur.limit(0))
+    assert store.read_table(spark, root) is None or store.read_table(spark, root).count() == 0
+
+
+def test_a_snapshot_moves_into_buckets(spark, tmp_path):
+    from quire.sources import store
+    root = str(tmp_path / "old")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v long")
+    store.write_table(df, root, bucket_col="k", buckets=4)
+    assert store.open_buckets(spark, root, "k", df) == 8 and store.layout(spark, root) == 8
+    assert sorted(r.v for r in store.read_table(spark, root).collect()) == list(range(20))

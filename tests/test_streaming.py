@@ -45,7 +45,7 @@ def test_onix_stream_incremental(spark, tmp_path, write_text):
     got = {r.record_reference: r for r in read_table(spark, f"{store}/books").collect()}
     assert got["A"].is_removed and got["A"].removed_at == dt.datetime(2024, 6, 2)
     assert got["B"].updated_at == dt.datetime(2024, 6, 1)      # f1 not applied again
-    assert sorted(r.batch_id for r in read_table(spark, f"{store}/_batches_onix").collect()) == [0, 1]
+    assert sorted(r.batch_id for r in jobs.read_batches(spark, store, "onix").collect()) == [0, 1]
 
 
 def test_stock_stream_inventory_then_hourly(spark, tmp_path):
