@@ -251,6 +251,23 @@ def q_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("score", 6).alias("score"))
 
 
+def q_cosine_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Q36b (O-96): top 5 of every 50th vector through the stored index of cells: how many queries,
+    whether nine tenths of the exact neighbours are found, and whether four fifths of the vectors at most
+    are scored (these vectors are almost evenly spread; grouped ones need far fewer)."""
+    e = load(spark, sf, "embeddings")
+    queries = e.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    path = stage_path(spark, "cells")
+    centres = search.learn_cells(e)
+    search.write_cells(e, path, centres)
+    near = search.nearest_in_cells(spark.read.parquet(path), centres, queries, k=5, probes=search.probes_for(e, centres, k=5))
+    exact = search.nearest(e, queries, k=5).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    both = exact.join(near.select("query_id", "vec_id", "scored"), ["query_id", "vec_id"], "left")
+    return both.agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                    (F.count("scored") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+                    (F.avg("scored") <= 0.8 * e.count()).alias("scores_few"))
+
+
 def q_fts_rank(spark: SparkSession, sf: str) -> DataFrame:
     """Q38 (O-93, O-94): weighted text vector of documents, top 10 per benchmark query."""
     docs = load(spark, sf, "documents").select(

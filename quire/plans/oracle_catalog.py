@@ -188,6 +188,9 @@ SELECT query_id, vec_id, rank, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5"""
 
+Q_COSINE_CELLS = f"""
+SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, true AS recall_reached, true AS scores_few FROM ({Q_COSINE})"""
+
 _STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
 
 Q_FTS = f"""
@@ -273,6 +276,7 @@ def oracles() -> dict[str, str]:
         "stock_gated_merge_group": _stock("group"),
         "quarantine": Q_QUARANTINE,
         "cosine_topk": Q_COSINE,
+        "cosine_cells": Q_COSINE_CELLS,
         "fts_rank": Q_FTS,
         "trigram_title": Q_TRIGRAM,
         "key_lookups": Q_LOOKUPS,

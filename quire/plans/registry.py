@@ -83,6 +83,7 @@ def _queries() -> dict[str, Query]:
         "stock_gated_merge_group": catalog.q_stock_gated_merge_group,
         "quarantine": catalog.q_quarantine,
         "cosine_topk": catalog.q_cosine_topk,
+        "cosine_cells": catalog.q_cosine_cells,
         "fts_rank": catalog.q_fts_rank,
         "trigram_title": catalog.q_trigram_title,
         "key_lookups": catalog.q_key_lookups,
