@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quire.functions.scalars import avail_source, blank_to_null, dm2y_date, dmy_date, trim_ws, valid_isbn13
 
-# Header aliases of the framed inventory feed: output column -> names to try.
+# Header names of the framed inventory feed (output column -> names to try)
+# and the columns of the other feeds in their order.
 INVENTORY_ALIASES = {
     "isbn13": ["ISBN13", "EAN"],
     "rrp": ["RRP_GBP", "RRP"],

@@ -290,6 +290,19 @@ def promotion_view(df: DataFrame) -> DataFrame:
                      ts_str("created_at").alias("created_at"))
 
 
+def q_multiline_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """O-08: promotions whose titles hold line breaks (one, or two with an empty quote between), read as one row each."""
+    c, k = F.col, F.col("o_orderkey")
+    title = F.concat(F.lit("Order "), k.cast("string"), F.when(k % 5 == 0, F.lit("\nsecond, line")).when(
+        k % 7 == 0, F.lit('\nsays ""no""\n')).otherwise(F.lit("")))
+    line = _csv(isbn_of("978", "o_orderkey"), _q(title), _q(c("o_orderpriority")), c("o_totalprice").cast("string"),
+                (k % 50).cast("string"), F.lit("F"), F.lit("01/02/24"))
+    lines = load(spark, sf, "orders").select(k.alias("seq"), line.alias("line"))
+    raw = src.scan_positional(spark, write_feed(spark, lines, "GARDPROM13.CSV"), fm.PROMOTION_COLUMNS)
+    rows = fm.accepted(fm.map_promotions(raw, file_key=F.lit("GARDPROM13.CSV"), ts=as_of()))
+    return rows.select("isbn13", F.replace("title", F.lit("\n"), F.lit("/")).alias("title"), F.col("price").cast("double").alias("price"))
+
+
 def q_promotions_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Q14 (O-33, O-70): promotions file merged into the table by ISBN, last row of a key wins."""
     return promotion_view(_promotions_merged(spark, sf))

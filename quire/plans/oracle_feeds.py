@@ -217,8 +217,17 @@ SELECT s.isbn13, CAST(coalesce(s.book_id, b.id) AS BIGINT) AS book_id
 FROM s LEFT JOIN (SELECT * FROM b WHERE isbn13 IN (SELECT isbn13 FROM t)) b ON s.isbn13 = b.isbn13"""
 
 
+Q_MULTILINE_CSV = f"""
+SELECT {isbn('978', 'o_orderkey')} AS isbn13,
+       'Order ' || {_s('o_orderkey')} || CASE WHEN o_orderkey % 5 = 0 THEN '/second, line'
+         WHEN o_orderkey % 7 = 0 THEN '/says "no"/' ELSE '' END AS title,
+       CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS price
+FROM orders"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "multiline_csv": Q_MULTILINE_CSV,
         "feed_manifest": Q_FEED_MANIFEST,
         "done_gate": Q_DONE_GATE,
         "framed_csv_inventory": Q_FRAMED_INVENTORY,

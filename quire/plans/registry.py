@@ -45,6 +45,7 @@ def _queries() -> dict[str, Query]:
         "isbn_filter": feeds.q_isbn_filter,
         "feed_dates": feeds.q_feed_dates,
         "promotions_upsert": feeds.q_promotions_upsert,
+        "multiline_csv": feeds.q_multiline_csv,
         "mark_and_sweep": feeds.q_mark_and_sweep,
         "firm_sale_upsert": feeds.q_firm_sale_upsert,
         "isbn_slips": feeds.q_isbn_slips,

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.session import cut_lineage
@@ -147,6 +147,69 @@ def _parse_error(line: Column) -> Column:
     return F.contains(line, F.lit('"')) & ~line.rlike(_CLOSED)
 
 
+# The same, with nothing but blanks behind a closing quote.
+_STRICT_FIELD = r'(?:\s*+"(?:[^"]|"")*+"\s*+|(?!\s*+")[^,]*+)'
+_STRICT = rf"(?s)^{_STRICT_FIELD}(?:,{_STRICT_FIELD})*+$"
+RECORD_LINES = 64       # a quote that is not closed within so many lines opens no record
+
+
+def joined_lines(lines: DataFrame) -> DataFrame:
+    """O-08: lines of a quoted field that holds line breaks become one line.
+
+    A line turns "inside a quoted field" or "outside" into what holds behind it: lines
+    without quotes change nothing, most others lead to one state from either, a few swap
+    them. The state before a line is therefore the last fixed one with the swaps since,
+    a prefix scan in two levels: over the few splits of a file, and inside a split;
+    so a large file is no single task. Frames without an open quote pass unchanged. A
+    quote that is still open at the end of its file or after RECORD_LINES lines, or whose
+    record is no sound one (text behind a closing quote), is a parse error of its own line only."""
+    opened = _parse_error(F.col("line"))
+    if not lines.where(opened).limit(1).count():
+        return lines
+    whole = F.struct(F.col("arrival.block").alias("b"), F.col("arrival.pos").alias("p"))
+    after_open = ~F.concat(F.lit('"'), F.col("line")).rlike(_CLOSED)
+    x = lines.withColumns({"__a": opened.cast("int"), "__z": after_open.cast("int"), "__o": whole, "__b": F.col("arrival.block")})
+    fixed = F.when(F.col("__a") == F.col("__z"), F.col("__a"))
+    swap = ((F.col("__a") == 1) & (F.col("__z") == 0)).cast("int")
+    x = x.withColumns({"__f": fixed, "__s": swap})
+    inner = Window.partitionBy("source_file", "__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, -1)
+    # Inside a split: the last fixed state before the line, and the swaps up to it and in all.
+    x = x.withColumns({"__swaps": F.coalesce(F.sum("__s").over(inner), F.lit(0))})
+    x = x.withColumn("__mark", F.when(F.col("__f").isNotNull(), F.struct(F.col("__f").alias("f"), (F.col("__swaps") + F.col("__s")).alias("s"))))
+    x = x.withColumn("__last", F.last("__mark", ignorenulls=True).over(inner))
+    splits = x.groupBy("source_file", "__b").agg(
+        F.max_by("__mark", F.when(F.col("__mark").isNotNull(), F.col("__o"))).alias("m"), F.sum("__s").alias("n"))
+    outer = Window.partitionBy("source_file").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("n").over(outer), F.lit(0))
+    splits = splits.withColumn("t", total).withColumn("v", F.when(F.col("m").isNotNull(), F.struct(
+        F.col("m.f").alias("f"), (F.col("t") + F.col("m.s")).alias("s"))))
+    before = F.last("v", ignorenulls=True).over(outer)
+    splits = splits.withColumn("e", F.coalesce((before["f"] + F.col("t") - before["s"]) % 2, F.col("t") % 2)).select(
+        "source_file", "__b", F.col("e").alias("__enter"))
+    x = x.join(splits, ["source_file", "__b"])
+    state = F.coalesce((F.col("__last.f") + F.col("__swaps") - F.col("__last.s")) % 2, (F.col("__enter") + F.col("__swaps")) % 2)
+    x = x.withColumn("__in", state == 1).withColumn("__out", F.when(F.col("__in"), F.col("__z")).otherwise(F.col("__a")) == 1)
+    kept = [c for c in lines.columns]
+    alone = x.where(~F.col("__in") & ~F.col("__out")).select(*kept)
+
+    # Lines of records over several lines: each hangs on the last line that began one.
+    parts = cut_lineage(x.where(F.col("__in") | F.col("__out")).select(*kept, "__o", "__b", "__in", "__out"))
+    begun = F.when(~F.col("__in"), F.col("__o"))
+    ends = parts.groupBy("source_file", "__b").agg(F.max(begun).alias("s"))
+    ends = ends.select("source_file", "__b", F.last("s", ignorenulls=True).over(outer).alias("__before"))
+    here = Window.partitionBy("source_file", "__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.join(ends, ["source_file", "__b"]).withColumn(
+        "__start", F.coalesce(F.last(begun, ignorenulls=True).over(here), F.col("__before")))
+    at = ["source_file", "__start"]
+    sizes = parts.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.max_by("__out", "__o").alias("open"))
+    few = parts.join(sizes.where((F.col("n") <= RECORD_LINES) & ~F.col("open")).select(*at), at, "left_semi")
+    rest = [c for c in kept if c not in ("line", "source_file")]
+    one = few.groupBy(*at).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__o", "line"))), lambda v: v["line"]), "\n").alias("line"),
+        *(F.min_by(c, "__o").alias(c) for c in rest)).where(F.col("line").rlike(_STRICT))
+    return alone.unionByName(one.select(*kept)).unionByName(parts.join(one.select(*at), at, "left_anti").select(*kept))
+
+
 def _trailer(cells: Column) -> tuple[Column, Column]:
     is_t = F.coalesce(F.trim(cells[0]) == "TRAILER", F.lit(False))
     return is_t, F.when(is_t, F.trim(cells[1]).try_cast("long"))
@@ -163,6 +226,7 @@ def scan_positional(spark: SparkSession, paths, columns: Sequence[str]) -> DataF
 
 def positional(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``scan_positional`` on lines from ``scan_lines``/``text_lines``."""
+    lines = joined_lines(lines)
     is_t, t_count = _trailer(F.col("__cells"))
     return (_with_cells(lines, "line", max(len(columns), 2))
             .select(*[F.coalesce(F.col("__cells")[i], F.lit("")).alias(c) for i, c in enumerate(columns)],
@@ -186,7 +250,7 @@ def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFra
     and the per-file result (one row per file) is joined back. Lines are split
     into as many cells as the widest header has (one number, found first).
     """
-    lines = lines_in.withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
+    lines = joined_lines(lines_in).withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
     head = lines.where(F.col("arrival.block") == 0)
     first = head.groupBy("source_file").agg(F.min("__o").alias("__o1"))
     after = head.join(first, "source_file").where(F.col("__o") > F.col("__o1"))

@@ -110,4 +110,33 @@ def test_wide_header_and_quotes(spark, write_text):
     assert got["9781234567891"] == ('7" Single', "A", False)
     assert got["9781234567892"] == ('Say "Hi" now, please', "B", False)
     assert got["9781234567894"] == ("plain", "D", False)
-    assert got["9781234567893"][2] is True and got["9781234567895"][2] is True
+    assert got["9781234567893"][2] is True and got["9781234567895"] == ("two\nlines", "E", False)
+
+
+def test_records_over_several_lines_and_splits(spark, write_text):
+    """Random quoted titles with line breaks, split into small blocks, against a plain reader."""
+    import csv
+    import io
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quire.sources import feeds as src
+    rng = random.Random(4)
+    rows = [(f"{i}", "".join(rng.choice(["ab ", "c", ",", "\n", '"', "x\ny"]) for _ in range(rng.randint(0, 8))).strip(" ,") + "e", "z" * rng.randint(0, 30))
+            for i in range(400)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    plain = [r for r in csv.reader(io.StringIO(out.getvalue()))]
+    assert [tuple(r) for r in plain] == rows
+    path = write_text("many/A.CSV", out.getvalue())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+    try:
+        raw = src.scan_positional(spark, path, ["id", "title", "tail"])
+        got = raw.select("id", F.regexp_replace("title", "\n+", "\n").alias("title"), "tail", "parse_error").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    tidy = lambda t: __import__("re").sub("\n+", "\n", t)  # noqa: E731  (empty lines are passed over by the scan)
+    assert not any(r.parse_error for r in got)
+    assert sorted((r.id, r.title.strip(), r.tail) for r in got) == sorted((i, tidy(t).strip(), z) for i, t, z in rows)
