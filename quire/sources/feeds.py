@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.session import cut_lineage
+from quire.session import cut_lineage, stage_path
 
 # File naming rules of the wholesaler feeds (case-insensitive).
 # {prefix}: the vendor's name that the weekly ONIX zips begin with.
@@ -193,7 +193,9 @@ def joined_lines(lines: DataFrame) -> DataFrame:
     alone = x.where(~F.col("__in") & ~F.col("__out")).select(*kept)
 
     # Lines of records over several lines: each hangs on the last line that began one.
-    parts = cut_lineage(x.where(F.col("__in") | F.col("__out")).select(*kept, "__o", "__b", "__in", "__out"))
+    parts, path = x.where(F.col("__in") | F.col("__out")).select(*kept, "__o", "__b", "__in", "__out"), stage_path(lines.sparkSession, "broken-lines")
+    parts.write.parquet(path)       # few rows, read several times
+    parts = lines.sparkSession.read.schema(parts.schema).parquet(path)
     begun = F.when(~F.col("__in"), F.col("__o"))
     ends = parts.groupBy("source_file", "__b").agg(F.max(begun).alias("s"))
     ends = ends.select("source_file", "__b", F.last("s", ignorenulls=True).over(outer).alias("__before"))
@@ -250,8 +252,9 @@ def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFra
     and the per-file result (one row per file) is joined back. Lines are split
     into as many cells as the widest header has (one number, found first).
     """
-    lines = joined_lines(lines_in).withColumn("__o", F.struct(F.col("arrival.block"), F.col("arrival.pos")))
-    head = lines.where(F.col("arrival.block") == 0)
+    place = F.struct(F.col("arrival.block"), F.col("arrival.pos"))
+    lines = joined_lines(lines_in).withColumn("__o", place)
+    head = lines_in.withColumn("__o", place).where(F.col("arrival.block") == 0)      # the two first lines are never broken
     first = head.groupBy("source_file").agg(F.min("__o").alias("__o1"))
     after = head.join(first, "source_file").where(F.col("__o") > F.col("__o1"))
     second = after.groupBy("source_file").agg(F.min_by("line", "__o").alias("__header"),
