@@ -14,9 +14,12 @@ from quire.plans import adapters
 from quire.plans.bookkeeping import contributors
 from quire.plans.books import onix_file_count
 from quire.plans.common import AS_OF, days_before, el, el_raw, isbn_of, load, ref_of, ts_str, xml_escape
+from quire.plans.feeds import current_promotions
 from quire.session import stage_path
+from quire.sources import lookups, store
 from quire.sources.onix import scan_onix
 from quire.sources.store import write_framed_text
+from quire.streaming import jobs
 
 # --- Q10 / Q11: measures and contributors through the ONIX scan ------------------------------
 
@@ -298,6 +301,53 @@ def q_key_lookups(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("record_reference", "isbn13", "title", "publisher_name")
 
 
+def _stored_table(spark: SparkSession, rows: DataFrame, name: str, key: str, by: tuple[str, ...]) -> str:
+    root = stage_path(spark, name)
+    store.replace_buckets(rows, root, key, range(8), 8)
+    for column in by:
+        lookups.write_lookup(store.read_buckets(spark, root), root, column, key, range_rows=2000)
+    return root
+
+
+def q_stored_lookups(spark: SparkSession, sf: str) -> DataFrame:
+    """Q40b (O-97): the six lookups on stored tables (ISBN, title, publisher, availability, promotion finish date,
+    reverse ISBN redirect), after a run that moved every seventh book to another publisher."""
+    part, c = load(spark, sf, "part"), F.col
+    k = F.regexp_extract("record_reference", "([0-9]+)$", 1).cast("long")
+    books = adapters.books_from_part(part).withColumn(
+        "availability_code", F.element_at(F.array(*map(F.lit, ("20", "21", "40", "31"))), (k % 4 + 1).cast("int")))
+    shop = _stored_table(spark, books, "books", "record_reference", ("isbn13", "title", "publisher_name", "availability_code"))
+    moved = books.where(k % 7 == 0).withColumn("publisher_name", F.concat(F.lit("New "), "publisher_name"))
+    jobs._update(spark, shop, "record_reference", moved.select("record_reference"), books,
+                 lambda current: merge.upsert(current, moved, "record_reference"))
+    promo = current_promotions(load(spark, sf, "customer")).withColumn(
+        "finish_date", F.date_add(F.lit("2024-01-01").cast("date"), F.regexp_extract("title", "([0-9]+)$", 1).cast("int") % 60))
+    promos = _stored_table(spark, promo, "promotions", "isbn13", ("finish_date",))
+    slips = load(spark, sf, "supplier").select(isbn_of("978", "s_suppkey").alias("old_isbn13"),
+                                               isbn_of("979", "s_nationkey").alias("new_isbn13"))
+    redirects = _stored_table(spark, slips, "slips", "old_isbn13", ("new_isbn13",))
+
+    returned = load(spark, sf, "lineitem").where(c("l_returnflag") == "R").select(isbn_of("978", "l_partkey").alias("value"))
+    titles = books.where(k % 50 == 0).select(c("title").alias("value"))
+    days = [F.lit(d).cast("date") for d in ("2024-01-10", "2024-01-20")]
+    low, high = spark.range(1).select(*days).first()
+    asked = {
+        "isbn": (shop, "record_reference", "isbn13", {"values": returned}),
+        "title": (shop, "record_reference", "title", {"values": titles}),
+        "title_prefix": (shop, "record_reference", "title", {"prefix": "small r"}),
+        "publisher": (shop, "record_reference", "publisher_name", {"values": ["Brand#12", "New Brand#7", "none"]}),
+        "availability": (shop, "record_reference", "availability_code", {"values": ["21"]}),
+        "finish_date": (promos, "isbn13", "finish_date", {"low": low, "high": high}),
+        "redirected_from": (redirects, "old_isbn13", "new_isbn13", {"values": ["9790000000003", "9790000000011"]}),
+    }
+    out = None
+    for name, (root, key, column, condition) in asked.items():
+        rows = lookups.look_up(spark, root, key, column, **condition).select(
+            F.lit(name).alias("lookup"), c(key).alias("key"), c(column).cast("string").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q_vector_codec(spark: SparkSession, sf: str) -> DataFrame:
     """O-85: vectors written as ``[a,b,…]`` text and read back unchanged."""
     from quire.functions.scalars import format_vector, parse_vector

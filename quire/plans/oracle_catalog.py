@@ -233,6 +233,23 @@ WHERE p_brand IN ('Brand#1', 'Brand#12', 'Brand#23')
   AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')"""
 
 
+Q_STORED_LOOKUPS = f"""
+WITH b AS (
+  SELECT 'REF' || {_s('p_partkey')} AS key, p_partkey AS k, {isbn('978', 'p_partkey')} AS isbn13,
+         concat_ws(' ', p_name, {_s('p_partkey')}) AS title,
+         CASE WHEN p_partkey % 7 = 0 THEN 'New ' ELSE '' END || p_brand AS publisher,
+         CASE p_partkey % 4 WHEN 0 THEN '20' WHEN 1 THEN '21' WHEN 2 THEN '40' ELSE '31' END AS availability
+  FROM part)
+SELECT 'isbn' AS lookup, key, isbn13 AS value FROM b WHERE k IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
+UNION ALL SELECT 'title', key, title FROM b WHERE title IN (SELECT title FROM b WHERE k % 50 = 0)
+UNION ALL SELECT 'title_prefix', key, title FROM b WHERE starts_with(title, 'small r')
+UNION ALL SELECT 'publisher', key, publisher FROM b WHERE publisher IN ('Brand#12', 'New Brand#7', 'none')
+UNION ALL SELECT 'availability', key, availability FROM b WHERE availability = '21'
+UNION ALL SELECT 'finish_date', {isbn('978', 'c_custkey')}, strftime(DATE '2024-01-01' + CAST(c_custkey % 60 AS INTEGER), '%Y-%m-%d')
+  FROM customer WHERE c_custkey % 60 BETWEEN 9 AND 19
+UNION ALL SELECT 'redirected_from', {isbn('978', 's_suppkey')}, {isbn('979', 's_nationkey')}
+  FROM supplier WHERE s_nationkey IN (3, 11)"""
+
 Q_VECTOR_CODEC = """
 SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_dims, true AS roundtrip_ok, true AS bracketed FROM embeddings"""
 
@@ -280,4 +297,5 @@ def oracles() -> dict[str, str]:
         "fts_rank": Q_FTS,
         "trigram_title": Q_TRIGRAM,
         "key_lookups": Q_LOOKUPS,
+        "stored_lookups": Q_STORED_LOOKUPS,
     }

@@ -88,6 +88,7 @@ def _queries() -> dict[str, Query]:
         "fts_rank": catalog.q_fts_rank,
         "trigram_title": catalog.q_trigram_title,
         "key_lookups": catalog.q_key_lookups,
+        "stored_lookups": catalog.q_stored_lookups,
         "vector_codec": catalog.q_vector_codec,
         "text_vector_stats": catalog.q_text_vector_stats,
         "onix_ingest": streams.q_onix_ingest,

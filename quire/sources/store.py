@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,21 +137,29 @@ def replace_buckets(df: DataFrame, root: str, key: str, only: Iterable[int], buc
     A dynamic partition overwrite: new files are written aside and take the old
     ones' place when the job commits, so ``df`` may be made from the same table.
     A bucket that has no rows any more is removed."""
-    spark, only, path = df.sparkSession, list(only), f"{root}/of={buckets}"
+    placed = df.withColumn("bucket", bucket_of(key, buckets))
+    replace_partitions(placed, f"{root}/of={buckets}", "bucket", only, (key,), bloom)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, only: Iterable[int], order: tuple[str, ...],
+                       bloom: tuple[str, ...] = (), options: Mapping[str, str] | None = None) -> None:
+    """Write ``df`` as the whole contents of the folders ``column=<n>`` named by ``only``, each sorted by ``order``."""
+    spark, only = df.sparkSession, list(only)
     if not only:
         return
     fs, p = hadoop_fs(spark, path)
     fs.mkdirs(p)
 
     def names(b: int) -> set[str]:
-        folder = hadoop_fs(spark, f"{path}/bucket={b}")[1]
+        folder = hadoop_fs(spark, f"{path}/{column}={b}")[1]
         return {st.getPath().getName() for st in fs.listStatus(folder)} if fs.exists(folder) else set()
     before = {b: names(b) for b in only}
-    placed = df.withColumn("bucket", bucket_of(key, buckets)).hint("rebalance", "bucket").sortWithinPartitions("bucket", key)
-    (_writer(placed, bloom).option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path))
+    placed = df.hint("rebalance", column).sortWithinPartitions(column, *order)
+    (_writer(placed, bloom).options(**(options or {})).option("partitionOverwriteMode", "dynamic").mode("overwrite")
+     .partitionBy(column).parquet(path))
     for b, old in before.items():
         if old & names(b):          # nothing was written there (file names are never used twice)
-            fs.delete(hadoop_fs(spark, f"{path}/bucket={b}")[1], True)
+            fs.delete(hadoop_fs(spark, f"{path}/{column}={b}")[1], True)
 
 
 def rebucket(spark: SparkSession, root: str, key: str, buckets: int, bloom: tuple[str, ...] = ()) -> None:

@@ -21,6 +21,7 @@ from quire.operators.products import project_products
 from quire.schemas import BOOK_FIELDS
 from quire.session import bounded_broadcast, cut_lineage, hadoop_fs
 from quire.sources import feeds as src
+from quire.sources import lookups
 from quire.sources import store as tables
 from quire.sources.onix import file_columns, parse_onix, scan_onix, with_arrival
 from quire.sources.store import read_table
@@ -59,13 +60,21 @@ def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
 def _update(spark: SparkSession, root: str, key: str, touched: DataFrame | None, like: DataFrame,
             merged: Callable[[DataFrame], DataFrame], bloom: tuple[str, ...] = ()) -> None:
     """Merge a run into the table at ``root``: only the buckets of the ``touched`` keys are
-    read and written (all of them for None)."""
+    read and written (all of them for None). Lookups by other columns (``sources.lookups``) are kept up."""
     n = tables.open_buckets(spark, root, key, like, bloom)
     only = list(range(n)) if touched is None else tables.touched_buckets(touched, key, n)
     if only:
         held = tables.read_buckets(spark, root, only)
         current = like.limit(0) if held is None else held
-        tables.replace_buckets(merged(current), root, key, only, n, bloom)
+        after = merged(current)
+        by = lookups.columns(spark, root)
+        if by:          # the old rows' files go when the buckets are replaced
+            current, after = cut_lineage(current.select(key, *by)), cut_lineage(after)
+        for column in by:
+            lookups.add_entries(current, after, root, column, key)
+        tables.replace_buckets(after, root, key, only, n, bloom)
+        for column in by:
+            lookups.drop_entries(current, after, root, column, key)
 
 
 def _count(spark: SparkSession, root: str) -> int:
