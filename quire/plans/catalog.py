@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.scalars import onix_date, slugify
 from quire.operators import embedding as emb
-from quire.operators import merge, quality, search
+from quire.operators import merge, quality, search, text_index
 from quire.operators.products import project_products
 from quire.plans import adapters
 from quire.plans.bookkeeping import contributors
@@ -283,6 +283,50 @@ def q_fts_rank(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
 
 
+def _fts_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(" "), F.col("source")).alias("title"),
+        F.col("lang").alias("subtitle"), F.col("text").alias("long_description"))
+
+
+def q_stored_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Q38b (O-94): top 10 documents per query through the stored index of blocks; ``or`` for the benchmark's texts,
+    ``and`` for the first four words of each."""
+    path = stage_path(spark, "text-index")
+    text_index.write_text_index(_fts_documents(spark, sf), path, "doc_id", {"title": "A", "subtitle": "B", "long_description": "C"},
+                                stem=False)
+    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text",
+                                                F.substring_index("text", " ", 4).alias("few"))
+    out = None
+    for mode, text in (("or", "text"), ("and", "few")):
+        terms = text_index.query_terms(asked, text, stem=False)
+        top = text_index.search_text_index(spark, path, terms, k=10, mode=mode, key="doc_id").select(
+            F.lit(mode).alias("mode"), "query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
+# Titles in another inflection than the queries that look for them.
+_NOUN = "(anvil|bolt|gear|gizmo|plate|ring|rod|widget)"
+
+
+def q_stemmed_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Q38c (O-93): every third title in the plural, asked for in other inflections, and by ISBN (weight A);
+    top 10 books, all words needed."""
+    part, c = load(spark, sf, "part"), F.col
+    k = F.regexp_extract("record_reference", "([0-9]+)$", 1).cast("long")
+    books = adapters.books_from_part(part).withColumn(
+        "title", F.when(k % 3 == 0, F.regexp_replace("title", _NOUN, "$1s")).otherwise(c("title")))
+    path = stage_path(spark, "text-index")
+    text_index.write_text_index(books, path, "record_reference", {"title": "A", "subtitle": "B", "isbn13": "A", "long_description": "C"})
+    names = part.select("p_name").distinct()
+    asked = (names.select(c("p_name").alias("query_id"), F.regexp_replace("p_name", _NOUN, "$1s").alias("text"))
+             .unionByName(names.select(F.concat(c("p_name"), F.lit(" ing")), F.regexp_replace("p_name", "(ring|bolt)", "$1ing")).toDF("query_id", "text"))
+             .unionByName(part.where(c("p_partkey") % 50 == 0).select(isbn_of("978", "p_partkey").alias("query_id"), isbn_of("978", "p_partkey").alias("text"))))
+    top = text_index.search_text_index(spark, path, text_index.query_terms(asked, "text"), mode="and", key="record_reference")
+    return top.select("query_id", "record_reference", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
+
+
 def q_trigram_title(spark: SparkSession, sf: str) -> DataFrame:
     """Q39 (O-95): the misspelt title of every 50th part, matched to all titles by trigram similarity >= 0.3."""
     title = F.concat_ws(" ", "p_name", "p_brand", F.col("p_partkey").cast("string"))

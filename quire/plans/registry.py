@@ -86,6 +86,8 @@ def _queries() -> dict[str, Query]:
         "cosine_topk": catalog.q_cosine_topk,
         "cosine_cells": catalog.q_cosine_cells,
         "fts_rank": catalog.q_fts_rank,
+        "stored_search": catalog.q_stored_search,
+        "stemmed_search": catalog.q_stemmed_search,
         "trigram_title": catalog.q_trigram_title,
         "key_lookups": catalog.q_key_lookups,
         "stored_lookups": catalog.q_stored_lookups,
