@@ -108,13 +108,15 @@ def _turn(turn: Column, sub: Column, role: Column, text: Column) -> Column:
                     F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
-def _turns(x: Layout, field) -> Column:
-    """The record's turns as an array; ``field(name, type)`` reads one of its fields."""
+def _turns(x: Layout, field, inside=lambda element, name: element[name], element: str | None = None) -> Column:
+    """The record's turns as an array; ``field(name, type)`` reads one of its fields, ``inside`` a
+    field of a list's element (of the type ``element``, where given)."""
     if x.row:
         return F.array(_turn(field(x.row[0], "bigint"), F.lit(0), field(x.row[1], "string"), field(x.row[2], "string")))
     if x.each:
-        items = F.coalesce(field(x.each[0], f"array<struct<`{x.each[1]}`:string,`{x.each[2]}`:string>>"), F.array())
-        return F.transform(items, lambda m, i: _turn(i, F.lit(0), m[x.each[1]], m[x.each[2]]))
+        items = field(x.each[0], f"array<{element or f'struct<`{x.each[1]}`:string,`{x.each[2]}`:string>'}>")
+        made = F.transform(items, lambda m, i: _turn(i, F.lit(0), inside(m, x.each[1]), inside(m, x.each[2])))
+        return F.coalesce(made, F.array())
     made = [_turn(F.lit(0), F.lit(k), F.lit(role), F.concat_ws("\n\n", *(
         F.nullif(field(f, "string"), F.lit("")) for f in fields))) for k, (role, fields) in enumerate(x.turns)]
     return F.array(*made)
@@ -130,31 +132,57 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     return records.select(F.col(x.id_field).cast("long").alias("conv_id"), F.inline(turns))
 
 
-def mixed_turns(records: DataFrame, column: str, layouts=LAYOUTS) -> DataFrame:
-    """Turns of JSON strings whose layout differs from row to row.
+def as_records(rows: DataFrame, name: str = "record") -> DataFrame:
+    """Each row as one variant of those of its columns that some mapping knows, so that frames
+    of different layouts can be united. A record holds at most 128 MB (Spark's limit on variants)."""
+    top = {p.split("[")[0].split(".")[0] for p in VOCABULARY}
+    held = [F.col(f"`{c}`") for c in rows.columns if c in top]
+    return rows.select(F.to_variant_object(F.struct(*held)).alias(name))
+
 
-    Each row's fingerprint is computed in Spark from its own keys and the keys
-    of the first element of its message list. Rows with no mapping, or that are
-    no JSON object, keep one turn-less row: conv_id null, layout null."""
-    v = F.try_parse_json(F.col(column))
+def mixed_turns(records: DataFrame, column: str, layouts=LAYOUTS) -> DataFrame:
+    """Turns of records (variants, or JSON strings of at most 20 MB) whose layout differs from row to row.
+
+    Each row's fingerprint is computed in Spark from its own keys and the keys of all
+    elements of its message lists. A row with further known keys takes the first mapping all of
+    whose paths it has, else the first whose message list it has (elements may lack fields,
+    which are empty then). A list that is empty, null or no list has no turns. Rows without turns give one
+    row with null turns, so that no conversation is lost; conv_id is read in any case. Rows with no
+    mapping, or that are no object, have layout null."""
+    is_text = isinstance(records.schema[column].dataType, T.StringType)
+    v = F.try_parse_json(F.col(f"`{column}`")) if is_text else F.col(f"`{column}`")
+    rows = records.select(v.alias("v"))
+    get = lambda f, kind: F.try_variant_get(F.col("v"), f"$.{f}", kind)
     keys = lambda c: F.coalesce(F.map_keys(c.try_cast("map<string,variant>")), F.array().cast("array<string>"))
 
-    def element_paths(field: str) -> Column:
-        return F.transform(keys(F.try_variant_get(v, f"$.{field}[0]", "variant")), lambda k: F.concat(F.lit(f"{field}[]."), k))
+    own = keys(F.col("v"))
+
+    def element_paths(name: str) -> Column:
+        items = get(name, "array<variant>")
+        inner = F.transform(F.flatten(F.transform(items, keys)), lambda k: F.concat(F.lit(f"{name}[]."), k))
+        whole = F.array(*(F.lit(p) for p in sorted(VOCABULARY) if p.startswith(f"{name}[].")))
+        empty = F.array_contains(own, name) & (F.coalesce(F.size(items), F.lit(0)) <= 0)
+        return F.when(empty, whole).otherwise(F.coalesce(inner, F.array().cast("array<string>")))
 
-    inner = [element_paths(f) for f in _LISTS]
     known = F.array(*(F.lit(p) for p in sorted(VOCABULARY)))
-    paths = F.array_sort(F.array_intersect(F.concat(keys(v), *inner), known))
-    rows = records.select(v.alias("v"), F.sha2(F.array_join(paths, "\n"), 256).alias("print"))
-    layout, conv, turns = F.lit(None).cast("string"), F.lit(None).cast("long"), F.array().cast(
-        "array<struct<turn:bigint,sub:int,role:string,text:string>>")
-    get = lambda f, kind: F.try_variant_get(F.col("v"), f"$.{f}", kind)
-    for x in layouts:
-        hit = F.col("print") == fingerprint(x.paths())
-        layout = F.when(hit, F.lit(x.name)).otherwise(layout)
-        conv = F.when(hit, get(x.id_field, "bigint")).otherwise(conv)
-        turns = F.when(hit, _turns(x, get)).otherwise(turns)
-    return rows.select(layout.alias("layout"), conv.alias("conv_id"), F.inline_outer(turns))
+    paths = F.array_sort(F.array_distinct(F.array_intersect(F.concat(own, *map(element_paths, _LISTS)), known)))
+    rows = rows.select("v", own.alias("own"), paths.alias("paths")).select("v", "own", "paths", F.sha2(F.array_join("paths", "\n"), 256).alias("print"))
+
+    def has(x: Layout) -> Column:
+        return F.size(F.array_except(F.array(*(F.lit(p) for p in sorted(x.paths()))), F.col("paths"))) == 0
+
+    pick = [F.when(F.col("print") == fingerprint(x.paths()), F.lit(i)) for i, x in enumerate(layouts)]
+    pick += [F.when(has(x), F.lit(i)) for i, x in enumerate(layouts)]
+    pick += [F.when(F.array_contains("own", x.each[0]), F.lit(i)) for i, x in enumerate(layouts) if x.each]
+    rows = rows.select("v", F.coalesce(*pick).alias("pick"))
+
+    ids = list(dict.fromkeys(x.id_field for x in layouts))
+    layout, turns = F.lit(None).cast("string"), F.array().cast("array<struct<turn:bigint,sub:int,role:string,text:string>>")
+    inside = lambda m, name: F.try_variant_get(m, f"$.{name}", "string")
+    for i, x in enumerate(layouts):
+        layout = F.when(F.col("pick") == i, F.lit(x.name)).otherwise(layout)
+        turns = F.when(F.col("pick") == i, _turns(x, get, inside, "variant")).otherwise(turns)
+    return rows.select(layout.alias("layout"), F.coalesce(*(get(f, "bigint") for f in ids)).alias("conv_id"), F.inline_outer(turns))
 
 
 def escape(text: Column) -> Column:

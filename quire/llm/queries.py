@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import bpe_round_trip
-from quire.llm.chat import canonical_turns, format_turns, formatted_digests
+from quire.llm.chat import as_records, format_turns, formatted_digests, mixed_turns
 from quire.llm.common import documents
 from quire.llm.jaccard_join import Rule, jaccard_groups
 from quire.llm.language_id import language_id
@@ -52,10 +52,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations (turns as rows), and one that comes as prompt and response."""
+    """All conversations (turns as rows) and one that comes as prompt and response, mixed in one frame."""
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).selectExpr("cast(-1 as bigint) as conv_id", f"'{said}' as prompt", f"'{said}' as response")
-    turns = canonical_turns(load(spark, sf_dir, "conversations")).unionByName(canonical_turns(extra))
+    records = as_records(load(spark, sf_dir, "conversations")).unionByName(as_records(extra))
+    turns = mixed_turns(records, "record").where(F.col("turn").isNotNull() | F.col("role").isNotNull())
     return formatted_digests(format_turns(turns))
 
 

@@ -63,4 +63,35 @@ def test_mixed_json_layouts(spark):
     said = {c: [(x[3], x[4]) for x in sorted(v, key=lambda x: (x[1] or 0, x[2] or 0))] for c, v in got.items()}
     assert said[1] == [("user", "a"), ("assistant", "b")] and said[2] == [("user", "c"), ("assistant", "d")]
     assert said[3] == [("user", "e"), ("assistant", "f")] and said[4][0] == ("user", "e\n\ng") and said[5] == [("user", "h"), ("assistant", "i")]
-    assert [x[0] for x in got[None]] == [None] * 3 and got[4][0][0] == "instruction_input"
+    assert [x[0] for x in got[None]] == [None] * 2 and got[6] == [(None,) * 5] and got[4][0][0] == "instruction_input"
+
+
+def test_no_conversation_is_lost_for_its_layout(spark):
+    rows = ['{"conv_id":1,"turn":0,"role":"user","text":"a","prompt":"p"}',                     # one more known key
+            '{"conv_id":2,"prompt":"h","response":"i","input":"x"}',
+            '{"conv_id":3,"messages":[]}', '{"conv_id":4,"messages":null}', '{"conv_id":5,"messages":"text"}',
+            '{"conv_id":6,"messages":[{"role":"user"},{"role":"assistant","content":"b"}]}',     # the first without content
+            '{"conv_id":7,"conversations":[{"from":"human"}]}',                                  # none with a value
+            '{"conv_id":8,"messages":["x",{"role":"user","content":"c"},null]}',                 # elements that are no objects
+            '{"conv_id":9,"what":1}']
+    out = mixed_turns(spark.createDataFrame([(r,) for r in rows], "j string"), "j").collect()
+    said = {}
+    for r in sorted(out, key=lambda r: (r["conv_id"], r["turn"] or 0, r["sub"] or 0)):
+        said.setdefault((r["conv_id"], r["layout"]), []).append((r["role"], r["text"]))
+    assert said == {(1, "turn_rows"): [("user", "a")], (2, "prompt_response"): [("user", "h"), ("assistant", "i")],
+                    (3, "messages"): [(None, None)], (4, "messages"): [(None, None)], (5, "messages"): [(None, None)],
+                    (6, "messages"): [("user", ""), ("assistant", "b")], (7, "from_value"): [("user", "")],
+                    (8, "messages"): [("", ""), ("user", "c"), ("", "")], (9, None): [(None, None)]}
+
+
+def test_typed_layouts_mixed_in_one_frame(spark):
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", t) for k, t in enumerate(NASTY)] + [(2, 0, None, None), (2, None, "user", "q")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("v", F.lit(1)).withColumn("paths", F.lit(2))
+    pair = spark.sql("SELECT 6L conv_id, 'p' prompt, string(null) response, map(1, 2) extra")
+    lists = spark.sql("SELECT 7L conv_id, array(named_struct('role', 'user', 'content', 'hi'), null) messages")
+    records = chat.as_records(turns).unionByName(chat.as_records(pair)).unionByName(chat.as_records(lists))
+    got = mixed_turns(records, "record").drop("layout")
+    want = canonical_turns(turns).unionByName(canonical_turns(pair)).unionByName(canonical_turns(lists))
+    order = lambda df: sorted(map(str, df.collect()))
+    assert order(got) == order(want)
+    assert mixed_turns(records.limit(0), "record").count() == 0
