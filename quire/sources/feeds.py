@@ -5,7 +5,7 @@ each line is split with ``from_csv``: a short row fills missing cells with
 ``''``, extra cells are ignored, quotes inside a field come through as text,
 doubled quotes in a quoted field stand for one, and a line with a quoted field
 that is not closed is counted as a parse error instead of failing the file.
-A quoted line break is not supported: its lines are such parse errors.
+A quoted field may hold line breaks (``joined_lines``). JSON documents are cut at element borders.
 """
 
 from __future__ import annotations
@@ -278,17 +278,90 @@ def framed(lines_in: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFra
                        "source_file", "file_name", "file_mtime", "arrival")
 
 
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_HEAD = rf'(?:[^"{{]|{_STRING})*+'          # up to the next brace outside strings
+
+
+def json_elements(spark: SparkSession, paths, field: str) -> DataFrame:
+    """The objects of the array ``field`` at the root of JSON documents (one a file), each as text:
+    ``source_file, file_mtime, pos, value``; ``pos`` counts a file's objects from 0.
+
+    Files are read as text that ends at closing braces, so that a large document gives many
+    tasks. Whether a piece begins inside a string and how many braces are open there follows
+    from the quotes and braces before it: prefix sums in two levels, over the splits of a file (taken
+    for either state at a split's start) and inside a split. Objects of one piece, which most are, are never
+    gathered; the others are put together from their pieces. Elements that are no objects are passed
+    over. A document whose strings and braces are not closed gives no rows."""
+    text = spark.read.option("lineSep", "}").option("recursiveFileLookup", "true").text(paths)
+    x = text.select(F.col("value").alias("f"), F.col("_metadata.file_path").alias("source_file"),
+                    F.col("_metadata.file_modification_time").alias("file_mtime"),
+                    F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("p"))
+    clean = F.regexp_replace("f", r"(?s)\\.", "")
+    x = x.withColumns({"odd": F.length(F.regexp_replace(clean, '[^"]', "")) % 2})
+    inner = Window.partitionBy("source_file", "b").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy("source_file").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("flips", F.coalesce(F.sum("odd").over(inner), F.lit(0)) % 2)
+
+    def braces(inside: Column) -> Column:
+        """Braces opened less those closed in a piece and the brace behind it, for the state at its start."""
+        shown = F.when(inside == 1, F.concat(F.lit('"'), clean)).otherwise(clean)
+        shown = F.regexp_replace(shown, '"[^"]*+("|$)', "")
+        return F.length(F.regexp_replace(shown, "[^{]", "")) - F.when((inside + F.col("odd")) % 2 == 0, F.lit(1)).otherwise(F.lit(0))
+    for k in (0, 1):
+        x = x.withColumn(f"d{k}", braces((F.col("flips") + k) % 2))
+    # Per split: the state and the depth at its start.
+    at = x.groupBy("source_file", "b").agg(F.sum("odd").alias("odd"), F.sum("d0").alias("d0"), F.sum("d1").alias("d1"),
+                                           F.max_by("f", "p").alias("tail"))
+    at = at.withColumn("s", F.coalesce(F.sum("odd").over(outer), F.lit(0)) % 2)
+    at = at.withColumn("d", F.when(F.col("s") == 1, F.col("d1")).otherwise(F.col("d0")))
+    at = at.withColumn("open", F.coalesce(F.sum("d").over(outer), F.lit(0)))
+    at = cut_lineage(at.select("source_file", "b", "s", "d", "open", "odd", "tail"))
+    # The text behind the last brace is a piece too, though no brace follows it.
+    end = at.groupBy("source_file").agg(F.sum("d").alias("d"), F.sum("odd").alias("odd"), F.max_by("tail", "b").alias("tail"))
+    blank = F.trim(F.regexp_replace("tail", r"[\s\x{FEFF}]+", "")) == ""
+    sound = end.where((F.col("odd") % 2 == 0) & (F.col("d") + F.when(blank & (F.col("d") < 0), F.lit(1)).otherwise(F.lit(0)) == 0))
+    at = at.join(sound.select("source_file"), "source_file", "left_semi").select("source_file", "b", "s", "open")
+
+    x = x.join(at, ["source_file", "b"])
+    x = x.withColumns({"inside": (F.col("flips") + F.col("s")) % 2,
+                       "delta": F.when(F.col("s") == 1, F.col("d1")).otherwise(F.col("d0"))})
+    x = x.withColumn("depth", F.col("open") + F.coalesce(F.sum("delta").over(inner), F.lit(0)))
+    first = F.regexp_extract("f", rf"(?s)^([\s\x{{FEFF}}]*+\{{{_HEAD})\{{", 1)         # behind the root's own brace
+    later = F.regexp_extract("f", rf"(?s)^({_HEAD})\{{", 1)
+    head = F.when(F.col("inside") == 0, F.when(F.col("depth") == 0, first).when(F.col("depth") == 1, later))
+    x = x.withColumn("head", F.when(head != "", head).when(
+        (F.col("inside") == 0) & (F.col("depth") == 1) & F.startswith("f", F.lit("{")), F.lit("")))
+    bare = F.regexp_replace("head", rf"(?s):\s*{_STRING}", ":0")
+    name = F.element_at(F.regexp_extract_all(bare, F.lit(rf"(?s)({_STRING})\s*:"), 1), -1)
+    is_list = bare.rlike(r"(?s):\s*\[[^\[\]:]*$")
+    x = x.withColumns({"starts": F.col("head").isNotNull().cast("int"),
+                       "field": F.when(F.contains(bare, F.lit(":")), F.when(is_list, name).otherwise(F.lit("")))})
+    upto = Window.partitionBy("source_file", "b").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({"named": F.last("field", ignorenulls=True).over(upto)})
+    wanted = F.lit(f'"{field}"')
+    # Per split: the field that is open at its start.
+    names = x.groupBy("source_file", "b").agg(F.max_by("field", F.when(F.col("field").isNotNull(), F.col("p"))).alias("field"))
+    names = names.select("source_file", "b", F.last("field", ignorenulls=True).over(outer).alias("before"))
+    x = x.join(names, ["source_file", "b"]).withColumn("mine", F.coalesce("named", "before") == wanted)
+    x = x.where("mine").withColumn("nth", F.sum("starts").over(upto))
+    counts = x.groupBy("source_file", "b").agg(F.sum("starts").alias("n"))
+    counts = cut_lineage(counts.select("source_file", "b", F.coalesce(F.sum("n").over(outer), F.lit(0)).alias("earlier")))
+    x = x.join(counts, ["source_file", "b"]).withColumn("pos", F.col("earlier") + F.col("nth") - 1)
+    ends = F.col("depth") + F.col("delta") == 1
+    piece = F.when(F.col("starts") == 1, F.substring("f", F.length("head") + 1, F.length("f"))).otherwise(F.col("f"))
+    x = x.select("source_file", "file_mtime", "pos", "b", "p", "depth", "starts", piece.alias("piece"), ends.alias("ends"))
+    whole = x.where((F.col("starts") == 1) & F.col("ends")).select("source_file", "file_mtime", "pos", F.concat("piece", F.lit("}")).alias("value"))
+    parts = x.where(((F.col("starts") == 1) & ~F.col("ends")) | ((F.col("starts") == 0) & (F.col("depth") >= 2)))
+    joined = parts.groupBy("source_file", "file_mtime", "pos").agg(F.sort_array(F.collect_list(F.struct("b", "p", "piece"))).alias("t"))
+    return whole.unionByName(joined.select("source_file", "file_mtime", "pos", F.concat(F.array_join("t.piece", "}"), F.lit("}")).alias("value")))
+
+
 def read_excerpts(spark: SparkSession, paths) -> DataFrame:
     """O-09: excerpt feed documents (one JSON document per file) -> one row per excerpt.
 
-    A missing ``excerpts`` array reads as empty. Each file is one task, so a
-    large feed is delivered as many files.
-    """
+    A missing ``excerpts`` array reads as empty. A large document is read by many tasks."""
     from quire.schemas import EXCERPT_FEED
 
-    docs = (spark.read.option("multiLine", "true").schema(EXCERPT_FEED).json(paths)
-            .select(F.col("_metadata.file_path").alias("source_file"),
-                    F.col("_metadata.file_modification_time").alias("file_mtime"), "excerpts"))
-    return (docs.select("source_file", "file_mtime",
-                        F.posexplode(F.coalesce(F.col("excerpts"), F.array())).alias("pos", "e"))
-            .select("source_file", "file_mtime", "pos", "e.*"))
+    kind = EXCERPT_FEED["excerpts"].dataType.elementType
+    return (json_elements(spark, paths, "excerpts")
+            .select("source_file", "file_mtime", F.col("pos").cast("int").alias("pos"), F.inline(F.array(F.from_json("value", kind)))))
