@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import queue
+import threading
+import time
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -102,17 +105,37 @@ def hashing_provider(dim: int) -> Callable[[list[str]], list[list[float] | None]
     return embed
 
 
+def call_within(call: Callable[[list[str]], list], texts: list[str], seconds: float) -> list:
+    """``call(texts)``, or a TimeoutError after ``seconds``. The call runs in a thread of its own that is
+    left behind when it hangs; as a daemon it does not keep the worker from ending."""
+    done: queue.Queue = queue.Queue(1)
+
+    def work() -> None:
+        try:
+            done.put((call(texts), None))
+        except Exception as e:  # noqa: BLE001 - handed to the caller
+            done.put((None, e))
+    threading.Thread(target=work, daemon=True).start()
+    try:
+        out, error = done.get(timeout=seconds)
+    except queue.Empty:
+        raise TimeoutError(f"no answer within {seconds} s") from None
+    if error is not None:
+        raise error
+    return out
+
+
 class RetryingProvider:
     """O-91 call discipline around a batch model call, run inside each task:
-    up to ``tries`` attempts, back-off 1-2-4-8 s (or the server's hint plus
-    2 s when the error carries ``retry_after``), a pause between batches.
+    up to ``tries`` attempts of at most ``deadline`` seconds each, back-off 1-2-4-8 s (or the server's
+    hint plus 2 s when the error carries ``retry_after``), a pause between batches.
+    A batch whose last attempt fails or hangs has null vectors, so its books stay unembedded.
     ``sleep`` is injectable so tests do not wait."""
 
     def __init__(self, call: Callable[[list[str]], list], tries: int = 5, backoff: Sequence[float] = (1, 2, 4, 8),
-                 pause: float = 0.0, sleep: Callable[[float], None] | None = None):
-        import time
+                 pause: float = 0.0, sleep: Callable[[float], None] | None = None, deadline: float | None = 60.0):
         self.call, self.tries, self.backoff, self.pause = call, tries, tuple(backoff), pause
-        self.sleep = sleep or time.sleep
+        self.sleep, self.deadline = sleep or time.sleep, deadline
         self._calls = 0
 
     def __call__(self, texts: list[str]) -> list:
@@ -121,7 +144,7 @@ class RetryingProvider:
         self._calls += 1
         for attempt in range(self.tries):
             try:
-                return self.call(texts)
+                return self.call(texts) if self.deadline is None else call_within(self.call, texts, self.deadline)
             except Exception as e:  # noqa: BLE001 - any transport/model error is retried
                 if attempt == self.tries - 1:
                     return [None] * len(texts)      # give up: the batch's books stay unembedded
@@ -132,24 +155,34 @@ class RetryingProvider:
 
 
 def embed(texts: DataFrame, provider: Callable[[list[str]], list], dim: int, batch: int = 100,
-          key: str = "record_reference", text: str = "text") -> DataFrame:
+          key: str = "record_reference", text: str = "text", calls_per_minute: float | None = None,
+          tasks: int | None = None) -> DataFrame:
     """O-91: ``key, embedding`` by calling ``provider`` on batches of ``batch`` texts.
 
-    Runs in ``mapInPandas``: each task sends its own batches, so the request
-    rate is (tasks x per-task rate); ``coalesce`` the input to bound it. The
-    provider owns retries/back-off; a failed text gives a null vector.
+    Runs in ``mapInPandas``: each task sends its own batches. With ``calls_per_minute`` the texts
+    are dealt to ``tasks`` tasks (by default as many as run at once) and each of them begins at most
+    its share of the calls, so that the run as a whole keeps to the rate. The provider owns
+    retries/back-off (its repeated tries are not counted); a failed text gives a null vector.
     """
+    texts, least = texts.select(key, text), 0.0
+    if calls_per_minute is not None:
+        tasks = tasks or texts.sparkSession.sparkContext.defaultParallelism
+        texts, least = texts.repartition(tasks), 60.0 * tasks / calls_per_minute
     schema = T.StructType([T.StructField(key, texts.schema[key].dataType),
                            T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        due = None          # when this task may call again
         for pdf in it:
             for s in range(0, len(pdf), batch):
                 part = pdf.iloc[s:s + batch]
+                if due is not None and least:
+                    time.sleep(max(0.0, due - time.monotonic()))
+                due = time.monotonic() + least
                 vecs = provider(part[text].tolist())
                 yield pd.DataFrame({key: part[key].values, "embedding": vecs})
 
-    return texts.select(key, text).mapInPandas(run, schema)
+    return texts.mapInPandas(run, schema)
 
 
 def write_vectors(books: DataFrame, vectors: DataFrame, dim: int, as_of, key: str = "record_reference",

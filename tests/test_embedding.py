@@ -83,3 +83,59 @@ def test_retrying_provider_backoff_and_hint():
     assert waits[-1] == 0.5                       # pause before the next batch
     dead = emb.RetryingProvider(lambda t: (_ for _ in ()).throw(Busy()), sleep=waits.append)
     assert dead(["x"]) == [None]                  # five failures: batch left unembedded
+
+
+def test_a_hanging_call_is_given_up(spark):
+    import time
+
+    def hangs(texts):
+        if any("hang" in t for t in texts):
+            time.sleep(30)
+        return [[1.0, float(len(t))] for t in texts]
+
+    rows = [("a", "hang on"), ("b", "fine"), ("c", "also")]
+    texts = spark.createDataFrame(rows, "record_reference string, text string").coalesce(1)
+    provider = emb.RetryingProvider(hangs, tries=2, backoff=(0,), deadline=0.3)
+    began = time.time()
+    vectors = emb.embed(texts, provider, 2, batch=1)
+    books = texts.select("record_reference", F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("timestamp").alias("embedded_at"))
+    got = {r.record_reference: r for r in emb.write_vectors(books, vectors, 2, "2024-06-01").collect()}
+    assert time.time() - began < 25
+    assert got["a"].embedding is None and got["a"].embedded_at is None
+    assert got["b"].embedding == [1.0, 4.0] and got["c"].embedded_at is not None
+
+
+def test_errors_and_slow_calls_are_tried_again():
+    import pytest
+    seen, slept = [], []
+
+    def call(texts):
+        seen.append(texts)
+        if len(seen) == 1:
+            raise ValueError("no")
+        if len(seen) == 2:
+            __import__("time").sleep(5)
+        return [[0.0]] * len(texts)
+
+    assert emb.RetryingProvider(call, sleep=slept.append, deadline=0.2)(["x"]) == [[0.0]]
+    assert slept == [1, 2] and len(seen) == 3
+    with pytest.raises(ValueError):
+        emb.call_within(lambda t: (_ for _ in ()).throw(ValueError("no")), ["x"], 1)
+
+
+def test_the_rate_is_shared_out_over_tasks(spark):
+    import time
+    texts = spark.range(12).select(F.col("id").cast("string").alias("record_reference"), F.lit("t").alias("text"))
+
+    def stamped(batch):
+        return [[time.time()]] * len(batch)
+
+    rows = emb.embed(texts, stamped, 1, batch=1, calls_per_minute=240, tasks=2).withColumn("task", F.spark_partition_id()).collect()
+    per_task = {}
+    for r in rows:
+        per_task.setdefault(r.task, []).append(r.embedding[0])
+    assert len(rows) == 12 and len(per_task) == 2
+    # each of two tasks at most two calls a second (times are kept as floats of 32 bits: counted by the run's length)
+    began = time.time()
+    emb.embed(texts, stamped, 1, batch=1, calls_per_minute=240, tasks=2).count()
+    assert time.time() - began >= (max(map(len, per_task.values())) - 1) * 0.5 * 0.9
