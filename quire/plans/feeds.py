@@ -32,11 +32,8 @@ def write_named(spark: SparkSession, lines: DataFrame, name: str, files: dict[in
     """Write ``lines`` (file_no, seq, line) as files named ``files[file_no]``."""
     path = stage_path(spark, name)
     if head_by_file:
-        heads = [spark.createDataFrame([(k, i, t) for i, t in enumerate(v)], "file_no int, __h int, line string")
-                 for k, v in head_by_file.items()]
-        h = heads[0]
-        for x in heads[1:]:
-            h = h.unionByName(x)
+        h = spark.createDataFrame([(k, i, t) for k, v in head_by_file.items() for i, t in enumerate(v)],
+                                  "file_no int, __h int, line string")
         seq_type = lines.schema["seq"].dataType
         lines = lines.select(F.col("file_no").cast("int"), F.lit(1).alias("__h0"), F.col("seq"), "line")
         h = h.select("file_no", F.lit(0).alias("__h0"), F.lit(None).cast(seq_type).alias("seq"), "line")

@@ -16,13 +16,24 @@ from quire.sources.store import read_table, rename_single_parts, write_framed_te
 from quire.streaming import jobs
 
 
-def _move_into(spark: SparkSession, files: list[str], target: str) -> None:
+BATCHES = 4     # micro-batches that take in what waits: each rewrites the buckets it touches, so their number must not grow
+
+
+def _files_a_batch(n_files: int) -> int:
+    return max(1, -(-n_files // BATCHES))
+
+
+def _move_into(spark: SparkSession, files: list[str], target: str, start_ms: int | None = None) -> None:
+    """Move ``files`` into the watched folder; with ``start_ms`` their times rise in this order."""
     fs, t = hadoop_fs(spark, target)
     fs.mkdirs(t)
     jvm = spark.sparkContext._jvm
-    for f in files:
+    for i, f in enumerate(files):
         src = jvm.org.apache.hadoop.fs.Path(f)
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(f"{target}/{src.getName()}"))
+        dst = jvm.org.apache.hadoop.fs.Path(f"{target}/{src.getName()}")
+        if start_ms is not None:
+            fs.setTimes(src, start_ms + i * 1000, -1)
+        fs.rename(src, dst)
 
 
 def q_onix_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,22 +75,19 @@ def q_stream_stock_merge(spark: SparkSession, sf: str) -> DataFrame:
     n = ev.count()
     nf = avail_file_count(ev)
     lines = avail_lines(ev, n, nf)
-    files = []
-    for k in range(nf):  # one write per hour file, in hour order (file times increase)
-        part = lines.where(F.col("k") == k).select(F.lit(0).alias("file_no"), "seq", "line")
-        name = f"AV_20240101.{k:03d}"
-        head = {0: ["START,20240101" if k == 0 else "UPDATE,20240101"]}
-        path = write_named(spark, part, f"avail-{k}", {0: name}, head)
-        files.append(f"{path}/{name}")
+    k = F.col("k")
+    names = {i: f"AV_20240101.{i:03d}" for i in range(nf)}
+    heads = {i: ["START,20240101" if i == 0 else "UPDATE,20240101"] for i in range(nf)}
+    path = write_named(spark, lines.where((k >= 0) & (k < nf)).select(k.alias("file_no"), "seq", "line"), "avail", names, heads)
     watched = stage_path(spark, "avail-in")
-    _move_into(spark, files, watched)
+    _move_into(spark, [f"{path}/{names[i]}" for i in range(nf)], watched, start_ms=1_700_000_000_000)
 
     def stamp(file_name):
         seq = F.regexp_extract(file_name, r"\.([0-9]{3})$", 1).cast("int")
         return F.lit("2024-02-01 06:00:00").cast("timestamp") + F.make_interval(
             F.lit(0), F.lit(0), F.lit(0), F.lit(0), seq)
 
-    q = jobs.stream_stock(spark, watched, store, stage_path(spark, "ckpt-stock"), ts=stamp)
+    q = jobs.stream_stock(spark, watched, store, stage_path(spark, "ckpt-stock"), ts=stamp, max_files_per_trigger=_files_a_batch(nf))
     q.awaitTermination()
     return stock_view(read_table(spark, f"{store}/stock"))
 

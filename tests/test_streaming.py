@@ -137,3 +137,28 @@ def test_genres_stay_without_subjects_and_each_batch_has_its_time(spark, tmp_pat
     assert sorted((r.record_reference, r.slug) for r in pairs) == [("A", "tides"), ("B", "maps")]
     books = {r.record_reference: r.updated_at for r in read_table(spark, f"{store}/books").collect()}
     assert books == {"A": dt.datetime(2024, 6, 2), "B": dt.datetime(2024, 6, 1)}
+
+
+def test_stock_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypatch):
+    from quire.plans import streams
+    n, files = 180, 9
+    kinds = ["click", "view", "error"]
+    spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"),
+                          F.element_at(F.array(*map(F.lit, kinds)), (F.col("id") % 5 % 3 + 1).cast("int")).alias("event_type"),
+                          F.format_string('{"k": %d}', F.col("id") % 13).alias("props")).write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").limit(3).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(streams, "avail_file_count", lambda events: files)
+    seen = {}
+
+    def recorded(s, path, store, *args, **kwargs):
+        seen["store"] = store
+        return start(s, path, store, *args, **kwargs)
+    start = jobs.stream_stock
+    monkeypatch.setattr(jobs, "stream_stock", recorded)
+    got = {r.isbn13: r for r in streams.q_stream_stock_merge(spark, str(tmp_path)).collect()}
+    last = {}
+    for i in range(n):
+        if kinds[i % 5 % 3] == "click":
+            last[f"979{i % 7:010d}"] = (i % 13, f"AV_20240101.{i * files // n:03d}")
+    assert {k: (got[k].stock_qty, got[k].source_file_key) for k in last} == last
+    assert jobs.read_batches(spark, seen["store"], "stock_avail13").count() <= streams.BATCHES
