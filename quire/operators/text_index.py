@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import WEIGHTS, stemmed, words
-from quire.operators.search import weighted_words
+from quire.operators.search import by_document, split_words, weighted_words
 from quire.session import bounded_broadcast, cut_lineage
 
 BLOCK_DOCS = 64                 # documents a block
@@ -35,13 +35,10 @@ def write_text_index(rows: DataFrame, path: str, key: str, fields: Mapping[str,
     indexes English stems (ask with ``query_terms(..., stem=True)`` then).
 
     The score of a lexeme in a document is summed over the fields in tenths, so ties are exact.
-    Occurrences are counted map-side before any shuffle; numbering is done inside ranges
-    of at most about RANGE_DOCS documents, never in one task."""
+    Whole texts are dealt to tasks by block, and occurrences counted and listed there; numbering
+    is done inside ranges of at most about RANGE_DOCS documents, never in one task."""
     spark = rows.sparkSession
     factor = F.create_map(*[x for kv in WEIGHTS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    counted = weighted_words(rows, key, fields).groupBy(key, "lexeme").agg(F.sum(factor[F.col("weight")]).alias("s"))
-    if stem:
-        counted = stemmed(counted).groupBy(key, "lexeme").agg(F.sum("s").alias("s"))
     length = sum((F.size(words(c)) for c in fields), F.lit(0))
     docs = rows.where(F.col(key).isNotNull()).select(F.col(key), length.alias("__n")).groupBy(key).agg(F.max("__n").alias("__n"))
     ranges = max(1, -(-rows.count() // RANGE_DOCS))
@@ -49,7 +46,12 @@ def write_text_index(rows: DataFrame, path: str, key: str, fields: Mapping[str,
     numbered = cut_lineage(numbered)            # a range's number must not change under a retry
     place = F.row_number().over(Window.partitionBy("__range").orderBy(F.col("__n").desc(), key)) - 1
     blocks = numbered.select(key, F.struct("__range", F.floor(place / block_docs).alias("at")).alias("block"))
-    lists = (counted.join(blocks, key).groupBy("lexeme", "block")
+    placed = rows.select(key, *fields).join(bounded_broadcast(blocks), key)
+    said = split_words(by_document(placed, [key, "block"], fields, "block"), [key, "block"], fields)
+    counted = said.groupBy(key, "block", "lexeme").agg(F.sum(factor[F.col("weight")]).alias("s"))
+    if stem:
+        counted = stemmed(counted).groupBy(key, "block", "lexeme").agg(F.sum("s").alias("s"))
+    lists = (counted.groupBy("lexeme", "block")
              .agg(F.max("s").alias("best"), F.collect_list(F.struct(F.col(key).alias("key"), "s")).alias("postings")))
     placed = lists.withColumn("part", _part("lexeme", parts))
     (placed.hint("rebalance", "part").sortWithinPartitions("part", "lexeme", "block")
