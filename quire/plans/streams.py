@@ -53,7 +53,7 @@ def q_stream_onix_merge(spark: SparkSession, sf: str) -> DataFrame:
     files = rename_single_parts(spark, staged, {str(k): f"onix-{k}.xml" for k in range(n_files)})
     watched = stage_path(spark, "onix-in")
     _move_into(spark, files, watched)
-    q = jobs.stream_onix(spark, watched, store, stage_path(spark, "ckpt-onix"), AS_OF)
+    q = jobs.stream_onix(spark, watched, store, stage_path(spark, "ckpt-onix"), AS_OF, max_files_per_trigger=_files_a_batch(n_files))
     q.awaitTermination()
     return book_rows(read_table(spark, f"{store}/books")).drop("removed_at")
 

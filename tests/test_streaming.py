@@ -162,3 +162,22 @@ def test_stock_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypa
             last[f"979{i % 7:010d}"] = (i % 13, f"AV_20240101.{i * files // n:03d}")
     assert {k: (got[k].stock_qty, got[k].source_file_key) for k in last} == last
     assert jobs.read_batches(spark, seen["store"], "stock_avail13").count() <= streams.BATCHES
+
+
+def test_onix_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypatch):
+    from quire.plans import streams
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(12).write.parquet(str(tmp_path / "part.parquet"))
+    parts = {f"REF{r.p_partkey}": r for r in spark.read.parquet(str(tmp_path / "part.parquet")).collect()}
+    monkeypatch.setattr(streams, "onix_file_count", lambda part: 8)
+    seen = {}
+
+    def recorded(s, path, store, *args, **kwargs):
+        seen["store"] = store
+        return start(s, path, store, *args, **kwargs)
+    start = jobs.stream_onix
+    monkeypatch.setattr(jobs, "stream_onix", recorded)
+    got = {r.record_reference: r for r in streams.q_stream_onix_merge(spark, str(tmp_path)).collect()}
+    for ref, p in parts.items():
+        if p.p_size != 1:
+            assert got[ref].title == f"{p.p_name} {p.p_partkey}" and got[ref].long_description == f"{p.p_name} & {p.p_brand}"
+    assert jobs.read_batches(spark, seen["store"], "onix").count() <= streams.BATCHES
