@@ -146,7 +146,8 @@ def test_stock_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypa
     spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"),
                           F.element_at(F.array(*map(F.lit, kinds)), (F.col("id") % 5 % 3 + 1).cast("int")).alias("event_type"),
                           F.format_string('{"k": %d}', F.col("id") % 13).alias("props")).write.parquet(str(tmp_path / "events.parquet"))
-    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").limit(3).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(k, k, 1.5) for k in range(3)], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(
+        str(tmp_path / "customer.parquet"))
     monkeypatch.setattr(streams, "avail_file_count", lambda events: files)
     seen = {}
 
@@ -166,8 +167,9 @@ def test_stock_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypa
 
 def test_onix_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypatch):
     from quire.plans import streams
-    spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(12).write.parquet(str(tmp_path / "part.parquet"))
-    parts = {f"REF{r.p_partkey}": r for r in spark.read.parquet(str(tmp_path / "part.parquet")).collect()}
+    parts = {f"REF{k}": (k, f"red ring {k % 3}", f"Brand#{k % 4}", "STEEL", k % 5 + 1, 2.5) for k in range(12)}
+    spark.createDataFrame(list(parts.values()), "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+                          "p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
     monkeypatch.setattr(streams, "onix_file_count", lambda part: 8)
     seen = {}
 
@@ -177,7 +179,7 @@ def test_onix_files_of_a_long_run_come_in_few_batches(spark, tmp_path, monkeypat
     start = jobs.stream_onix
     monkeypatch.setattr(jobs, "stream_onix", recorded)
     got = {r.record_reference: r for r in streams.q_stream_onix_merge(spark, str(tmp_path)).collect()}
-    for ref, p in parts.items():
-        if p.p_size != 1:
-            assert got[ref].title == f"{p.p_name} {p.p_partkey}" and got[ref].long_description == f"{p.p_name} & {p.p_brand}"
+    for ref, (k, name, brand, _, size, _) in parts.items():
+        if size != 1:
+            assert got[ref].title == f"{name} {k}" and got[ref].long_description == f"{name} & {brand}"
     assert jobs.read_batches(spark, seen["store"], "onix").count() <= streams.BATCHES
