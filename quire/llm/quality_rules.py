@@ -16,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import about, small_batches, staged, text_slices, word_hashes
+from quire.llm.common import small_batches, staged, text_slices, word_hashes
 
 # Fixed values of the base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
-TREES, SAMPLE, DEPTH = 100, 256, 8      # the usual forest
-MAX_LABELLED = 20_000                   # about so many labelled rows are used to fit and calibrate
+TREES, DEPTH = 100, 8
+SCORE_STEPS = 1 << 16                   # scores have so many steps, so that all labelled rows' scores can be counted
 CLEAN_LOSS = 0.01                       # most clean labelled rows that calibration may give up
 
 _IS_SYMBOL = np.zeros(256, dtype=bool)
@@ -115,62 +115,151 @@ def _usual_path(n: float) -> float:
     return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
+def random_trees(low: np.ndarray, high: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
+    """TREES random trees over the box from ``low`` to ``high`` as heap-shaped arrays
+    (children of node i at 2i+1 and 2i+2). Every cut is drawn at random from its
+    node's own box; no row is looked at. A box without width is not cut."""
+    rng, nodes = np.random.default_rng(seed), 2 ** (DEPTH + 1) - 1
+    feature, cut = np.zeros((TREES, nodes), np.int8), np.full((TREES, nodes), np.inf)
+    for t in range(TREES):
+        boxes = {0: (low, high)}
+        for node in range(2 ** DEPTH - 1):
+            lo, hi = boxes.pop(node)
+            wide = np.flatnonzero(hi > lo)
+            left, right = hi, lo
+            if len(wide):
+                f = int(rng.choice(wide))
+                c = rng.uniform(lo[f], hi[f])
+                feature[t, node], cut[t, node] = f, c
+                edge = np.arange(len(lo)) == f
+                left, right = np.where(edge, c, hi), np.where(edge, c, lo)
+            boxes[2 * node + 1], boxes[2 * node + 2] = (lo, left), (right, hi)
+    return {"feature": feature, "cut": cut}
+
+
+def _walk(trees: dict[str, np.ndarray], x: np.ndarray, t: int) -> Iterator[np.ndarray]:
+    """The nodes of tree ``t`` that the rows of ``x`` pass, level by level from the root."""
+    node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    yield node
+    for _ in range(DEPTH):
+        node = 2 * node + 1 + (x[rows, trees["feature"][t, node]] > trees["cut"][t, node])
+        yield node
+
+
+def node_counts(trees: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """How many rows of ``x`` pass each node of each tree."""
+    count = np.zeros(trees["cut"].shape, np.int64)
+    for t in range(len(count)):
+        for node in _walk(trees, x, t):
+            count[t] += np.bincount(node, minlength=count.shape[1])
+    return count
+
+
+def grown(trees: dict[str, np.ndarray], count: np.ndarray) -> dict[str, np.ndarray] | None:
+    """The forest of ``trees`` whose nodes ``count`` rows pass: a path ends at the first
+    node with at most one row, or at the last level, where the rows left count as a tree
+    of their own. None for fewer than two rows."""
+    total = int(count[0, 0])
+    if total < 2:
+        return None
+    length = np.zeros(count.shape)
+    level = np.floor(np.log2(np.arange(1, count.shape[1] + 1)))
+    usual = {int(n): _usual_path(int(n)) for n in np.unique(count)}
+    for node in range(count.shape[1]):
+        up = (node - 1) // 2
+        own = level[node] + np.array([usual[int(n)] for n in count[:, node]])
+        uncut = np.isinf(trees["cut"][:, node])
+        # Below an end all answer as it does.
+        over = (count[:, up] <= 1) | np.isinf(trees["cut"][:, up]) if node else np.zeros(len(count), bool)
+        length[:, node] = np.where(over, length[:, up], np.where((count[:, node] <= 1) | uncut, own, np.nan))
+    return {**trees, "length": length, "norm": np.array(max(_usual_path(total), 1e-9))}
+
+
 def fit_forest(x: np.ndarray, reach: np.ndarray, seed: int = 0) -> dict[str, np.ndarray] | None:
-    """Trees over rows of ``x`` as heap-shaped arrays (children of node i at 2i+1 and 2i+2).
+    """A forest that counts all rows of ``x``.
 
     A cut is drawn at random from the node's whole box, which starts as the range
     of ``reach``: where ``x`` has no rows, a box is soon empty and its paths are short."""
     if len(x) < 2:
         return None
-    rng, nodes = np.random.default_rng(seed), 2 ** (DEPTH + 1) - 1
-    feature, cut, length = np.zeros((TREES, nodes), np.int8), np.full((TREES, nodes), np.inf), np.zeros((TREES, nodes))
-    size = min(SAMPLE, len(x))
-
-    def grow(t: int, node: int, rows: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> None:
-        wide = np.flatnonzero(high > low)
-        if depth == DEPTH or len(rows) <= 1 or not len(wide):
-            stack, answer = [node], depth + _usual_path(len(rows))
-            while stack:                 # a leaf above the last level: its whole subtree answers alike
-                k = stack.pop()
-                length[t, k] = answer
-                if 2 * k + 2 < nodes:
-                    stack += [2 * k + 1, 2 * k + 2]
-            return
-        f = int(rng.choice(wide))
-        c = rng.uniform(low[f], high[f])
-        feature[t, node], cut[t, node] = f, c
-        left, edge = rows[:, f] <= c, np.arange(len(low)) == f
-        grow(t, 2 * node + 1, rows[left], low, np.where(edge, c, high), depth + 1)
-        grow(t, 2 * node + 2, rows[~left], np.where(edge, c, low), high, depth + 1)
-
-    for t in range(TREES):
-        grow(t, 0, x[rng.choice(len(x), size, replace=False)], reach.min(axis=0), reach.max(axis=0), 0)
-    return {"feature": feature, "cut": cut, "length": length, "norm": np.array(max(_usual_path(size), 1e-9))}
+    trees = random_trees(reach.min(axis=0), reach.max(axis=0), seed)
+    return grown(trees, node_counts(trees, x))
 
 
 def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Scores between 0 and 1; shorter paths score higher."""
-    total, rows = np.zeros(len(x)), np.arange(len(x))
+    """Scores between 0 and 1, in steps of 1 / SCORE_STEPS; shorter paths score higher."""
+    total = np.zeros(len(x))
     for t in range(len(forest["cut"])):
-        node = np.zeros(len(x), dtype=np.int64)
-        for _ in range(DEPTH):
-            right = x[rows, forest["feature"][t, node]] > forest["cut"][t, node]
-            node = 2 * node + 1 + right
-        total += forest["length"][t, node]
-    return 2.0 ** (-total / len(forest["cut"]) / forest["norm"])
+        *_, leaf = _walk(forest, x, t)
+        total += forest["length"][t, leaf]
+    return np.round(SCORE_STEPS * 2.0 ** (-total / len(forest["cut"]) / forest["norm"])) / SCORE_STEPS
 
 
-def calibrate(scores: np.ndarray, good: np.ndarray) -> float:
+def calibrate(scores: np.ndarray, good: np.ndarray, count: np.ndarray | None = None) -> float:
     """The score from which a document is rejected: the largest gain of rejected
-    bad rows over rejected good rows, giving up at most CLEAN_LOSS of the good."""
-    if good.all() or not good.any():
+    bad rows over rejected good rows, giving up at most CLEAN_LOSS of the good.
+    ``count``: how many rows have each score and kind (one, if not given)."""
+    count = np.ones(len(scores), np.int64) if count is None else count
+    steps, at = np.unique(scores, return_inverse=True)
+    hit = [np.bincount(at[kind], count[kind], len(steps))[::-1].cumsum()[::-1] for kind in (good, ~good)]
+    if not len(steps) or not hit[0][0] or not hit[1][0]:
         return np.inf
-    best, at = 0.0, np.inf
-    for s in np.unique(scores):
-        bad_hit, good_hit = np.mean(scores[~good] >= s), np.mean(scores[good] >= s)
-        if good_hit <= CLEAN_LOSS and bad_hit - good_hit > best:
-            best, at = bad_hit - good_hit, float(s)
-    return at
+    good_hit, bad_hit = hit[0] / hit[0][0], hit[1] / hit[1][0]
+    gain = np.where(good_hit <= CLEAN_LOSS, bad_hit - good_hit, 0.0)
+    return float(steps[gain.argmax()]) if gain.max() > 0 else np.inf
+
+
+def fit(labelled: DataFrame) -> tuple[dict[str, np.ndarray] | None, float]:
+    """The forest and the score from which a document is rejected, from all rows
+    ``__y`` and STATS. It grows on the clean rows (on all, if none is clean) within the
+    range of all. Only ranges, counts of nodes and counts of scores reach the driver."""
+    n = len(features(pd.DataFrame({s: np.zeros(1) for s in STATS}))[0])
+    names = [f"f{k}" for k in range(n)]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.to_pandas()
+                yield part["__y"].to_numpy() == 1, features(part)
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for good, x in read(batches):
+            for kind in (True, False):
+                if (good == kind).any():
+                    rows = x[good == kind]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind]), pa.array([len(rows)]), *(pa.array([float(v)]) for v in (*rows.min(axis=0), *rows.max(axis=0)))],
+                        ["good", "n", *(f"low_{c}" for c in names), *(f"high_{c}" for c in names)])
+
+    bounds = labelled.mapInArrow(ranges, "good boolean, n long, " + ", ".join(
+        f"{side}_{c} double" for side in ("low", "high") for c in names)).agg(
+        F.coalesce(F.max("good"), F.lit(False)).alias("clean"), F.count(F.lit(1)).alias("n"),
+        *(F.min(f"low_{c}").alias(f"low_{c}") for c in names), *(F.max(f"high_{c}").alias(f"high_{c}") for c in names)).first()
+    if not bounds["n"]:
+        return None, np.inf
+    clean = bounds["clean"]
+    trees = random_trees(*(np.array([bounds[f"{side}_{c}"] for c in names]) for side in ("low", "high")))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(trees["cut"].size, np.int64)
+        for good, x in read(batches):
+            total += node_counts(trees, x[good] if clean else x).ravel()
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["node", "n"])
+
+    count = np.zeros(trees["cut"].size, np.int64)
+    for r in labelled.mapInArrow(passed, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).collect():
+        count[r["node"]] = r["n"]           # at most one row per node of the trees
+    forest = grown(trees, count.reshape(trees["cut"].shape))
+    if forest is None:
+        return None, np.inf
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for good, x in read(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(anomaly(forest, x)), pa.array(good)], ["score", "good"])
+
+    found = labelled.mapInArrow(scored, "score double, good boolean").groupBy("score", "good").count().toPandas()
+    return forest, calibrate(*(found[c].to_numpy() for c in ("score", "good", "count")))     # at most 2 * SCORE_STEPS rows
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -179,9 +268,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     base_failed: fewer than 20 words, or over 30 % of the words in repeated
     8-word windows. kept: not base_failed, and the forest's score below the
-    calibrated one. The forest grows on clean labelled rows within the range of
-    all labelled ones, the threshold comes from both; they come from at most MAX_LABELLED labelled
-    rows (those with the smallest hashed ids); everything else covers all rows.
+    calibrated one. The forest counts all clean labelled rows within the range of
+    all labelled ones, and the threshold comes from all of both kinds.
     Null or empty texts fail the base rules; without labelled rows of both kinds
     nothing more is rejected. Repeated rows are judged each.
     """
@@ -189,11 +277,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     stats = stats.withColumn("base_failed", failed)
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y")).filter("__y is not null")
-    sample = about(stats.filter(~F.col("base_failed")).join(known, F.col(id_col) == F.col("__id")), "__id", MAX_LABELLED).limit(
-        2 * MAX_LABELLED).select("__id", "__y", *STATS).toPandas().sort_values(["__id", "__y", *STATS])
-    x, good = features(sample), sample["__y"].to_numpy() == 1
-    forest = fit_forest(x[good] if good.any() else x, x)
-    threshold = calibrate(anomaly(forest, x), good) if forest else np.inf
+    forest, threshold = fit(staged(stats.filter(~F.col("base_failed")).join(known, F.col(id_col) == F.col("__id")).select(
+        "__y", *STATS), "rule-labelled"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

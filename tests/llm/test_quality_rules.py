@@ -2,9 +2,10 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import types as T
 
-from quire.llm.quality_rules import anomaly, calibrate, fit_forest, quality_rules
+from quire.llm.quality_rules import STATS, anomaly, calibrate, features, fit, fit_forest, node_counts, quality_rules
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("n_words", T.StringType()), T.StructField("quality", T.StringType())])
@@ -70,3 +71,22 @@ def test_paths_and_calibration():
     assert fit_forest(x[:1], x) is None
     assert calibrate(np.array([0.1, 0.2, 0.9]), np.array([True, True, False])) == 0.9
     assert calibrate(np.array([0.1]), np.array([True])) == np.inf
+
+
+def test_every_labelled_row_counts(spark):
+    """The forest and the threshold are those of all labelled rows, however many tasks read them."""
+    rng = np.random.default_rng(2)
+    n = 25_000
+    rows = np.column_stack([rng.integers(20, 90, n), rng.integers(100, 500, n), rng.integers(0, 3, n), rng.integers(0, 2, n),
+                            rng.integers(0, 5, n), rng.integers(2, 9, n), rng.integers(0, 40, n), rng.integers(0, 9, n)])
+    y = (rng.random(n) < 0.9).astype(int)
+    rows[y == 0, 2] += 40
+    part = pd.DataFrame(rows, columns=STATS)
+    forest, threshold = fit(spark.createDataFrame(part.assign(__y=y)).repartition(3))
+    x = features(part)
+    whole = fit_forest(x[y == 1], x)
+    assert all((forest[k] == whole[k]).all() for k in ("feature", "cut", "norm"))
+    assert np.array_equal(forest["length"], whole["length"], equal_nan=True)
+    assert threshold == calibrate(anomaly(whole, x), y == 1) < 1
+    root = node_counts(whole, x[y == 1])[:, 0]
+    assert (root == (y == 1).sum()).all()
