@@ -4,8 +4,10 @@ Every merge is a pure function ``(current, incoming, …) -> current'``; the
 caller writes the result as a new snapshot (``quire.sources.store``). All
 joins are equi-joins on the table key, so a table bucketed on its key only
 shuffles the incoming side. Aggregates used for de-duplication are
-``max_by``/``min_by``, which Spark combines map-side: a key holding a third
-of all incoming rows is reduced to one row per map task before the shuffle.
+``max_by``/``min_by``. Spark sorts the (wide) incoming rows for them, so rows are
+first dealt to tasks by key and one of SALTS parts (``_dealt``): the sorts follow the
+shuffle's partitions, not the input's splits, and a key holding a third of all rows
+is reduced in SALTS tasks before its parts meet.
 """
 
 from __future__ import annotations
@@ -18,12 +20,18 @@ from pyspark.sql import functions as F
 from quire.functions.scalars import slugify
 
 Keys = Sequence[str]
+SALTS = 8       # tasks that share the rows of one key
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _dealt(df: DataFrame, keys: Keys, order: Column) -> DataFrame:
+    """``df`` with ``__salt``, dealt to tasks by the keys and it."""
+    return df.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(SALTS))).repartition(*keys, "__salt")
+
+
 def last_wins(df: DataFrame, keys, order) -> DataFrame:
     """O-54: one row per key, the one with the greatest ``order`` (file order)."""
     keys = _keys(keys)
@@ -32,7 +40,9 @@ def last_wins(df: DataFrame, keys, order) -> DataFrame:
     if not rest:
         return df.dropDuplicates(keys)
     packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(packed, order_col).alias("__row"))
+    parts = _dealt(df, keys, order_col).groupBy(*keys, "__salt").agg(
+        F.max_by(packed, order_col).alias("__row"), F.max(order_col).alias("__at"))
+    return (parts.groupBy(*keys).agg(F.max_by("__row", "__at").alias("__row"))
             .select(*keys, "__row.*"))
 
 
@@ -171,8 +181,8 @@ def apply_notices(books: DataFrame, products: DataFrame, as_of, order: str = "ar
     their reference when they carry no ISBN; whichever notice of a book comes last
     decides its state. Unmatched deletes insert nothing.
 
-    Plan: the notices are read once and reduced by one aggregate keyed by
-    (kind, key) — map-side combined, so a hot key is cheap; delete-by-ISBN keys
+    Plan: the notices are read once and reduced to one row per (kind, key), in
+    SALTS parts first, so a hot key is shared; delete-by-ISBN keys
     are mapped to references through a size-checked broadcast; the catalogue
     is joined once (full outer join on the reference).
     """
@@ -187,10 +197,12 @@ def apply_notices(books: DataFrame, products: DataFrame, as_of, order: str = "ar
         F.when(by_isbn, F.col(primary)).otherwise(F.col(fallback)).alias("__k"),
         is_del.alias("__del"), F.col(order).alias("__at"),
         F.struct(*[F.col(c) for c in BOOK_FIELDS if c != fallback]).alias("__p"))
-    agg = t.groupBy("__kind", "__k").agg(
+    parts = _dealt(t, ["__kind", "__k"], F.col("__at")).groupBy("__kind", "__k", "__salt").agg(
         F.max_by("__p", F.when(~F.col("__del"), F.col("__at"))).alias("__p"),
         F.max(F.when(~F.col("__del"), F.col("__at"))).alias("__up"),
         F.max(F.when(F.col("__del"), F.col("__at"))).alias("__dl"))
+    agg = parts.groupBy("__kind", "__k").agg(
+        F.max_by("__p", "__up").alias("__p"), F.max("__up").alias("__up"), F.max("__dl").alias("__dl"))
     # the reduced run (one row per key) is read by three branches and a size
     # check: cut the lineage once (reliable checkpoint in the shared folder) so
     # the feed is parsed once, not per branch

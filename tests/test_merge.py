@@ -192,3 +192,23 @@ def test_deletes_follow_an_isbn_as_a_row_by_row_fold(spark):
             f"{types}, arrival long")
         got = {r.record_reference: (r.isbn13, r.is_removed) for r in merge.apply_notices(books, notices, T0).collect()}
         assert got == {r: (held[r], removed[r]) for r in held}
+
+
+def _sorts_before_shuffle(df) -> bool:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Sort" in plan[plan.rindex("Exchange"):]
+
+
+def test_wide_rows_are_dealt_before_they_are_sorted(spark):
+    """Map tasks do not sort what they read; hot and null keys, null orders and repeats give one row a key."""
+    rows = [(None if k % 50 == 0 else "hot" if k % 3 else f"k{k % 40}", (None if k % 7 == 0 else k // 2, f"t{k // 2}"), f"v{k // 2}")
+            for k in range(2000)] + [("nulls", None, "x")] * 2
+    df = spark.createDataFrame(rows, "k string, at struct<a: int, b: string>, v string")
+    best = {}
+    for k, at, v in rows:
+        key = None if at is None else (at[0] is not None, at[0] or 0, at[1])
+        if k not in best or (key is not None and (best[k][0] is None or key > best[k][0])):
+            best[k] = (key, None if key is None else v)
+    out = merge.last_wins(df, "k", "at")
+    assert sorted(((r.k, r.v) for r in out.collect()), key=str) == sorted(((k, v) for k, (_, v) in best.items()), key=str)
+    assert not _sorts_before_shuffle(out)
