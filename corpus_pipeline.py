@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the learned languages, also in several of them; those without
     letters go, and those that all samples together explain no better than the
-    limits allow which held-out labelled texts set (``language_id.strange``)."""
+    limits allow which held-out labelled texts set (``language_id.limits``)."""
     samples = language_id.learn(docs)
     rates, besides = language_id.limits(docs, samples)
     prefix = "found_"

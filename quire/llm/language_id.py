@@ -1,6 +1,7 @@
 """Language identification by cross-parsing entropy.
 
-A suffix automaton of labelled text per language gives, at any place of a text,
+All words of all labelled texts are counted; those that a language uses most
+often are its sample text. A suffix automaton of it gives, at any place of a text,
 the longest match with that language's sample. Parsing a text greedily into
 longest matches takes few phrases in its own language and many in others; the
 language that needs the fewest normalised phrases, ``phrases * log2(sample
@@ -22,14 +23,17 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import id_remainder, small_batches, text_slices, tidy
 
-SAMPLE_DOCS = 64        # labelled texts per language (smallest hashed ids) ...
-SAMPLE_CHARS = 16_384   # ... and how many of their characters the automaton holds
-PER_DOC = 1_024         # at most so many characters of one sample text
+SAMPLE_CHARS = 16_384   # characters of a language's most frequent words that the automaton holds
+HELD_ROWS = 4_096       # held-out texts that are mixed with one another
 BLOCK = 1_024           # texts are parsed in blocks of so many characters, each from its start
 TABLE_LETTERS = 64      # a language of more symbols than these is a sorted list of transitions, not a table
 BESIDES = 32            # phrases that any text may have above its rate: a token or an address of some 40 symbols
 UNDETERMINED = "und"
 
+# A word is a run of letters, in pieces of at most 16; of 3 in scripts that leave no spaces.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[\p{{L}}&&[{_UNSPACED}]]{{1,3}}|[\p{{L}}&&[^{_UNSPACED}]]{{1,16}}"
+
 _FLAG = np.uint32(1 << 31)
 
 
@@ -142,14 +146,8 @@ class Automata:
         """Phrases that each text needs in each language: (texts, languages).
 
         With ``mixed`` a last column: the phrases it needs if each may be of any language."""
-        sizes, langs = np.diff(bounds), len(self.names)
-        per = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(sizes)), per)
-        first = np.concatenate([[0], np.cumsum(per)])[:-1]
-        begin = bounds[:-1][owner] + (np.arange(len(owner)) - first[owner]) * BLOCK
-        length = np.minimum(bounds[1:][owner] - begin, BLOCK)
-        order = np.argsort(-length, kind="stable")
-        begin, length, owner = begin[order], length[order], owner[order]
+        langs = len(self.names)
+        sizes, begin, length, owner = _blocks(bounds)
         state = np.repeat(self.starts[:, None], len(owner), axis=1)
         both = state.copy()
         ended = np.ones((langs + mixed, len(owner)), dtype=np.uint32)     # the phrase that is open at a block's end
@@ -171,6 +169,36 @@ class Automata:
         np.add.at(out, owner, ended[np.concatenate([np.argsort(self.order), np.arange(langs, langs + mixed)])].T)
         return out
 
+    def together(self, symbols: np.ndarray, bounds: np.ndarray, rate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The phrases that each text needs if each may be of any language, and the most that
+        any passage of it has above the text's ``rate`` times its symbols."""
+        sizes, begin, length, owner = _blocks(bounds)
+        state, per = np.repeat(self.starts[:, None], len(owner), axis=1), rate[owner]
+        # Of each block: phrases, all above the rate, the most of a beginning, of an end, and of any passage.
+        count, total, first, last, most = np.zeros((5, len(owner)))
+        alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")
+        for t in range(int(length[0]) if len(length) and self.names else 0):
+            k = alive[t]
+            v = self.step(state[:, :k], symbols[begin[:k] + t])
+            over = v >= _FLAG
+            ended = over.all(axis=0) | (t == 0)
+            state[:, :k] = np.where(over & ~ended, self.deads[:, None], v & ~_FLAG)
+            count[:k] += ended
+            more = ended - per[:k]
+            total[:k] += more
+            first[:k] = np.maximum(first[:k], total[:k])
+            last[:k] = np.maximum(last[:k], 0) + more
+            most[:k] = np.maximum(most[:k], last[:k])
+        phrases, best = np.zeros((2, len(sizes)))
+        np.add.at(phrases, owner, count)
+        open_, text = 0.0, -1
+        for b in np.lexsort((begin, owner)).tolist():       # blocks in the order of the texts
+            if owner[b] != text:
+                open_, text = 0.0, owner[b]
+            best[text] = max(best[text], most[b], open_ + first[b])
+            open_ = max(last[b], open_ + total[b], 0.0)
+        return phrases, best
+
     def rates(self, buf: np.ndarray, offsets: np.ndarray, mixed: bool = False
               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Normalised phrases (bits a character) of each text in each language,
@@ -183,6 +211,18 @@ class Automata:
                 count[:, langs] if mixed else np.zeros(len(n)))
 
 
+def _blocks(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the texts; begin, length and text of their blocks, the longest first."""
+    sizes = np.diff(bounds)
+    per = -(-sizes // BLOCK)
+    owner = np.repeat(np.arange(len(sizes)), per)
+    first = np.concatenate([[0], np.cumsum(per)])[:-1]
+    begin = bounds[:-1][owner] + (np.arange(len(owner)) - first[owner]) * BLOCK
+    length = np.minimum(bounds[1:][owner] - begin, BLOCK)
+    order = np.argsort(-length, kind="stable")
+    return sizes, begin[order], length[order], owner[order]
+
+
 def _suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
     """Transitions of each state of the suffix automaton."""
     nxt: list[dict[int, int]] = [{}]
@@ -228,79 +268,91 @@ def automata(samples: tuple[tuple[str, str], ...]) -> Automata:
     return Automata(samples)
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, holdout: tuple[int, int], held: bool) -> dict[str, list[str]]:
-    """The first PER_DOC characters of at most SAMPLE_DOCS labelled texts a language
-    (smallest hashed ids), of the holdout or outside it."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, holdout: tuple[int, int], held: bool) -> DataFrame:
+    """(id, lang, text) of all labelled rows with a letter, of the holdout or outside it; texts are whole."""
     inside = id_remainder(F.col("id"), holdout[0]) == holdout[1]
-    known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.substring(
-        F.col(text_col), 1, PER_DOC).alias("text")).filter(
+    return docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (inside if held else ~inside))
-    # A few times as many rows as are needed, by hash; so the ranking below sees no more.
-    share = F.lit(0)
-    for r in known.groupBy("lang").count().collect():      # one row per language
-        part = min(1.0, 4 * SAMPLE_DOCS / r["count"])
-        share = F.when(F.col("lang") == r["lang"], F.lit(int(part * (1 << 31)))).otherwise(share)
-    known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) < share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text"))
-    rows = known.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        out.setdefault(r["lang"], []).append(r["text"])
-    return out
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           holdout: tuple[int, int] = (4, 2)) -> tuple[tuple[str, str], ...]:
-    """Sample text of every language, from labelled rows outside the holdout.
-
-    The bounds are SAMPLE_DOCS texts a language, PER_DOC characters a text (from
-    its start) and SAMPLE_CHARS characters a language."""
-    out = _labelled(docs, id_col, text_col, lang_col, holdout, held=False)
-    return tuple((lang, "\n".join(dict.fromkeys(texts))[:SAMPLE_CHARS]) for lang, texts in sorted(out.items()))
+    """Sample text of every language: its most frequent words, the most frequent first.
+
+    The words of all whole labelled texts outside the holdout are counted (ties go by
+    hash). Only the model's size is bounded: SAMPLE_CHARS characters a language."""
+    known = _labelled(docs, id_col, text_col, lang_col, holdout, held=False)
+    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
+    counts = known.select("lang", F.explode(words).alias("word")).groupBy("lang", "word").count()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), F.xxhash64("word"), "word"))
+    rows = counts.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_CHARS // 2).collect()
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
+        out.setdefault(r["lang"], []).append(r["word"])
+    return tuple((lang, " ".join(found)[:SAMPLE_CHARS]) for lang, found in sorted(out.items()))
 
 
 def limits(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str = "doc_id", text_col: str = "text",
            lang_col: str = "lang", holdout: tuple[int, int] = (4, 2)) -> tuple[dict[str, float], float]:
-    """``strange`` of at most SAMPLE_DOCS labelled texts a language from the holdout."""
-    return strange(samples, _labelled(docs, id_col, text_col, lang_col, holdout, held=True))
-
-
-def strange(samples: tuple[tuple[str, str], ...], held: dict[str, list[str]]) -> tuple[dict[str, float], float]:
-    """(phrases a symbol by language, phrases besides): a text with more ``phrases``
-    than ``n_symbols`` times its language's rate and those besides is in none of them.
+    """(phrases a symbol by language, phrases besides), from all labelled rows of the
+    holdout: a text with more ``phrases`` than ``n_symbols`` times its language's rate and
+    those besides is in none of them.
 
     The rate lies midway between texts that change language with every word, and
-    the same with their letters in random order; the language it is mixed with is
-    the one that gives the highest. Besides come the most phrases that any passage
-    of a labelled text (of 1, 2, 4 ... symbols) has above its language's rate: an
+    the same with their letters in random order (the median, to 4 decimals); the language it
+    is mixed with is the one that gives the highest. Besides come the most phrases that any
+    passage of a labelled text has above its language's rate: an
     address or a token in it is no other language. They are BESIDES at least, for
     labelled texts may hold none. Languages without held-out texts have no rate."""
-    model, rng = automata(samples), np.random.default_rng(0)
-    langs = [name for name in model.names if held.get(name)]
-
-    def count(parsed: list[np.ndarray]) -> np.ndarray:
-        bounds = np.cumsum([0, *map(len, parsed)])
-        return model.phrases(np.concatenate(parsed), bounds, mixed=True)[:, -1]
-
-    rates: dict[str, float] = {}
-    for k, name in enumerate(langs):
-        pairs: dict[str, list[np.ndarray]] = {}
-        for i, text in enumerate(held[name]):
-            other = langs[(k + 1 + i % max(len(langs) - 1, 1)) % len(langs)]
-            words, more = text.split(), held[other][i % len(held[other])].split()
-            both = [w for pair in zip(words, more) for w in pair] if other != name else words
-            pairs.setdefault(other, []).append(model.symbols(" ".join(both)))
-        for parsed in pairs.values():
-            n = np.array([len(p) for p in parsed])
-            own, shuffled = count(parsed), count([rng.permutation(p) for p in parsed])
-            rates[name] = max(rates.get(name, 0.0), float(np.median((own + shuffled) / 2 / n)))
-    besides = float(BESIDES)
-    for name in langs:
-        parsed = [s for text in held[name] if len(s := model.symbols(text))]
-        cuts = [p[at:at + (1 << e)] for p in parsed for e in range(len(p).bit_length() + 1)
-                for at in range(0, max(len(p) - (1 << e) // 2, 1), max((1 << e) // 2, 1))]
-        besides = max([besides, *(count(cuts) - rates[name] * np.array([len(c) for c in cuts]))])
-    return rates, float(besides)
+    held = _labelled(docs, id_col, text_col, lang_col, holdout, held=True).filter(
+        F.col("lang").isin([name for name, _ in samples])).select("lang", "text", F.xxhash64("id", "text").alias("seed"))
+    dealt = held.repartition(max(1, -(-held.count() // HELD_ROWS)), "seed").sortWithinPartitions("seed", "lang", "text")
+    found = small_batches(dealt).mapInArrow(_rates(samples), "lang string, other string, rate double")
+    medians = found.groupBy("lang", "other").agg(F.percentile(F.round("rate", 4), F.lit(0.5)).alias("rate"))
+    rates = {r["lang"]: r["rate"] for r in medians.groupBy("lang").agg(F.max("rate").alias("rate")).collect()}
+    most = small_batches(held).mapInArrow(_besides(samples, rates), "most double").agg(F.max("most")).first()[0]
+    return rates, max(float(BESIDES), most or 0.0)
+
+
+def _rates(samples: tuple[tuple[str, str], ...]):
+    """Of each text of a slice, mixed with one in another language: languages and rate."""
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = automata(samples)
+        for batch in batches:
+            for i, j, _, _ in text_slices(batch, max_bytes=1 << 21):
+                names, texts, seeds = (batch.column(c).slice(i, j - i).to_pylist() for c in range(3))
+                held: dict[str, list[tuple[list[str], int]]] = {}
+                for name, text, seed in zip(names, texts, seeds):
+                    held.setdefault(name, []).append((text.split(), seed))
+                langs, pairs, parsed, shuffled = sorted(held), [], [], []
+                for k, name in enumerate(langs):
+                    for at, (words, seed) in enumerate(held[name]):
+                        other = langs[(k + 1 + at % max(len(langs) - 1, 1)) % len(langs)]
+                        more = held[other][at % len(held[other])][0]
+                        both = [w for pair in zip(words, more) for w in pair] if other != name else words
+                        pairs.append((name, other))
+                        parsed.append(model.symbols(" ".join(both)))
+                        shuffled.append(np.random.default_rng(seed & (1 << 63) - 1).permutation(parsed[-1]))
+                bounds = np.cumsum([0, *map(len, parsed)])
+                own, mixed = (model.together(np.concatenate(x), bounds, np.zeros(len(x)))[0] for x in (parsed, shuffled))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([a for a, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string()),
+                    pa.array((own + mixed) / 2 / np.maximum(np.diff(bounds), 1))], ["lang", "other", "rate"])
+    return run
+
+
+def _besides(samples: tuple[tuple[str, str], ...], rates: dict[str, float]):
+    """The most phrases that any passage of a slice's texts has above its language's rate."""
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = automata(samples)
+        for batch in batches:
+            for i, j, buf, offsets in text_slices(batch, max_bytes=1 << 21):
+                symbols, bounds, _ = model.slice_symbols(buf, offsets)
+                rate = np.array([rates[name] for name in batch.column(0).slice(i, j - i).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array([model.together(symbols, bounds, rate)[1].max()])], ["most"])
+    return run
 
 
 def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list[str], text_col: str = "text",
@@ -347,7 +399,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], columns: list
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``id_col``, held_out, lang_pred, score and bits of every row.
 
-    Only the text decides; ids and labels choose the sample. Null ids are never
+    Only the text decides; ids and labels choose what is learned from. Null ids are never
     learned from. Repeated rows are predicted each; an empty table is fine."""
     out = predict(docs, learn(docs, id_col, text_col, lang_col), [id_col], text_col)
     held = F.coalesce(id_remainder(F.col(id_col), 4) == 2, F.lit(False))

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import types as T
@@ -125,3 +126,53 @@ def test_mixed_phrases_are_those_of_all_samples_together():
     got = model.phrases(np.concatenate(parsed), np.cumsum([0, *map(len, parsed)]), mixed=True)
     assert got[:, -1].tolist() == [phrases_by_search(together, show(t)) for t in texts]
     assert (got[:, -1] <= got[:, :-1].min(axis=1)).all() and got[0, -1] < got[0, :-1].min()
+
+
+def test_all_labelled_texts_are_learned_from_whole(spark):
+    # A word that each of 300 texts holds only behind its 3,000th character, and one that 200 of them lack.
+    rows = [(i, "la " * 1000 + "fin" + " zut" * (i % 3 == 0), "fr", "x") for i in range(300)]
+    rows += [(1000 + i, "the " * 40 + "end", "en", "x") for i in range(40)]
+    got = dict(learn(spark.createDataFrame(rows, SCHEMA)))
+    assert got == {"fr": "la fin zut", "en": "the end"}
+    # Counts decide, not which texts come first.
+    more = [(i, f"aa bb{'b' * (i % 7)} {'zz ' * (i > 100) * 2}", "xx", "x") for i in range(400)]
+    assert dict(learn(spark.createDataFrame(more, SCHEMA)))["xx"].split()[:2] == ["zz", "aa"]
+
+
+def test_scripts_without_spaces_are_learned_in_pieces(spark):
+    rows = [(i, "".join(chr(0x4E00 + (i * 7 + k) % 90) for k in range(200)), "zh", "x") for i in range(40)]
+    (_, text), = learn(spark.createDataFrame(rows, SCHEMA))
+    assert max(map(len, text.split())) == 3 and len(set(text)) == 91
+
+
+def test_limits_come_from_all_held_out_texts(spark):
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows = table(240) + [(i, "the river " * 500, "en", "x") for i in held[100:300]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    samples = learn(df)
+    rates, besides = L.limits(df, samples)
+    assert sorted(rates) == sorted(WORDS) and besides == L.BESIDES
+    # One token of 90 strange letters, behind the first 4,000 characters of a late text.
+    odd = rows + [(held[301], "the river " * 500 + "жбщ" * 30, "en", "x")]
+    _, more = L.limits(spark.createDataFrame(odd, SCHEMA), samples)
+    assert 45 < more <= 90
+    # Neither rows' order nor their partitions change them.
+    assert L.limits(spark.createDataFrame(odd[::-1], SCHEMA).repartition(5), samples) == L.limits(
+        spark.createDataFrame(odd, SCHEMA).coalesce(1), samples)
+
+
+def test_passages_above_a_rate_are_those_of_the_parse(monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 20)
+    rng = random.Random(7)
+    model = Automata(tuple((lang, prose(rng, lang, 80)) for lang in sorted(WORDS)))
+    texts = [prose(rng, "en", 20) + " жжж ж " + prose(rng, "fr", 9), "", prose(rng, "de", 30), "a", "ж" * 50 + " the " * 9]
+    parsed = [model.symbols(t) for t in texts]
+    bounds = np.cumsum([0, *map(len, parsed)])
+    rate = np.array([0.4, 0.3, 0.2, 0.5, 0.6])
+    count, most = model.together(np.concatenate(parsed), bounds, rate)
+    assert count.tolist() == model.phrases(np.concatenate(parsed), bounds, mixed=True)[:, -1].tolist()
+    for k, p in enumerate(parsed):
+        # Phrases begun up to each place: those of the beginning that ends there.
+        ends = [0.0] + [model.phrases(p[:j], np.array([0, j]), mixed=True)[0, -1] for j in range(1, len(p) + 1)]
+        want = max([0.0, *(ends[j] - ends[i] - rate[k] * (j - i) for j in range(len(p) + 1) for i in range(j))])
+        assert abs(most[k] - want) < 1e-9
