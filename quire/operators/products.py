@@ -32,12 +32,13 @@ def _decimal(c: Column, p: int, s: int) -> Column:
     return c.try_cast(f"decimal({p},{s})")
 
 
-def project_products(records: DataFrame, product: str = "product") -> DataFrame:
+def project_products(records: DataFrame, product: str = "product", reason: str | None = None) -> DataFrame:
     """Typed product rows with nested ``contributors``, ``subjects``, ``prices``.
 
     Keeps ``arrival`` and ``source_file`` when present. Rows whose title is empty
     are dropped (O-24) unless they are delete notices (type ``05``).
-    Measures without a value give 0 and unparseable ones null (O-18).
+    Measures without a value give 0 and unparseable ones null (O-18). Rows that have a
+    ``reason`` (``onix.parse_onix_once``) are no products: all stay, with their ``fragment``.
     """
     p = F.col(product)
     dd = p["DescriptiveDetail"]
@@ -121,9 +122,10 @@ def project_products(records: DataFrame, product: str = "product") -> DataFrame:
         )).alias("subjects"),
         F.transform(prices, price).alias("prices"),
     ]
-    keep = [c for c in ("arrival", "source_file") if c in records.columns]
+    keep = [c for c in ("arrival", "source_file") if c in records.columns] + ([] if reason is None else ["fragment", reason])
     out = records.select(*cols, *keep)
-    return out.where((F.col("title") != "") | (F.col("notification_type") == "05"))
+    named = (F.col("title") != "") | (F.col("notification_type") == "05")
+    return out.where(named if reason is None else named | F.col(reason).isNotNull())
 
 
 def onix_summary(records: DataFrame, products: DataFrame, corrupt: DataFrame) -> DataFrame:

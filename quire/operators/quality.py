@@ -19,13 +19,18 @@ from quire.session import bounded_broadcast
 
 def quarantine(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)``; ``rejected`` has a ``reasons`` array (rule order)."""
-    reasons = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules]),
-                       lambda x: x.isNotNull())
-    tagged = rows.withColumn("reasons", reasons)
+    tagged = judged(rows, rules)
     return (tagged.where(F.size("reasons") == 0).drop("reasons"),
             tagged.where(F.size("reasons") > 0))
 
 
+def judged(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """All ``rows`` with their ``reasons`` (empty: a good row), for jobs that read both kinds."""
+    reasons = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules]),
+                       lambda x: x.isNotNull())
+    return rows.withColumn("reasons", reasons)
+
+
 def isbn_holders(rows: DataFrame, books: DataFrame, order: str = "arrival",
                  key: str = "record_reference", isbn: str = "isbn13") -> DataFrame:
     """Of each ISBN of a run the reference allowed to hold it: the catalogue's current

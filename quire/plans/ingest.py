@@ -10,8 +10,8 @@ from quire.operators import merge
 from quire.plans import adapters
 from quire.plans.books import onix_file_count
 from quire.plans.common import AS_OF, el, el_raw, isbn_of, load, ref_of, ts_str, xml_escape
-from quire.session import stage_path
-from quire.sources.onix import scan_onix
+from quire.session import spread, stage_path
+from quire.sources.onix import scan_onix_once
 from quire.sources.store import read_table, write_framed_text
 from quire.streaming.jobs import ingest_products
 
@@ -82,14 +82,13 @@ def run_fragments(part: DataFrame) -> list[DataFrame]:
 
 def q_ingest_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Every table of the ONIX ingest after three runs, as (table, key, value)."""
-    part = load(spark, sf, "part")
+    part = spread(load(spark, sf, "part"))
     store, n = stage_path(spark, "store-ingest"), onix_file_count(part)
     for run, (rows, as_of) in enumerate(zip(run_fragments(part), RUNS), 1):
         path = stage_path(spark, f"onix-run-{run}")
         files = rows.select(F.pmod("seq", F.lit(n)).cast("int").alias("file_no"), "seq", "line")
         write_framed_text(files, path, n, adapters.ONIX_HEAD, adapters.ONIX_TAIL)
-        records, corrupt = scan_onix(spark, path)
-        ingest_products(spark, records, corrupt, store, as_of, f"run{run}")
+        ingest_products(spark, scan_onix_once(spark, path), store, as_of, f"run{run}")
 
     def rows(name: str, frame: DataFrame, key: list, value: list) -> DataFrame:
         text = lambda cols: F.concat_ws("|", *(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("-")) for c in cols))

@@ -11,7 +11,7 @@ from quire.plans.books import book_rows, onix_file_count
 from quire.plans.catalog import stock_current, stock_view
 from quire.plans.common import AS_OF, isbn_of, load
 from quire.plans.feeds import _csv, avail_file_count, write_feed, write_named
-from quire.session import hadoop_fs, stage_path
+from quire.session import hadoop_fs, spread, stage_path
 from quire.sources.store import read_table, rename_single_parts, write_framed_text, write_table
 from quire.streaming import jobs
 
@@ -95,7 +95,7 @@ def q_stream_stock_merge(spark: SparkSession, sf: str) -> DataFrame:
 def q_bootstrap_status(spark: SparkSession, sf: str) -> DataFrame:
     """S03 (O-104): books first, then each feed on its own; a missing feed fails
     alone."""
-    part, nation = load(spark, sf, "part"), load(spark, sf, "nation")
+    part, nation = spread(load(spark, sf, "part")), load(spark, sf, "nation")
     store = stage_path(spark, "store-boot")
     write_table(adapters.books_from_part(part), f"{store}/books")
     onix = stage_path(spark, "boot-onix")

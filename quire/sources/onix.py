@@ -21,6 +21,7 @@ _BLOCKS = "p|br|div|li|ul|ol|dl|dt|dd|h[1-6]|hr|table|tr|td|th|blockquote|pre"
 # Tags of XHTML: lower-case names without a prefix (ONIX names begin with a capital).
 _BLOCK_TAG = rf"</?(?:{_BLOCKS})(?:\s[^<>]*)?/?>"
 _INLINE_TAG = r"</?[a-z][a-z0-9]*(?:\s[^<>]*)?/?>"
+_XHTML = r"</?[a-z]"
 # Not inside a CDATA section: its end does not come before the next section's start.
 _OUTSIDE = r"(?!(?:(?!<!\[CDATA\[)[\s\S])*?\]\]>)"
 
@@ -31,7 +32,9 @@ def plain_text_markup(fragment: Column) -> Column:
     CDATA sections keep what they hold."""
     def without(outside: str) -> Column:
         return F.regexp_replace(F.regexp_replace(fragment, _BLOCK_TAG + outside, " "), _INLINE_TAG + outside, "")
-    return F.when(F.contains(fragment, F.lit("<![CDATA[")), without(_OUTSIDE)).otherwise(without(""))
+    # Most records have no such tag, which one look shows.
+    return (F.when(~F.regexp_like(fragment, F.lit(_XHTML)), fragment)
+            .when(F.contains(fragment, F.lit("<![CDATA[")), without(_OUTSIDE)).otherwise(without("")))
 
 
 class CorruptOnixError(ValueError):
@@ -97,44 +100,79 @@ def scan_onix(spark: SparkSession, paths, fail_fast: bool = False, tag: str = "P
     return records, corrupt
 
 
-def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage", check_tail: bool = True,
-               n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Fragments -> product structs (see ``scan_onix``); ``raw`` from ``onix_records``.
+def scan_onix_once(spark: SparkSession, paths, tag: str = "Product") -> DataFrame:
+    """The rows of both frames of ``scan_onix`` in one (see ``parse_onix_once``)."""
+    text = read_onix_text(spark, paths, tag)
+    return parse_onix_once(onix_records(text, tag), tag, n_files=len(text.inputFiles()))
 
-    ``n_files`` bounds the per-file completeness table (broadcast when small)."""
-    sep = f"</{tag}>"
+
+def _cut(raw: DataFrame, tag: str, end_tag: str) -> DataFrame:
+    """(source_file, arrival, fragment, is_tail, other) of every raw record."""
     # cut from the product's open tag: find its position, then take the rest
     # (no capture of the whole record by the regex engine)
     start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>/]"))
     frag = F.when(start > 0, F.substr(F.col("value"), start)).otherwise(F.lit(""))
-    staged = raw.select("source_file", "arrival", frag.alias("fragment"),
-                        F.col("value").contains(f"</{end_tag}>").alias("is_tail"),
-                        F.regexp_like("value", F.lit(rf"<(?!{tag}[\s>/])([A-Za-z_][\w.-]*:)?{tag.split(':')[-1]}[\s>/]")).alias("other"))
+    return raw.select("source_file", "arrival", frag.alias("fragment"),
+                      F.col("value").contains(f"</{end_tag}>").alias("is_tail"),
+                      F.regexp_like("value", F.lit(rf"<(?!{tag}[\s>/])([A-Za-z_][\w.-]*:)?{tag.split(':')[-1]}[\s>/]")).alias("other"))
+
+
+def _with_complete(products: DataFrame, staged: DataFrame, n_files: int | None) -> DataFrame:
+    """A file is whole only if some record holds the closing root tag. The
+    per-file table has one row per input file; the file listing (driver
+    metadata, no data read) bounds it, so it is broadcast and the fragments
+    never shuffle."""
+    files = staged.groupBy("source_file").agg(F.bool_or("is_tail").alias("complete"))
+    if n_files is not None and n_files <= BROADCAST_ROW_LIMIT:
+        files = F.broadcast(files)
+    return products.join(files, "source_file")
+
+
+def _xml(tag: str) -> Column:
+    return F.from_xml(F.concat(plain_text_markup(F.col("fragment")), F.lit(f"</{tag}>")), schemas.ONIX_PRODUCT,
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
+                       "ignoreNamespace": "true"})
+
+
+def _bad_fragment() -> Column:
+    return F.col(f"product.{schemas.CORRUPT}").isNotNull() | F.col("product").isNull()
+
+
+def parse_onix_once(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage", n_files: int | None = None) -> DataFrame:
+    """The rows of both frames of ``parse_onix`` in one, for jobs that need both: each
+    fragment is parsed once. ``product, arrival, source_file, fragment, reason``;
+    ``reason`` is null for a good record, ``fragment`` for all but broken and cut ones."""
+    staged = _cut(raw, tag, end_tag)
+    rows = _with_complete(staged.where((F.col("fragment") != "") | F.col("other")), staged, n_files)
+    parsed = rows.select("source_file", "arrival", "fragment", "complete", F.inline(F.array(F.struct(
+        F.when(F.col("fragment") != "", _xml(tag)).alias("product")))))
+    reason = (F.when(F.col("fragment") == "", F.lit("other_prefix")).when(_bad_fragment(), F.lit("malformed"))
+              .when(~F.col("complete"), F.lit("file_truncated")))
+    return parsed.select("product", "arrival", "source_file", F.when(reason != "other_prefix", F.col("fragment")).alias("fragment"),
+                         reason.alias("reason"))
+
+
+def parse_onix(raw: DataFrame, tag: str = "Product", end_tag: str = "ONIXMessage", check_tail: bool = True,
+               n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fragments -> product structs (see ``scan_onix``); ``raw`` from ``onix_records``.
+
+    ``n_files`` bounds the per-file completeness table (broadcast when small)."""
+    staged = _cut(raw, tag, end_tag)
 
     # Products under another prefix than ``tag`` has would be passed over: they are reported.
     foreign = staged.where(F.col("other") & (F.col("fragment") == "")).select(
         "source_file", "arrival", F.lit(None).cast("string").alias("fragment"), F.lit("other_prefix").alias("reason"))
     products = staged.where(F.col("fragment") != "").drop("other")
-    # A file is whole only if some record holds the closing root tag. The
-    # per-file table has one row per input file; the file listing (driver
-    # metadata, no data read) bounds it, so it is broadcast and the fragments
-    # never shuffle.
     if check_tail:
-        files = staged.groupBy("source_file").agg(F.bool_or("is_tail").alias("complete"))
-        if n_files is not None and n_files <= BROADCAST_ROW_LIMIT:
-            files = F.broadcast(files)
-        products = products.join(files, "source_file")
+        products = _with_complete(products, staged, n_files)
     else:
         products = products.withColumn("complete", F.lit(True))
     # the parser runs inside a generator so that it is evaluated once per
     # fragment: a plain projection would be inlined into every field access
-    xml = F.from_xml(F.concat(plain_text_markup(F.col("fragment")), F.lit(sep)), schemas.ONIX_PRODUCT,
-                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT,
-                      "ignoreNamespace": "true"})
     parsed = products.select("source_file", "arrival", "fragment", "complete",
-                             F.inline(F.array(F.struct(xml.alias("product")))))
+                             F.inline(F.array(F.struct(_xml(tag).alias("product")))))
 
-    bad_fragment = F.col(f"product.{schemas.CORRUPT}").isNotNull() | F.col("product").isNull()
+    bad_fragment = _bad_fragment()
     records = (parsed.where(~bad_fragment & F.col("complete"))
                .select("product", "arrival", "source_file"))
     corrupt = parsed.where(bad_fragment | ~F.col("complete")).select(

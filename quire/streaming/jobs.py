@@ -23,7 +23,7 @@ from quire.session import bounded_broadcast, cut_lineage, hadoop_fs
 from quire.sources import feeds as src
 from quire.sources import lookups
 from quire.sources import store as tables
-from quire.sources.onix import file_columns, parse_onix, scan_onix, with_arrival
+from quire.sources.onix import file_columns, parse_onix_once, scan_onix_once, with_arrival
 from quire.sources.store import read_table
 
 
@@ -87,8 +87,9 @@ def _keep_run(df: DataFrame, root: str, run: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/run={run}")
 
 
-def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame, store: str, as_of, run: str) -> None:
-    """One run of ONIX records into every table they feed (O-62 ... O-69, O-74).
+def ingest_products(spark: SparkSession, records: DataFrame, store: str, as_of, run: str) -> None:
+    """One run of ONIX records, good and broken ones (``onix.parse_onix_once``), into every
+    table they feed (O-62 ... O-69, O-74).
 
     Good products are merged into ``books``; the last notice of each book
     replaces its rows in ``book_contributors``, ``book_subjects`` and ``book_prices``, and
@@ -96,7 +97,9 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
     rejected products go to ``rejects`` with their reasons, counts per file to
     ``summaries`` (each a folder per run). Tables that are missing are started.
     Delete notices are not held to the catalogue's constraints."""
-    products = cut_lineage(project_products(records))      # parsed once, read by every step below
+    found = cut_lineage(project_products(records, reason="reason"))      # parsed once, read by every step below
+    products = found.where(F.col("reason").isNull()).drop("reason", "fragment")
+    corrupt = found.where(F.col("reason").isNotNull()).select("source_file", "reason", "fragment")
     state = {c: F.lit(None).cast(t).alias(c) for c, t in _BOOK_STATE.items()}
     books = _stored(spark, f"{store}/books", products.select(*BOOK_FIELDS, *state.values()))
 
@@ -105,8 +108,9 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
     held = news.where(F.col("isbn13").isNotNull())
     held = held.join(quality.isbn_holders(held, books), "isbn13", "left").select(*products.columns, "__holder")
     plain = news.where(F.col("isbn13").isNull()).withColumn("__holder", F.lit(None).cast("string"))
-    good, bad = quality.quarantine(held.unionByName(plain), quality.book_rules(raw_page=None, raw_date=None))
-    good = cut_lineage(good.drop("__holder"))
+    rules = quality.book_rules(raw_page=None, raw_date=None)
+    judged = cut_lineage(quality.judged(held.unionByName(plain), rules).drop("__holder"))
+    good, bad = judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
     notices = good.unionByName(products.where(is_delete))
 
     rejects = bad.select("source_file", "record_reference", F.array_join("reasons", ",").alias("reason"),
@@ -128,7 +132,7 @@ def ingest_products(spark: SparkSession, records: DataFrame, corrupt: DataFrame,
                 lambda current, rows=rows: merge.replace_children(current, touched, rows, "record_reference"))
     subjects = last.select("record_reference", "arrival", F.posexplode("subjects").alias("pos", "x")).select(
         "record_reference", F.struct("arrival", "pos").alias("pos"), "x.*")
-    genres, pairs = merge.derive_genres(subjects)
+    genres, pairs = map(cut_lineage, merge.derive_genres(subjects))
     _update(spark, f"{store}/genres", "slug", genres, genres, lambda current: merge.insert_absent(current, genres, "slug"))
     # Only books with usable subjects in this run; others keep their genres.
     named = pairs.select("record_reference").distinct()
@@ -154,9 +158,8 @@ def stream_onix(spark: SparkSession, path: str, store: str, checkpoint: str, as_
         s = batch.sparkSession
         if _applied(s, store, "onix", batch_id):
             return
-        records, corrupt = parse_onix(with_arrival(batch).select("value", "source_file", "arrival"),
-                                      n_files=max_files_per_trigger)
-        ingest_products(s, records, corrupt, store, as_of() if callable(as_of) else as_of, f"onix-{batch_id}")
+        records = parse_onix_once(with_arrival(batch).select("value", "source_file", "arrival"), n_files=max_files_per_trigger)
+        ingest_products(s, records, store, as_of() if callable(as_of) else as_of, f"onix-{batch_id}")
         _record_batch(s, store, "onix", batch_id)
 
     w = raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -203,8 +206,7 @@ def bootstrap(spark: SparkSession, onix_paths, feeds: Mapping[str, object], stor
     ts = F.lit(as_of).cast("timestamp") if not isinstance(as_of, Column) else as_of
     status = []
     try:
-        records, corrupt = scan_onix(spark, onix_paths)
-        ingest_products(spark, records, corrupt, store, as_of, "bootstrap")
+        ingest_products(spark, scan_onix_once(spark, onix_paths), store, as_of, "bootstrap")
         status.append(("books", "completed", _count(spark, f"{store}/books"), None))
     except Exception as e:  # noqa: BLE001 - reported per feed
         status.append(("books", "failed", 0, str(e)[:500]))

@@ -3,7 +3,7 @@
 import pytest
 
 from quire.operators.products import project_products
-from quire.sources.onix import CorruptOnixError, scan_onix
+from quire.sources.onix import CorruptOnixError, scan_onix, scan_onix_once
 
 HEAD = """<?xml version='1.0'?>
 <ONIXMessage release="3.0"><Header><SentDateTime>20250107</SentDateTime></Header>
@@ -167,3 +167,23 @@ def test_prefixed_namespace(spark, write_text):
     # read without the prefix, its products are reported, not passed over
     records, corrupt = scan_onix(spark, path)
     assert records.count() == 0 and [r.reason for r in corrupt.collect()] == ["other_prefix"]
+
+
+def test_one_frame_holds_the_rows_of_both(spark, write_text, tmp_path):
+    broken = ATLAS.replace("</TitleText>", "").replace("77-B", "broken")
+    untitled = ATLAS.replace("Tidal Atlas", "").replace("77-B", "untitled")
+    tags = ATLAS.replace("Forty charts", "Forty <b>charts</b><br/>and one").replace("77-B", "tags")
+    other = ATLAS.replace("Product>", "x:Product>").replace("77-B", "other")
+    write_text("whole.xml", HEAD + ATLAS + broken + untitled + tags + ATLAS.replace("77-B", "last") + other + TAIL)
+    path = write_text("cut.xml", HEAD + ATLAS.replace("77-B", "cut") + broken).rsplit("/", 1)[0]
+    records, corrupt = scan_onix(spark, path)
+    once = scan_onix_once(spark, path)
+    rows = project_products(once, reason="reason")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1     # both kinds from one parse
+    good = rows.where("reason IS NULL").drop("fragment", "reason")
+    want = project_products(records)
+    assert good.columns == want.columns
+    assert sorted(map(str, good.collect())) == sorted(map(str, want.collect()))
+    assert {r.subtitle for r in good.collect()} >= {"Forty charts and one"} and good.count() == 3
+    assert sorted(map(str, rows.where("reason IS NOT NULL").select(corrupt.columns).collect())) == sorted(map(str, corrupt.collect()))
+    assert {r.reason for r in corrupt.collect()} == {"malformed", "file_truncated", "other_prefix"}
