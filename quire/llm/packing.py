@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.bpe import codec, text_groups
-from quire.llm.common import mix, small_batches, staged, tidy
+from quire.llm.bpe import codec
+from quire.llm.common import mix, small_batches, staged, text_slices, tidy
 
 WINDOW = 2048
 END_ID = 1                   # closes every document
@@ -38,29 +38,31 @@ def tokenised(texts: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         size = max(len(c.bytes_of), end_id + 1)
-        end = np.array([end_id], c.dtype).tobytes()
         hashes = [(mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(k)) >> np.uint64(33)).astype(np.int64) for k in (3, 7)]
-        df, doc, here = np.zeros(size, np.int64), 0, np.zeros(size, bool)
+        df, doc = np.zeros(size, np.int64), 0
         names = ["id", "ids", "n", "near1", "near2", "df"]
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for i, part in text_groups(batch.column(1).to_pylist()):
-                packed = [raw + end for raw in c.encode_packed(part)]
-                near: tuple[list[int], list[int]] = ([], [])
-                for raw in packed:
-                    ids = np.frombuffer(raw, c.dtype)
-                    here[ids] = True
-                    distinct = np.flatnonzero(here)
-                    here[distinct] = False
-                    df[distinct] += 1
-                    doc += 1
-                    for h, out in zip(hashes, near):
-                        out.append(int(h[distinct].min()))
+            for i, j, buf, offsets in text_slices(batch):
+                ids, bounds = c.encode_flat(buf, offsets)
+                ids = np.insert(ids, bounds[1:], end_id)
+                bounds += np.arange(j - i + 1)
+                # Each document's distinct ids.
+                wide, shift = (np.uint32, 16) if max(j - i, size) <= 1 << 16 else (np.uint64, 32)    # the least width that holds both
+                key = (np.repeat(np.arange(j - i, dtype=wide), np.diff(bounds)) << wide(shift)) | ids
+                key.sort()
+                key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+                heads = np.searchsorted(key, np.arange(j - i, dtype=wide) << wide(shift))
+                term = key & wide((1 << shift) - 1)
+                df += np.bincount(term.astype(np.int64), minlength=size)
+                doc += j - i
+                packed = pa.Array.from_buffers(pa.binary(), j - i, [
+                    None, pa.py_buffer((bounds * c.width).astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, len(part)), pa.array(packed, pa.binary()),
-                    pa.array([len(r) // c.width for r in packed], pa.int64()), pa.array(near[0], pa.int64()),
-                    pa.array(near[1], pa.int64()), pa.nulls(len(part), pa.list_(pa.int64()))], names)
+                    batch.column(0).slice(i, j - i), packed, pa.array(np.diff(bounds), pa.int64()),
+                    *(pa.array(np.minimum.reduceat(h[term], heads), pa.int64()) for h in hashes),
+                    pa.nulls(j - i, pa.list_(pa.int64()))], names)
         c.forget()
         if doc:
             yield pa.RecordBatch.from_arrays([

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import types as T
@@ -62,3 +63,36 @@ def test_round_trip_rows(spark, library):
     back = {r["doc_id"]: r["text"] for r in bpe_decode(bpe_encode(df.filter("doc_id < 40"), PATH), PATH).collect()}
     assert back[8] == texts()[8]
     assert bpe_round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_texts_in_one_array_and_words_of_all_lengths(monkeypatch, library):
+    rng = random.Random(7)
+    signs = [" ", "\n", "\t", "a", "é", "'", "s", "t", "r", "e", "v", "l", "d", "m", "1", "!", "　", "\x85", "日", "😀", "½", "ſ", "\0", "<|endoftext|>"]
+    rows = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(2000)] + [" x" + "ab" * k for k in range(40)] * 2
+    rows += ["<|endof", "text|> split by a text's end", "it'", "s", "'", "ll", "'l", "l"]
+    raw = [t.encode() for t in rows]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    want = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    for kept in (bpe.CACHE_CHUNKS, 3000, 0):
+        monkeypatch.setattr(bpe, "CACHE_CHUNKS", kept)
+        c = bpe.Codec(PATH)
+        for _ in range(3):
+            ids, bounds = c.encode_flat(np.frombuffer(b"".join(raw), np.uint8), offsets)
+            assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+
+
+def test_words_that_share_a_key_keep_their_own_ids(monkeypatch, library):
+    monkeypatch.setattr(bpe, "mix", lambda x: x & np.uint64(7))
+    c = bpe.Codec(PATH)
+    for _ in range(2):
+        for text in ["one two three four five six seven", "eight nine two ten eleven twelve", "a b c d e f g h i j k l m"]:
+            assert c.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_task_learns_each_word_once(monkeypatch):
+    c, learned = bpe.Codec(PATH), []
+    merge = c.merge
+    monkeypatch.setattr(c, "merge", lambda raw, size: learned.append(len(size)) or merge(raw, size))
+    for k in range(5):
+        c.encode_packed([" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(500))])
+    assert sum(learned) <= 501
