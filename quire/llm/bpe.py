@@ -75,8 +75,8 @@ class Table:
         """Place distinct keys that are not there behind those that are."""
         first = len(self.keys)
         self.keys = np.concatenate([self.keys, keys])
-        if 3 * len(self.keys) > len(self.table):
-            self.table = np.full(1 << (6 * len(self.keys)).bit_length(), -1, np.int32)
+        if 2 * len(self.keys) > len(self.table):
+            self.table = np.full(1 << (3 * len(self.keys)).bit_length(), -1, np.int32)
             first = 0
         place = np.arange(first, len(self.keys), dtype=np.int32)
         slot = self._slots(self.keys[first:])
@@ -92,10 +92,10 @@ class Memory:
 
     def __init__(self, dtype: type) -> None:
         self.table = Table()
-        self.size = np.zeros(0, np.int64)                       # bytes of each word
+        self.size = np.zeros(0, np.uint8)                       # bytes of each word
         self.parts = np.zeros((EIGHTS, 0), np.uint64)           # its bytes, eight by eight
         self.ids = np.zeros(0, dtype)                           # ids of all words
-        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.uint8)
         self.again = np.zeros(0, bool)                          # came again after it was learned
 
     def _same(self, place: np.ndarray, size: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -116,16 +116,17 @@ class Memory:
 
     def add(self, key: np.ndarray, size: np.ndarray, parts: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
         self.table.add(key)
-        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])
-        self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        self.size, self.parts = np.concatenate([self.size, size]), np.concatenate([self.parts, parts], axis=1)
+        self.at = np.concatenate([self.at, (len(self.ids) + np.cumsum(count) - count).astype(np.int32)])
+        self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count.astype(np.uint8)])
+        self.size, self.parts = np.concatenate([self.size, size.astype(np.uint8)]), np.concatenate([self.parts, parts], axis=1)
         self.again = np.concatenate([self.again, np.zeros(len(key), bool)])
 
     def kept(self) -> Memory:
         """A memory of the words that came again; an empty one if they are too many too."""
         out, keep = Memory(self.ids.dtype), np.flatnonzero(self.again)
         if 2 * len(keep) <= CACHE_CHUNKS:
-            out.add(self.table.keys[keep], self.size[keep], self.parts[:, keep], spans(self.ids, self.at[keep], self.count[keep]), self.count[keep])
+            count = self.count[keep].astype(np.int64)
+            out.add(self.table.keys[keep], self.size[keep], self.parts[:, keep], spans(self.ids, self.at[keep], count), count)
         return out
 
 
